@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from outflow.llm.recompression import op1_substring_dedup
+from outflow.llm.simhash import op4_simhash_near_dedup
+from outflow.llm.tokencounts import op3_token_counts
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_token_counts": op3_token_counts,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
 }
 
 ORACLE_SQL = {
