@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from outflow.llm.pii import op8_pii
 from outflow.llm.recompression import op1_substring_dedup
+from outflow.llm.secrets import op9_secrets
 from outflow.llm.simhash import op4_simhash_near_dedup
 from outflow.llm.tokencounts import op3_token_counts
 
@@ -10,6 +12,8 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op8_pii": op8_pii,
+    "op9_secrets": op9_secrets,
 }
 
 ORACLE_SQL = {
