@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from outflow.llm.decontamination import op5_benchmark_decontamination
+from outflow.llm.mergedropout import op6_sentencepiece
 from outflow.llm.pii import op8_pii
 from outflow.llm.recompression import op1_substring_dedup
 from outflow.llm.secrets import op9_secrets
 from outflow.llm.simhash import op4_simhash_near_dedup
 from outflow.llm.tokencounts import op3_token_counts
+from outflow.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
     "op9_secrets": op9_secrets,
 }

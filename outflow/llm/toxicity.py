@@ -1,7 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network (operator 7).
 
 Every word enters as a learned word vector beside the mean of its learned
-character-trigram vectors.  Two gated recurrent passes read windows of words,
+vectors for character runs of three and five.  Two gated recurrent passes read windows of words,
 one from each side; attention pools their states; a document's score is that of
 its highest window, over all windows, each overlapping the next by half.
 
@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from outflow.llm import bytewords as bw
 
 WINDOW, STRIDE = 32, 16
-WORDS, GRAMS, WIDTH, HIDDEN = 1 << 14, 1 << 13, 8, 8
+WORDS, GRAMS, WIDTH, HIDDEN = 1 << 14, 1 << 15, 8, 8
 #: Bounds of the training sample: rows of each label, and bytes of a text.
 SAMPLE_ROWS, SAMPLE_BYTES = 1500, 12_000
-EPOCHS, BATCH, RATE, SEED = 6, 48, 0.02, 11
+EPOCHS, BATCH, RATE, FLOOR, SEED = 3, 48, 0.02, 1e-6, 11
 
 
 def word_inputs(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -34,13 +34,16 @@ def word_inputs(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     _, first, row = np.unique(names, return_index=True, return_inverse=True)
     a, z = starts[first], ends[first]
     size = z - a
-    # Each word between two marks: as many trigrams as it has bytes.
+    # Each word between two marks: as many grams of three bytes as it has bytes,
+    # and as many of five (shorter at its edges).
     offsets = np.cumsum(size) - size
     at = np.arange(int(size.sum())) - np.repeat(offsets, size) + np.repeat(a, size)
-    middle = buf[at].astype(np.uint64)
-    before = np.where(at == np.repeat(a, size), 1, buf[np.maximum(at - 1, 0)]).astype(np.uint64)
-    after = np.where(at == np.repeat(z, size) - 1, 2, buf[np.minimum(at + 1, len(buf) - 1)]).astype(np.uint64)
-    grams = (bw.mix64(before | middle << np.uint64(8) | after << np.uint64(16)) % np.uint64(GRAMS)).astype(np.int64)
+    low, high = np.repeat(a, size), np.repeat(z, size) - 1
+    near = [np.where(at + k < low, 1, np.where(at + k > high, 2, buf[np.clip(at + k, 0, len(buf) - 1)])).astype(np.uint64) << np.uint64(8 * (k + 2)) for k in range(-2, 3)]
+    three = near[1] | near[2] | near[3]
+    both = np.stack([three, three | near[0] | near[4] | np.uint64(1 << 50)], axis=1).ravel()
+    grams = (bw.mix64(both) % np.uint64(GRAMS)).astype(np.int64)
+    offsets = offsets * 2
     return row, (names[first] % np.uint64(WORDS)).astype(np.int64), grams, offsets
 
 
@@ -59,7 +62,7 @@ class Network:
     def __init__(self, seed: int = SEED):
         rng = np.random.default_rng(seed)
         draw = lambda *s, scale=0.3: (rng.standard_normal(s) * scale).astype(np.float32)
-        self.p = {"word": draw(WORDS, WIDTH), "gram": draw(GRAMS, WIDTH), "look": draw(2 * HIDDEN), "out": draw(2 * HIDDEN, scale=0.6), "bias": np.full(1, -3.0, np.float32)}
+        self.p = {"word": np.zeros((WORDS, WIDTH), np.float32), "gram": draw(GRAMS, WIDTH, scale=0.1), "look": draw(2 * HIDDEN), "out": draw(2 * HIDDEN, scale=0.6), "bias": np.full(1, -3.0, np.float32)}
         for d in "fb":
             self.p |= {f"in_{d}": draw(2 * WIDTH, 3 * HIDDEN), f"rec_{d}": draw(HIDDEN, 3 * HIDDEN), f"add_{d}": np.zeros(3 * HIDDEN, np.float32)}
 
@@ -187,7 +190,7 @@ class Network:
         rng = np.random.default_rng(SEED)
         mean = {k: np.zeros_like(v) for k, v in self.p.items()}
         square = {k: np.zeros_like(v) for k, v in self.p.items()}
-        step, rounds = 0, max(epochs, -(-epochs * 40 * BATCH // max(len(texts), 1)) if len(texts) < 40 * BATCH else epochs)
+        step, rounds = 0, max(epochs, -(-epochs * 40 * BATCH // len(texts)))  # few rows: as many steps as 40 batches an epoch
         for epoch in range(rounds):
             order = rng.permutation(len(texts))
             for at in range(0, len(order), BATCH):
@@ -201,7 +204,7 @@ class Network:
                     mean[k] += 0.1 * (x - mean[k])
                     square[k] += 0.01 * (x * x - square[k])
                     up = mean[k] / (1 - 0.9**step)
-                    self.p[k] -= (rate * up / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+                    self.p[k] -= (rate * up / (np.sqrt(square[k] / (1 - 0.99**step)) + FLOOR)).astype(np.float32)
         return self
 
     def score_bytes(self, buf, offsets) -> np.ndarray:
