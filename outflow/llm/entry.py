@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from outflow.llm.decontamination import op5_benchmark_decontamination
+from outflow.llm.digests import op2_document_fingerprints
 from outflow.llm.mergedropout import op6_sentencepiece
 from outflow.llm.pii import op8_pii
 from outflow.llm.recompression import op1_substring_dedup
@@ -13,6 +14,7 @@ from outflow.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op3_token_counts": op3_token_counts,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
