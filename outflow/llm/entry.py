@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from outflow.llm.decontamination import op5_benchmark_decontamination
 from outflow.llm.digests import op2_document_fingerprints
+from outflow.llm.htmltext import op10_html_extraction
 from outflow.llm.mergedropout import op6_sentencepiece
 from outflow.llm.pii import op8_pii
 from outflow.llm.recompression import op1_substring_dedup
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
     "op9_secrets": op9_secrets,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE_SQL = {
