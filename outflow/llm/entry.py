@@ -10,6 +10,7 @@ from outflow.llm.pii import op8_pii
 from outflow.llm.recompression import op1_substring_dedup
 from outflow.llm.secrets import op9_secrets
 from outflow.llm.simhash import op4_simhash_near_dedup
+from outflow.llm.span_sql import pii_sql, secrets_sql
 from outflow.llm.tokencounts import op3_token_counts
 from outflow.llm.toxicity import op7_toxicity
 
@@ -37,4 +38,6 @@ k AS (SELECT doc_id, count(*) FILTER (WHERE cov > 0) AS n_removed, string_agg(wo
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN k ON w.doc_id = k.doc_id
 """,
+    "op8_pii": pii_sql(),
+    "op9_secrets": secrets_sql(),
 }
