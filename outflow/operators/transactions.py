@@ -1,7 +1,8 @@
 """From an ordered log to committed rows.
 
 A transaction never spans a log file, so (source, file) is a safe partition key.
-Assembly runs on events, with rows counted but not carried.
+Outcomes, limits and anomalies run on events with rows counted but not carried;
+committed rows move once, still packed in their events.
 """
 
 from __future__ import annotations

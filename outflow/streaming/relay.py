@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from outflow.functions.validate import validate_messages  # noqa: F401
 from outflow.operators.checkpoints import upsert_checkpoints
 from outflow.operators.delivery import apply_results, attempt
 from outflow.operators.transactions import ending
@@ -34,7 +33,7 @@ class _Assembly(StatefulProcessor):
         waiting = list(self.rows.get()) if self.rows.exists() else []
         out, kept = [], len(waiting)
         for r in new.itertuples(index=False):
-            if pd.isna(r.outcome) if not isinstance(r.outcome, str) else False:
+            if not isinstance(r.outcome, str):
                 waiting.append((int(r.log_pos), int(r.event_seq), int(r.row_idx), bytes(r.body)))
                 if len(waiting) > self.max_open:
                     raise ValueError(f"transaction of {key} has more than {self.max_open} rows")
