@@ -115,7 +115,7 @@ class PrefixHash:
         return mix64((self.sums[end] - self.sums[begin]) * self.back[begin] + (end - begin).astype(np.uint64))
 
 
-def row_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20):
+def row_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20):
     """Row slices of a batch holding about ``max_bytes`` of text, one row at least.
 
     Whole rows only: a longer text is a slice of its own, never cut.

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outflow.llm import bytewords as bw
-from outflow.llm.shared import identified
+from outflow.llm.shared import identified, small_batches
 
 WINDOW, RUN, VOTES = 64, 64, 16
 BITS, FEATURES, HASHES = 2048, 160, 5
@@ -229,6 +229,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     each other in the order of a hash of their text.  A table of one row follows
     itself; an empty table gives no rows.  The text moves through one shuffle.
     """
+    small_batches(docs.sparkSession)
     rows = identified(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), "text")
     ranks = rarity_ranks(rows)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

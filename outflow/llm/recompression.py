@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outflow.llm import bytewords as bw
-from outflow.llm.shared import identified, staged
+from outflow.llm.shared import identified, small_batches, staged
 
 WINDOW = 20
 
@@ -246,6 +246,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Returns doc_id, n_words, n_removed, kept (the words left, joined by one
     space) and kept_sha256.
     """
+    small_batches(docs.sparkSession)
     rows = identified(docs, "text")
     cover = repeated_stretches(rows, window)
     lists = cover.groupBy("rid").agg(F.collect_list(F.struct("start", "count")).alias("parts"))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from outflow.llm import bytewords as bw
 from outflow.llm.components import components
-from outflow.llm.shared import identified, staged
+from outflow.llm.shared import identified, small_batches, staged
 
 SHINGLE = 3
 SEED = 42
@@ -123,6 +123,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                 fp = simhash_batch(*bw.text_bytes(batch.column("text")))
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fp.view(np.int64))], names=["id", "fp"])
 
+    small_batches(docs.sparkSession)
     cut = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     return cut.mapInArrow(run, "id long, fp long").withColumnRenamed("id", key)
 
@@ -197,11 +198,16 @@ def near_duplicate_groups(docs: DataFrame, key: str = "doc_id", max_bits: int =
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of every near-duplicate group: the one with the least doc_id."""
-    rows = identified(docs, *docs.columns)
+    """``docs`` with one row of every near-duplicate group: the one with the least doc_id.
+
+    Columns stay as they are, whatever their names.
+    """
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]
+    rows = identified(docs.select("doc_id", "text", F.struct(*others).alias("row")), "text", "row")
     groups = near_duplicate_groups(rows.select("_rid", "text"), "_rid")
     kept = groups.where("_rid = component_id").select(F.col("_rid").alias("k"))
-    return rows.join(kept, rows["_rid"] == kept["k"], "left_semi").select(*docs.columns)
+    left = rows.join(kept, rows["_rid"] == kept["k"], "left_semi")
+    return left.select(*[F.col("text") if c == "text" else F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op4_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

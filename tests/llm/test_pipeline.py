@@ -1,26 +1,37 @@
+import random
+
 import corpus_pipeline as cp
+from outflow.llm import toxicity as tx
 from outflow.llm.shared import staged
+from tests.llm.test_toxicity import corpus
 
 
 def test_stages(spark, tmp_path):
-    clean = [(i, " ".join(f"w{i}x{k}" for k in range(40)), "en", "s", 0) for i in range(60)]
-    toxic = [(100 + i, " ".join(f"v{i}x{k}" for k in range(30)) + " idiot scum loser", "en", "s", 0) for i in range(60)]
-    item = " ".join(f"bench{k}" for k in range(30))
-    more = [(300, clean[0][1], "en", "s", 0), (301, f"intro {item} outro", "en", "s", 0), (302, "write to a.b@example.com " + clean[5][1][:40], "en", "s", 0), (303, None, "en", "s", 0)]
+    texts, y = corpus(3, 400)
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    clean = [t for t, v in zip(texts, y) if not v and len(t) > 300]
+    rng = random.Random(8)
+    item = " ".join(rng.sample(clean[0].split() + clean[1].split() + clean[2].split(), 40))
+    more = [(1300, clean[5], "en", "s", 0), (1301, f"{clean[6][:200]} {item} {clean[7][:200]}", "en", "s", 0), (1302, "write to a.b@example.com " + clean[8][:150], "en", "s", 0), (1303, None, "en", "s", 0)]
     names = "doc_id long, text string, lang string, source string, n_chars long"
-    spark.createDataFrame(clean + toxic + more, names).write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(r[0], 1, int(r[0] >= 100)) for r in clean + toxic], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(rows + more, names).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(v)) for i, v in enumerate(y)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    judged = tx.score_toxicity(docs, tx.train(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))).collect()
+    rejected = {r["doc_id"] for r in judged if r["predicted"]}
+    assert len(rejected ^ {i for i, v in enumerate(y) if v}) <= 20
     left = []
     for name, stage in cp.STAGES:
         out = staged(stage(spark, docs, str(tmp_path)), name)
         if name != "encoding":
             assert out.columns == docs.columns
+        if name == "personal_data":
+            assert out.where("text like 'write to <email> %' and n_chars = length(text)").count() == (1302 not in rejected)
         docs = out
         left.append({r["doc_id"] for r in docs.select("doc_id").collect()})
-    everything = {r[0] for r in clean + toxic + more}
-    assert everything - left[0] == {r[0] for r in toxic}
-    assert left[0] - left[1] == {300} and left[1] - left[2] == {301} and left[2] == left[3] == left[4]
+    everything = {r[0] for r in rows + more}
+    assert everything - left[0] == rejected
+    assert left[0] - left[1] == {1300} - rejected and left[1] - left[2] == {1301} - rejected and left[2] == left[3] == left[4]
     assert docs.where("not lossless").count() == 0
     assert cp.run(spark, str(tmp_path)).count() == len(left[4])
