@@ -13,18 +13,21 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import cycle
 
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from outflow.llm.bytewords import mix64, powers
+from outflow.llm.shared import small_batches
+
 MODEL = "piece_bpe_32k.model"
 DROPOUT, SEED, VARIANTS = 0.1, 17, 3
-KEPT_SEGMENTS = 250_000
+KEPT_SEGMENTS = 300_000
 BLANK = "▁"
 _MASK = (1 << 64) - 1
 
@@ -35,6 +38,20 @@ def model_path(name: str = MODEL) -> str:
     return public_tokenizers.path(name)
 
 
+_KEY = 0x9FB21C651E98DF25
+_NEVER = (1 << 31) - 1
+_SLOTS = 1 << 20
+
+
+def _slot(pair: np.ndarray) -> np.ndarray:
+    return ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+
+
+def _skipped(key: int, left: int, end: int, skip: int) -> bool:
+    """Whether the keyed hash of a candidate's place says to skip it; ``skip`` is out of 2**24."""
+    return ((key ^ (left * 0x9E3779B97F4A7C15 + end * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93 & _MASK) >> 40 < skip
+
+
 class Pieces:
     """One vocabulary: pieces, scores, and memoised segment encodings."""
 
@@ -45,7 +62,8 @@ class Pieces:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.score: dict[str, tuple[float, int]] = {}
+        self.score: dict[str, int] = {}
+        self.cost: dict[str, float] = {}
         self.bytes: list[int] = [0] * 256
         self.spelled: list[bytes] = []
         for i in range(model.get_piece_size()):
@@ -59,79 +77,199 @@ class Pieces:
             else:
                 if BLANK in piece.lstrip(BLANK):
                     raise ValueError("a piece holds a blank after text")
-                self.score[piece] = (-model.get_score(i), i)
+                self.score[piece], self.cost[piece] = i, -model.get_score(i)
                 self.spelled.append(piece.replace(BLANK, " ").encode("utf-8"))
         self.skip = int(dropout * (1 << 24))
         self.seed, self.kept = seed, kept
-        self.known: list[dict[str, tuple[int, ...]]] = [{} for _ in range(variants if dropout > 0 else 1)]
-
-    def segment(self, text: str, variant: int) -> tuple[int, ...]:
-        """Piece ids of one segment (blanks as spaces)."""
-        score, skip = self.score, self.skip
-        parts = [BLANK if c == " " else c for c in text]
-        n = len(parts)
+        self.letter = {(" " if p == BLANK else p): i for p, i in self.score.items() if len(p) == 1}
+        self.letter_ids = np.full(max(map(ord, self.letter)) + 2, -1, np.int64)
+        for c, i in self.letter.items():
+            self.letter_ids[ord(c)] = i
+        self.known: list[dict[str, bytes]] = [{} for _ in range(variants if dropout > 0 else 1)]
+        self._index_pairs(model.get_piece_size())
+
+    def _index_pairs(self, size: int) -> None:
+        """An open-addressed table from two pieces to the piece they join to."""
+        self.piece_cost = np.full(size + 1, _NEVER, np.int32)  # the last is also that of -1
+        self.piece_length = np.zeros(size + 1, np.uint64)
+        keys, ids = [], []
+        for piece, i in self.score.items():
+            self.piece_cost[i] = min(int(self.cost[piece]), _NEVER - 1)
+            self.piece_length[i] = len(piece)
+            for k in range(1, len(piece)):
+                left, right = self.score.get(piece[:k]), self.score.get(piece[k:])
+                if left is not None and right is not None:
+                    keys.append(left << 32 | right)
+                    ids.append(i)
+        self.pair_keys = np.full(_SLOTS + 4096, -1, np.int64)
+        self.pair_ids = np.full(_SLOTS + 4096, -1, np.int32)
+        key, found = np.array(keys, np.int64), np.array(ids, np.int32)
+        slot = _slot(key)
+        while len(key):  # those that find their slot taken try the next
+            free = self.pair_keys[slot] < 0
+            first = np.zeros(len(key), bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            put = free & first
+            self.pair_keys[slot[put]], self.pair_ids[slot[put]] = key[put], found[put]
+            key, found, slot = key[~put], found[~put], slot[~put] + ~free[~put]
+
+    def _agenda(self, text: str, variant: int) -> list[int]:
+        """Piece ids of marked text (blanks as marks), merge by merge from a heap: any length, any characters."""
+        parts: list = list(text)
+        cost, skip, n = self.cost, self.skip, len(parts)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        key = xxhash.xxh64_intdigest(text.encode("utf-8"), self.seed * 64 + variant) if skip else 0
-        agenda: list[tuple[float, int, int, str]] = []
-        raw = [c == BLANK for c in text]  # the mark itself in the text: bytes only
-
-        def propose(left: int, right: int) -> None:
-            joined = parts[left] + parts[right]
-            found = score.get(joined)
-            if found is not None and not (raw[left] or raw[right]):
-                agenda.append((found[0], left, right, joined))
-
-        for k in range(n - 1):
-            propose(k, k + 1)
+        letters = np.array([[self.letter.get(" " if c == BLANK else c, -1) + 1 for c in text]])
+        key = int(self._keys(letters, variant)[0]) if skip else 0
+        agenda = [(cost[x + y], k, k + 1, x + y) for k, (x, y) in enumerate(zip(parts, parts[1:], strict=False)) if x + y in cost]
         heapq.heapify(agenda)
         while agenda:
             _, left, right, joined = heapq.heappop(agenda)
             if parts[left] is None or after[left] != right or len(parts[left]) + len(parts[right]) != len(joined):
                 continue
-            if skip and ((key ^ (left * 0x9E3779B97F4A7C15 + (right + len(parts[right])) * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93 & _MASK) >> 40 < skip:
+            if skip and _skipped(key, left, left + len(joined), skip):
                 continue
             parts[left], parts[right] = joined, None
-            nxt = after[right]
-            after[left] = nxt
-            fresh = len(agenda)
-            if nxt >= 0:
-                before[nxt] = left
-                propose(left, nxt)
-            if before[left] >= 0:
-                propose(before[left], left)
-            for entry in [agenda.pop() for _ in range(len(agenda) - fresh)]:
-                heapq.heappush(agenda, entry)
+            follow = after[right]
+            after[left] = follow
+            if follow >= 0:
+                before[follow] = left
+                if joined + parts[follow] in cost:
+                    heapq.heappush(agenda, (cost[joined + parts[follow]], left, follow, joined + parts[follow]))
+            ahead = before[left]
+            if ahead >= 0 and parts[ahead] + joined in cost:
+                heapq.heappush(agenda, (cost[parts[ahead] + joined], ahead, left, parts[ahead] + joined))
         out: list[int] = []
-        for k, part in enumerate(parts):
-            if part is None:
-                continue
-            found = score.get(part)
-            if found is None or raw[k]:
-                out.extend(self.bytes[b] for b in part.encode("utf-8"))
-            else:
-                out.append(found[1])
+        for part in parts:
+            if part is not None:
+                found = self.score.get(part)
+                out.extend([self.bytes[b] for b in part.encode("utf-8")] if found is None else [found])
+        return out
+
+    def segment(self, text: str, variant: int) -> tuple[int, ...]:
+        """Piece ids of one segment (blanks as spaces)."""
+        if BLANK not in text:
+            return tuple(self._agenda(text.replace(" ", BLANK), variant))
+        out: list[int] = []  # the mark itself: bytes only
+        for k, piece in enumerate(text.split(BLANK)):
+            if k:
+                out.extend(self.bytes[b] for b in BLANK.encode("utf-8"))
+            if piece:
+                out.extend(self._agenda(piece.replace(" ", BLANK), variant))
         return tuple(out)
 
-    def encode(self, text: str) -> list[int]:
-        """Piece ids of a whole text; an empty text has none."""
-        out: list[int] = []
-        if not text:
-            return out
-        tables = self.known
-        many = len(tables)
-        turn = len(text)
-        for part in self.SEGMENTS.findall(" " + text):
-            turn += 1
-            table = tables[turn % many]
-            ids = table.get(part)
-            if ids is None:
-                ids = self.segment(part, turn % many)
-                if len(table) * many >= self.kept:
-                    table.clear()
-                table[part] = ids
-            out += ids
+    def _lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Piece that two neighbours join to, or -1."""
+        query = left.astype(np.int64) << 32 | right.astype(np.int64)
+        slot = _slot(query)
+        out = np.where(self.pair_keys[slot] == query, self.pair_ids[slot], -1)
+        more = np.flatnonzero((out < 0) & (self.pair_keys[slot] >= 0) & (query >= 0))
+        step = 1
+        while len(more):
+            at = slot[more] + step
+            found = self.pair_keys[at]
+            hit = found == query[more]
+            out[more[hit]] = self.pair_ids[at[hit]]
+            more = more[~hit & (found >= 0)]
+            step += 1
+        return out
+
+    def segments(self, texts: list[str], variant: int) -> list[bytes]:
+        """Piece ids (as 32-bit numbers) of many segments, all merging in step; the same as ``segment`` of each."""
+        out: list = [None] * len(texts)
+        length = np.fromiter(map(len, texts), np.int64, len(texts))
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        ids = np.where(points < len(self.letter_ids), self.letter_ids[np.minimum(points, len(self.letter_ids) - 1)], -1)
+        first = np.cumsum(length) - length
+        plain = (length <= 32) & (np.minimum.reduceat(np.append(ids, 0), first) >= 0) if len(texts) else length > 0
+        for i in np.flatnonzero(~plain).tolist():
+            out[i] = np.array(self.segment(texts[i], variant), "<i4").tobytes()
+        low = 0
+        for width in (4, 6, 8, 10, 13, 18, 32):
+            members = np.flatnonzero(plain & (length > low) & (length <= width))
+            low = width
+            for at in range(0, len(members), 20_000):
+                part = members[at : at + 20_000]
+                self._in_step(ids, first[part], length[part], width, variant, part, out)
         return out
 
+    def _in_step(self, ids: np.ndarray, first: np.ndarray, length: np.ndarray, width: int, variant: int, members: np.ndarray, out: list) -> None:
+        """Each row's best candidate merges or is skipped, round by round; symbols stay at their first letter's place."""
+        n, columns = len(members), np.arange(width)
+        alive = columns < length[:, None]
+        piece = np.full((n, width + 1), -1, np.int64)
+        piece[:, :-1][alive] = ids[(first[:, None] + columns)[alive]]
+        after = np.tile(np.arange(1, width + 2), (n, 1))
+        after[np.arange(n), length - 1] = width  # the column of no piece
+        before = np.tile(np.arange(-1, width), (n, 1))
+        joined = np.full((n, width + 1), -1, np.int32)
+        pairs = columns + 1 < length[:, None]
+        joined[:, :-1][pairs] = self._lookup(piece[:, :-1][pairs], piece[:, 1:][pairs])
+        cost = self.piece_cost[joined]
+        key = self._keys(np.where(alive, piece[:, :-1] + 1, 0), variant) if self.skip else None
+        rows = np.arange(n)
+        while len(rows):
+            k = cost[rows].argmin(axis=1)  # leftmost among equals
+            live = cost[rows, k] != _NEVER
+            rows, k = rows[live], k[live]
+            merged = joined[rows, k]
+            if self.skip:
+                end = k.astype(np.uint64) + self.piece_length[merged]
+                skipped = (key[rows] ^ (k.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + end * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(40) < self.skip
+                cost[rows[skipped], k[skipped]] = _NEVER
+                r, k, merged = rows[~skipped], k[~skipped], merged[~skipped]
+            else:
+                r = rows
+            gone = after[r, k]
+            piece[r, k] = merged
+            alive[r, gone] = False
+            cost[r, gone] = _NEVER
+            follow = after[r, gone]
+            after[r, k] = follow
+            before[r, follow] = k
+            joined[r, k] = fresh = np.where(follow < width, self._lookup(merged, piece[r, follow]), -1)
+            cost[r, k] = self.piece_cost[fresh]
+            ahead = before[r, k]
+            some = ahead >= 0
+            r, ahead, merged = r[some], ahead[some], merged[some]
+            joined[r, ahead] = fresh = self._lookup(piece[r, ahead], merged)
+            cost[r, ahead] = self.piece_cost[fresh]
+        data = piece[:, :-1][alive].astype("<i4").tobytes()
+        edges = (np.concatenate([[0], np.cumsum(alive.sum(axis=1))]) * 4).tolist()
+        for i, a, z in zip(members.tolist(), edges, edges[1:], strict=False):
+            out[i] = data[a:z]
+
+    def _keys(self, letters: np.ndarray, variant: int) -> np.ndarray:
+        """Keys of the skip decisions: of the seed, the variant and the letters' ids plus one (0 past the end)."""
+        weights = powers(letters.shape[1], _KEY)
+        return mix64((letters.astype(np.uint64) * weights).sum(axis=1, dtype=np.uint64) + np.uint64((self.seed * 64 + variant) * _KEY & _MASK))
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """Piece ids of whole texts; an empty text has none."""
+        many = len(self.known)
+        cut = [self.SEGMENTS.findall(" " + text) if text else [] for text in texts]
+        fresh: list[dict[str, None]] = [{} for _ in range(many)]
+        for text, parts in zip(texts, cut, strict=True):
+            # A segment's variant follows from its place, so copies of a text encode alike.
+            turn = len(text) % many
+            for table, new, part in zip(cycle(self.known[turn:] + self.known[:turn]), cycle(fresh[turn:] + fresh[:turn]), parts):
+                if part not in table:
+                    new[part] = None
+        for variant, parts in enumerate(fresh):
+            table, listed = self.known[variant], list(parts)
+            if (len(table) + len(listed)) * many > self.kept:
+                again = {p for text, parts_ in zip(texts, cut, strict=True) for k, p in enumerate(parts_, len(text)) if k % many == variant}
+                self.known[variant] = table = {p: ids for p, ids in table.items() if p in again}
+            table.update(zip(listed, self.segments(listed, variant), strict=True))
+        out = []
+        for text, parts in zip(texts, cut, strict=True):
+            turn = len(text) % many
+            found = b"".join([table[part] for table, part in zip(cycle(self.known[turn:] + self.known[:turn]), parts)])
+            out.append(np.frombuffer(found, "<i4"))
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_many([text])[0].tolist()
+
     def decode(self, ids: np.ndarray | list[int]) -> str:
         """The text that the ids spell, without the blank put before it."""
         spelled = self.spelled
@@ -154,6 +292,7 @@ def encode(docs: DataFrame, path: str | None = None, dropout: float = DROPOUT, s
     A null text has null ids, an empty one none.  Rows stay as they are and
     nothing is shuffled; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     path = path or model_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +300,9 @@ def encode(docs: DataFrame, path: str | None = None, dropout: float = DROPOUT, s
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                ids = [None if x is None else np.array(p.encode(x), np.int32) for x in batch.column("text").to_pylist()]
+                texts = batch.column("text").to_pylist()
+                found = p.encode_many([x or "" for x in texts])
+                ids = [None if x is None else i for x, i in zip(texts, found, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "text", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, text string, ids array<int>")
@@ -185,10 +326,22 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 def encoded_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_chars, n_tokens, ids, lossless) of every row; a null text counts as empty."""
-    done = decode(encode(docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))), path), path)
-    return done.select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.col("text")).alias("lossless")
-    )
+    small_batches(docs.sparkSession)
+    path = path or model_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = pieces(path, DROPOUT, SEED, VARIANTS)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                texts = batch.column("text").to_pylist()
+                ids = p.encode_many(texts)
+                same = [p.decode(i.tolist()) == x for i, x in zip(ids, texts, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in texts], pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())], names=["doc_id", "n_chars", "ids", "lossless"])
+
+    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    done = cut.mapInArrow(run, "doc_id long, n_chars long, ids array<int>, lossless boolean")
+    return done.select("doc_id", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", "lossless")
 
 
 def op6_sentencepiece(spark, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -26,6 +27,17 @@ def test_decoding_is_lossless(dropout):
         assert p.decode(p.encode(text)) == text
 
 
+def test_many_in_step_equal_one_by_one():
+    rng = random.Random(9)
+    parts = [rng.choice([" ", "", "  "]) + "".join(rng.choice("abceinorst  éh.,") for _ in range(rng.randrange(1, 31))) for _ in range(3000)]
+    for dropout in (0.0, 0.1, 0.6):
+        p = md.Pieces(md.model_path(), dropout)
+        assert [np.frombuffer(x, "<i4").tolist() for x in p.segments(parts, 1)] == [list(p.segment(x, 1)) for x in parts]
+    small = md.Pieces(md.model_path(), 0.1, kept=50)
+    texts = TEXTS + corpus(5, 60)
+    assert [small.encode(t) for t in texts] == [x.tolist() for x in md.Pieces(md.model_path(), 0.1).encode_many(texts)]
+
+
 def test_seeds_vary_and_repeat():
     text = "the quick brown fox thinks about international relations " * 5
     one, same, other = (md.Pieces(md.model_path(), 0.2, s).encode(text) for s in (1, 1, 2))
@@ -37,5 +49,6 @@ def test_seeds_vary_and_repeat():
 def test_rows(spark):
     docs = spark.createDataFrame([(1, "a b", 5), (None, None, 5), (2, "", 5), (2, "", 5)], "doc_id long, text string, ids int")
     got = sorted((str(r["doc_id"]), r["n_chars"], r["n_tokens"], r["lossless"]) for r in md.encoded_documents(docs).collect())
-    assert got == [("1", 3, 2, True), ("2", 0, 0, True), ("2", 0, 0, True), ("None", 0, 0, True)]
+    n = len(md.pieces(md.model_path(), md.DROPOUT, md.SEED, md.VARIANTS).encode("a b"))
+    assert got == [("1", 3, n, True), ("2", 0, 0, True), ("2", 0, 0, True), ("None", 0, 0, True)]
     assert md.encode(docs).where("doc_id is null and ids is null").count() == 1 and md.encode(docs.limit(0)).count() == 0
