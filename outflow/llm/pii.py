@@ -88,7 +88,8 @@ def find_pii(docs: DataFrame) -> DataFrame:
     ``base``: confirmed e-mail, IP, card and phone spans.  ``pii``: these plus
     account numbers that pass mod-97 and national ids that a context word
     supports, with a score from 0 to 1.  A null text has no spans; every other
-    column stays as it is, and rows are neither merged nor dropped.
+    column stays as it is (but columns named base or pii, which these replace),
+    and rows are neither merged nor dropped.
     """
     taken = set(docs.columns)
     name = lambda x: x if x not in taken else name("_" + x)
@@ -124,8 +125,10 @@ def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets, n_chars following.
 
     Overlapping spans become one mark, of the first.  Null texts stay null.
+    Columns stay as they are, whatever their names.
     """
-    marked = find_pii(docs)
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]
+    marked = find_pii(docs.select("text", F.struct(*others).alias("row")))
 
     def step(acc: Column, s: Column) -> Column:
         text = F.col("text")
@@ -136,9 +139,11 @@ def redact(docs: DataFrame) -> DataFrame:
     done = F.aggregate("pii", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
     tail = lambda d: F.concat(d["out"], F.substring(F.col("text"), d["at"] + 1, F.length("text")))
     out = marked.withColumn("_done", F.when(F.size("pii") > 0, done)).withColumn("text", F.when(F.col("_done").isNull(), F.col("text")).otherwise(tail(F.col("_done"))))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_done").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    shown = {"text": F.col("text")} | {c: F.col(f"row.c{i}") for i, c in enumerate(docs.columns) if c != "text"}
+    if "n_chars" in shown:
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        shown["n_chars"] = F.when(F.col("_done").isNull(), shown["n_chars"]).otherwise(counted)
+    return out.select(*[shown[c].alias(c) for c in docs.columns])
 
 
 def op8_pii(spark, sf_dir: str) -> DataFrame:

@@ -86,7 +86,8 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: tuple[str,
     each = scanned.select("_rid", "owner", "repository", F.explode("found").alias("span")).withColumn("value", _value(F.col("span")))
     varied = F.size(F.array_distinct(F.split("value", ""))) >= VARIED
     candidates = each.select("_rid", "owner", "repository", F.xxhash64("value").alias("hash"), varied.alias("varied"))
-    owned = ownership(candidates).withColumnRenamed("hash", "h")
+    # Staged, the counts meet the candidates in a plain join, whose hot values Spark can split.
+    owned = staged(ownership(candidates), "owners").withColumnRenamed("hash", "h")
     judged = candidates.join(owned, candidates["hash"] == owned["h"]).select(
         "_rid",
         ((F.col("n_owners") == 1) & F.col("varied")).cast("long").alias("live"),

@@ -82,6 +82,8 @@ def test_odd_rows(spark):
     got = sorted((str(r["doc_id"]), str(r["component_id"])) for r in sh.near_duplicate_groups(docs).collect())
     assert got == [("5", "5"), ("5", "5"), ("None", "5"), ("None", "None")]
     assert sh.keep_one(docs).count() == 2
+    clash = docs.selectExpr("doc_id", "7 as _rid", "text", "8 as k", "9 as component_id", "doc_id + 1 as row")
+    assert sh.keep_one(clash).columns == clash.columns and {(r["_rid"], r["k"], r["component_id"]) for r in sh.keep_one(clash).collect()} == {(7, 8, 9)}
     assert sh.near_duplicate_groups(docs.limit(0)).count() == 0
 
 

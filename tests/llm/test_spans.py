@@ -72,3 +72,6 @@ def test_redaction(spark):
     got = {r["doc_id"]: r for r in pii.redact(docs).collect()}
     assert got[1]["text"] == "mail <email> or <ip>" and got[1]["n_chars"] == 20 and got[2]["text"] is None and got[3]["text"] == "clean"
     assert pii.redact(docs).columns == docs.columns
+    clash = docs.selectExpr("doc_id", "'b' as base", "text", "1 as pii", "2 as _done", "3 as row")
+    got = {r["doc_id"]: tuple(r)[1:] for r in pii.redact(clash).collect()}
+    assert got[1] == ("b", "mail <email> or <ip>", 1, 2, 3) and pii.redact(clash).columns == clash.columns
