@@ -2,9 +2,12 @@
 
 Merges are taken from an agenda, best score first and leftmost among equals, as
 the vocabulary's own encoder takes them; but each candidate is skipped with
-probability ``dropout`` by a hash keyed with the seed, the segment, its variant
-and the candidate's place.  The same seed always gives the same pieces; another
-seed, or another variant of a repeated segment, gives others.  Whatever is
+probability ``dropout`` by a hash keyed with the seed, the segment, its
+occurrence (the text it stands in and its place there) and the candidate's
+place.  The same seed always gives the same pieces; another seed, or another
+occurrence of a repeated segment, gives others.  What is kept of a segment is
+only what no skip changes: its pieces and merges where nothing is skipped.  An
+occurrence that skips one of these merges runs an agenda of its own.  Whatever is
 skipped, the pieces spell the text, so decoding is lossless; characters outside
 the vocabulary, and the blank mark itself, go as bytes.
 """
@@ -13,11 +16,12 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from itertools import cycle
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -26,7 +30,9 @@ from outflow.llm.bytewords import mix64, powers
 from outflow.llm.shared import small_batches
 
 MODEL = "piece_bpe_32k.model"
-DROPOUT, SEED, VARIANTS = 0.1, 17, 3
+DROPOUT, SEED = 0.1, 17
+#: Occurrences are keyed by a hash modulo this: all of its 64 bits.
+VARIANTS = 1 << 64
 KEPT_SEGMENTS = 300_000
 BLANK = "▁"
 _MASK = (1 << 64) - 1
@@ -52,8 +58,21 @@ def _skipped(key: int, left: int, end: int, skip: int) -> bool:
     return ((key ^ (left * 0x9E3779B97F4A7C15 + end * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93 & _MASK) >> 40 < skip
 
 
+class _Numbers(dict):
+    """Numbers of segments in order of their first sight."""
+
+    def __missing__(self, part: str) -> int:
+        self[part] = n = len(self)
+        return n
+
+
+def _ragged(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All of first..first+length of every row, one row after the other."""
+    return np.arange(int(length.sum())) + np.repeat(first - (np.cumsum(length) - length), length)
+
+
 class Pieces:
-    """One vocabulary: pieces, scores, and memoised segment encodings."""
+    """One vocabulary: pieces, scores, and what is kept of segments."""
 
     # No piece crosses from text to a following blank, nor takes a line break.
     SEGMENTS = regex.compile("[\n\t\r]| +[^ \n\t\r]*|[^ \n\t\r]+")
@@ -80,13 +99,43 @@ class Pieces:
                 self.score[piece], self.cost[piece] = i, -model.get_score(i)
                 self.spelled.append(piece.replace(BLANK, " ").encode("utf-8"))
         self.skip = int(dropout * (1 << 24))
-        self.seed, self.kept = seed, kept
+        self.seed, self.kept, self.variants = seed, kept, variants
         self.letter = {(" " if p == BLANK else p): i for p, i in self.score.items() if len(p) == 1}
         self.letter_ids = np.full(max(map(ord, self.letter)) + 2, -1, np.int64)
         for c, i in self.letter.items():
             self.letter_ids[ord(c)] = i
-        self.known: list[dict[str, bytes]] = [{} for _ in range(variants if dropout > 0 else 1)]
         self._index_pairs(model.get_piece_size())
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number, self.parts = _Numbers(), []
+        none = np.zeros(0, np.int64)
+        self.ids, self.id_count, self.id_first = np.zeros(0, np.int32), none, none  # pieces where nothing is skipped
+        self.merges, self.merge_count, self.merge_first = np.zeros(0, np.uint64), none, none  # and the places of their merges
+        self.sums, self.odd = np.zeros(0, np.uint64), np.zeros(0, bool)
+
+    def _learn(self) -> None:
+        """Keep what no skip changes of the segments numbered since the last call."""
+        parts = list(self.number)[len(self.parts) :] if len(self.number) > len(self.parts) else []
+        if not parts:
+            return
+        trail: list = []
+        found = self.segments(parts, 0, trail)
+        _, length, ids, first, plain = self._letters(parts)
+        places = np.arange(len(ids)) - np.repeat(first, length)
+        weighed = (ids + 1).astype(np.uint64) * powers(int(length.max()), _KEY)[places]
+        row = np.concatenate([r for r, _ in trail] or [np.zeros(0, np.int64)])
+        order = np.argsort(row, kind="stable")
+        merges = np.concatenate([c for _, c in trail] or [np.zeros(0, np.uint64)])[order]
+        for name, data, count in (("id", b"".join(found), np.fromiter(map(len, found), np.int64, len(found)) // 4), ("merge", merges.tobytes(), np.bincount(row, minlength=len(parts)))):
+            pool = "ids" if name == "id" else "merges"
+            begin = len(getattr(self, pool)) + np.cumsum(count) - count
+            setattr(self, pool, np.concatenate([getattr(self, pool), np.frombuffer(data, getattr(self, pool).dtype)]))
+            setattr(self, f"{name}_count", np.concatenate([getattr(self, f"{name}_count"), count]))
+            setattr(self, f"{name}_first", np.concatenate([getattr(self, f"{name}_first"), begin]))
+        self.sums = np.concatenate([self.sums, np.add.reduceat(weighed, first)])
+        self.odd = np.concatenate([self.odd, ~plain])
+        self.parts.extend(parts)
 
     def _index_pairs(self, size: int) -> None:
         """An open-addressed table from two pieces to the piece they join to."""
@@ -173,26 +222,37 @@ class Pieces:
             step += 1
         return out
 
-    def segments(self, texts: list[str], variant: int) -> list[bytes]:
-        """Piece ids (as 32-bit numbers) of many segments, all merging in step; the same as ``segment`` of each."""
-        out: list = [None] * len(texts)
+    def _letters(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """Code points, lengths, letters' ids, first places, and which segments merge in step."""
         length = np.fromiter(map(len, texts), np.int64, len(texts))
         points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         ids = np.where(points < len(self.letter_ids), self.letter_ids[np.minimum(points, len(self.letter_ids) - 1)], -1)
         first = np.cumsum(length) - length
         plain = (length <= 32) & (np.minimum.reduceat(np.append(ids, 0), first) >= 0) if len(texts) else length > 0
-        for i in np.flatnonzero(~plain).tolist():
-            out[i] = np.array(self.segment(texts[i], variant), "<i4").tobytes()
+        return points, length, ids, first, plain
+
+    def segments(self, texts: list[str], variant: int | np.ndarray, trail: list | None = None) -> list[bytes]:
+        """Piece ids (as 32-bit numbers) of many segments, all merging in step; the same as ``segment`` of each.
+
+        ``variant`` is one number, or one for each segment.  With a ``trail``
+        nothing is skipped, the places of the merges are added to it, and odd
+        segments, which never merge in step, are left empty if there is dropout.
+        """
+        out: list = [b""] * len(texts)
+        variant = np.broadcast_to(np.asarray(variant, np.uint64), len(texts))
+        _, length, ids, first, plain = self._letters(texts)
+        for i in np.flatnonzero(~plain).tolist() if trail is None or not self.skip else []:
+            out[i] = np.array(self.segment(texts[i], int(variant[i])), "<i4").tobytes()
         low = 0
         for width in (4, 6, 8, 10, 13, 18, 32):
             members = np.flatnonzero(plain & (length > low) & (length <= width))
             low = width
             for at in range(0, len(members), 20_000):
                 part = members[at : at + 20_000]
-                self._in_step(ids, first[part], length[part], width, variant, part, out)
+                self._in_step(ids, first[part], length[part], width, variant[part], part, out, trail)
         return out
 
-    def _in_step(self, ids: np.ndarray, first: np.ndarray, length: np.ndarray, width: int, variant: int, members: np.ndarray, out: list) -> None:
+    def _in_step(self, ids: np.ndarray, first: np.ndarray, length: np.ndarray, width: int, variant: np.ndarray, members: np.ndarray, out: list, trail: list | None) -> None:
         """Each row's best candidate merges or is skipped, round by round; symbols stay at their first letter's place."""
         n, columns = len(members), np.arange(width)
         alive = columns < length[:, None]
@@ -205,7 +265,7 @@ class Pieces:
         pairs = columns + 1 < length[:, None]
         joined[:, :-1][pairs] = self._lookup(piece[:, :-1][pairs], piece[:, 1:][pairs])
         cost = self.piece_cost[joined]
-        key = self._keys(np.where(alive, piece[:, :-1] + 1, 0), variant) if self.skip else None
+        key = self._keys(np.where(alive, piece[:, :-1] + 1, 0), variant) if self.skip and trail is None else None
         rows = np.arange(n)
         while len(rows):
             k = cost[rows].argmin(axis=1)  # leftmost among equals
@@ -214,7 +274,11 @@ class Pieces:
             merged = joined[rows, k]
             if self.skip:
                 end = k.astype(np.uint64) + self.piece_length[merged]
-                skipped = (key[rows] ^ (k.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + end * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(40) < self.skip
+                place = k.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + end * np.uint64(0xC2B2AE3D27D4EB4F)
+            if self.skip and trail is not None:
+                trail.append((members[rows], place))
+            if key is not None:
+                skipped = self._skips(key[rows], place)
                 cost[rows[skipped], k[skipped]] = _NEVER
                 r, k, merged = rows[~skipped], k[~skipped], merged[~skipped]
             else:
@@ -238,34 +302,55 @@ class Pieces:
         for i, a, z in zip(members.tolist(), edges, edges[1:], strict=False):
             out[i] = data[a:z]
 
-    def _keys(self, letters: np.ndarray, variant: int) -> np.ndarray:
+    def _skips(self, key: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return (key ^ place) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(40) < self.skip
+
+    def _keys(self, letters: np.ndarray, variant: int | np.ndarray) -> np.ndarray:
         """Keys of the skip decisions: of the seed, the variant and the letters' ids plus one (0 past the end)."""
         weights = powers(letters.shape[1], _KEY)
-        return mix64((letters.astype(np.uint64) * weights).sum(axis=1, dtype=np.uint64) + np.uint64((self.seed * 64 + variant) * _KEY & _MASK))
+        return self._mixed((letters.astype(np.uint64) * weights).sum(axis=1, dtype=np.uint64), variant)
+
+    def _mixed(self, sums: np.ndarray, variant: int | np.ndarray) -> np.ndarray:
+        return mix64(sums + (np.atleast_1d(np.asarray(variant, np.uint64)) + np.uint64(self.seed * 64 & _MASK)) * np.uint64(_KEY))
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         """Piece ids of whole texts; an empty text has none."""
-        many = len(self.known)
         cut = [self.SEGMENTS.findall(" " + text) if text else [] for text in texts]
-        fresh: list[dict[str, None]] = [{} for _ in range(many)]
-        for text, parts in zip(texts, cut, strict=True):
-            # A segment's variant follows from its place, so copies of a text encode alike.
-            turn = len(text) % many
-            for table, new, part in zip(cycle(self.known[turn:] + self.known[:turn]), cycle(fresh[turn:] + fresh[:turn]), parts):
-                if part not in table:
-                    new[part] = None
-        for variant, parts in enumerate(fresh):
-            table, listed = self.known[variant], list(parts)
-            if (len(table) + len(listed)) * many > self.kept:
-                again = {p for text, parts_ in zip(texts, cut, strict=True) for k, p in enumerate(parts_, len(text)) if k % many == variant}
-                self.known[variant] = table = {p: ids for p, ids in table.items() if p in again}
-            table.update(zip(listed, self.segments(listed, variant), strict=True))
-        out = []
-        for text, parts in zip(texts, cut, strict=True):
-            turn = len(text) % many
-            found = b"".join([table[part] for table, part in zip(cycle(self.known[turn:] + self.known[:turn]), parts)])
-            out.append(np.frombuffer(found, "<i4"))
-        return out
+        if len(self.number) > self.kept:
+            self._forget()
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        number = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        self._learn()
+        # An occurrence is told by its text and its place, so copies of a text encode alike.
+        whole = np.fromiter((xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) for text in texts), np.uint64, len(texts))
+        within = _ragged(np.zeros(len(counts), np.int64), counts).astype(np.uint64)
+        variant = mix64(mix64(np.repeat(whole, counts)) + within)
+        if self.variants < 1 << 64:
+            variant %= np.uint64(self.variants)
+        done, sizes = [np.zeros(0, np.int32)], np.zeros(len(number), np.int64)
+        for at in range(0, len(number), 200_000):
+            part = number[at : at + 200_000]
+            ids, sizes[at : at + len(part)] = self._occurrences(part, variant[at : at + len(part)])
+            done.append(ids)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+        return np.split(np.concatenate(done), ends[1:-1]) if texts else []
+
+    def _occurrences(self, number: np.ndarray, variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of segments one after the other, and how many each has."""
+        first, count = self.id_first[number], self.id_count[number]
+        pool = self.ids
+        if self.skip:
+            key = self._mixed(self.sums[number], variant)
+            merges = self.merge_count[number]
+            skipped = self._skips(np.repeat(key, merges), self.merges[_ragged(self.merge_first[number], merges)])
+            own = self.odd[number]
+            own[np.repeat(np.arange(len(number)), merges)[skipped]] = True
+            own = np.flatnonzero(own)
+            found = self.segments([self.parts[k] for k in number[own].tolist()], variant[own])
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            first[own], count[own] = len(pool) + np.cumsum(sizes) - sizes, sizes
+            pool = np.concatenate([pool, np.frombuffer(b"".join(found), "<i4")])
+        return pool[_ragged(first, count)], count
 
     def encode(self, text: str) -> list[int]:
         return self.encode_many([text])[0].tolist()

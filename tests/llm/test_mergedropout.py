@@ -46,6 +46,24 @@ def test_seeds_vary_and_repeat():
     assert len(one) > len(plain) and len(md.Pieces(md.model_path(), 1.0).encode(text)) == len(text) + 1
 
 
+def test_every_occurrence_is_dealt_anew():
+    p = md.Pieces(md.model_path(), 0.1)
+    texts = [" ".join(["international relations the thinking"] * 50) + f" {k}" for k in range(40)]
+    found = p.encode_many(texts)
+    ways, several = {}, 0
+    for text, ids in zip(texts, found, strict=True):
+        spelled = [p.spelled[i].decode() for i in ids.tolist()]
+        words = "\0".join(spelled).replace("\0 ", "\n").strip().split("\n")
+        assert "".join(spelled)[1:] == text
+        for word in words:
+            ways.setdefault(word.replace("\0", ""), set()).add(word)
+    several = {w: len(v) for w, v in ways.items()}
+    assert several["international"] > 10 and several["thinking"] > 5 and several["relations"] > 5
+    occurrences = md.mix64(md.mix64(np.full(200, md.xxhash.xxh64_intdigest(texts[0].encode()), np.uint64)) + np.arange(200, dtype=np.uint64))
+    one_by_one = [i for k, part in enumerate(p.SEGMENTS.findall(" " + texts[0])[:200]) for i in p.segment(part, int(occurrences[k]))]
+    assert found[0][: len(one_by_one)].tolist() == one_by_one
+
+
 def test_rows(spark):
     docs = spark.createDataFrame([(1, "a b", 5), (None, None, 5), (2, "", 5), (2, "", 5)], "doc_id long, text string, ids int")
     got = sorted((str(r["doc_id"]), r["n_chars"], r["n_tokens"], r["lossless"]) for r in md.encoded_documents(docs).collect())
