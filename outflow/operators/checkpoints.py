@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outflow.operators.gtid import gtid_contains, gtid_union, parse_gtid_set
+from outflow.operators.routing import hops
 from outflow.operators.transactions import FILE, ending
 from outflow.schemas import UINT32
 
@@ -44,23 +43,9 @@ def checkpoint_timeline(terminals: DataFrame, interval_seconds: int, start_ts: C
     lean = terminals.select("consumer", "row", "has_rows", at.alias("_at"), start.alias("_start"), forced.alias("_segment"))
     last_forced = F.last(F.when(F.col("has_rows"), F.col("_at")), ignorenulls=True).over(W.partitionBy("consumer").orderBy("_at", "row").rowsBetween(W.unboundedPreceding, -1))
     lean = lean.withColumn("_since", F.coalesce(last_forced, F.col("_start")))
-    step = interval_seconds * 1_000_000
-
-    def hop(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_at", "row"])
-        times, last, kept, k = pdf["_at"].to_numpy(), pdf["_since"].iloc[0], [], 0
-        while True:
-            k = max(k, int(np.searchsorted(times, last + step, side="left")))
-            if k >= len(times):
-                break
-            kept.append(k)
-            last = times[k]
-            k += 1
-        return pdf.iloc[kept][["row"]]
-
-    row_type = terminals.schema["row"].dataType.simpleString()
-    idle = lean.where("not has_rows").groupBy("consumer", "_segment").applyInPandas(hop, f"row {row_type}")
-    kept = lean.where("has_rows").select("row").unionByName(idle).withColumnRenamed("row", "_row")
+    begin = F.row_number().over(W.partitionBy("consumer", "_segment").orderBy("_at", "row")) == 1
+    idle = lean.where("not has_rows").withColumn("_first", begin).withColumnRenamed("row", "_row")
+    kept = lean.where("has_rows").select(F.col("row").alias("_row")).unionByName(hops(idle, ["consumer", "_segment"], interval_seconds * 1_000_000))
     return terminals.join(kept, F.col("row") == F.col("_row"), "left_semi").select("consumer", "ts", "row")
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -54,13 +55,35 @@ def check_expected_stream(routed: DataFrame, expected: str | None) -> DataFrame:
     return routed.withColumn("route_error", error)
 
 
-def _hops(times: np.ndarray, window: float) -> np.ndarray:
-    """Indices kept of sorted times when each kept one silences those less than ``window`` later."""
-    kept, at = [], 0
-    while at < len(times):
-        kept.append(at)
-        at = int(np.searchsorted(times, times[at] + window, side="left"))
-    return np.array(kept, dtype=np.int64)
+def hops(lines: DataFrame, by: list[str], step: int) -> DataFrame:
+    """(_row) kept of every line when each kept time silences those less than ``step`` later.
+
+    ``lines``: the columns ``by``, _at, _row, _first (true on a line's first row)
+    and _since (the time that silences from before).  Lines are sorted by Spark,
+    which spills, and read batch by batch: only the last kept time is carried.
+    """
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = 0
+        for batch in batches:
+            times, since = np.asarray(batch.column("_at")), np.asarray(batch.column("_since"))
+            first = np.asarray(batch.column("_first").cast("int8"))
+            begins = np.flatnonzero(first)
+            kept = []
+            for begin, end in zip([0, *begins.tolist()], [*begins.tolist(), len(times)], strict=True):
+                if begin == end:
+                    continue
+                if first[begin]:
+                    last = int(since[begin])
+                at = begin
+                while (at := at + int(np.searchsorted(times[at:end], last + step, side="left"))) < end:
+                    kept.append(at)
+                    last = int(times[at])
+                    at += 1
+            yield batch.select(["_row"]).take(pa.array(kept, pa.int64()))
+
+    dealt = lines.repartition(*by).sortWithinPartitions(*by, "_at", "_row").select("_row", "_at", "_since", "_first")
+    return dealt.mapInArrow(keep, f"_row {lines.schema['_row'].dataType.simpleString()}")
 
 
 def dedupe_window(messages: DataFrame, key: str, ts: str, row: str, window_seconds: int) -> DataFrame:
@@ -74,17 +97,12 @@ def dedupe_window(messages: DataFrame, key: str, ts: str, row: str, window_secon
     micros = F.unix_micros(F.col(ts))
     since = micros - F.lag(micros).over(order)
     fresh = (since.isNull() | (since >= window_seconds * 1_000_000)).cast("long")
-    lean = messages.select(F.col(key).alias("_key"), F.col(row).alias("_row"), micros.alias("_at"), F.sum(fresh).over(order).alias("_run"))
+    lean = messages.select(F.col(key).alias("_key"), F.col(row).alias("_row"), micros.alias("_at"), F.sum(fresh).over(order).alias("_run"), (fresh == 1).alias("_first"), (micros - window_seconds * 1_000_000).alias("_since"))
     size = W.partitionBy("_key", "_run")
     runs = lean.withColumn("_n", F.count(F.lit(1)).over(size))
     single = runs.where("_n = 1").select("_row")
 
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_at", "_row"])
-        return pdf.iloc[_hops(pdf["_at"].to_numpy(), window_seconds * 1_000_000)][["_row"]]
-
-    row_type = messages.schema[row].dataType.simpleString()
-    folded = runs.where("_n > 1").groupBy("_key", "_run").applyInPandas(keep, f"_row {row_type}")
+    folded = hops(runs.where("_n > 1"), ["_key", "_run"], window_seconds * 1_000_000)
     kept = single.unionByName(folded)
     return messages.join(kept, F.col(row) == F.col("_row"), "left_semi")
 

@@ -41,6 +41,23 @@ def test_timeline_equals_a_loop(spark, seed):
     assert {r["row"] for r in cp.checkpoint_timeline(df, 60).collect()} == want
 
 
+def test_a_long_run_is_read_in_batches(spark, capsys):
+    rows = [(i, "a", T0 + dt.timedelta(seconds=3 * i), False) for i in range(300)]
+    df = spark.createDataFrame(rows, "row long, consumer string, ts timestamp, has_rows boolean")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, 7)
+    try:
+        kept, line = rt.dedupe_window(df, "consumer", "ts", "row", 10), cp.checkpoint_timeline(df, 60)
+        assert {r["row"] for r in kept.collect()} == set(range(0, 300, 4))
+        assert {r["row"] for r in line.collect()} == set(range(20, 300, 20))
+    finally:
+        spark.conf.set(key, old)
+    kept.explain()
+    line.explain()
+    assert "FlatMapGroupsInPandas" not in capsys.readouterr().out
+
+
 def test_gtid_sets(spark):
     text = spark.createDataFrame([(1, "B:5, a:1-3:4-7:9,a:8"), (2, ""), (3, None), (4, "a:3")], "k long, g string")
     spans = text.select("k", F.explode(gt.parse_gtid_set(F.col("g"))).alias("s")).select("k", "s.*")
