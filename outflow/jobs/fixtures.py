@@ -75,25 +75,52 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _canonical(row_events(spark, sf_dir).unionByName(terminals(spark, sf_dir), allowMissingColumns=True))
 
 
-def gtid_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log with a GTID event before each order's rows."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+def _gtid_marks(orders: DataFrame) -> DataFrame:
     marks = orders.select(
         F.col("o_orderkey").alias("okey"), (F.col("o_orderkey") * 100).alias("event_seq"), F.lit("GTID").alias("event_type"), F.lit(0).cast("long").alias("place"),
         F.concat(F.lit("src"), F.col("o_orderkey") % 4).alias("gtid_uuid"), (F.expr("o_orderkey div 4") + 1).alias("gno"),
     )
-    return change_log(spark, sf_dir).unionByName(_canonical(marks))
+    return _canonical(marks)
+
+
+def gtid_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with a GTID event before each order's rows, but for the first orders of every file."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderkey % 1000 >= 20")
+    return change_log(spark, sf_dir).unionByName(_gtid_marks(orders))
+
+
+def mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with some transactions as self-contained payloads: orders of status F whose number divides by three."""
+    packed = F.expr("event_seq div 100")
+    keys = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderstatus = 'F' and o_orderkey % 3 = 0 and o_orderkey % 1000 < 996").select(F.col("o_orderkey").alias("packed_key"))
+    plain = change_log(spark, sf_dir).join(keys, packed == F.col("packed_key"), "left_anti")
+    return plain.unionByName(payload_log(spark, sf_dir).join(keys, packed == F.col("packed_key"), "left_semi"))
+
+
+def relay_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed log with GTIDs, on a clock of one second an order; sources 0 and 1 leave nothing open and rotate."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    whole = mixed_log(spark, sf_dir).unionByName(_gtid_marks(orders))
+    turning = F.col("source_id").isin("src0", "src1")
+    whole = whole.where(~turning | (F.expr("event_seq div 100 % 1000") < 996))
+    whole = whole.unionByName(rotated(whole.where(turning)))
+    return whole.withColumn("event_ts", F.timestamp_seconds(F.lit(1704067200) + F.expr("event_seq div 100")))
 
 
 def rotated_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log with a rotate event at the end of every file of every source."""
     log = change_log(spark, sf_dir)
+    return log.unionByName(rotated(log))
+
+
+def rotated(log: DataFrame) -> DataFrame:
+    """The rotate events that end the log's files."""
     files = log.select("source_id", "log_file").distinct().withColumn("n", F.substring("log_file", 5, 6).cast("long"))
     ends = files.select(
         "source_id", "log_file", F.lit(100_003).cast("long").alias("log_pos"), (F.col("n") * 100_000 - 1).alias("event_seq"), F.lit("ROTATE").alias("event_type"),
         F.concat(F.lit("bin."), F.lpad((F.col("n") + 1).cast("string"), 6, "0")).alias("next_file"), F.lit(4).cast("long").alias("next_pos"),
     )
-    return log.unionByName(ends, allowMissingColumns=True)
+    return ends.select(*[(F.col(f.name) if f.name in ends.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in CHANGE_LOG])
 
 
 def unnamed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +135,8 @@ def payload_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of status F, each packed into one self-contained payload event."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderstatus = 'F' and o_orderkey % 1000 < 996").select(F.col("o_orderkey").alias("okey"))
     nested = F.transform(F.array_sort(F.collect_list(F.struct("event_seq", "event_type", "schema_name", "table_name", "rows"))), lambda s: F.struct(s["event_type"].alias("event_type"), s["schema_name"].alias("schema_name"), s["table_name"].alias("table_name"), s["rows"].alias("rows")))
-    packed = row_events(spark, sf_dir).join(orders, "okey").groupBy("okey").agg(nested.alias("nested"))
+    # An order without lines is an empty transaction.
+    packed = orders.join(row_events(spark, sf_dir), "okey", "left").groupBy("okey").agg(F.filter(nested, lambda e: e["event_type"].isNotNull()).alias("nested"))
     return _canonical(packed.withColumns({"event_seq": F.col("okey") * 100 + 99, "event_type": F.lit("PAYLOAD"), "place": F.lit(99).cast("long")}))
 
 

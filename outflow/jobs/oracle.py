@@ -63,19 +63,47 @@ jd AS (SELECT *, CASE WHEN has_gtid THEN known AND whole ELSE coalesce(pos >= 4
 AT = f"TIMESTAMP '{NOW}'"
 OPEN = "SELECT source_id, log_file, log_pos, e_n AS tx, id FROM (SELECT lg.*, e.n AS e_n FROM lg JOIN ends e USING (source_id, log_file) WHERE okey % 1000 >= 996 AND etype = 'WRITE_ROWS' AND tname = 'outbox')"
 DECODED = """dd AS (SELECT event_id, props, event_type,
-  CASE WHEN event_id % 79 = 3 THEN 'row has too few values' WHEN (event_id % 71 = 0 AND event_id > 0) OR event_id % 73 = 1 THEN 'id is not an unsigned number' WHEN event_id = 0 THEN 'id is zero'
-    WHEN event_id % 61 = 5 THEN 'subject is null' WHEN event_id % 67 = 5 THEN 'payload is null' WHEN event_id % 53 = 0 THEN 'ttl is out of range' WHEN event_id % 59 = 0 THEN 'ttl is not an unsigned number' END AS decode_error FROM events)"""
+  CASE WHEN event_id % 79 = 3 THEN 'row has too few values' WHEN event_id % 89 = 11 OR (event_id % 71 = 0 AND event_id > 0) OR event_id % 73 = 1 THEN 'id is not an unsigned number' WHEN event_id = 0 THEN 'id is zero'
+    WHEN event_id % 61 = 5 AND event_id % 83 <> 7 THEN 'subject is null' WHEN event_id % 67 = 5 THEN 'payload is null' WHEN event_id % 83 = 7 THEN 'subject is not UTF-8' WHEN event_id % 53 = 0 THEN 'ttl is out of range' WHEN event_id % 59 = 0 THEN 'ttl is not an unsigned number' END AS decode_error FROM events)"""
 
 
 def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
 
 
+#: Messages of the log whose orders of status F that divide by three are payloads.
+MIXED = """mx AS (SELECT source_id, log_file, commit_pos, commit_pos AS log_pos, CAST(row_number() OVER (PARTITION BY okey ORDER BY event_seq, row_idx) - 1 AS BIGINT) AS row_idx,
+  id, subject, payload, headers, message_id, ttl_seconds, okey FROM msg WHERE st = 'F' AND okey % 3 = 0
+  UNION ALL SELECT source_id, log_file, commit_pos, log_pos, ri, id, subject, payload, headers, message_id, ttl_seconds, okey FROM msg WHERE NOT (st = 'F' AND okey % 3 = 0))"""
+
+#: The relay's clock is the order's number in seconds; a checkpoint without rows waits ten.
+RELAYED = (
+    "WITH RECURSIVE "
+    + LOG
+    + ",\n"
+    + MIXED
+    + """,
+te AS (SELECT tm.source_id, tm.okey, tm.okey AS sec, tm.log_file, tm.log_pos AS pos, coalesce(n, 0) > 0 AS has_rows FROM tm LEFT JOIN (SELECT okey, count(*) AS n FROM msg GROUP BY okey) m ON tm.okey = m.okey
+  UNION ALL SELECT source_id, n * 1000 - 1, n * 1000 - 1, 'bin.' || lpad(CAST(n + 1 AS VARCHAR), 6, '0'), 4, false FROM (SELECT DISTINCT 'src' || (o_orderkey % 4) AS source_id, o_orderkey // 1000 + 1 AS n FROM orders WHERE o_orderkey % 4 < 2 AND o_orderkey % 1000 < 996)),
+s AS (SELECT source_id, max(sec) FILTER (WHERE has_rows) AS cur FROM te GROUP BY source_id
+  UNION ALL SELECT s.source_id, min(te.sec) FROM s JOIN te ON te.source_id = s.source_id AND te.sec >= s.cur + 10 GROUP BY s.source_id),
+z AS (SELECT source_id, max(cur) AS sec FROM s GROUP BY source_id),
+gs AS (SELECT te.source_id AS uuid, z.source_id, te.okey // 4 + 1 AS gno FROM te JOIN z ON te.source_id = z.source_id AND te.sec <= z.sec WHERE te.source_id IN ('src0', 'src1') AND te.okey % 1000 < 996
+  UNION SELECT 'src0', 'src0', unnest([1, 2, 3]) UNION SELECT 'other', 'src1', 5),
+gi AS (SELECT uuid, source_id, gno, gno - row_number() OVER (PARTITION BY uuid ORDER BY gno) AS g FROM gs),
+gn AS (SELECT uuid, source_id, min(gno) AS a, max(gno) AS b FROM gi GROUP BY uuid, source_id, g),
+gp AS (SELECT source_id, uuid || ':' || string_agg(CASE WHEN a = b THEN CAST(a AS VARCHAR) ELSE a || '-' || b END, ':' ORDER BY a) AS server, uuid FROM gn GROUP BY source_id, uuid),
+gx AS (SELECT source_id, string_agg(server, ',' ORDER BY server) AS gtid_set FROM gp GROUP BY source_id)
+SELECT 'message' AS part, coalesce(message_id, 'relay:app:outbox:' || id) AS name, commit_pos AS value, subject AS note FROM mx WHERE subject LIKE 'items.N.%'
+UNION ALL SELECT 'outbox', CAST(id AS VARCHAR), 1, 'outbox row ' || id || ': no stream covers the subject' FROM mx WHERE subject NOT LIKE 'items.N.%'
+UNION ALL SELECT 'checkpoint', 'main/' || z.source_id, te.pos, concat_ws(' ', te.log_file, gx.gtid_set) FROM z JOIN te ON te.source_id = z.source_id AND te.sec = z.sec LEFT JOIN gx ON gx.source_id = z.source_id"""
+)
+
 KEPT = f"SELECT id, CASE WHEN error IS NULL THEN attempt_count ELSE attempt_count + 1 END AS attempt_count, CASE WHEN error IS NOT NULL THEN {AT} END AS last_attempt_at, error AS last_error FROM att"
 
 ORACLE_SQL = {
     "t4_committed_rows": _with(LOG, MESSAGES),
-    "t10_stream_committed_rows": _with(LOG, MESSAGES),
+    "t10_stream_committed_rows": _with(LOG + ",\n" + MIXED, "SELECT source_id, log_file, commit_pos, log_pos, row_idx, id, subject, payload, headers, message_id, CAST(ttl_seconds AS BIGINT) AS ttl_seconds FROM mx"),
     "s1_read_outbox": _with(OUTBOX, "SELECT id, subject, payload, headers, message_id, ttl_seconds, attempt_count FROM ob"),
     "s2_read_change_log": _with(LOG, EVENTS),
     "s3_stream_change_log": _with(LOG, EVENTS),
@@ -85,7 +113,11 @@ ORACLE_SQL = {
   concat_ws(';', CASE WHEN rn % 2 = 0 THEN 'X-Line=' || rn END, 'Nats-Msg-Id=' || coalesce(message_id, 'relay:app:outbox:' || id), CASE WHEN ttl_seconds IS NOT NULL THEN 'Nats-TTL=' || ttl_seconds || 's' END) AS headers FROM msg""",
     ),
     "s5_write_messages": _with(LOG, "SELECT source_id, log_file, commit_pos, log_pos, ri AS row_idx, coalesce(message_id, 'relay:app:outbox:' || id) AS key, subject AS topic FROM msg"),
-    "s6_write_state": _with(OUTBOX, "SELECT 'outbox' AS part, CAST(id AS VARCHAR) AS name, attempt_count AS value FROM ob WHERE attempt_count > 0 UNION ALL SELECT DISTINCT 'checkpoint', 'c' || (user_id % 5), 4 FROM events"),
+    "s6_write_state": _with(
+        OUTBOX,
+        """SELECT 'outbox' AS part, CAST(id AS VARCHAR) AS name, attempt_count + CASE WHEN attempt_count > 0 THEN 1 ELSE 0 END AS value FROM att WHERE attempt_count = 0 OR error IS NOT NULL
+UNION ALL SELECT DISTINCT 'checkpoint', 'c' || (user_id % 5), 4 FROM events""",
+    ),
     "d1_filter_table": _with(LOG, EVENTS + " WHERE table_name IS NULL OR table_name = 'outbox'"),
     "d2_filter_inserts": _with(LOG, EVENTS + " WHERE event_type <> 'UPDATE_ROWS'"),
     "d3_explode_rows": _with(LOG, "SELECT source_id, log_file, log_pos, CAST(row_idx AS BIGINT) AS row_idx, id FROM lg WHERE etype = 'WRITE_ROWS' AND tname = 'outbox'"),
@@ -99,8 +131,8 @@ ORACLE_SQL = {
     "d7_add_managed_columns": _with(OUTBOX, "SELECT id, subject, CAST(NULL AS BIGINT) AS ttl_seconds, CAST(0 AS BIGINT) AS attempt_count, CAST(NULL AS VARCHAR) AS last_error FROM ob"),
     "t1_carry_log_file": _with(LOG, "SELECT source_id, event_seq, event_type, log_file FROM evs"),
     "t2_assign_transactions": _with(LOG, "SELECT evs.source_id, evs.log_file, evs.log_pos, event_type, table_name, coalesce(tm.tx, e.n) AS tx FROM evs LEFT JOIN tm ON evs.okey = tm.okey LEFT JOIN ends e ON e.source_id = evs.source_id AND e.log_file = evs.log_file"),
-    "t3_transaction_outcomes": _with(LOG, "SELECT * FROM txs"),
-    "t5_open_rows": _with(LOG, OPEN),
+    "t3_transaction_outcomes": _with(LOG, "SELECT * FROM txs WHERE outcome <> 'open' OR n_rows > 0"),
+    "t5_open_rows": _with(LOG, OPEN + " WHERE source_id IN ('src2', 'src3')"),
     "t6_commit_order": _with(LOG, "SELECT source_id, log_file, id, row_number() OVER (PARTITION BY source_id, log_file ORDER BY commit_pos, log_pos, event_seq, row_idx) AS publish_no FROM msg"),
     "t7_message_size": _with(OUTBOX, "SELECT id, octet_length(encode(subject)) + octet_length(encode(payload)) + coalesce(octet_length(encode(headers)), 0) + coalesce(octet_length(encode(message_id)), 0) + CASE WHEN ttl_seconds IS NULL THEN 0 ELSE 4 END AS n_bytes FROM ob"),
     "t8_check_transaction_limits": _with(LOG, "SELECT *, CASE WHEN n_rows > 4 THEN 'rows' ELSE 'bytes' END AS reason FROM txs WHERE n_rows > 4 OR n_bytes > 90"),
@@ -138,8 +170,12 @@ UNION ALL SELECT id, 'subject_tokens' FROM ob WHERE contains(subject, '..') UNIO
         """SELECT id, attempt_count + CASE WHEN attempt_count > 0 THEN 1 ELSE 0 END AS attempt_count FROM att WHERE attempt_count = 0 OR error IS NOT NULL
 UNION ALL SELECT -1, count(*) FROM att WHERE attempt_count > 0 UNION ALL SELECT -2, count(*) FROM att WHERE attempt_count > 0 AND error IS NULL UNION ALL SELECT -3, count(*) FROM att WHERE attempt_count > 0 AND error IS NOT NULL""",
     ),
-    "a9_snapshot_pass": _with(OUTBOX, "SELECT id, attempt_count + 1 AS attempt_count FROM att WHERE error IS NOT NULL UNION ALL SELECT -120, 0"),
-    "a10_relay_stream": _with(OUTBOX, "SELECT id, attempt_count + 1 AS attempt_count FROM att WHERE error IS NOT NULL UNION ALL SELECT -1, 1"),
+    "a9_snapshot_pass": _with(
+        OUTBOX,
+        """SELECT CAST(id AS VARCHAR) AS name, attempt_count + 1 AS value, error AS note FROM att WHERE error IS NOT NULL
+UNION ALL SELECT 'main', 120, 'bin.000009 u:1-7' UNION ALL SELECT DISTINCT 'c' || (user_id % 5), 4, 'bin.000001' FROM events""",
+    ),
+    "a10_relay_stream": RELAYED,
     "c1_upsert_checkpoints": f"""WITH w AS (SELECT 'c' || (user_id % 5) AS consumer_name, max(event_id) AS e FROM events GROUP BY 1)
 SELECT consumer_name, 'bin.000001' AS binlog_name, CASE WHEN consumer_name = 'c3' THEN 4 ELSE e * 10 + 4 END AS binlog_position, CASE WHEN consumer_name <> 'c3' AND e % 2 = 1 THEN 'u:1-' || e END AS gtid_set,
   CASE WHEN consumer_name = 'c3' THEN {AT} - INTERVAL 30 HOUR ELSE {AT} END AS updated_at FROM w""",
@@ -158,9 +194,14 @@ SELECT user_id, string_agg(server, ',' ORDER BY server) AS gtid_set FROM t GROUP
 FROM us LEFT JOIN jd ON us.u = jd.u""",
     ),
     "c9_attach_gtid": _with(
-        LOG,
-        """SELECT source_id, log_file, log_pos, source_id AS gtid_uuid, okey // 4 + 1 AS gno FROM tm
-UNION ALL SELECT uuid, 'as of the end', min(gno), NULL, max(gno) FROM (SELECT uuid, gno, gno - row_number() OVER (PARTITION BY uuid ORDER BY gno) AS g FROM (SELECT source_id AS uuid, okey // 4 + 1 AS gno FROM tm UNION SELECT 'src0', unnest([1, 2, 3]))) GROUP BY uuid, g""",
+        LOG
+        + """,
+marks AS (SELECT o_orderkey AS okey, 'src' || (o_orderkey % 4) AS source_id, CASE WHEN o_orderkey % 1000 >= 20 AND o_orderkey % 4 < 3 THEN o_orderkey // 4 + 1 END AS gno FROM orders),
+cy AS (SELECT okey, source_id, max(gno) OVER (PARTITION BY source_id ORDER BY okey) AS gno FROM marks),
+tg AS (SELECT tm.source_id, tm.log_file, tm.log_pos, CASE WHEN cy.gno IS NOT NULL THEN tm.source_id END AS gtid_uuid, cy.gno FROM tm JOIN cy ON tm.okey = cy.okey)""",
+        """SELECT source_id, log_file, log_pos, gtid_uuid, gno FROM tg
+UNION ALL SELECT uuid, 'as of the end', min(gno), NULL, max(gno) FROM (SELECT uuid, gno, gno - row_number() OVER (PARTITION BY uuid ORDER BY gno) AS g FROM (SELECT gtid_uuid AS uuid, gno FROM tg WHERE gno IS NOT NULL
+  UNION SELECT 'src0', unnest([1, 2, 3]) UNION SELECT 'src1', 1 UNION SELECT 'src2', 1)) GROUP BY uuid, g""",
     ),
     "h1_delivery_counters": _with(ATTEMPTS, "SELECT * FROM cn"),
     "h2_last_error": _with(ATTEMPTS, "SELECT ap.consumer, CASE WHEN any_value(n_failed) > 0 THEN arg_max(error, (ts, id)) FILTER (WHERE NOT ok) END AS last_error FROM ap LEFT JOIN fl ON ap.consumer = fl.consumer GROUP BY ap.consumer HAVING count(*) FILTER (WHERE NOT ok) > 0"),
@@ -171,6 +212,7 @@ UNION ALL SELECT uuid, 'as of the end', min(gno), NULL, max(gno) FROM (SELECT uu
     "h4_metrics_long": _with(
         ATTEMPTS,
         """SELECT consumer, 'published_total' AS name, 'Messages published.' AS help, 'counter' AS kind, published AS value FROM cn UNION ALL SELECT consumer, 'publish_errors_total', 'Failed publish attempts.', 'counter', publish_errors FROM cn
+UNION ALL SELECT consumer, 'errors_total', 'Errors of any kind.', 'counter', publish_errors + CASE consumer WHEN 'c1' THEN 4 ELSE 0 END FROM cn UNION ALL SELECT consumer, 'failed_rows', 'Rows kept after a failed publish.', 'gauge', n_failed FROM fl
 UNION ALL SELECT consumer, 'retry_successes_total', 'Failed messages published later.', 'counter', retry_successes FROM cn UNION ALL SELECT consumer, 'last_published_seconds', 'Time of the last publish.', 'gauge', coalesce(CAST(floor(epoch(last_published)) AS BIGINT), 0) FROM cn
 UNION ALL SELECT consumer, 'last_checkpoint_seconds', 'Time of the last checkpoint.', 'gauge', coalesce(CAST(floor(epoch(last_checkpoint)) AS BIGINT), 0) FROM cn""",
     ),

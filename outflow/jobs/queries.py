@@ -42,7 +42,7 @@ def text(c: str):
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Committed, decoded messages of the log."""
     log = dc.filter_inserts(dc.filter_table(fx.change_log(spark, sf_dir), fx.DB, fx.TABLE))
-    return dc.quarantine(dc.decode_rows(dc.explode_rows(tr.committed_rows(log))))
+    return dc.quarantine(dc.decode_rows(dc.explode_inserts(tr.committed_rows(log), fx.DB, fx.TABLE)))
 
 
 def shown(df: DataFrame) -> DataFrame:
@@ -100,8 +100,11 @@ def s5_write_messages(spark, sf_dir):
 def s6_write_state(spark, sf_dir):
     base = folder(spark, "state")
     outbox, saved = fx.outbox(spark, sf_dir), fx.checkpoints(spark, sf_dir)
-    tb.write_state(outbox.limit(0), saved, base, "v1")
-    tb.write_state(dl.failed_rows(outbox), saved, base, "v2")
+    tb.write_state(outbox, saved.limit(0), base, "v1")
+    # What an attempt of all failed rows changes, on top of the whole table.
+    tried = dl.attempt(dl.failed_rows(outbox), fx.bindings(spark))
+    changed = dl.apply_results(dl.failed_rows(outbox), tried, fx.now())
+    tb.write_delta(tried.where("ok"), changed, saved, base, "v2")
     rows, points = tb.read_state(spark, base)
     kept = rows.select(F.lit("outbox").alias("part"), F.col("id").cast("string").alias("name"), F.col("attempt_count").alias("value"))
     return kept.unionByName(points.select(F.lit("checkpoint").alias("part"), F.col("consumer_name").alias("name"), F.col("binlog_position").alias("value")))
@@ -144,9 +147,10 @@ def d4_explode_payload(spark, sf_dir):
 def _raw_rows(spark, sf_dir) -> DataFrame:
     """Row images of the events, some of them bad; event 0 has id 0."""
     b = lambda e: F.encode(F.expr(e), "UTF-8")
+    odd = F.unhex(F.lit("FFFE"))  # bytes that are no text
     image = F.array(
-        b("case when event_id % 71 = 0 and event_id > 0 then '-' || event_id when event_id % 73 = 1 then event_id || '.0' else cast(event_id as string) end"),
-        b("case when event_id % 61 <> 5 then 'events.' || event_type end"),
+        F.when(F.expr("event_id % 89 = 11"), odd).otherwise(b("case when event_id % 71 = 0 and event_id > 0 then '-' || event_id when event_id % 73 = 1 then event_id || '.0' else cast(event_id as string) end")),
+        F.when(F.expr("event_id % 83 = 7"), odd).otherwise(b("case when event_id % 61 <> 5 then 'events.' || event_type end")),
         b("case when event_id % 67 <> 5 then props end"),
         F.lit(None).cast("binary"),
         F.lit(None).cast("binary"),
@@ -188,12 +192,13 @@ def t2_assign_transactions(spark, sf_dir):
 
 @query
 def t3_transaction_outcomes(spark, sf_dir):
-    return tr.transaction_outcomes(fx.change_log(spark, sf_dir), fx.DB, fx.TABLE)
+    return tr.transaction_outcomes(fx.rotated_log(spark, sf_dir), fx.DB, fx.TABLE)
 
 
 @query
 def t5_open_rows(spark, sf_dir):
-    rows = dc.explode_rows(tr.open_rows(dc.filter_table(fx.change_log(spark, sf_dir), fx.DB, fx.TABLE)))
+    log = fx.rotated_log(spark, sf_dir).where("event_type <> 'ROTATE' or source_id in ('src0', 'src1')")
+    rows = dc.explode_rows(tr.open_rows(dc.filter_table(log, fx.DB, fx.TABLE)))
     return rows.select("source_id", "log_file", "log_pos", "tx", F.decode(F.get("row", F.lit(0)), "UTF-8").cast(BIG).alias("id"))
 
 
@@ -220,15 +225,27 @@ def t9_log_anomalies(spark, sf_dir):
 
 @query
 def t10_stream_committed_rows(spark, sf_dir):
-    path = folder(spark, "log")
-    log = dc.filter_inserts(dc.filter_table(fx.change_log(spark, sf_dir), fx.DB, fx.TABLE))
-    # Two files in log order: rows and their commits meet in different batches.
-    log.where("event_seq % 2 = 0").coalesce(1).unionByName(log.where("event_seq % 2 = 1").coalesce(1)).write.parquet(path)
+    log = fx.mixed_log(spark, sf_dir)
+    path = _in_slices(spark, dc.filter_inserts(dc.filter_table(log, fx.DB, fx.TABLE)))
     with _rocksdb(spark):
-        rows = _drained(spark, rl.stream_committed_rows(tb.stream_change_log(spark, path, 100)))
+        rows = _drained(spark, rl.stream_committed_rows(tb.stream_change_log(spark, path, 3), tb.read_change_log(spark, path), fx.DB, fx.TABLE))
     return shown(dc.quarantine(dc.decode_rows(rows)))
 
 
+def _in_slices(spark, log: DataFrame, slices: int = 3) -> str:
+    """The log written in log order, slice after slice, each source in one file of a slice.
+
+    Cuts lie between an order's rows and its terminal, so that a stream which
+    reads few files a batch meets rows in an earlier batch than their commit.
+    """
+    path = folder(spark, "log")
+    last = log.agg(F.coalesce(F.max("event_seq"), F.lit(0)).alias("m")).first()["m"]
+    cuts = [last * k // slices // 100 * 100 + 50 for k in range(1, slices)]
+    for low, high in zip((-(1 << 62), *cuts), (*cuts, 1 << 62), strict=True):
+        log.where(F.col("event_seq").between(low + 1, high)).repartition(4, "source_id").write.mode("append").parquet(path)
+    return path
+
+
 class _rocksdb:
     """State in RocksDB while a stateful stream runs."""
 
@@ -327,10 +344,15 @@ def r3_dedupe_window(spark, sf_dir):
 def r4_stream_dedupe(spark, sf_dir):
     path = folder(spark, "messages")
     given = _outbox(spark, sf_dir).where("message_id is not null").select(_id(), "message_id", "created_at")
-    given.repartitionByRange(4, "created_at").sortWithinPartitions("created_at").write.parquet(path)
-    stream = spark.readStream.schema(given.schema).parquet(path)
+    # Slices of time, written one after the other and read in several batches.
+    edges = given.agg(F.percentile_approx(F.unix_micros("created_at"), [0.25, 0.5, 0.75]).alias("e")).first()["e"] or []
+    for low, high in zip((None, *edges), (*edges, None), strict=True):
+        at = F.unix_micros("created_at")
+        inside = (F.lit(True) if low is None else at > low) & (F.lit(True) if high is None else at <= high)
+        given.where(inside).repartition("message_id").write.mode("append").parquet(path)
+    stream = spark.readStream.schema(given.schema).option("maxFilesPerTrigger", 4).parquet(path)
     with _rocksdb(spark):
-        kept = _drained(spark, rl.stream_dedupe(stream, "message_id", "created_at", "id", 86_400, "60 days"))
+        kept = _drained(spark, rl.stream_dedupe(stream, "message_id", "created_at", "id", 86_400, "10 days"))
     return kept.select(F.col("row").alias("id"), F.col("key").alias("message_id"), F.timestamp_micros("at").alias("created_at"))
 
 
@@ -400,23 +422,30 @@ def a8_retry_pass(spark, sf_dir):
 
 @query
 def a9_snapshot_pass(spark, sf_dir):
-    position = {"consumer_name": "main", "binlog_name": "bin.000009", "binlog_position": 120, "gtid_set": None}
-    after, update = dl.snapshot_pass(_outbox(spark, sf_dir), fx.bindings(spark), position, fx.now())
-    return _state(after).select("id", "attempt_count").unionByName(update.select((-F.col("binlog_position")).alias("id"), F.lit(0).cast(BIG).alias("attempt_count")))
+    """The outbox and the checkpoints as read back from the unit that the pass wrote."""
+    position = {"consumer_name": "main", "binlog_name": "bin.000009", "binlog_position": 120, "gtid_set": "u:1-7"}
+    after, saved = dl.snapshot_pass(_outbox(spark, sf_dir), fx.checkpoints(spark, sf_dir), fx.bindings(spark), position, fx.now(), base=folder(spark, "state"))
+    points = saved.select(F.col("consumer_name").alias("name"), F.col("binlog_position").alias("value"), F.concat_ws(" ", "binlog_name", "gtid_set").alias("note"))
+    return after.select(F.col("id").cast("string").alias("name"), F.col("attempt_count").alias("value"), F.col("last_error").alias("note")).unionByName(points)
 
 
 @query
 def a10_relay_stream(spark, sf_dir):
-    """The outbox after the stream of its rows has been relayed in batches, and the checkpoint."""
-    base, path = folder(spark, "state"), folder(spark, "feed")
-    outbox = _outbox(spark, sf_dir)
-    feed = outbox.withColumns({"source_id": F.lit("s"), "log_file": F.lit("bin.1"), "commit_pos": F.col("id").cast(BIG)})
-    feed.repartitionByRange(3, "id").write.parquet(path)
-    tb.write_state(outbox, fx.checkpoints(spark, sf_dir).limit(0), base, "start")
-    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 2).parquet(path)
-    rl.relay_stream(stream, base, fx.bindings(spark), "main", fx.now(), f"{base}-progress").awaitTermination()
+    """Messages, outbox and checkpoints after the log has been relayed in several batches, onto a state with checkpoints only."""
+    base = folder(spark, "state")
+    path = _in_slices(spark, fx.relay_log(spark, sf_dir))
+    begun = [("main/src0", "bin.000001", 4, "src0:1-3"), ("main/src1", "bin.000001", 4, "other:5"), ("main/src2", "bin.000001", 4, None)]
+    saved = spark.createDataFrame(begun, "consumer_name string, binlog_name string, binlog_position long, gtid_set string").withColumn("updated_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    tb.write_state(fx.outbox(spark, sf_dir).limit(0), saved, base, "start")
+    rules = spark.createDataFrame([("ITEMS", "items.N.>")], "stream string, pattern string")
+    with _rocksdb(spark):
+        log = tb.stream_change_log(spark, path, 5)
+        rl.relay_stream(log, base, lambda s: tb.read_change_log(s, path), (fx.PREFIX, fx.DB, fx.TABLE), rules, "main", fx.now(), f"{base}-progress", interval_seconds=10, compact_every=2).awaitTermination()
     rows, points = tb.read_state(spark, base)
-    return _state(rows).select("id", "attempt_count").unionByName(points.select(F.lit(-1).cast(BIG).alias("id"), F.count(F.lit(1)).over(W.partitionBy("consumer_name")).alias("attempt_count")))
+    sent = spark.read.parquet(f"{base}/{tb.MESSAGES}/*")
+    made = sent.select(F.lit("message").alias("part"), F.col("key").alias("name"), F.col("commit_pos").alias("value"), F.col("topic").alias("note"))
+    made = made.unionByName(rows.select(F.lit("outbox").alias("part"), F.col("id").cast("string").alias("name"), F.col("attempt_count").alias("value"), F.col("last_error").alias("note")))
+    return made.unionByName(points.select(F.lit("checkpoint").alias("part"), F.col("consumer_name").alias("name"), F.col("binlog_position").alias("value"), F.concat_ws(" ", "binlog_name", "gtid_set").alias("note")))
 
 
 # Checkpoints and GTID sets
@@ -478,8 +507,10 @@ def c8_plan_recovery(spark, sf_dir):
 
 @query
 def c9_attach_gtid(spark, sf_dir):
-    marked = cp.attach_gtid(fx.gtid_log(spark, sf_dir))
-    start = spark.createDataFrame([("src0", 1, 3)], "uuid string, start long, end long")
+    """Sources 0 to 2 have a GTID set; source 3 is read by file position."""
+    saved = spark.createDataFrame([("src0", "src0:1-3"), ("src1", "src1:1"), ("src2", "src2:1"), ("src3", None)], "source_id string, gtid_set string")
+    marked = cp.attach_gtid(fx.gtid_log(spark, sf_dir), saved)
+    start = saved.select(F.explode(gt.parse_gtid_set(F.col("gtid_set"))).alias("g")).select("g.*")
     total = cp.gtid_as_of(marked, start).select(F.col("uuid").alias("source_id"), F.lit("as of the end").alias("log_file"), F.col("start").alias("log_pos"), F.lit(None).cast("string").alias("gtid_uuid"), F.col("end").alias("gno"))
     return marked.select("source_id", "log_file", "log_pos", "gtid_uuid", "gno").unionByName(total)
 
@@ -511,7 +542,9 @@ def h3_failed_rows_gauge(spark, sf_dir):
 
 @query
 def h4_metrics_long(spark, sf_dir):
-    return mt.metrics_long(mt.delivery_counters(fx.attempts(spark, sf_dir), fx.checkpoints(spark, sf_dir))).withColumnRenamed("type", "kind")
+    stops = spark.createDataFrame([("c1", 4)], "consumer string, n_errors long")
+    counters = mt.delivery_counters(fx.attempts(spark, sf_dir), fx.checkpoints(spark, sf_dir))
+    return mt.metrics_long(counters, _failed(spark, sf_dir), stops).withColumnRenamed("type", "kind")
 
 
 @query

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outflow.operators.gtid import gtid_contains, gtid_union, parse_gtid_set
-from outflow.operators.routing import hops
+from outflow.operators.hops import hops
 from outflow.operators.transactions import FILE, ending
 from outflow.schemas import UINT32
 
@@ -33,20 +33,13 @@ def checkpoint_timeline(terminals: DataFrame, interval_seconds: int, start_ts: C
 
     ``terminals``: consumer, ts, row, has_rows.  A commit with rows always
     writes and restarts the clock; any other terminal writes if ``interval`` has
-    passed since the last write, or since the consumer's start.  Forced writes
-    cut the line into segments that are hopped through apart from each other.
+    passed since the last write, or since the consumer's start (``start_ts``,
+    else its first terminal).  Consumers are read in stretches of time.
     """
-    order = W.partitionBy("consumer").orderBy("ts", "row")
-    at = F.unix_micros("ts")
-    start = F.unix_micros(start_ts) if start_ts is not None else F.min(at).over(W.partitionBy("consumer"))
-    forced = F.coalesce(F.sum(F.col("has_rows").cast("long")).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    lean = terminals.select("consumer", "row", "has_rows", at.alias("_at"), start.alias("_start"), forced.alias("_segment"))
-    last_forced = F.last(F.when(F.col("has_rows"), F.col("_at")), ignorenulls=True).over(W.partitionBy("consumer").orderBy("_at", "row").rowsBetween(W.unboundedPreceding, -1))
-    lean = lean.withColumn("_since", F.coalesce(last_forced, F.col("_start")))
-    begin = F.row_number().over(W.partitionBy("consumer", "_segment").orderBy("_at", "row")) == 1
-    idle = lean.where("not has_rows").withColumn("_first", begin).withColumnRenamed("row", "_row")
-    kept = lean.where("has_rows").select(F.col("row").alias("_row")).unionByName(hops(idle, ["consumer", "_segment"], interval_seconds * 1_000_000))
-    return terminals.join(kept, F.col("row") == F.col("_row"), "left_semi").select("consumer", "ts", "row")
+    start = F.unix_micros(start_ts) if start_ts is not None else F.lit(None).cast("long")
+    lean = terminals.select(F.col("consumer").alias("_line"), F.col("row").alias("_row"), F.unix_micros("ts").alias("_at"), F.col("has_rows").alias("_forced"), start.alias("_start"))
+    kept = hops(lean, interval_seconds * 1_000_000)
+    return terminals.join(kept, F.col("consumer").eqNullSafe(F.col("_line")) & (F.col("row") == F.col("_row")), "left_semi").select("consumer", "ts", "row")
 
 
 def position_available(checkpoints: DataFrame, log_files: DataFrame, server_state: DataFrame) -> DataFrame:
@@ -96,19 +89,36 @@ def plan_recovery(consumers: DataFrame, checkpoints: DataFrame, log_files: DataF
     return rows.select("consumer_name", plan.alias("plan"), reason.alias("reason"))
 
 
-def attach_gtid(log: DataFrame) -> DataFrame:
-    """Adds gtid_uuid and gno to terminals: the last GTID event's of the file, carried forward.
+def file_number(name: Column) -> Column:
+    """The number a log file's name ends in; files of a source follow it."""
+    return F.regexp_extract(name, r"([0-9]+)\z", 1).try_cast("long")
 
-    The set as of a commit is ``gtid_as_of``; keeping one pair a commit avoids
-    writing a growing set a commit.
+
+def attach_gtid(log: DataFrame, checkpoint: DataFrame | None = None) -> DataFrame:
+    """Adds gtid_uuid and gno to terminals: the last GTID event's, carried forward over files too.
+
+    ``checkpoint``: source_id and gtid_set.  A source whose checkpoint has no
+    set is read by file position, and nothing is attached (without a
+    ``checkpoint`` argument all sources carry).  The set as of a commit is
+    ``gtid_as_of``; keeping one pair a commit avoids writing a growing set a
+    commit.  A file begins with what one row for each earlier file says.
     """
     order = W.partitionBy(*FILE).orderBy("log_pos", "event_seq").rowsBetween(W.unboundedPreceding, 0)
     pair = F.when(F.col("gtid_uuid").isNotNull(), F.struct("gtid_uuid", "gno"))
-    marked = log.withColumn("_g", F.last(pair, ignorenulls=True).over(order)).where(ending().isNotNull())
-    return marked.withColumns({"gtid_uuid": F.col("_g.gtid_uuid"), "gno": F.col("_g.gno")}).drop("_g")
-
-
-def gtid_as_of(terminals: DataFrame, checkpoint: DataFrame) -> DataFrame:
-    """(uuid, start, end): the checkpoint's set joined by all GTIDs of the given terminals."""
-    seen = terminals.where("gtid_uuid is not null").select(F.col("gtid_uuid").alias("uuid"), F.col("gno").alias("start"), F.col("gno").alias("end"))
-    return gtid_union(seen.unionByName(checkpoint.select("uuid", "start", "end")))
+    ends = log.groupBy(*FILE).agg(F.max_by(F.struct("gtid_uuid", "gno"), F.when(F.col("gtid_uuid").isNotNull(), F.struct("log_pos", "event_seq"))).alias("_end"))
+    earlier = W.partitionBy("source_id").orderBy(file_number(F.col("log_file")), "log_file").rowsBetween(W.unboundedPreceding, -1)
+    begins = ends.select(*FILE, F.last("_end", ignorenulls=True).over(earlier).alias("_begin"))
+    marked = log.withColumn("_g", F.last(pair, ignorenulls=True).over(order)).where(ending().isNotNull()).join(begins, [*FILE], "left")
+    found = F.coalesce("_g", "_begin")
+    if checkpoint is not None:
+        sets = checkpoint.where("coalesce(gtid_set, '') <> ''").select(F.col("source_id").alias("_s")).distinct()
+        marked = marked.join(sets, F.col("source_id") == F.col("_s"), "left")
+        found = F.when(F.col("_s").isNotNull(), found)
+    marked = marked.withColumn("_g", found)
+    return marked.withColumns({"gtid_uuid": F.col("_g.gtid_uuid"), "gno": F.col("_g.gno")}).select(*log.columns)
+
+
+def gtid_as_of(terminals: DataFrame, checkpoint: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, uuid, start, end): the checkpoint's set joined by all GTIDs of the given terminals."""
+    seen = terminals.where("gtid_uuid is not null").select(*keys, F.col("gtid_uuid").alias("uuid"), F.col("gno").alias("start"), F.col("gno").alias("end"))
+    return gtid_union(seen.unionByName(checkpoint.select(*keys, "uuid", "start", "end")), keys)

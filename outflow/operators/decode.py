@@ -27,20 +27,40 @@ def explode_rows(log: DataFrame) -> DataFrame:
     return log.where("event_type = 'WRITE_ROWS'").select(*keep, F.posexplode("rows").alias("row_idx", "row"))
 
 
+def _ours(event: Column, schema: str, table: str) -> Column:
+    return (event["event_type"] == "WRITE_ROWS") & (event["schema_name"] == schema) & (event["table_name"] == table)
+
+
+def inserted(schema: str, table: str) -> Column:
+    """Rows of the table that an event inserts, by itself or in the events nested in it; null if none."""
+    nested = F.flatten(F.transform(F.filter("nested", lambda e: _ours(e, schema, table)), lambda e: e["rows"]))
+    ours = (F.col("event_type") == "WRITE_ROWS") & (F.col("schema_name") == schema) & (F.col("table_name") == table)
+    return F.when(F.col("event_type") == "PAYLOAD", nested).when(ours, F.col("rows"))
+
+
 def explode_payload(log: DataFrame, schema: str, table: str) -> DataFrame:
     """Rows of the table inserted by each self-contained payload event, in order.
 
     Its nested events are filtered and flattened inside the event, before any
     row is made.
     """
+    return explode_inserts(log.where("event_type = 'PAYLOAD'"), schema, table)
+
+
+def explode_inserts(log: DataFrame, schema: str, table: str) -> DataFrame:
+    """One row for each row of the table that plain and self-contained events insert."""
     keep = [c for c in log.columns if c not in ("rows", "nested")]
-    ours = F.filter("nested", lambda e: (e["event_type"] == "WRITE_ROWS") & (e["schema_name"] == schema) & (e["table_name"] == table))
-    return log.where("event_type = 'PAYLOAD'").select(*keep, F.posexplode(F.flatten(F.transform(ours, lambda e: e["rows"]))).alias("row_idx", "row"))
+    return log.select(*keep, F.posexplode(inserted(schema, table)).alias("row_idx", "row"))
+
+
+def _text(value: Column) -> Column:
+    """Text of a binary value; null where its bytes are not UTF-8."""
+    return F.try_validate_utf8(value.cast("string"))
 
 
 def _whole(value: Column) -> Column:
     """Text of a binary value if it is digits only, else null."""
-    text = F.decode(value, "UTF-8")
+    text = _text(value)
     return F.when(text.rlike(r"\A[0-9]+\z"), text)
 
 
@@ -48,10 +68,12 @@ def decode_rows(rows: DataFrame, columns: tuple[str, ...] = ROW_COLUMNS) -> Data
     """Positional values to typed message columns, and ``decode_error`` (null if good).
 
     ``columns`` names the row image's values in order; more values than columns
-    are ignored, fewer are an error.
+    are ignored, fewer are an error, as are texts whose bytes are not UTF-8
+    (a payload may hold any bytes).
     """
     at = {c: F.get("row", F.lit(i)) for i, c in enumerate(columns)}
     size = F.size("row")
+    odd = lambda c: at[c].isNotNull() & _text(at[c]).isNull()
     raw_id, raw_ttl = _whole(at["id"]), _whole(at["ttl_seconds"])
     # Digits only by now; a number too long for the type casts to null.
     big_id, big_ttl = raw_id.try_cast("decimal(38,0)"), raw_ttl.try_cast("decimal(38,0)")
@@ -63,11 +85,14 @@ def decode_rows(rows: DataFrame, columns: tuple[str, ...] = ROW_COLUMNS) -> Data
         .when(big_id == 0, "id is zero")
         .when(at["subject"].isNull(), "subject is null")
         .when(at["payload"].isNull(), "payload is null")
+        .when(odd("subject"), "subject is not UTF-8")
+        .when(odd("headers"), "headers are not UTF-8")
+        .when(odd("message_id"), "message id is not UTF-8")
         .when(at["ttl_seconds"].isNotNull() & raw_ttl.isNull(), "ttl is not an unsigned number")
         .when(at["ttl_seconds"].isNotNull() & (big_ttl.isNull() | (big_ttl > UINT32)), "ttl is out of range")
     )
     good = error.isNull()
-    text = lambda c: F.when(good, F.decode(at[c], "UTF-8"))
+    text = lambda c: F.when(good, _text(at[c]))
     return rows.withColumn("decode_error", error).withColumns(
         {
             "id": F.when(good, big_id.cast(ID)),

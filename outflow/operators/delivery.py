@@ -7,17 +7,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outflow.functions.validate import validate_messages
+from outflow.operators.checkpoints import upsert_checkpoints
 from outflow.operators.routing import check_expected_stream, route_subjects
+from outflow.sources.tables import read_state, write_state
 
 ERROR_BYTES = 4096
 
 
-def attempt(messages: DataFrame, bindings: DataFrame, expected: str | None = None) -> DataFrame:
-    """(id, subject, ok, error, was_retry, first_failure) of each message; a failed row stops nothing."""
+def attempt(messages: DataFrame, bindings: DataFrame, expected: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, subject, ok, error, was_retry, first_failure) of each message; a failed row stops nothing.
+
+    ``keep``: more columns of the messages to carry along.
+    """
     routed = check_expected_stream(route_subjects(validate_messages(messages), bindings), expected)
     error = F.coalesce(F.col("error"), F.concat(F.lit("outbox row "), F.col("id").cast("string"), F.lit(": "), F.col("route_error")))
     retried = F.col("attempt_count") > 0
-    return routed.select("id", "subject", error.isNull().alias("ok"), error.alias("error"), retried.alias("was_retry"), (error.isNotNull() & ~retried).alias("first_failure"))
+    return routed.select("id", "subject", error.isNull().alias("ok"), error.alias("error"), retried.alias("was_retry"), (error.isNotNull() & ~retried).alias("first_failure"), *keep)
 
 
 def delete_acknowledged(outbox: DataFrame, attempts: DataFrame) -> DataFrame:
@@ -26,8 +31,11 @@ def delete_acknowledged(outbox: DataFrame, attempts: DataFrame) -> DataFrame:
 
 
 def cut_error(error: Column, most: int = ERROR_BYTES) -> Column:
-    """At most ``most`` bytes of an error text; a split character becomes a replacement mark."""
-    return F.when(F.octet_length(error) <= most, error).otherwise(F.make_valid_utf8(F.substring(F.encode(error, "UTF-8"), 1, most).cast("string")))
+    """At most ``most`` bytes of an error text; a character that the cut splits goes whole."""
+    raw = F.encode(error, "UTF-8")
+    # A character has at most four bytes, so one of these ends is its border.
+    ends = [F.try_validate_utf8(F.substring(raw, 1, most - k).cast("string")) for k in range(4)]
+    return F.when(F.octet_length(error) <= most, error).otherwise(F.coalesce(*ends))
 
 
 def record_failures(outbox: DataFrame, attempts: DataFrame, now: Column) -> DataFrame:
@@ -89,12 +97,19 @@ def retry_pass(outbox: DataFrame, bindings: DataFrame, now: Column, expected: st
     return apply_results(outbox, tried, now), totals
 
 
-def snapshot_pass(outbox: DataFrame, bindings: DataFrame, position: dict, now: Column, expected: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(outbox after one try of every row, the checkpoint to write).
+def snapshot_pass(outbox: DataFrame, checkpoints: DataFrame, bindings: DataFrame, position: dict, now: Column, expected: str | None = None, base: str | None = None, version: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(outbox after one try of every row, checkpoints with the position in them).
 
-    ``position`` must have been read before ``outbox``: what changes meanwhile
-    is then published again, and its message id absorbs it.
+    ``position`` (consumer_name, binlog_name, binlog_position, gtid_set) must
+    have been read before ``outbox``: what changes meanwhile is then published
+    again, and its message id absorbs it.  With a ``base`` both are written
+    there as one unit and returned as written.
     """
     after = apply_results(outbox, attempt(outbox, bindings, expected), now)
-    update = outbox.sparkSession.createDataFrame([position], "consumer_name string, binlog_name string, binlog_position long, gtid_set string").withColumn("updated_at", now)
-    return after, update
+    spark = outbox.sparkSession
+    update = spark.createDataFrame([position | {"write_seq": 0}], "consumer_name string, binlog_name string, binlog_position long, gtid_set string, write_seq long")
+    saved = upsert_checkpoints(checkpoints, update, now)
+    if base is None:
+        return after, saved
+    write_state(after, saved, base, version)
+    return read_state(spark, base)

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 #: name, help, kind.
 METRICS = (
     ("published_total", "Messages published.", "counter"),
+    ("errors_total", "Errors of any kind.", "counter"),
     ("publish_errors_total", "Failed publish attempts.", "counter"),
     ("retry_successes_total", "Failed messages published later.", "counter"),
+    ("failed_rows", "Rows kept after a failed publish.", "gauge"),
     ("last_published_seconds", "Time of the last publish.", "gauge"),
     ("last_checkpoint_seconds", "Time of the last checkpoint.", "gauge"),
 )
@@ -32,25 +34,41 @@ def last_error(attempts: DataFrame, failed: DataFrame) -> DataFrame:
     return latest.join(failed, "consumer", "left").select("consumer", F.when(F.coalesce("n_failed", F.lit(0)) > 0, F.col("error")).alias("last_error"))
 
 
-def failed_rows_gauge(attempts: DataFrame, initial: DataFrame) -> DataFrame:
+def failed_rows_gauge(attempts: DataFrame, initial: DataFrame, stretch_seconds: int = 3600) -> DataFrame:
     """Adds ``gauge`` after every attempt: up on a first failure, down on a retry's success, never below 0.
 
     ``initial``: consumer, n_failed.  A walk held at zero is its free sum less
-    the least that sum has been, where that is below zero.
+    the least that sum has been, where that is below zero.  Sums and leasts run
+    inside stretches of time; what a stretch begins with comes from one row for
+    each earlier stretch, so no task holds a consumer.
     """
     step = F.when(F.col("first_failure"), 1).when(F.col("ok") & F.col("was_retry"), -1).otherwise(0).cast("long")
-    order = W.partitionBy("consumer").orderBy("ts", "id").rowsBetween(W.unboundedPreceding, 0)
-    begun = attempts.join(initial, "consumer", "left").withColumn("_sum", F.coalesce("n_failed", F.lit(0)) + F.sum(step).over(order))
-    least = F.min("_sum").over(order)
-    return begun.withColumn("gauge", F.col("_sum") - F.least(F.lit(0), least)).drop("_sum", "n_failed")
-
-
-def metrics_long(counters: DataFrame) -> DataFrame:
-    """(consumer, name, help, type, value): one row a metric; a missing time is 0."""
+    cut = attempts.withColumns({"_part": F.floor(F.unix_seconds("ts") / stretch_seconds).cast("long"), "_step": step})
+    order = W.partitionBy("consumer", "_part").orderBy("ts", "id").rowsBetween(W.unboundedPreceding, 0)
+    local = cut.withColumn("_sum", F.sum("_step").over(order)).withColumn("_low", F.min("_sum").over(order))
+    parts = local.groupBy("consumer", "_part").agg(F.sum("_step").alias("_total"), F.min("_sum").alias("_least"))
+    earlier = W.partitionBy("consumer").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    begun = parts.join(initial, "consumer", "left").withColumn("_begin", F.coalesce("n_failed", F.lit(0)) + F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
+    begun = begun.withColumn("_before", F.coalesce(F.min(F.col("_begin") + F.col("_least")).over(earlier), F.lit(0))).select("consumer", "_part", "_begin", "_before")
+    joined = local.join(begun, ["consumer", "_part"])
+    least = F.least(F.lit(0), F.col("_before"), F.col("_begin") + F.col("_low"))
+    return joined.withColumn("gauge", F.col("_begin") + F.col("_sum") - least).select(*attempts.columns, "gauge")
+
+
+def metrics_long(counters: DataFrame, failed: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """(consumer, name, help, type, value): one row a metric; a missing time or count is 0.
+
+    ``failed``: consumer and n_failed, the rows still failed.  ``errors``:
+    consumer and n_errors, errors other than failed attempts; the total counts both.
+    """
     seconds = lambda c: F.coalesce(F.unix_seconds(c), F.lit(0)).cast("long")
-    values = [F.col("published"), F.col("publish_errors"), F.col("retry_successes"), seconds(F.col("last_published")), seconds(F.col("last_checkpoint"))]
+    known = counters.join(failed.select("consumer", "n_failed"), "consumer", "left")
+    other = F.lit(0)
+    if errors is not None:
+        known, other = known.join(errors.select("consumer", "n_errors"), "consumer", "left"), F.coalesce("n_errors", F.lit(0))
+    values = [F.col("published"), F.col("publish_errors") + other, F.col("publish_errors"), F.col("retry_successes"), F.coalesce("n_failed", F.lit(0)), seconds(F.col("last_published")), seconds(F.col("last_checkpoint"))]
     rows = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(h).alias("help"), F.lit(k).alias("type"), v.cast("long").alias("value")) for (n, h, k), v in zip(METRICS, values, strict=True)])
-    return counters.select("consumer", F.inline(rows))
+    return known.select("consumer", F.inline(rows))
 
 
 def delivery_by_window(attempts: DataFrame, width: str, watermark: str | None = None) -> DataFrame:

@@ -3,16 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Bindings up to this many rows are matched in a broadcast nested loop.
-BROADCAST_BINDINGS = 10_000
+from outflow.operators.hops import NEVER, hops
 
 
 def pattern_regex(pattern: str) -> str:
@@ -21,27 +16,51 @@ def pattern_regex(pattern: str) -> str:
 
 
 def _regex(pattern: Column) -> Column:
-    token = lambda t: F.when(t == "*", "[^.]+").when(t == ">", ".+").otherwise(F.concat(F.lit(r"\Q"), t, F.lit(r"\E")))
+    quoted = lambda t: F.concat(F.lit(r"\Q"), F.replace(t, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    token = lambda t: F.when(t == "*", "[^.]+").when(t == ">", ".+").otherwise(quoted(t))
     return F.concat(F.lit(r"\A"), F.array_join(F.transform(F.split(pattern, r"\."), token), r"\."), F.lit(r"\z"))
 
 
+def _wild(token: Column) -> Column:
+    return token.isin("*", ">")
+
+
+def _pattern_key(pattern: Column) -> Column:
+    """Where a pattern is looked up: its plain prefix, else its first plain token and that token's place, else its length."""
+    tokens = F.split(pattern, r"\.")
+    first_wild = F.array_position(F.transform(tokens, _wild), True)  # from 1; 0: none
+    prefix = F.slice(tokens, F.lit(1), F.when(first_wild == 0, F.size(tokens)).otherwise(first_wild.cast("int") - 1))
+    first_plain = F.array_position(F.transform(tokens, _wild), False)
+    place = F.concat_ws(":", first_plain - 1, F.get(tokens, first_plain.cast("int") - 1))
+    length = F.concat(F.when(F.array_contains(tokens, ">"), "more:").otherwise("size:"), F.size(tokens).cast("string"))
+    return F.when(F.size(prefix) > 0, F.concat(F.lit("begins:"), F.array_join(prefix, "."))).when((first_plain > 0) & ~F.array_contains(F.slice(tokens, 1, first_plain.cast("int")), ">"), F.concat(F.lit("at:"), place)).otherwise(length)
+
+
+def _subject_keys(subject: Column) -> Column:
+    """All keys under which a pattern that covers the subject may stand."""
+    tokens = F.split(subject, r"\.")
+    n = F.size(tokens)
+    begins = F.transform(tokens, lambda _, i: F.concat(F.lit("begins:"), F.array_join(F.slice(tokens, F.lit(1), i + 1), ".")))
+    places = F.transform(tokens, lambda t, i: F.concat(F.lit("at:"), F.concat_ws(":", i, t)))
+    longer = F.transform(F.sequence(F.lit(1), n), lambda k: F.concat(F.lit("more:"), k.cast("string")))
+    return F.concat(begins, places, longer, F.array(F.concat(F.lit("size:"), n.cast("string"))))
+
+
 def route_subjects(messages: DataFrame, bindings: DataFrame) -> DataFrame:
     """Adds ``stream``: the least-named stream with a pattern that covers the subject, or null.
 
-    Patterns meet distinct subjects only.  A binding whose first token is plain
-    meets the subjects with that token; the others, few by nature, meet all.
+    Patterns meet distinct subjects only, and by equality: a pattern stands under
+    one key (its longest plain prefix where it has one), a subject asks under the
+    few keys that could cover it, and the expression confirms.  No side is
+    broadcast by hand, and no pairing is made however many patterns begin with a
+    wildcard.
     """
-    first = lambda c: F.split(c, r"\.")[0]
-    rules = bindings.select("stream", _regex(F.col("pattern")).alias("_re"), first(F.col("pattern")).alias("_t"))
-    subjects = messages.select("subject").where("subject is not null").distinct().withColumn("_first", first(F.col("subject")))
-    open_rule = F.col("_t").isin("*", ">")
-    plain = subjects.join(rules.where(~open_rule), (F.col("_first") == F.col("_t")) & F.expr("subject rlike _re"))
-    loose = rules.where(open_rule)
-    if loose.limit(BROADCAST_BINDINGS + 1).count() <= BROADCAST_BINDINGS:
-        loose = F.broadcast(loose)
-    wide = subjects.join(loose, F.expr("subject rlike _re"))
-    names = ["subject", "stream"]
-    routes = plain.select(*names).unionByName(wide.select(*names)).groupBy("subject").agg(F.min("stream").alias("stream"))
+    rules = bindings.groupBy("pattern").agg(F.min("stream").alias("stream"))
+    rules = rules.select("stream", _regex(F.col("pattern")).alias("_re"), _pattern_key(F.col("pattern")).alias("_k"))
+    subjects = messages.select("subject").where("subject is not null").distinct()
+    asked = subjects.select("subject", F.explode(F.array_distinct(_subject_keys(F.col("subject")))).alias("_key"))
+    covered = asked.join(rules, (F.col("_key") == F.col("_k")) & F.expr("subject rlike _re"))
+    routes = covered.groupBy("subject").agg(F.min("stream").alias("stream"))
     # Dealt anew, the few routes let Spark split a subject that many messages share.
     routes = routes.withColumnRenamed("subject", "_s").repartition("_s")
     return messages.join(routes, F.col("subject") == F.col("_s"), "left").drop("_s")
@@ -55,56 +74,15 @@ def check_expected_stream(routed: DataFrame, expected: str | None) -> DataFrame:
     return routed.withColumn("route_error", error)
 
 
-def hops(lines: DataFrame, by: list[str], step: int) -> DataFrame:
-    """(_row) kept of every line when each kept time silences those less than ``step`` later.
-
-    ``lines``: the columns ``by``, _at, _row, _first (true on a line's first row)
-    and _since (the time that silences from before).  Lines are sorted by Spark,
-    which spills, and read batch by batch: only the last kept time is carried.
-    """
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = 0
-        for batch in batches:
-            times, since = np.asarray(batch.column("_at")), np.asarray(batch.column("_since"))
-            first = np.asarray(batch.column("_first").cast("int8"))
-            begins = np.flatnonzero(first)
-            kept = []
-            for begin, end in zip([0, *begins.tolist()], [*begins.tolist(), len(times)], strict=True):
-                if begin == end:
-                    continue
-                if first[begin]:
-                    last = int(since[begin])
-                at = begin
-                while (at := at + int(np.searchsorted(times[at:end], last + step, side="left"))) < end:
-                    kept.append(at)
-                    last = int(times[at])
-                    at += 1
-            yield batch.select(["_row"]).take(pa.array(kept, pa.int64()))
-
-    dealt = lines.repartition(*by).sortWithinPartitions(*by, "_at", "_row").select("_row", "_at", "_since", "_first")
-    return dealt.mapInArrow(keep, f"_row {lines.schema['_row'].dataType.simpleString()}")
-
-
 def dedupe_window(messages: DataFrame, key: str, ts: str, row: str, window_seconds: int) -> DataFrame:
     """Rows kept when a key is accepted at most once in any ``window_seconds`` since its last accepted row.
 
-    A row at least a window after the one before it is accepted whatever came
-    earlier, so gaps cut a key into runs; only runs of close rows are folded,
-    and a hot key's runs fold apart from each other.  Ties go by ``row``.
+    Ties go by ``row``.  Keys are read in stretches of time (see ``hops``), so a
+    hot key's copies spread over many tasks; copies without a key are one key.
     """
-    order = W.partitionBy(key).orderBy(ts, row)
-    micros = F.unix_micros(F.col(ts))
-    since = micros - F.lag(micros).over(order)
-    fresh = (since.isNull() | (since >= window_seconds * 1_000_000)).cast("long")
-    lean = messages.select(F.col(key).alias("_key"), F.col(row).alias("_row"), micros.alias("_at"), F.sum(fresh).over(order).alias("_run"), (fresh == 1).alias("_first"), (micros - window_seconds * 1_000_000).alias("_since"))
-    size = W.partitionBy("_key", "_run")
-    runs = lean.withColumn("_n", F.count(F.lit(1)).over(size))
-    single = runs.where("_n = 1").select("_row")
-
-    folded = hops(runs.where("_n > 1"), ["_key", "_run"], window_seconds * 1_000_000)
-    kept = single.unionByName(folded)
-    return messages.join(kept, F.col(row) == F.col("_row"), "left_semi")
+    lean = messages.select(F.col(key).alias("_line"), F.col(row).alias("_row"), F.unix_micros(F.col(ts)).alias("_at"), F.lit(False).alias("_forced"), F.lit(NEVER).alias("_start"))
+    kept = hops(lean, window_seconds * 1_000_000)
+    return messages.join(kept, F.col(key).eqNullSafe(F.col("_line")) & (F.col(row) == F.col("_row")), "left_semi")
 
 
 def live_messages(stored: DataFrame, as_of: Column) -> DataFrame:

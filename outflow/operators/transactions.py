@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from outflow.operators.decode import inserted
+
 FILE = ("source_id", "log_file")
 MAX_ROWS, MAX_BYTES = 10_000, 67_108_864
 
@@ -62,17 +64,17 @@ def _row_bytes(row: Column) -> Column:
 
 def event_weight(log: DataFrame, schema: str, table: str) -> DataFrame:
     """Adds ``n_rows`` and ``n_bytes``: the event's outbox inserts, without exploding them."""
-    ours = (F.col("event_type") == "WRITE_ROWS") & (F.col("schema_name") == schema) & (F.col("table_name") == table)
-    mine = F.when(ours, F.col("rows"))
-    if "nested" in log.columns:
-        inner = F.filter("nested", lambda e: (e["event_type"] == "WRITE_ROWS") & (e["schema_name"] == schema) & (e["table_name"] == table))
-        mine = F.when(F.col("event_type") == "PAYLOAD", F.flatten(F.transform(inner, lambda e: e["rows"]))).otherwise(mine)
-    size = F.aggregate(mine, F.lit(0).cast("long"), lambda acc, r: acc + _row_bytes(r))
-    return log.withColumn("n_rows", F.coalesce(F.size(mine), F.lit(0)).cast("long")).withColumn("n_rows", F.greatest("n_rows", F.lit(0).cast("long"))).withColumn("n_bytes", F.coalesce(size, F.lit(0).cast("long")))
+    mine = inserted(schema, table)
+    zero = F.lit(0).cast("long")
+    size = F.aggregate(mine, zero, lambda acc, r: acc + _row_bytes(r))
+    return log.withColumns({"n_rows": F.greatest(F.coalesce(F.size(mine).cast("long"), zero), zero), "n_bytes": F.coalesce(size, zero)})
 
 
 def transaction_outcomes(log: DataFrame, schema: str, table: str) -> DataFrame:
-    """(source_id, log_file, tx, outcome, n_rows, n_bytes, end_pos); outcome ``open`` has no terminal yet."""
+    """(source_id, log_file, tx, outcome, n_rows, n_bytes, end_pos); outcome ``open`` has no terminal yet.
+
+    Events that neither end a transaction nor bring rows (rotates, BEGIN) make none.
+    """
     lean = event_weight(log, schema, table).select(*FILE, "log_pos", "event_seq", "event_type", "query", "n_rows", "n_bytes")
     grouped = assign_transactions(lean).groupBy(*FILE, "tx")
     return grouped.agg(
@@ -80,7 +82,7 @@ def transaction_outcomes(log: DataFrame, schema: str, table: str) -> DataFrame:
         F.sum("n_rows").alias("n_rows"),
         F.sum("n_bytes").alias("n_bytes"),
         F.max(F.when(ending().isNotNull(), F.col("log_pos"))).alias("end_pos"),
-    )
+    ).where("outcome <> 'open' or n_rows > 0")
 
 
 def with_outcome(log: DataFrame) -> DataFrame:
@@ -98,9 +100,15 @@ def committed_rows(log: DataFrame) -> DataFrame:
 
 
 def open_rows(log: DataFrame) -> DataFrame:
-    """Insert events with no terminal yet: input of the next run."""
-    ends = assign_transactions(log.select(*FILE, "log_pos", "event_seq", "event_type", "query")).where(ending().isNotNull()).select(*FILE, "tx").distinct()
-    return assign_transactions(log).where("event_type = 'WRITE_ROWS'").join(ends, [*FILE, "tx"], "left_anti")
+    """Insert events with no terminal yet: input of the next run.
+
+    In a file that was already rotated away they are not open but an anomaly
+    (see ``log_anomalies``), and are left out.
+    """
+    numbered = assign_transactions(log)
+    tx = W.partitionBy(*FILE, "tx")
+    closed = F.max((ending().isNotNull() | (F.col("event_type") == "ROTATE")).cast("int")).over(tx)
+    return numbered.withColumn("_closed", closed).where("event_type = 'WRITE_ROWS' and _closed = 0").drop("_closed")
 
 
 #: Total publish order of committed rows.
@@ -122,7 +130,7 @@ def log_anomalies(log: DataFrame, schema: str, table: str) -> DataFrame:
     """(source_id, log_file, log_pos, reason): what a sequential reader would stop at.
 
     A rotate or a self-contained payload while rows are open; a commit at
-    position 0 with rows.
+    position 0, with rows or without.
     """
     lean = event_weight(log, schema, table).select(*FILE, "log_pos", "event_seq", "event_type", "query", "n_rows")
     file = W.partitionBy(*FILE).orderBy("log_pos", "event_seq").rowsBetween(W.unboundedPreceding, -1)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,11 @@ from pyspark.sql import types as T
 
 from outflow import schemas
 
+#: Folder of published messages beside a state's versions.
+MESSAGES = "messages"
+#: What the name of a compacted version ends in.
+WHOLE = "-whole"
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns, found by name without regard to case; order and extra columns don't matter.
@@ -61,8 +68,8 @@ def stream_change_log(spark: SparkSession, path: str, files_per_batch: int = 16)
     return spark.readStream.schema(schemas.CHANGE_LOG).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def to_envelope(messages: DataFrame, stable_id: Column, headers: Column | None = None, expected_stream: str | None = None, id_header: str = "Nats-Msg-Id", ttl_header: str = "Nats-TTL", stream_header: str = "Nats-Expected-Stream") -> DataFrame:
-    """Broker records: topic, key, value (the payload unchanged) and headers.
+def to_envelope(messages: DataFrame, stable_id: Column, headers: Column | None = None, expected_stream: str | None = None, id_header: str = "Nats-Msg-Id", ttl_header: str = "Nats-TTL", stream_header: str = "Nats-Expected-Stream", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Broker records: topic, key, value (the payload unchanged) and headers, after the columns of ``keep``.
 
     ``headers``: map of name to values, kept in name order before the relay's own.
     """
@@ -76,12 +83,13 @@ def to_envelope(messages: DataFrame, stable_id: Column, headers: Column | None =
     if expected_stream:
         own.append(pair(F.lit(stream_header), F.lit(expected_stream)))
     ttl = F.when(F.col("ttl_seconds").isNotNull(), F.array(pair(F.lit(ttl_header), F.concat(F.col("ttl_seconds").cast("string"), F.lit("s"))))).otherwise(none)
-    return messages.select(F.col("subject").alias("topic"), stable_id.alias("key"), F.col("payload").alias("value"), F.concat(given, F.array(*own), ttl).alias("headers"))
+    return messages.select(*keep, F.col("subject").alias("topic"), stable_id.alias("key"), F.col("payload").alias("value"), F.concat(given, F.array(*own), ttl).alias("headers"))
 
 
 def write_messages(envelopes: DataFrame, path: str, order: list[str]) -> None:
     """Messages in commit order: range-dealt by ``order``, sorted inside each file."""
-    envelopes.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    dealt = envelopes.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    dealt.write.mode("overwrite").parquet(path)
 
 
 def _pointer(spark: SparkSession, base: str):
@@ -89,38 +97,119 @@ def _pointer(spark: SparkSession, base: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def write_state(outbox: DataFrame, checkpoints: DataFrame, base: str, version: str | None = None) -> str:
-    """Results and checkpoint as one unit: both tables first, one small pointer last.
-
-    A reader follows the pointer, so it sees both or neither.  Writing a version
-    again replaces it, which makes a repeated batch harmless.
-    """
-    spark = outbox.sparkSession
-    version = version or uuid.uuid4().hex
-    for name, df in (("outbox", outbox), ("checkpoints", checkpoints)):
-        df.write.mode("overwrite").parquet(f"{base}/{version}/{name}")
+def swap_pointer(spark: SparkSession, base: str, content: dict) -> None:
+    """Readers see the old content or the new, nothing between."""
     fs, root = _pointer(spark, base)
     jvm = spark._jvm
     fresh, current = (jvm.org.apache.hadoop.fs.Path(root, n) for n in (f"CURRENT.{uuid.uuid4().hex}", "CURRENT"))
     out = fs.create(fresh, True)
-    out.write(bytearray(json.dumps({"version": version}).encode()))
+    out.write(bytearray(json.dumps(content).encode()))
     out.close()
     options = jvm.java.lang.reflect.Array.newInstance(jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
     options[0] = jvm.java.lang.Enum.valueOf(jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), "OVERWRITE")
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(root.toUri(), spark._jsc.hadoopConfiguration()).rename(fresh, current, options)
-    return version
 
 
-def current_version(spark: SparkSession, base: str) -> str | None:
-    """The version the pointer names, if any."""
+def read_pointer(spark: SparkSession, base: str) -> dict | None:
+    """What the pointer names, if there is one: version, snapshot, and the deltas on top of it in order."""
     fs, root = _pointer(spark, base)
     path = spark._jvm.org.apache.hadoop.fs.Path(root, "CURRENT")
-    if not fs.exists(path):
-        return None
-    return json.loads(spark.read.text(path.toString()).first()[0])["version"]
+    return json.loads(spark.read.text(path.toString()).first()[0]) if fs.exists(path) else None
+
+
+def current_version(spark: SparkSession, base: str) -> str | None:
+    """The version the pointer names, if any."""
+    found = read_pointer(spark, base)
+    return found and found["version"]
+
+
+def write_state(outbox: DataFrame, checkpoints: DataFrame, base: str, version: str | None = None) -> str:
+    """Results and checkpoint as one unit: both tables first, one small pointer last.
+
+    A reader follows the pointer, so it sees both or neither.  Writing a version
+    again replaces it, which makes a repeated batch harmless.
+    """
+    version = version or uuid.uuid4().hex
+    for name, df in (("outbox", outbox), ("checkpoints", checkpoints)):
+        df.write.mode("overwrite").parquet(f"{base}/{version}/{name}")
+    swap_pointer(outbox.sparkSession, base, {"version": version, "snapshot": version, "deltas": []})
+    return version
+
+
+def write_delta(removed: DataFrame, changed: DataFrame, checkpoints: DataFrame, base: str, version: str, more: dict[str, DataFrame] | None = None) -> None:
+    """A change of the state as one unit: ids that left, rows as they are now, and the checkpoints.
+
+    Nothing that stays is written again; ``compact`` folds deltas into a table.
+    ``more``: other tables to lie beside them, by name.
+    """
+    spark = changed.sparkSession
+    before = read_pointer(spark, base) or {"snapshot": None, "deltas": []}
+    for name, df in (("removed", removed.select("id")), ("changed", changed), ("checkpoints", checkpoints), *(more or {}).items()):
+        df.write.mode("overwrite").parquet(f"{base}/{version}/{name}")
+    swap_pointer(spark, base, {"version": version, "snapshot": before["snapshot"], "deltas": [*before["deltas"], version]})
 
 
 def read_state(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame] | None:
-    """(outbox, checkpoints) of the current version."""
-    version = current_version(spark, base)
-    return version and tuple(spark.read.parquet(f"{base}/{version}/{n}") for n in ("outbox", "checkpoints"))
+    """(outbox, checkpoints) as the pointer names them; of an id's changes the last one counts."""
+    found = read_pointer(spark, base)
+    if found is None:
+        return None
+    whole = spark.read.parquet(f"{base}/{found['snapshot']}/outbox") if found["snapshot"] else spark.createDataFrame([], schemas.OUTBOX)
+    checkpoints = spark.read.parquet(f"{base}/{found['version']}/checkpoints")
+    if not found["deltas"]:
+        return whole, checkpoints
+    parts = [(F.lit(k).alias("_seq"), f"{base}/{v}") for k, v in enumerate(found["deltas"])]
+    changed = [spark.read.parquet(f"{path}/changed").withColumn("_seq", seq) for seq, path in parts]
+    removed = [spark.read.parquet(f"{path}/removed").select("id", seq) for seq, path in parts]
+    rows = reduce(DataFrame.unionByName, changed)
+    touched = reduce(DataFrame.unionByName, removed, rows.select("id", "_seq")).groupBy("id").agg(F.max("_seq").alias("_seq"))
+    now = rows.join(touched, ["id", "_seq"], "left_semi").drop("_seq")
+    return whole.join(touched, "id", "left_anti").unionByName(now.select(*whole.columns)), checkpoints
+
+
+def compact(spark: SparkSession, base: str) -> None:
+    """Folds the deltas into one table; what only the pointer before the last named goes with the next call."""
+    found = read_pointer(spark, base)
+    if found is None or not found["deltas"]:
+        return
+    write_state(*read_state(spark, base), base, f"{found['version']}{WHOLE}")
+    prune(spark, base, keep=[found["snapshot"], *found["deltas"]])
+
+
+def prune(spark: SparkSession, base: str, keep: list | None = None) -> list[str]:
+    """Removes versions that neither the pointer nor ``keep`` names; returns their names.
+
+    Readers of the state before may still be at work, so ``compact`` keeps it.
+    """
+    found = read_pointer(spark, base)
+    if found is None:
+        return []
+    named = {found["version"], found["snapshot"], *found["deltas"], *(keep or []), MESSAGES}
+    fs, root = _pointer(spark, base)
+    gone = [s.getPath() for s in fs.listStatus(root) if s.isDirectory() and s.getPath().getName() not in named]
+    for path in gone:
+        fs.delete(path, True)
+    return sorted(p.getName() for p in gone)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, root = _pointer(spark, path)
+    return fs.exists(root)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a folder that nothing reads any more."""
+    fs, root = _pointer(spark, path)
+    fs.delete(root, True)
+
+
+def sweep(spark: SparkSession, base: str, older_than_seconds: int) -> list[str]:
+    """Removes folders under ``base`` that nothing has written to for so long: what finished runs have left staged."""
+    fs, root = _pointer(spark, base)
+    if not fs.exists(root):
+        return []
+    limit = time.time() * 1000 - older_than_seconds * 1000
+    gone = [s.getPath() for s in fs.listStatus(root) if s.isDirectory() and s.getModificationTime() <= limit]
+    for path in gone:
+        fs.delete(path, True)
+    return sorted(p.getName() for p in gone)

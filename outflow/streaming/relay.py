@@ -2,72 +2,145 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from outflow.operators.checkpoints import upsert_checkpoints
+from outflow import schemas
+from outflow.functions.validate import parse_headers, stable_message_id
+from outflow.operators.checkpoints import checkpoint_timeline, file_number, gtid_as_of, upsert_checkpoints
+from outflow.operators.decode import decode_rows, explode_inserts, quarantine
 from outflow.operators.delivery import apply_results, attempt
-from outflow.operators.transactions import ending
-from outflow.sources.tables import current_version, read_state, write_state
+from outflow.operators.gtid import format_gtid_set, parse_gtid_set
+from outflow.operators.transactions import COMMIT_ORDER, FILE, MAX_BYTES, MAX_ROWS, ending, event_weight
+from outflow.sources import tables as tb
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PLACES = "source_id string, log_file string, kind string, log_pos long, event_seq long, commit_pos long, end_file string, outcome string, gtid_uuid string, gno long, n_rows long, n_bytes long, at long"
 
 
 class _Assembly(StatefulProcessor):
-    """Rows of one (source, file) wait in list state for the terminal that decides them."""
+    """Places of the inserts of one (source, file) wait in state for the terminal that decides them."""
 
-    def __init__(self, max_open: int):
-        self.max_open = max_open
+    def __init__(self, max_rows: int, max_bytes: int, timed: bool):
+        self.max_rows, self.max_bytes, self.timed = max_rows, max_bytes, timed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.rows = handle.getListState("rows", "log_pos long, event_seq long, row_idx int, body binary")
-        self.count = handle.getValueState("count", "n long")
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "log_pos long, event_seq long, n_rows long, n_bytes long, at long")
+        self.gtid = handle.getValueState("gtid", "uuid string, gno long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # The batch's rows of a key may come in any order.
-        new = pd.concat(list(rows)).sort_values(["log_pos", "event_seq", "row_idx"], na_position="first")
-        waiting = list(self.rows.get()) if self.rows.exists() else []
-        out, kept = [], len(waiting)
-        for r in new.itertuples(index=False):
-            if not isinstance(r.outcome, str):
-                waiting.append((int(r.log_pos), int(r.event_seq), int(r.row_idx), bytes(r.body)))
-                if len(waiting) > self.max_open:
-                    raise ValueError(f"transaction of {key} has more than {self.max_open} rows")
+        # The batch's events of a key may come in any order.
+        new = pd.concat(list(rows)).sort_values(["log_pos", "event_seq"])
+        waiting = list(self.waiting.get()) if self.waiting.exists() else []
+        kept, held, out = len(waiting), len(waiting), []
+        n_rows, n_bytes = sum(w[2] for w in waiting), sum(w[3] for w in waiting)
+        pair = tuple(self.gtid.get()) if self.gtid.exists() else (None, None)
+        first_pair = pair
+
+        def limits() -> None:
+            if n_rows > self.max_rows:
+                raise ValueError(f"transaction of {key} has more than {self.max_rows} rows")
+            if n_bytes > self.max_bytes:
+                raise ValueError(f"transaction of {key} has more than {self.max_bytes} bytes")
+
+        for e in new.itertuples(index=False):
+            pos, seq, at = int(e.log_pos), int(e.event_seq), int(e.at)
+            if e.event_type == "GTID":
+                pair = (e.gtid_uuid, int(e.gno))
                 continue
-            if r.outcome == "committed":
-                out.extend((*key, int(r.log_pos), *w) for w in waiting)
-            waiting, kept = [], 0
-        if kept == 0:
-            self.rows.put(waiting) if waiting else self.rows.clear()
+            if waiting and e.event_type == "ROTATE":
+                raise ValueError(f"the log of {key} rotates at {pos} with an open transaction")
+            if waiting and e.event_type == "PAYLOAD":
+                raise ValueError(f"a self-contained transaction of {key} begins at {pos} with rows waiting")
+            if e.event_type in ("WRITE_ROWS", "PAYLOAD"):
+                if e.n_rows:
+                    waiting.append((pos, seq, int(e.n_rows), int(e.n_bytes), at))
+                n_rows, n_bytes = n_rows + int(e.n_rows), n_bytes + int(e.n_bytes)
+                limits()
+            if e.event_type == "ROTATE":
+                out.append((*key, "end", pos, seq, int(e.next_pos), e.next_file, "rotated", *pair, 0, 0, at))
+            elif isinstance(e.outcome, str):
+                if e.outcome == "committed":
+                    if pos == 0:
+                        raise ValueError(f"a commit of {key} is at position 0")
+                    out.extend((*key, "rows", w[0], w[1], pos, key[1], e.outcome, *pair, w[2], w[3], at) for w in waiting)
+                committed = e.outcome == "committed"
+                out.append((*key, "end", pos, seq, pos, key[1], e.outcome, *pair, n_rows if committed else 0, n_bytes if committed else 0, at))
+                waiting, n_rows, n_bytes, kept = [], 0, 0, 0
+        if kept == 0 and (waiting or held):
+            self.waiting.put(waiting) if waiting else self.waiting.clear()
         elif len(waiting) > kept:
-            self.rows.appendList(waiting[kept:])
+            self.waiting.appendList(waiting[kept:])
+        if pair != first_pair:
+            self.gtid.update(pair)
+        if self.timed:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            last = max((w[4] for w in waiting), default=None)
+            if last is not None:
+                self.handle.registerTimer(last // 1000 + 1)
         if out:
-            yield pd.DataFrame(out, columns=["source_id", "log_file", "commit_pos", "log_pos", "event_seq", "row_idx", "body"])
+            yield _placed(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        waiting = list(self.waiting.get()) if self.waiting.exists() else []
+        self.waiting.clear()
+        if waiting:
+            yield _placed([(*key, "expired", waiting[0][0], waiting[0][1], None, key[1], None, None, None, sum(w[2] for w in waiting), sum(w[3] for w in waiting), waiting[-1][4])])
 
     def close(self) -> None:
         pass
 
 
-def stream_committed_rows(events: DataFrame, max_open: int = 10_000) -> DataFrame:
-    """Committed rows of a change-log stream; rows may come in an earlier batch than their commit.
+def _placed(rows: list[tuple]) -> pd.DataFrame:
+    fields = [c.split(" ") for c in PLACES.split(", ")]
+    return pd.DataFrame({name: pd.array(values, dtype="Int64" if kind == "long" else object) for (name, kind), values in zip(fields, zip(*rows, strict=True), strict=True)})
+
 
-    ``events``: change-log columns.  Rows of one table's inserts are expected
-    (filter before).  ``row`` of the result is the positional image.  A key's
-    events must arrive in log order from batch to batch.
+def stream_transactions(events: DataFrame, schema: str, table: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, watermark: str | None = None) -> DataFrame:
+    """Places of committed inserts, and terminals, of a change-log stream.
+
+    Rows may come in an earlier batch than their commit: only their events'
+    places, counts and sizes wait in state.  ``kind`` tells ``rows`` (an event
+    whose inserts are committed at commit_pos) from ``end`` (a terminal, with the
+    last GTID and its transaction's size) and ``expired``.  As a reader of the log does, it stops
+    at a transaction beyond a limit, a rotate or self-contained transaction while rows wait, and a
+    commit at position 0.  A key's (source, file) events must arrive in log
+    order from batch to batch; a rotate ends its state.
+
+    With a ``watermark`` on event_ts, rows whose terminal has not come when it
+    passes them leave state as one ``expired`` row with their counts.  Spark then
+    also drops events that come later than it, so size it from the longest open
+    transaction; without one nothing expires and nothing is dropped.
     """
-    body = F.to_json(F.struct(F.transform("row", lambda v: F.base64(v)).alias("row"))).cast("binary")
-    inserts = events.where("event_type = 'WRITE_ROWS'").select("source_id", "log_file", "log_pos", "event_seq", F.posexplode("rows").alias("row_idx", "row"))
-    inserts = inserts.select("source_id", "log_file", "log_pos", "event_seq", "row_idx", body.alias("body"), F.lit(None).cast("string").alias("outcome"))
-    ends = events.withColumn("outcome", ending()).where("outcome is not null")
-    ends = ends.select("source_id", "log_file", "log_pos", "event_seq", F.lit(0).alias("row_idx"), F.lit(None).cast("binary").alias("body"), "outcome")
-    schema = "source_id string, log_file string, commit_pos long, log_pos long, event_seq long, row_idx int, body binary"
-    joined = inserts.unionByName(ends).groupBy("source_id", "log_file").transformWithStateInPandas(_Assembly(max_open), schema, "Append", "None")
-    row = F.transform(F.from_json(F.col("body").cast("string"), "row array<string>")["row"], lambda v: F.unbase64(v))
-    return joined.withColumn("row", row).drop("body")
+    weighed = event_weight(events.withWatermark("event_ts", watermark) if watermark else events, schema, table)
+    wanted = (F.col("n_rows") > 0) | F.col("outcome").isNotNull() | F.col("event_type").isin("ROTATE", "GTID")
+    lean = weighed.withColumn("outcome", ending()).where(wanted)
+    # Never null, as pandas would make floats of them.
+    whole = [F.coalesce(c, F.lit(0).cast("long")).alias(n) for n, c in (("next_pos", F.col("next_pos")), ("gno", F.col("gno")), ("at", F.unix_micros("event_ts")))]
+    lean = lean.select(*FILE, "log_pos", "event_seq", "event_type", "next_file", "gtid_uuid", "outcome", "n_rows", "n_bytes", *whole, *(["event_ts"] if watermark else []))
+    return lean.groupBy(*FILE).transformWithStateInPandas(_Assembly(max_rows, max_bytes, bool(watermark)), PLACES, "Append", "EventTime" if watermark else "None")
+
+
+def rows_at(places: DataFrame, log: DataFrame) -> DataFrame:
+    """The log's events at the committed places, with commit_pos: payloads join only now."""
+    committed = places.where("kind = 'rows'").select(*FILE, "log_pos", "event_seq", "commit_pos")
+    return log.join(committed, [*FILE, "log_pos", "event_seq"])
+
+
+def stream_committed_rows(events: DataFrame, log: DataFrame, schema: str, table: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, watermark: str | None = None) -> DataFrame:
+    """Committed rows (positional images in ``row``) of a change-log stream.
+
+    ``log`` is the same log as a table; Spark lists its files when the query
+    starts, so an unending stream should join each batch anew (see ``relay_batch``).
+    """
+    places = stream_transactions(events, schema, table, max_rows, max_bytes, watermark)
+    return explode_inserts(rows_at(places, log), schema, table)
 
 
 class _Dedupe(StatefulProcessor):
@@ -97,7 +170,7 @@ class _Dedupe(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.last.clear()
-        yield pd.DataFrame({"key": [], "row": [], "at": []})
+        return iter(())
 
     def close(self) -> None:
         pass
@@ -117,33 +190,98 @@ def stream_dedupe(stream: DataFrame, key: str, ts: str, row: str, window_seconds
     return lean.groupBy("key").transformWithStateInPandas(_Dedupe(window_seconds * 1_000_000), schema, "Append", "EventTime")
 
 
-def relay_batch(base: str, bindings: DataFrame, consumer: str, now, expected: str | None = None):
-    """A foreachBatch function: attempt the committed messages, apply results, move the checkpoint.
+def relay_batch(
+    base: str,
+    read_log: Callable[[SparkSession], DataFrame],
+    names: tuple[str, str, str],
+    bindings: DataFrame,
+    consumer: str,
+    now: Column,
+    expected: str | None = None,
+    interval_seconds: int = 5,
+    compact_every: int = 16,
+):
+    """A foreachBatch function over ``stream_transactions``: publish, apply results, move the checkpoints.
+
+    ``names``: prefix, schema and table of the stable ids.  In order: the
+    batch's places are written; their rows are read from the log, checked and
+    routed; envelopes of accepted rows are written to ``base/messages`` in
+    commit order; then published ids, failed rows and checkpoints appear as one
+    unit, a delta named after the batch.  A batch that is run again publishes
+    the same files again or, if its delta is named already, does nothing.
 
-    Results and checkpoint appear together under a version named after the
-    batch; a batch that is run again finds its version in place and does nothing.
-    ``messages``: outbox columns plus source_id, log_file and commit_pos.
+    Each source has a checkpoint, ``consumer/source``, at the last terminal that
+    writes one (see ``checkpoint_timeline``; the log's own clock), with the GTID
+    set up to there if it had one; a checkpoint never goes back.  Rows that come
+    again are published again, under the same message ids.  A source's events
+    must come in log order from batch to batch.  A base without state is empty.
     """
+    prefix, schema, table = names
 
-    def run(messages: DataFrame, batch_id: int) -> None:
-        spark = messages.sparkSession
+    def run(places: DataFrame, batch_id: int) -> None:
+        spark = places.sparkSession
         version = f"batch-{batch_id:012d}"
-        if current_version(spark, base) == version:
+        found = tb.read_pointer(spark, base)
+        if found and (found["version"].startswith(version) or version in found["deltas"]):
             return
-        outbox, checkpoints = read_state(spark, base)
-        tried = attempt(messages, bindings, expected)
-        after = apply_results(outbox, tried.dropDuplicates(["id"]), now)
-        place = F.struct("log_file", "commit_pos")
-        last = messages.agg(F.max(place).alias("p")).where("p is not null")
-        update = last.select(
-            F.lit(consumer).alias("consumer_name"), F.col("p.log_file").alias("binlog_name"), F.col("p.commit_pos").alias("binlog_position"), F.lit(None).cast("string").alias("gtid_set"), F.lit(batch_id).alias("write_seq")
-        )
-        write_state(after, upsert_checkpoints(checkpoints, update, now), base, version)
+        outbox, saved = tb.read_state(spark, base) if found else (spark.createDataFrame([], schemas.OUTBOX), spark.createDataFrame([], schemas.CHECKPOINT))
+        here = f"{base}/{version}"
+        mine = F.concat_ws("/", F.lit(consumer), "source_id")
+        known = saved.select(F.col("consumer_name").alias("_c"), file_number(F.col("binlog_name")).alias("_f"), F.col("binlog_position").alias("_p"), F.col("updated_at").alias("since"))
+        number = F.coalesce(file_number(F.col("end_file")), F.lit(0))
+        fresh = F.col("_f").isNull() | (number > F.col("_f")) | ((number == F.col("_f")) & (F.col("commit_pos") > F.col("_p")))
+        placed = places.withColumns({"consumer": mine, "line": number * (1 << 32) + F.col("commit_pos")})
+        placed.join(known, F.col("consumer") == F.col("_c"), "left").where("commit_pos is not null").withColumn("fresh", fresh).drop("_c", "_f", "_p").write.mode("overwrite").parquet(f"{here}/places")
+        placed = spark.read.parquet(f"{here}/places")
+
+        decoded = quarantine(decode_rows(explode_inserts(rows_at(placed, read_log(spark)), schema, table)))
+        carried = ("payload", "headers", "message_id", "ttl_seconds", "event_ts", *COMMIT_ORDER)
+        attempt(decoded.withColumn("attempt_count", F.lit(0).cast("long")), bindings, expected, keep=carried).write.mode("overwrite").parquet(f"{here}/results")
+        results = spark.read.parquet(f"{here}/results")
+        sent = tb.to_envelope(results.where("ok"), stable_message_id(prefix, schema, table), parse_headers(F.col("headers")), expected, keep=COMMIT_ORDER)
+        tb.write_messages(sent, f"{base}/{tb.MESSAGES}/{version}", list(COMMIT_ORDER))
+
+        tried = results.select("id", "ok", "error").dropDuplicates(["id"])
+        old = outbox.join(tried.select("id"), "id", "left_semi")
+        made = {"attempt_count": F.lit(0).cast("long"), "last_attempt_at": F.lit(None).cast("timestamp"), "last_error": F.lit(None).cast("string"), "created_at": F.col("event_ts")}
+        new = results.where("not ok").dropDuplicates(["id"]).withColumns(made).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.OUTBOX])
+        rows = old.unionByName(new.join(old.select("id"), "id", "left_anti").select(*old.columns))
+        seen = placed.where("kind = 'end' and fresh and gtid_uuid is not null").select("consumer", "line", "gtid_uuid", "gno")
+        before = found and f"{base}/{found['version'].removesuffix(tb.WHOLE)}/ahead"
+        if before and tb.exists(spark, before):
+            seen = seen.unionByName(spark.read.parquet(before))
+        last = written(placed)
+        ahead = seen.join(last.select(F.col("consumer").alias("_c"), "row"), F.col("consumer") == F.col("_c"), "left").where("row is null or line > row").select("consumer", "line", "gtid_uuid", "gno")
+        points = upsert_checkpoints(saved, moved(placed, last, seen, saved), F.col("at"))
+        tb.write_delta(tried.where("ok"), apply_results(rows, tried, now), points, base, version, {"ahead": ahead})
+        tb.discard(spark, f"{here}/results")
+        if len(tb.read_pointer(spark, base)["deltas"]) >= compact_every:
+            tb.compact(spark, base)
+
+    def written(placed: DataFrame) -> DataFrame:
+        """(consumer, row, written): the terminal of each consumer that writes a checkpoint last in the batch."""
+        ends = placed.where("kind = 'end' and fresh").withColumn("ts", F.timestamp_micros("at"))
+        terminals = ends.select("consumer", "ts", F.col("line").alias("row"), (F.col("n_rows") > 0).alias("has_rows"), "since")
+        timeline = checkpoint_timeline(terminals, interval_seconds, F.col("since"))
+        return timeline.groupBy("consumer").agg(F.max("row").alias("row"), F.max("ts").alias("written"))
+
+    def moved(placed: DataFrame, last: DataFrame, seen: DataFrame, saved: DataFrame) -> DataFrame:
+        """The checkpoints at these terminals, with the GTIDs up to there for consumers that had a set.
+
+        ``seen``: GTIDs of this batch's terminals, and of earlier ones' that no checkpoint took up yet.
+        """
+        begun = saved.where("coalesce(gtid_set, '') <> ''").select(F.col("consumer_name").alias("consumer"), F.explode(parse_gtid_set(F.col("gtid_set"))).alias("g")).select("consumer", "g.*")
+        taken = seen.join(last, "consumer").where(F.col("line") <= F.col("row")).join(begun.select("consumer"), "consumer", "left_semi")
+        texts = format_gtid_set(gtid_as_of(taken, begun, ("consumer",)), ("consumer",))
+        ends = placed.where("kind = 'end'").join(last, "consumer").where(F.col("line") == F.col("row"))
+        point = ends.groupBy("consumer", "row", "written").agg(F.min("end_file").alias("binlog_name"), F.min("commit_pos").alias("binlog_position"))
+        return point.join(texts, "consumer", "left").select(F.col("consumer").alias("consumer_name"), "binlog_name", "binlog_position", "gtid_set", F.col("row").alias("write_seq"), F.col("written").alias("at"))
 
     return run
 
 
-def relay_stream(messages: DataFrame, base: str, bindings: DataFrame, consumer: str, now, checkpoint: str, expected: str | None = None, available_now: bool = True):
-    """Start the relay over a stream of committed messages."""
-    writer = messages.writeStream.foreachBatch(relay_batch(base, bindings, consumer, now, expected)).option("checkpointLocation", checkpoint)
+def relay_stream(events: DataFrame, base: str, read_log: Callable[[SparkSession], DataFrame], names: tuple[str, str, str], bindings: DataFrame, consumer: str, now: Column, checkpoint: str, available_now: bool = True, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, **more):
+    """Start the relay over a change-log stream; ``more`` goes to ``relay_batch``."""
+    places = stream_transactions(events, names[1], names[2], max_rows, max_bytes)
+    writer = places.writeStream.foreachBatch(relay_batch(base, read_log, names, bindings, consumer, now, **more)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,10 @@ from outflow.operators import checkpoints as cp
 from outflow.operators import gtid as gt
 from outflow.operators import metrics as mt
 from outflow.operators import routing as rt
+from outflow.operators.hops import NEVER, hops
+
+from outflow.schemas import CHANGE_LOG
+from tests.test_transactions import event
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -25,6 +30,35 @@ def test_dedupe_equals_a_loop(spark, seed):
     assert {r["id"] for r in rt.dedupe_window(df, "k", "t", "id", 10).collect()} == want
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_hops_across_stretches_equal_a_loop(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice("ab"), i, rng.randrange(900), rng.random() < 0.05 * seed, rng.choice([None, -40]) and -40) for i in range(400)]
+    rows += [("hot", 1000 + i, t, False, NEVER) for i, t in enumerate(range(0, 2000, 3))]
+    rows = [(k, i, t, f, -40 if k == "a" else None if k == "b" else s) for k, i, t, f, s in rows]
+    want = set()
+    for line in ("a", "b", "hot"):
+        mine = sorted((t, i, f, s) for k, i, t, f, s in rows if k == line)
+        last = mine[0][0] if mine[0][3] is None else mine[0][3]
+        for t, i, f, _ in mine:
+            if f or t - last >= 10:
+                want.add((line, i))
+                last = t
+    df = spark.createDataFrame(rows, "_line string, _row long, _at long, _forced boolean, _start long")
+    assert {tuple(r) for r in hops(df, 10, slots=3).collect()} == want
+
+
+def test_routes_equal_pairing_all(spark):
+    patterns = [("S1", "a.>"), ("S2", "a.b.*"), ("S3", "*.b.>"), ("S4", ">"), ("S5", "*.*"), ("S6", r"x\E.y"), ("S7", "*.*.c"), ("S8", "a.b.c.d"), ("S9", "*.>"), ("S0", "*.*.*.*.>")]
+    subjects = ["a", "a.b", "a.b.c", "x.b.c", r"x\E.y", "q", "q.r", "q.r.c", "a.b.c.d", "1.2.3.4.5", "", "a..b", None]
+    for n in range(len(patterns)):
+        rules = patterns[n:]
+        got = rt.route_subjects(spark.createDataFrame([(x,) for x in subjects], "subject string"), spark.createDataFrame(rules, "stream string, pattern string"))
+        for r in got.collect():
+            fits = [s for s, p in rules if r["subject"] is not None and re.match(rt.pattern_regex(p).replace(r"\z", r"\Z"), r["subject"])]
+            assert r["stream"] == min(fits, default=None), (r, rules)
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_timeline_equals_a_loop(spark, seed):
     rng = random.Random(seed)
@@ -97,5 +131,27 @@ def test_gauge_never_goes_below_zero(spark):
         level = level + 1 if first else max(0, level - 1) if ok and retry else level
         want.append(level)
     df = spark.createDataFrame(rows, "consumer string, id long, ts timestamp, ok boolean, was_retry boolean, first_failure boolean")
-    got = mt.failed_rows_gauge(df, spark.createDataFrame([("c", 2)], "consumer string, n_failed long"))
-    assert [r["gauge"] for r in got.orderBy("id").collect()] == want
+    initial = spark.createDataFrame([("c", 2)], "consumer string, n_failed long")
+    for stretch in (7, 3600):
+        got = mt.failed_rows_gauge(df, initial, stretch)
+        assert [r["gauge"] for r in got.orderBy("id").collect()] == want
+
+
+def test_metrics_hold_the_gauge_and_all_errors(spark):
+    attempts = spark.createDataFrame([("c", 1, T0, True, False), ("c", 2, T0, False, False), ("c", 3, T0, True, False), ("c", 4, T0, False, True), ("d", 5, T0, True, True)], "consumer string, id long, ts timestamp, ok boolean, was_retry boolean")
+    saved = spark.createDataFrame([("c", T0)], "consumer_name string, updated_at timestamp")
+    failed = spark.createDataFrame([("c", 1)], "consumer string, n_failed long")
+    got = {(r["consumer"], r["name"]): r["value"] for r in mt.metrics_long(mt.delivery_counters(attempts, saved), failed, spark.createDataFrame([("c", 3)], "consumer string, n_errors long")).collect()}
+    assert (got["c", "published_total"], got["c", "publish_errors_total"], got["c", "errors_total"], got["c", "failed_rows"]) == (2, 2, 5, 1)
+    assert (got["d", "retry_successes_total"], got["d", "errors_total"], got["d", "failed_rows"], got["d", "last_checkpoint_seconds"]) == (1, 0, 0, 0)
+
+
+def test_gtids_carry_over_files_but_not_in_file_mode(spark):
+    mark = lambda pos, gno, file, source: event("GTID", pos, file, gtid_uuid=source, gno=gno, source=source)
+    events = [e for s in ("s", "t") for e in (mark(4, 8, "f9", s), event("XID", 8, "f9", source=s), event("XID", 12, "f9", source=s), event("XID", 4, "f10", source=s), mark(6, 9, "f10", s), event("XID", 8, "f10", source=s), event("XID", 4, "f11", source=s))]
+    df = spark.createDataFrame(events, CHANGE_LOG)
+    saved = spark.createDataFrame([("s", "s:1-7"), ("t", None)], "source_id string, gtid_set string")
+    got = {(r["source_id"], r["log_file"], r["log_pos"]): r["gno"] for r in cp.attach_gtid(df, saved).collect()}
+    assert got == {("s", "f9", 8): 8, ("s", "f9", 12): 8, ("s", "f10", 4): 8, ("s", "f10", 8): 9, ("s", "f11", 4): 9} | {("t", f, p): None for f, p in (("f9", 8), ("f9", 12), ("f10", 4), ("f10", 8), ("f11", 4))}
+    start = spark.createDataFrame([("s", 1, 7)], "uuid string, start long, end long")
+    assert [tuple(r) for r in gt.format_gtid_set(cp.gtid_as_of(cp.attach_gtid(df, saved), start)).collect()] == [("s:1-9",)]

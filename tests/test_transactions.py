@@ -84,6 +84,7 @@ def test_outcomes_limits_and_anomalies(spark):
         (image(7, ttl=b"30"), None), (image(18446744073709551615), None), (image(18446744073709551616), "id is out of range"), (image(0), "id is zero"), (image(b"-1"), "id is not an unsigned number"),
         (image(b"12\n"), "id is not an unsigned number"), (image(b" 1"), "id is not an unsigned number"), (image(b"1e3"), "id is not an unsigned number"), (image(1, ttl=b"4294967295"), None), (image(1, ttl=b"4294967296"), "ttl is out of range"),
         (image(1, ttl=b"9" * 60), "ttl is out of range"), (image(b"9" * 60), "id is out of range"), (image(1, subject=None), "subject is null"), (image(1, payload=None), "payload is null"), (image(None), "id is null"), (image(1)[:5], "row has too few values"), (image(b"007"), None),
+        (image(b"\xff\xfe"), "id is not an unsigned number"), (image(1, subject=b"\xff\xfe"), "subject is not UTF-8"), (image(1, headers=b"\xff"), "headers are not UTF-8"), (image(1, message_id=b"\xc3"), "message id is not UTF-8"), (image(1, payload=b"\xff\xfe"), None), (image(1, ttl=b"\xff"), "ttl is not an unsigned number"),
     ],
 )
 def test_decoding(spark, row, error):
@@ -91,6 +92,14 @@ def test_decoding(spark, row, error):
     assert got["decode_error"] == error and (error is not None or int(got["id"]) == int(row[0]))
 
 
+def test_rotated_files_leave_nothing_open(spark):
+    events = [event("WRITE_ROWS", 4, rows=[image(1)]), event("XID", 8), event("ROTATE", 12, next_file="f2"), event("WRITE_ROWS", 4, "f2", rows=[image(2)]), event("ROTATE", 8, "f2", next_file="f3"), event("QUERY", 4, "f3", query="BEGIN"), event("WRITE_ROWS", 8, "f3", rows=[image(3)])]
+    df = log(spark, events)
+    assert {(r["log_file"], r["tx"], r["outcome"], r["n_rows"]) for r in tr.transaction_outcomes(df, DB, TABLE).collect()} == {("f1", 0, "committed", 1), ("f2", 0, "open", 1), ("f3", 0, "open", 1)}
+    assert [int(r["row"][0]) for r in dc.explode_rows(tr.open_rows(df)).collect()] == [3]
+    assert [(r["log_file"], r["reason"]) for r in tr.log_anomalies(df, DB, TABLE).collect()] == [("f2", "rotate with open rows")]
+
+
 def test_quarantine(spark):
     rows = dc.decode_rows(spark.createDataFrame([(image(1),), (image(0),)], "row array<binary>"))
     good, bad = dc.quarantine(rows, mode="split")
