@@ -5,27 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outflow.llm.shared import staged
+from outflow.llm.shared import staged, unstage
 
 
-def _large(edges: DataFrame) -> DataFrame:
-    """Every node's larger neighbours move to its least neighbour."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+def _meet(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Edges with the least neighbour (m) of their first node.
 
-
-def _small(edges: DataFrame) -> DataFrame:
-    """Every node and its smaller neighbours move to the least of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    The least neighbours are a table of their own, so that this is a plain join,
+    in which Spark can split a node that very many edges share.
+    """
+    return edges.join(least.withColumnRenamed("a", "node"), F.col("a") == F.col("node")).drop("node")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for every node on an edge; root is the least node reachable.
 
-    ``edges``: long columns a, b.  Each round is written to the shared folder,
+    ``edges``: long columns a, b.  Each round first moves every node's larger
+    neighbours to its least neighbour, then every node and its smaller
+    neighbours to the least of them.  Rounds are written to the shared folder,
     so a lost executor costs one round; the driver sees two numbers a round.
     """
     now = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
@@ -35,5 +32,12 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if state["n"] == 0 or state == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
         before = state
-        now = staged(_small(_large(now)), "edges")
+        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = staged(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
+        large = staged(_meet(both.where("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b")), "large")
+        fewer = staged(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        moved = _meet(large, fewer).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        after = staged(moved.unionByName(fewer.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        unstage(now, least, large, fewer)
+        now = after
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outflow.llm import bytewords as bw
-from outflow.llm.shared import small_batches
 
 SIMILARITY = 0.8
 #: Repeats and samples of each, the samples among the first REACH x size steps.
@@ -226,7 +225,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     benchmark gives no rows.  The text is read once for each block of items and
     never shuffled.
     """
-    small_batches(docs.sparkSession)
     schema = "doc_id long, item_id long, start long, n_words long, edits long"
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
@@ -249,7 +247,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item."""
-    small_batches(docs.sparkSession)
     schema = docs.schema
     for items in item_blocks(benchmark):
 

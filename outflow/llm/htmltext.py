@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outflow.llm.shared import small_batches
 
 #: Bound of the training sample, in pages.
 SAMPLE_PAGES = 300
@@ -403,7 +402,6 @@ def extract(pages: DataFrame, model: Trees | None) -> DataFrame:
                 texts = main_texts(batch.column("html").to_pylist(), model)
                 yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    small_batches(pages.sparkSession)
     cut = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
     return cut.mapInArrow(run, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
 

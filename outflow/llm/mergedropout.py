@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from outflow.llm.bytewords import mix64, powers
-from outflow.llm.shared import small_batches
 
 MODEL = "piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 17
@@ -377,7 +376,6 @@ def encode(docs: DataFrame, path: str | None = None, dropout: float = DROPOUT, s
     A null text has null ids, an empty one none.  Rows stay as they are and
     nothing is shuffled; other columns are ignored.
     """
-    small_batches(docs.sparkSession)
     path = path or model_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,7 +409,6 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 def encoded_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_chars, n_tokens, ids, lossless) of every row; a null text counts as empty."""
-    small_batches(docs.sparkSession)
     path = path or model_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

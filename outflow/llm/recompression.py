@@ -2,18 +2,25 @@
 
 Each round names maximal runs of one symbol and then pairs whose left and right
 members fall in opposite halves of the alphabet.  A name is a 64-bit hash of
-what it stands for, so every document gets the same name for the same content
-and rounds need no exchanged dictionary.  A symbol's *context* is the stretch of
-words that decides how it was formed: whoever sees those words sees the symbol.
+what it stands for, so every document proposes the same name for the same
+content.  A symbol's *context* is the stretch of words that decides how it was
+formed: whoever sees those words sees the symbol.
 
-Every window takes as anchor the least-named symbol whose context lies inside
-it; equal windows therefore have equal anchors.  Spark counts anchors, and only
-windows behind a repeated anchor go on:
+Every window takes as anchor the least-named symbol, of the highest level that
+has one, whose context lies inside it; equal windows therefore have equal
+anchors.  Spark agrees on names level by level: one table holds all anchors
+with their levels, a group-by over (level, name) finds the names that several
+places share, and only windows behind a shared name go on:
 
 * occurrences whose whole served stretch repeats are settled stretch by stretch
   (one record for about seven windows), the earliest staying;
 * of stretches that share an anchor but differ, the earliest copy of each is
   compared window by window.
+
+Neighbouring windows with neighbouring originals are then one run, and the
+words of a run are verified against those of its original: a digest of the
+original's words, taken once however many copies there are, is compared with
+that of the copy's.  Only verified runs are removed.
 """
 
 from __future__ import annotations
@@ -23,11 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outflow.llm import bytewords as bw
-from outflow.llm.shared import identified, small_batches, staged
+from outflow.llm.shared import identified, staged, unstage
 
 WINDOW = 20
 
@@ -111,7 +118,8 @@ def window_anchors(names: np.ndarray, word_offsets: np.ndarray, window: int, rou
     """Stretches of consecutive windows with one anchor.
 
     Returns the document index, first window start (in the document), number of
-    windows, anchor key and the hash of the whole stretch.
+    windows, anchor key, the hash of the whole stretch, and the anchor's level
+    (0: no symbol is settled inside, the window is its own anchor).
     """
     n = len(names)
     docs = np.repeat(np.arange(len(word_offsets) - 1), np.diff(word_offsets))
@@ -119,7 +127,7 @@ def window_anchors(names: np.ndarray, word_offsets: np.ndarray, window: int, rou
     starts = at[at + window <= word_offsets[1:][docs]] if n else at
     empty = np.zeros(0, np.int64)
     if not len(starts):
-        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64), empty
     prefix = bw.PrefixHash(names)
     levels = [Symbols.of_words(names, word_offsets)]
     for number in range(1, rounds + 1):
@@ -156,40 +164,47 @@ def window_anchors(names: np.ndarray, word_offsets: np.ndarray, window: int, rou
     whole = prefix.slices(begin, begin + count - 1 + window)
     whole = bw.mix64(whole ^ bw.mix64((where * 4096 + count).astype(np.uint64)))
     d = docs[begin]
-    return d, begin - word_offsets[d], count, key[first], whole
+    return d, begin - word_offsets[d], count, key[first], whole, np.where(spot[first] >= 0, spot[first] % (rounds + 1), 0)
+
+
+def _words_of(batch: pa.RecordBatch) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    buf, offsets = bw.text_bytes(batch.column("text"))
+    return buf, *bw.split_words(buf, offsets)
 
 
 def anchor_rows(docs: DataFrame, window: int) -> DataFrame:
-    """(rid, start, count, key, whole) for every stretch of windows of every document."""
+    """(rid, start, count, level, name, whole) for every stretch of windows of every document."""
     rounds = rounds_for(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_batch in batches:
             for batch in bw.row_slices(whole_batch, "text"):
                 rid = np.asarray(batch.column("_rid"))
-                buf, offsets = bw.text_bytes(batch.column("text"))
-                starts, ends, words = bw.split_words(buf, offsets)
+                buf, starts, ends, words = _words_of(batch)
                 names = bw.hash_spans(buf, starts, ends)
-                d, begin, count, key, whole = window_anchors(names, words, window, rounds)
+                d, begin, count, key, whole, level = window_anchors(names, words, window, rounds)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid[d]), pa.array(begin.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(whole.view(np.int64))],
-                    names=["rid", "start", "count", "key", "whole"],
+                    [pa.array(rid[d]), pa.array(begin.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(level.astype(np.int8)), pa.array(key.view(np.int64)), pa.array(whole.view(np.int64))],
+                    names=["rid", "start", "count", "level", "name", "whole"],
                 )
 
-    return docs.select("_rid", "text").mapInArrow(run, "rid long, start int, count int, key long, whole long")
+    return docs.select("_rid", "text").mapInArrow(run, "rid long, start int, count int, level byte, name long, whole long")
+
+
+def shared_names(anchors: DataFrame) -> DataFrame:
+    """(level, name): the names of every level that several places share."""
+    return anchors.groupBy("level", "name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("level", "name")
 
 
 def _window_rows(texts: DataFrame, stretches: DataFrame, window: int) -> DataFrame:
-    """(rid, start, key, value): one row for each window of the given stretches."""
-    lists = stretches.groupBy("rid").agg(F.collect_list(F.struct("start", "count", "key")).alias("parts"))
-    joined = texts.join(lists, texts["_rid"] == lists["rid"], "left").select("_rid", "text", "parts")
+    """(rid, start, level, name, value): one row for each window of the given stretches."""
+    lists = stretches.groupBy("rid").agg(F.collect_list(F.struct("start", "count", "level", "name")).alias("parts"))
+    joined = texts.join(lists, texts["_rid"] == lists["rid"]).select("_rid", "text", "parts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_batch in batches:
-            whole_batch = whole_batch.filter(whole_batch.column("parts").is_valid())
             for batch in bw.row_slices(whole_batch, "text"):
-                buf, offsets = bw.text_bytes(batch.column("text"))
-                starts, ends, words = bw.split_words(buf, offsets)
+                buf, starts, ends, words = _words_of(batch)
                 prefix = bw.PrefixHash(bw.hash_spans(buf, starts, ends, seed=7))
                 parts = batch.column("parts")
                 flat = parts.flatten()
@@ -198,40 +213,101 @@ def _window_rows(texts: DataFrame, stretches: DataFrame, window: int) -> DataFra
                 which = np.repeat(np.arange(len(row)), count)
                 step = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
                 begin = words[row[which]] + start[which] + step
+                at = pa.array(which)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.asarray(batch.column("_rid"))[row[which]]), pa.array((start[which] + step).astype(np.int32)), pa.array(np.asarray(flat.field("key"))[which]), pa.array(prefix.slices(begin, begin + window).view(np.int64))],
-                    names=["rid", "start", "key", "value"],
+                    [pa.array(np.asarray(batch.column("_rid"))[row[which]]), pa.array((start[which] + step).astype(np.int32)), flat.field("level").take(at), flat.field("name").take(at), pa.array(prefix.slices(begin, begin + window).view(np.int64))],
+                    names=["rid", "start", "level", "name", "value"],
                 )
 
-    return joined.mapInArrow(run, "rid long, start int, key long, value long")
+    return joined.mapInArrow(run, "rid long, start int, level byte, name long, value long")
+
+
+def _earliest() -> Column:
+    return F.min(F.struct("rid", "start")).alias("first")
+
+
+def _original() -> tuple[Column, Column]:
+    return F.col("first.rid").alias("src"), F.col("first.start").alias("src_start")
 
 
 def repeated_stretches(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(rid, start, count): windows ``start .. start+count-1`` that also begin earlier.
+    """(rid, start, count, src, src_start): windows ``start .. start+count-1`` that also begin at an earlier place.
 
-    ``docs`` has ``_rid`` (unique, ordering the documents) and ``text``.
+    ``docs`` has ``_rid`` (unique, ordering the documents) and ``text``.  Tables
+    that meet are staged first: in plain joins Spark can split a hot name.
     """
     texts = docs.select("_rid", "text")
-    anchors = anchor_rows(texts, window)
-    again = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    known = staged(anchors.join(again, "key"), "repeats")
-    first = F.min(F.struct("rid", "start")).alias("first")
-    groups = staged(known.groupBy("key", "whole").agg(first, F.first("count").alias("count"), F.count(F.lit(1)).alias("n")), "stretches")
-    later = (
-        known.join(groups.where("n > 1").select("key", "whole", "first"), ["key", "whole"])
-        .where(F.struct("rid", "start") != F.col("first"))
-        .select("rid", "start", "count")
-    )
-    differ = groups.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("key")
-    kept = groups.join(differ, "key").select(F.col("first.rid").alias("rid"), F.col("first.start").alias("start"), "count", "key")
-    windows = _window_rows(texts, kept, window)
-    earliest = windows.groupBy("key", "value").agg(F.min(F.struct("rid", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    single = (
-        windows.join(earliest.select("key", "value", "first"), ["key", "value"])
-        .where(F.struct("rid", "start") != F.col("first"))
-        .select("rid", "start", F.lit(1).alias("count"))
-    )
-    return later.unionByName(single)
+    anchors = staged(anchor_rows(texts, window), "anchors")
+    names = staged(shared_names(anchors), "names")
+    known = staged(anchors.join(names, ["level", "name"]), "repeats")
+    unstage(anchors, names)
+    groups = staged(known.groupBy("level", "name", "whole").agg(_earliest(), F.first("count").alias("count"), F.count(F.lit(1)).alias("n")), "stretches")
+    of_group = ["level", "name", "whole"]
+    later = known.join(groups.where("n > 1").select(*of_group, "first"), of_group).where(F.struct("rid", "start") != F.col("first"))
+    later = staged(later.select("rid", "start", "count", *_original()), "later")
+    unstage(known)
+    differ = groups.groupBy("level", "name").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("level", "name")
+    kept = staged(groups.join(staged(differ, "differ"), ["level", "name"]).select(F.col("first.rid").alias("rid"), F.col("first.start").alias("start"), "count", "level", "name"), "kept")
+    unstage(groups)
+    windows = staged(_window_rows(texts, kept, window), "windows")
+    of_window = ["level", "name", "value"]
+    earliest = staged(windows.groupBy(*of_window).agg(_earliest(), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "earliest")
+    single = windows.join(earliest, of_window).where(F.struct("rid", "start") != F.col("first"))
+    single = staged(single.select("rid", "start", F.lit(1).alias("count"), *_original()), "single")
+    unstage(kept, windows, earliest)
+    both = later.unionByName(single)
+    both.staged_at = [*later.staged_at, *single.staged_at]
+    return both
+
+
+def joined_runs(cover: DataFrame) -> DataFrame:
+    """(rid, start, count, src, src_start): neighbouring windows with neighbouring originals as one run."""
+    lists = cover.groupBy("rid").agg(F.collect_list(F.struct("start", "count", "src", "src_start")).alias("parts"))
+    kinds = {"rid": np.int64, "start": np.int32, "count": np.int32, "src": np.int64, "src_start": np.int32}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column("parts")
+            flat = parts.flatten()
+            rid = np.repeat(np.asarray(batch.column("rid")), np.asarray(pa.compute.list_value_length(parts)))
+            start, count, src, at = (np.asarray(flat.field(c)).astype(np.int64) for c in ("start", "count", "src", "src_start"))
+            order = np.lexsort((start, at - start, src, rid))
+            rid, start, count, src, at = (x[order] for x in (rid, start, count, src, at))
+            fresh = np.ones(len(rid), bool)
+            fresh[1:] = (rid[1:] != rid[:-1]) | (src[1:] != src[:-1]) | (at[1:] - start[1:] != at[:-1] - start[:-1]) | (start[1:] > start[:-1] + count[:-1])
+            first = np.flatnonzero(fresh)
+            many = np.maximum.reduceat(start + count, first) - start[first] if len(first) else start
+            found = (rid[first], start[first], many, src[first], at[first])
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(t)) for x, t in zip(found, kinds.values(), strict=True)], names=list(kinds))
+
+    return lists.mapInArrow(run, "rid long, start int, count int, src long, src_start int")
+
+
+def _digest(data: bytes, starts: np.ndarray, ends: np.ndarray, begin: int, end: int) -> bytes:
+    """Digest of words begin..end-1, one space between."""
+    words = [data[x:y] for x, y in zip(starts[begin:end].tolist(), ends[begin:end].tolist(), strict=True)]
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
+def original_words(texts: DataFrame, spans: DataFrame, window: int) -> DataFrame:
+    """(src, src_start, count, words): a digest of the words of each span of windows of an original."""
+    lists = spans.groupBy("src").agg(F.collect_list(F.struct("src_start", "count")).alias("parts"))
+    joined = texts.join(lists, texts["_rid"] == lists["src"]).select("src", "text", "parts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole_batch in batches:
+            for batch in bw.row_slices(whole_batch, "text"):
+                buf, starts, ends, words = _words_of(batch)
+                data = buf.tobytes()
+                parts = batch.column("parts")
+                flat = parts.flatten()
+                row = np.repeat(np.arange(batch.num_rows), np.asarray(pa.compute.list_value_length(parts)))
+                begin = words[row] + np.asarray(flat.field("src_start"))
+                end = begin + np.asarray(flat.field("count")) - 1 + window
+                made = [_digest(data, starts, ends, a, z) for a, z in zip(begin.tolist(), end.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("src").take(pa.array(row)), flat.field("src_start"), flat.field("count"), pa.array(made, pa.binary())], names=["src", "src_start", "count", "words"])
+
+    return joined.mapInArrow(run, "src long, src_start int, count int, words binary")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -241,37 +317,41 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     their names.  A null or empty text has no words and keeps none.  Null ids
     come first; rows that share an id are separate documents, ordered by a hash
     of their text; of fully equal rows one counts as the earlier.  An empty
-    table gives an empty result.
+    table gives an empty result.  Texts are read whole, however long.
 
     Returns doc_id, n_words, n_removed, kept (the words left, joined by one
     space) and kept_sha256.
     """
-    small_batches(docs.sparkSession)
     rows = identified(docs, "text")
+    texts = rows.select("_rid", "text")
     cover = repeated_stretches(rows, window)
-    lists = cover.groupBy("rid").agg(F.collect_list(F.struct("start", "count")).alias("parts"))
+    runs = staged(joined_runs(cover), "runs")
+    unstage(cover)
+    spans = runs.select("src", "src_start", "count").distinct()
+    words = staged(original_words(texts, spans, window), "words")
+    checked = runs.join(words, ["src", "src_start", "count"]).select("rid", "start", "count", "words")
+    lists = staged(checked.groupBy("rid").agg(F.collect_list(F.struct("start", "count", "words")).alias("parts")), "checked")
+    unstage(runs, words)
     joined = rows.select("_rid", "text", "doc_id").join(lists, rows["_rid"] == lists["rid"], "left").select("doc_id", "text", "parts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_batch in batches:
             for batch in bw.row_slices(whole_batch, "text"):
-                buf, offsets = bw.text_bytes(batch.column("text"))
-                starts, ends, words = bw.split_words(buf, offsets)
+                buf, starts, ends, words = _words_of(batch)
                 data = buf.tobytes()
                 totals, removed, kept, digests = [], [], [], []
                 for i, parts in enumerate(batch.column("parts").to_pylist()):
-                    a, z = words[i], words[i + 1]
-                    total = int(z - a)
-                    gone = np.zeros(total + 1, np.int64)
-                    if parts:
-                        begin = np.array([p["start"] for p in parts])
-                        end = begin + np.array([p["count"] for p in parts]) - 1 + window
-                        np.add.at(gone, begin, 1)
-                        np.add.at(gone, end, -1)
-                    stay = np.cumsum(gone)[:total] == 0
+                    a, z = int(words[i]), int(words[i + 1])
+                    gone = np.zeros(z - a + 1, np.int64)
+                    for p in parts or []:
+                        begin, end = p["start"], p["start"] + p["count"] - 1 + window
+                        if _digest(data, starts, ends, a + begin, a + end) == p["words"]:
+                            gone[begin] += 1
+                            gone[end] -= 1
+                    stay = np.cumsum(gone)[: z - a] == 0
                     left = b" ".join([data[x:y] for x, y in zip(starts[a:z][stay].tolist(), ends[a:z][stay].tolist(), strict=True)])
-                    totals.append(total)
-                    removed.append(total - int(stay.sum()))
+                    totals.append(z - a)
+                    removed.append(z - a - int(stay.sum()))
                     kept.append(left.decode("utf-8"))
                     digests.append(hashlib.sha256(left).hexdigest())
                 yield pa.RecordBatch.from_arrays(

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from outflow.sources.tables import discard
+
 #: What a null doc_id sorts and joins as.
 NULL_ID = -(1 << 63)
 
@@ -19,12 +22,22 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """At most ``rows`` rows in an Arrow batch: whole texts are wide, and a worker holds a batch at a time."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, rows)
+#: Settings while a table is staged: batches of whole texts stay small, and its
+#: shuffles are removed when it is written, as nothing reads them any more.
+STAGING = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the time of a block; what was set before comes back."""
+    old = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -34,8 +47,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with settings(spark, STAGING):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = [path]
+    return out
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more; frames that were not staged stay as they are."""
+    for df in frames:
+        for path in getattr(df, "staged_at", []):
+            discard(df.sparkSession, path)
 
 
 def identified(docs: DataFrame, *columns: str) -> DataFrame:
@@ -43,7 +66,8 @@ def identified(docs: DataFrame, *columns: str) -> DataFrame:
 
     Where doc_id is unique and not null ``_rid`` is doc_id itself and nothing
     moves.  Otherwise rows are ordered by (doc_id with nulls first, the columns'
-    hash) and numbered in that order, so that repeated ids stay separate rows.
+    hash, their place in the table) and numbered in that order, so that repeated ids stay separate
+    rows; fully equal rows of one id spread over tasks, as their order says nothing.
     """
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c) for c in columns if c != "doc_id"])
     ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("i"))
@@ -54,9 +78,10 @@ def identified(docs: DataFrame, *columns: str) -> DataFrame:
     numbered = (
         cut.withColumn("_k", F.coalesce(F.col("doc_id"), F.lit(NULL_ID)))
         .withColumn("_t", tie)
-        .repartitionByRange("_k", "_t")
-        .sortWithinPartitions("_k", "_t")
+        .withColumn("_n", F.monotonically_increasing_id())
+        .repartitionByRange("_k", "_t", "_n")
+        .sortWithinPartitions("_k", "_t", "_n")
         .withColumn("_rid", F.monotonically_increasing_id())
-        .drop("_k", "_t")
+        .drop("_k", "_t", "_n")
     )
     return staged(numbered, "rows")

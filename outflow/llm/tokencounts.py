@@ -21,7 +21,6 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outflow.llm.shared import small_batches
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
@@ -204,7 +203,6 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     repeated and null ids keep their rows, extra columns are ignored.  Nothing
     is shuffled.
     """
-    small_batches(docs.sparkSession)
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outflow.llm import bytewords as bw
-from outflow.llm.shared import small_batches
 
 WINDOW, STRIDE = 32, 16
 WORDS, GRAMS, WIDTH, HIDDEN = 1 << 14, 1 << 15, 8, 8
@@ -263,7 +262,6 @@ def score_toxicity(docs: DataFrame, model: Network | float) -> DataFrame:
                 score = np.full(batch.num_rows, model) if isinstance(model, float) else model.score_bytes(*bw.text_bytes(batch.column("text")))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
-    small_batches(docs.sparkSession)
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scored = cut.mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
@@ -271,7 +269,6 @@ def score_toxicity(docs: DataFrame, model: Network | float) -> DataFrame:
 
 def keep_clean(docs: DataFrame, model: Network | float) -> DataFrame:
     """``docs`` without the rows the model calls toxic; columns and order of columns stay."""
-    small_batches(docs.sparkSession)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -49,7 +49,7 @@ def test_equal_windows_have_equal_anchors():
     for window in (3, 8, 20, 50):
         names = rng.integers(0, 3, 600).astype(np.uint64)
         at = np.array([0, 0, 5, 200, 410, 600])
-        doc, begin, count, key, _ = rc.window_anchors(names, at, window, rc.rounds_for(window))
+        doc, begin, count, key, *_ = rc.window_anchors(names, at, window, rc.rounds_for(window))
         found = {}
         for d, b, c, k in zip(doc, begin, count, key):
             for s in range(b, b + c):
@@ -67,6 +67,17 @@ def test_against_plain_windows(spark):
         assert got == plain(rows, window)
 
 
+def test_only_verified_runs_go(spark, monkeypatch):
+    """Were names and hashes to collide, the words would still be compared."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice("pqrs") for _ in range(60))) for i in range(12)] + [(20, "p q r s " * 12), (21, "p q r s " * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    covered = rc.repeated_stretches(docs.withColumn("_rid", docs.doc_id), 20)
+    wrong = spark.createDataFrame([(5, 3, 10, 2, 8)], "rid long, start int, count int, src long, src_start int")
+    monkeypatch.setattr(rc, "repeated_stretches", lambda *_: covered.unionByName(wrong))
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in rc.remove_repeats(docs).collect()} == plain(rows, 20)
+
+
 def test_repeated_and_null_ids(spark):
     text = " ".join(f"w{k}" for k in range(30))
     docs = spark.createDataFrame([(None, text), (1, text), (1, text), (2, "short")], "doc_id long, text string")
