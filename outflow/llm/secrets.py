@@ -1,8 +1,16 @@
 """Secret scans weighed by who owns each candidate across the corpus (operator 9).
 
 DataFrame expressions only.  Candidates found by pattern are grouped by a hash
-of their value; a value seen under several owners is a copied example, one that
-stays with a single owner and looks random is a live-looking credential.
+of their value, and the distinct owners and repositories that hold it are
+counted over the whole corpus.  Every span gets a class:
+
+* ``example``: three owners or more have the value, or two in four repositories
+  or more: it was copied widely;
+* ``live``: one owner alone has it, in at most two repositories, and it looks
+  random: a credential of that owner;
+* ``spread``: one owner alone has it, but in three repositories or more: the
+  owner's own template or shared fixture, or a credential used in many places;
+* ``plain``: the rest (too plain to be a secret, or between the bounds).
 """
 
 from __future__ import annotations
@@ -30,8 +38,11 @@ HINTS = {
     "key": lambda t: F.contains(t, F.lit("PRIVATE KEY")),
     "forge": lambda t: F.contains(t, F.lit("gh")),
 }
-#: A value under this many owners or more is a copied example.
-EXAMPLE_OWNERS = 3
+#: A value under this many owners or more is a copied example; under two, this many repositories make it one.
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 3, 4
+#: A live value is in this many repositories of its one owner at most.
+LIVE_REPOSITORIES = 2
+CLASSES = ("example", "live", "spread", "plain")
 #: Distinct characters that a live-looking value has at least.
 VARIED = 8
 
@@ -68,14 +79,22 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return owners.groupBy("hash").agg(F.sum("r").alias("n_repositories"), F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_places"))
 
 
+def value_class(varied: Column, example_owners: int = EXAMPLE_OWNERS) -> Column:
+    """Class of a value from ``n_owners`` and ``n_repositories``."""
+    owners, repositories = F.col("n_owners"), F.col("n_repositories")
+    copied = (owners >= example_owners) | ((owners == 2) & (repositories >= EXAMPLE_REPOSITORIES))
+    return F.when(copied, "example").when((owners == 1) & (repositories > LIVE_REPOSITORIES), "spread").when((owners == 1) & varied, "live").otherwise("plain")
+
+
 def scan_secrets(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang"), example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """(doc_id, base, found, n_live, n_example) of every row.
+    """(doc_id, base, found, classes, n_live, n_example, n_spread) of every row.
 
     ``owner`` and ``repository`` name the columns that say whose a document is;
-    nulls there are one unknown owner.  n_live counts spans whose value stays
-    with one owner and has VARIED distinct characters, n_example those whose
-    value ``example_owners`` or more have.  A null text has no spans; repeated
-    and null ids keep their rows.
+    nulls there are one unknown owner.  ``classes`` holds the class of each
+    span of ``found``, in its order.  A null or empty text has no spans;
+    repeated and null ids keep their rows, an empty table gives none, other
+    columns are ignored whatever their names, and texts of any length are read
+    whole.
     """
     rows = identified(docs, "text", *dict.fromkeys([owner, *repository]))
     missing = F.lit("?")
@@ -83,24 +102,20 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: tuple[str,
     scanned = staged(
         find_secrets(rows.select("_rid", "doc_id", "text", F.coalesce(F.col(owner).cast("string"), missing).alias("owner"), name.alias("repository"))), "secrets"
     )
-    each = scanned.select("_rid", "owner", "repository", F.explode("found").alias("span")).withColumn("value", _value(F.col("span")))
+    each = scanned.select("_rid", "owner", "repository", F.posexplode("found").alias("place", "span")).withColumn("value", _value(F.col("span")))
     varied = F.size(F.array_distinct(F.split("value", ""))) >= VARIED
-    candidates = each.select("_rid", "owner", "repository", F.xxhash64("value").alias("hash"), varied.alias("varied"))
+    candidates = each.select("_rid", "owner", "repository", "place", F.xxhash64("value").alias("hash"), varied.alias("varied"))
     # Staged, the counts meet the candidates in a plain join, whose hot values Spark can split.
     owned = staged(ownership(candidates), "owners").withColumnRenamed("hash", "h")
-    judged = candidates.join(owned, candidates["hash"] == owned["h"]).select(
-        "_rid",
-        ((F.col("n_owners") == 1) & F.col("varied")).cast("long").alias("live"),
-        (F.col("n_owners") >= example_owners).cast("long").alias("example"),
-    )
-    per_doc = judged.groupBy("_rid").agg(F.sum("live").alias("n_live"), F.sum("example").alias("n_example")).withColumnRenamed("_rid", "r")
-    zero = F.lit(0).cast("long")
-    return scanned.join(per_doc, scanned["_rid"] == per_doc["r"], "left").select(
-        "doc_id", "base", "found", F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_example", zero).alias("n_example")
-    )
+    judged = candidates.join(owned, candidates["hash"] == owned["h"]).select("_rid", F.struct("place", value_class(F.col("varied"), example_owners).alias("class")).alias("c"))
+    per_doc = judged.groupBy("_rid").agg(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["class"]).alias("classes")).withColumnRenamed("_rid", "r")
+    joined = scanned.join(per_doc, scanned["_rid"] == per_doc["r"], "left").withColumn("classes", F.coalesce("classes", F.array().cast("array<string>")))
+    count = lambda k: F.size(F.filter("classes", lambda c: c == k)).cast("long").alias(f"n_{k}")
+    return joined.select("doc_id", "base", "found", "classes", count("live"), count("example"), count("spread"))
 
 
 def op9_secrets(spark, sf_dir: str) -> DataFrame:
     found = scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     counts = [sp.of_kind(F.col("base"), k).alias(f"n_{k}") for k in BASE_KINDS]
-    return found.select("doc_id", *counts, sp.digest(sp.as_text(F.col("base"))).alias("base_sha256"), sp.as_text(F.col("found")).alias("spans"), "n_live", "n_example")
+    text = sp.as_text(F.col("found")).alias("spans")
+    return found.select("doc_id", *counts, sp.digest(sp.as_text(F.col("base"))).alias("base_sha256"), text, F.array_join("classes", ",").alias("classes"), "n_live", "n_example", "n_spread")

@@ -89,8 +89,11 @@ def secrets_sql() -> str:
 m AS (SELECT doc_id, t, owner, repository, {', '.join(located[k][0] for k in kinds)} FROM d),
 s AS (SELECT doc_id, t, owner, repository, {spans} FROM m),
 b AS (SELECT doc_id, owner, repository, list_sort(s_assign || s_access || s_hex) AS base, list_sort(s_assign || s_access || s_hex || s_jwt || s_key || s_forge) AS every FROM s),
-c AS (SELECT doc_id, owner, unnest([{value} for x in every]) AS v FROM b),
-o AS (SELECT v, count(DISTINCT owner) AS n_owners FROM c GROUP BY v),
-j AS (SELECT doc_id, count(*) FILTER (WHERE n_owners = 1 AND len(list_distinct(string_split(c.v, ''))) >= {secrets.VARIED}) AS n_live, count(*) FILTER (WHERE n_owners >= {secrets.EXAMPLE_OWNERS}) AS n_example FROM c JOIN o ON c.v = o.v GROUP BY doc_id)
-SELECT b.doc_id, {', '.join(_count(k, 'base') for k in secrets.BASE_KINDS)}, sha256({_text('base')}) AS base_sha256, {_text('every')} AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
-FROM b LEFT JOIN j ON b.doc_id = j.doc_id"""
+c AS (SELECT doc_id, owner, repository, unnest([{value} for x in every]) AS v, unnest(range(1, len(every) + 1)) AS place FROM b),
+o AS (SELECT v, count(DISTINCT owner) AS n_owners, count(DISTINCT repository) AS n_repositories FROM c GROUP BY v),
+j AS (SELECT doc_id, place, CASE WHEN n_owners >= {secrets.EXAMPLE_OWNERS} OR (n_owners = 2 AND n_repositories >= {secrets.EXAMPLE_REPOSITORIES}) THEN 'example'
+  WHEN n_owners = 1 AND n_repositories > {secrets.LIVE_REPOSITORIES} THEN 'spread' WHEN n_owners = 1 AND len(list_distinct(string_split(c.v, ''))) >= {secrets.VARIED} THEN 'live' ELSE 'plain' END AS class FROM c JOIN o ON c.v = o.v),
+k AS (SELECT doc_id, string_agg(class, ',' ORDER BY place) AS classes, count(*) FILTER (WHERE class = 'live') AS n_live, count(*) FILTER (WHERE class = 'example') AS n_example, count(*) FILTER (WHERE class = 'spread') AS n_spread FROM j GROUP BY doc_id)
+SELECT b.doc_id, {', '.join(_count(k, 'base') for k in secrets.BASE_KINDS)}, sha256({_text('base')}) AS base_sha256, {_text('every')} AS spans, coalesce(classes, '') AS classes,
+  coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example, coalesce(n_spread, 0) AS n_spread
+FROM b LEFT JOIN k ON b.doc_id = k.doc_id"""

@@ -26,6 +26,8 @@ VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 #: Words whose tables a worker keeps; older ones are computed again when met.
 KEPT_WORDS = 400_000
+#: Token pairs whose verdict a worker keeps (about 50 MB).
+KEPT_PAIRS = 300_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -79,7 +81,7 @@ class PrefixCounter:
         known = self.fits.get(pair)
         if known is None:
             known = self._may_follow(left, right)
-            if len(self.fits) >= 2_000_000:
+            if len(self.fits) >= KEPT_PAIRS:
                 self.fits.clear()
             self.fits[pair] = known
         return known
@@ -151,6 +153,26 @@ class PrefixCounter:
                 n += c if c is not None else total(word)
         return n
 
+    def fitting(self, text: str, budget: int, slack: int = 8) -> int:
+        """Longest k for which text[:k] has at most ``budget`` tokens; ``text`` as a whole has more.
+
+        Whole words are added up until the budget is passed by more than a cut
+        word can take back; prefixes are counted only from the last word that
+        surely fits.
+        """
+        n, at, base, safe = 0, 0, 0, 0
+        for piece in self.pieces(text):
+            for word in [piece] if piece in self.special else (m[0] for m in self.words.finditer(piece)):
+                n, at = n + (1 if word in self.special else self.total(word)), at + len(word)
+                if n <= budget - slack and word not in self.special and not word.isspace():
+                    base, safe = n, at  # what follows is cut into the same words alone
+                if n > budget + slack:
+                    break
+            if n > budget + slack:
+                break
+        counts = self.prefixes(text[safe:at]) + base
+        return safe + int(np.flatnonzero(counts <= budget)[-1])
+
     def _word_counts(self, word: str) -> list[int]:
         """Token counts of a pre-token's code point prefixes, each as a text of its own."""
         table = self.byte_table(word.encode("utf-8"))
@@ -197,22 +219,28 @@ def counter(path: str, kept_words: int = KEPT_WORDS) -> PrefixCounter:
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
-    """(doc_id, n_bytes, n_tokens, over_limit) of every row.
+    """(doc_id, n_bytes, n_tokens, over_limit, fit_chars) of every row.
 
-    A null text counts as empty: no bytes, no tokens.  Rows stay as they are:
-    repeated and null ids keep their rows, extra columns are ignored.  Nothing
-    is shuffled.
+    fit_chars: code points of the longest prefix of at most ``limit`` tokens,
+    read off the prefix counts.  A null or empty text has no bytes and no
+    tokens.  Rows stay as they are: repeated and null ids keep their rows, an
+    empty table gives none, extra columns are ignored whatever their names, and
+    texts are read whole, however long.  Nothing is shuffled.
     """
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(path).count
-        for batch in batches:
-            tokens = [count(x) if x else 0 for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(tokens, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+        c = counter(path)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                texts = [x or "" for x in batch.column("text").to_pylist()]
+                tokens = [c.count(x) for x in texts]
+                fits = [len(x) if n <= limit else c.fitting(x, limit) for x, n in zip(texts, tokens, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(tokens, pa.int64()), pa.array(fits, pa.int64())], names=["doc_id", "n_bytes", "n_tokens", "fit_chars"])
 
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    return cut.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
+    return cut.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, fit_chars long").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "fit_chars")
 
 
 def prefix_counts(docs: DataFrame, path: str | None = None) -> DataFrame:

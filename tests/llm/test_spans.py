@@ -64,6 +64,9 @@ def test_ownership(spark):
     rows = [(1, f"password={key}", "a", "en"), (1, f"x password={key}", "a", "de"), (None, f"password={shared}", "a", "en"), (3, f"token={shared}", "b", "en"), (4, f"token={shared}", None, "en"), (5, None, "c", None)]
     got = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"))
     assert sorted((str(r["doc_id"]), r["n_live"], r["n_example"]) for r in got.collect()) == [("1", 1, 0), ("1", 1, 0), ("3", 0, 1), ("4", 0, 1), ("5", 0, 0), ("None", 0, 1)]
+    again = [(k, f"token={key} password=abcabc", "a", lang) for k, lang in enumerate(("en", "de", "fr"))] + [(9, f"hex {'ab12' * 7}", o, lang) for o, lang in (("x", "en"), ("x", "de"), ("y", "en"), ("y", "de"))]
+    table = spark.createDataFrame([(*r, "clash", 1) for r in again], "doc_id long, text string, source string, lang string, classes string, hash int")
+    assert {(r["doc_id"], tuple(r["classes"])) for r in secrets.scan_secrets(table).collect()} == {(0, ("spread", "spread")), (1, ("spread", "spread")), (2, ("spread", "spread")), (9, ("example",))}
     assert secrets.scan_secrets(spark.createDataFrame([], "doc_id long, text string, source string, lang string")).count() == 0
 
 

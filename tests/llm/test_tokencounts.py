@@ -39,11 +39,18 @@ def test_every_prefix_is_exact(text, counter, library):
     assert counter.prefixes(text).tolist() == want
 
 
+@pytest.mark.parametrize("text", TEXTS + corpus(3, 80) + ["a" * 300 + " b", "internationalization " * 9])
+def test_longest_fitting_prefix(text, counter):
+    counts = counter.prefixes(text)
+    for budget in range(0, int(counts[-1]), max(1, int(counts[-1]) // 7)):
+        assert counter.fitting(text, budget) == max(k for k, n in enumerate(counts) if n <= budget), budget
+
+
 def test_edge_rows(spark):
     rows = [(None, "a b", 1), (1, None, 1), (2, "", 1), (2, "", 1), (3, "word " * 3000, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
     got = sorted(map(tuple, tc.count_tokens(docs).collect()), key=str)
-    assert got == sorted([(None, 3, 2, False), (1, 0, 0, False), (2, 0, 0, False), (2, 0, 0, False), (3, 15000, 3001, True)], key=str)
+    assert got == sorted([(None, 3, 2, False, 3), (1, 0, 0, False, 0), (2, 0, 0, False, 0), (2, 0, 0, False, 0), (3, 15000, 3001, True, 5119)], key=str)
     assert tc.count_tokens(docs.limit(0)).count() == 0
 
 
