@@ -17,7 +17,8 @@ that begin elsewhere can't hold an item and are skipped, losing none.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outflow.llm import bytewords as bw
+from outflow.llm.shared import staged
 
 SIMILARITY = 0.8
 #: Repeats and samples of each, the samples among the first REACH x size steps.
@@ -208,57 +210,73 @@ class ItemIndex:
         return sorted(out)
 
 
-def item_blocks(benchmark: DataFrame, block: int = BLOCK_ITEMS) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about ``block``; null and blank items match nothing."""
+def item_blocks(benchmark: DataFrame, block: int = BLOCK_ITEMS) -> tuple[int, Iterator[list[tuple[int, str]]]]:
+    """How many blocks of about ``block`` items there are, and the blocks; null and blank items match nothing.
+
+    The driver holds one block at a time, in which a task's index is built.
+    """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item")).where("item_id is not null and item is not null")
     many = max(1, -(-items.count() // block))
-    for part in range(many):
-        mine = items.where(F.pmod(F.xxhash64("item_id"), F.lit(many)) == part)
-        yield sorted((r["item_id"], r["item"]) for r in mine.collect())
+    each = (items.where(F.pmod(F.xxhash64("item_id"), F.lit(many)) == part) for part in range(many))
+    return many, (sorted((r["item_id"], r["item"]) for r in mine.collect()) for mine in each)
+
+
+def _index_of(items: list[tuple[int, str]], similarity: float) -> Callable[[], ItemIndex]:
+    """Builds the block's index in a task: words and keys come from the items, so only these travel."""
+    return lambda: ItemIndex(items, similarity)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK_ITEMS) -> DataFrame:
     """(doc_id, item_id, start, n_words, edits): documents that hold a benchmark item.
 
-    One row for each document and item, with the nearest stretch of words.  A
-    null text holds nothing; rows that share an id are scanned apiece; an empty
-    benchmark gives no rows.  The text is read once for each block of items and
-    never shuffled.
+    One row for each document and item, with the nearest stretch of words (of
+    equally near ones the first).  A null or empty text holds nothing; rows that
+    share an id are scanned apiece; an empty table or benchmark gives no rows;
+    other columns are ignored whatever their names.  Texts are read whole,
+    however long, once for each block of items, and never shuffled.  Where there
+    are several blocks, each one's result is staged before the next is fetched.
     """
-    schema = "doc_id long, item_id long, start long, n_words long, edits long"
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = None
-    for items in item_blocks(benchmark):
 
-        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            index = ItemIndex(items, similarity)
+    def found(items: list[tuple[int, str]]) -> DataFrame:
+        make = _index_of(items, similarity)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = make()
             for whole_batch in batches:
                 for batch in bw.row_slices(whole_batch, "text"):
-                    found = index.matches(*bw.text_bytes(batch.column("text")))
                     ids = batch.column("doc_id").to_pylist()
-                    rows = [(ids[d], index.ids[k], a, z - a, e) for d, k, a, z, e in found]
+                    rows = [(ids[d], index.ids[k], a, z - a, e) for d, k, a, z, e in index.matches(*bw.text_bytes(batch.column("text")))]
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["doc_id", "item_id", "start", "n_words", "edits"])
 
-        part = cut.mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
-    return out
+        return cut.mapInArrow(run, "doc_id long, item_id long, start long, n_words long, edits long")
+
+    many, blocks = item_blocks(benchmark, block)
+    return reduce(DataFrame.unionByName, (found(items) if many == 1 else staged(found(items), "leaks") for items in blocks))
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item."""
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK_ITEMS) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark item; cases as in ``find_leaks``."""
     schema = docs.schema
-    for items in item_blocks(benchmark):
 
-        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            index = ItemIndex(items, similarity)
+    def clean(rows: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
+        make = _index_of(items, similarity)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = make()
             for whole_batch in batches:
                 for batch in bw.row_slices(whole_batch, "text"):
-                    clean = np.ones(batch.num_rows, bool)
-                    clean[[m[0] for m in index.matches(*bw.text_bytes(batch.column("text")))]] = False
-                    yield batch.filter(pa.array(clean))
+                    stay = np.ones(batch.num_rows, bool)
+                    stay[[m[0] for m in index.matches(*bw.text_bytes(batch.column("text")))]] = False
+                    yield batch.filter(pa.array(stay))
+
+        return rows.mapInArrow(run, schema)
 
-        docs = docs.mapInArrow(run, schema)
+    many, blocks = item_blocks(benchmark, block)
+    for items in blocks:
+        left = clean(docs, items)
+        docs = left if many == 1 else staged(left, "clean")
     return docs
 
 

@@ -4,7 +4,9 @@ The entropy of every 64-byte window is found by sliding counts.  How often each
 entropy class occurs is counted over the whole corpus; a window is the more
 improbable the rarer its class.  In every run of 64 neighbouring windows the
 most improbable one gets a vote, and windows with 16 votes or more become
-features.  Features go, in text order, into chained Bloom filters of 2,048 bits
+features.  A text too short for one such run is read in windows of 12 bytes, the
+most improbable of every 8 neighbours being a feature, so that each part of it
+gives some; one of fewer bytes is a feature as a whole.  Features go, in text order, into chained Bloom filters of 2,048 bits
 and at most 160 features; two digests are compared by the overlap of their
 filters' bits, normalised between chance and the possible most.
 """
@@ -25,6 +27,8 @@ from outflow.llm.shared import identified
 WINDOW, RUN, VOTES = 64, 64, 16
 BITS, FEATURES, HASHES = 2048, 160, 5
 CLASSES, WEAK = 1000, 100
+#: Windows and runs of texts that are shorter than WINDOW + RUN - 1 bytes.
+SHORT_WINDOW, SHORT_RUN = 12, 8
 _UNIT = 1 << 16
 _SLICE = 1 << 19
 
@@ -65,13 +69,33 @@ def class_counts(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.bincount(classes[_window_starts(offsets, len(buf))[: len(classes)]], minlength=CLASSES + 1)
 
 
+def short_features(data: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Where the chosen short windows of one text begin, in order; the leftmost of equals is chosen."""
+    windows = np.lib.stride_tricks.sliding_window_view(data, SHORT_WINDOW)
+    same = (windows[:, :, None] == windows[:, None, :]).sum(axis=2)
+    share = np.log2(same).sum(axis=1) / (SHORT_WINDOW * np.log2(SHORT_WINDOW))
+    rank = ranks[CLASSES - np.round(share * CLASSES).astype(np.int64)]
+    runs = np.lib.stride_tricks.sliding_window_view(rank, min(SHORT_RUN, len(rank)))
+    return np.unique(runs.argmin(axis=1) + np.arange(len(runs)))
+
+
 class Digests:
     """The digests of a batch: each document's filters, in order."""
 
     def __init__(self, buf: np.ndarray, offsets: np.ndarray, ranks: np.ndarray):
         n, docs = len(buf), len(offsets) - 1
         doc, hashes = self._features(buf, offsets, ranks)
-        bare = np.flatnonzero((np.bincount(doc, minlength=docs) == 0) & (np.diff(offsets) > 0))
+        size = np.diff(offsets)
+        brief = np.flatnonzero((size >= SHORT_WINDOW) & (size < WINDOW + RUN - 1))
+        if len(brief):
+            long = ~np.isin(doc, brief)
+            spots = [offsets[d] + short_features(buf[offsets[d] : offsets[d + 1]], ranks) for d in brief.tolist()]
+            spot = np.concatenate(spots)
+            doc = np.concatenate([doc[long], np.repeat(brief, [len(x) for x in spots])])
+            hashes = np.concatenate([hashes[long], bw.hash_spans(buf, spot, spot + SHORT_WINDOW, seed=9)])
+            order = np.argsort(doc, kind="stable")
+            doc, hashes = doc[order], hashes[order]
+        bare = np.flatnonzero((np.bincount(doc, minlength=docs) == 0) & (size > 0))
         if len(bare):  # no window of interest: the whole text is the one feature
             doc = np.concatenate([doc, bare])
             hashes = np.concatenate([hashes, bw.hash_spans(buf, offsets[bare], offsets[bare + 1], seed=5)])

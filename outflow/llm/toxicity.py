@@ -227,7 +227,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
     """Texts and labels: at most ``rows`` labelled ids of each class that aren't held out.
 
     Ids are drawn in hash order before any text is read, so the join's small
-    side has 2 x ``rows`` rows at most whatever the tables hold.
+    side has 2 x ``rows`` rows at most whatever the tables hold.  An id gives one
+    text, the least of those within the bound, so no more than that many texts of
+    ``most_bytes`` reach the driver however often ids repeat.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.select(F.col("doc_id").cast("long").alias("label_id"), F.col("toxic").cast("int").alias("label"))
@@ -235,8 +237,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
     able = known.join(lean, known["label_id"] == lean["doc_id"], "left_semi")
     drawn = [able.where(F.col("label") == y).orderBy(F.xxhash64("label_id"), "label_id").limit(rows) for y in (0, 1)]
     ids = drawn[0].unionByName(drawn[1]).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), F.col("doc_id") == F.col("label_id"))
-    found = sorted((r["label_id"], r["label"], r["text"]) for r in texts.select("label_id", "label", "text").where("text is not null").collect())
+    able = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.octet_length("text").between(1, most_bytes))
+    texts = able.join(F.broadcast(ids), F.col("doc_id") == F.col("label_id")).groupBy("label_id", "label").agg(F.min("text").alias("text"))
+    found = sorted((r["label_id"], r["label"], r["text"]) for r in texts.collect())
     return [t for _, _, t in found], np.array([y for _, y, _ in found], dtype=np.int64)
 
 
@@ -252,8 +255,9 @@ def score_toxicity(docs: DataFrame, model: Network | float) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row.
 
     A null or empty text scores as a window of padding.  Rows are scored one by
-    one from their text alone: repeated and null ids keep their rows, and no
-    other column is read.  Nothing is shuffled.
+    one from their text alone: repeated and null ids keep their rows, an empty
+    table gives none, and no other column is read, whatever its name.  All
+    windows of a text count, however long it is.  Nothing is shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,5 @@
 import html
+import itertools
 import re
 
 import numpy as np
@@ -48,6 +49,80 @@ def test_nothing_returns_below_an_excluded_node(model):
     assert tree.text(tree.decode(score)) == "a"
 
 
+@pytest.mark.parametrize(
+    "source,want",
+    [
+        ("<body><article><p>Some real words that make the whole of this small article here.</p></article></body>", "Some real words that make the whole of this small article here."),
+        ("Just words without any tag &amp; mark.", "Just words without any tag & mark."),
+        ("<body><p>Only a paragraph.</p></body>", "Only a paragraph."),
+        ("<html><head><title>t</title></head><body><article><h1>The Title Here</h1><p>First paragraph with a number of words in it.</p><p>Second one, that has some more.</p></article></body></html>", "The Title Here\nFirst paragraph with a number of words in it.\nSecond one, that has some more."),
+        ("<body><article><h1>T words</h1><p>The main paragraph before a code block, quite long as main text goes.</p><pre>x = 1</pre><p>After it.</p></article></body>", "T words\nThe main paragraph before a code block, quite long as main text goes.\nx = 1\nAfter it."),
+        ("<body><main><p>The main paragraph before a quotation, quite long as main text goes.</p><blockquote>Words of another.</blockquote></main></body>", "The main paragraph before a quotation, quite long as main text goes.\nWords of another."),
+        ("<body><nav><ul><li><a href='/'>Home</a></ul></nav><footer>Copyright</footer></body>", ""),
+        ("<body><article><p>Before it are words.</p><svg/><p>After the picture there are more words.</p><svg><text>no</text><p>And more after an open one.</p></article></body>", "Before it are words.\nAfter the picture there are more words.\nAnd more after an open one."),
+        ("<body><nav>Home</nav><article><p>We know that <math><mi>a</mi>=<mi>b</mi></math> holds.</p><p>And so on it goes with words.</p></article><footer>c</footer></body>", "We know that a=b holds.\nAnd so on it goes with words."),
+    ],
+)
+def test_pages_unlike_the_sample(model, source, want):
+    assert ht.main_texts([source], model) == [want]
+
+
+def test_trees_equal_a_walk_through_them(model):
+    pages = [ht.Page(page(k)) for k in range(5)]
+    for tree_page, scores in zip(pages, model.score(pages), strict=True):
+        for row, score in zip(tree_page.features(model.speaks), scores, strict=True):
+            bins = [sum(edge < value for edge in edges) for edges, value in zip(model.trees.edges, row, strict=True)]
+            total = 0.0
+            for feature, cut, value in model.trees.trees:
+                at = 1
+                for _ in range(ht.DEPTH):
+                    at = 2 * at + (1 if bins[feature[at]] > cut[at] else 0)
+                total += value[at]
+            assert abs(total - score) < 1e-9
+
+
+def test_decoding_equals_trying_all():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        n = int(rng.integers(1, 8))
+        tree = ht.Page("")
+        tree.tag, tree.parent = ["x"] * n, [-1, *(int(rng.integers(0, k)) for k in range(1, n))]
+        tree.blocks = [(int(rng.integers(0, n)), "w" * int(rng.integers(1, 40))) for _ in range(2 * n)]
+        score = rng.normal(size=n) * 2
+        own = [sum(len(t) for k, t in tree.blocks if k == i) for i in range(n)]
+        below = own[:]
+        for k in range(n - 1, 0, -1):
+            below[tree.parent[k]] += below[k]
+        best = None
+        for states in itertools.product((0, 1, 2), repeat=n):  # before, in, after
+            follows = {0: (0, 1), 1: (1, 2), 2: (2,)}
+            if states[0] == 2 or any(states[k] not in follows[states[tree.parent[k]]] for k in range(1, n)):
+                continue
+            inside = sum(score[k] * (0.1 + np.log1p(own[k] if score[k] > 0 else below[k])) for k in range(n) if states[k] == 1)
+            passed = sum(max(score[k], 0) * np.log1p(below[k]) for k in range(n) if states[k] == 0)
+            best = max(best, inside - passed) if best is not None else inside - passed
+        chosen = tree.decode(score)
+        for k in range(1, n):  # one unbroken stretch on every path
+            assert not (chosen[k] and not chosen[tree.parent[k]] and any(chosen[a] for a in _above(tree, k)))
+        inside = sum(score[k] * (0.1 + np.log1p(own[k] if score[k] > 0 else below[k])) for k in range(n) if chosen[k])
+        passed = sum(max(score[k], 0) * np.log1p(below[k]) for k in range(n) if not chosen[k] and not any(chosen[a] for a in _above(tree, k)))
+        assert abs(inside - passed - best) < 1e-9
+
+
+def _above(tree, k):
+    while k:
+        k = tree.parent[k]
+        yield k
+
+
+def test_many_closers_without_opener_are_cheap(model):
+    import time
+
+    began = time.time()
+    ht.main_texts(["<div>" * 3000 + "</b></i></u>" * 30000 + "<p>x</p>"], model)
+    assert time.time() - began < 20
+
+
 def test_odd_rows(spark, model):
     broken = page(3)[: page(3).index("<article>") + 60] + "&am"
     rows = [(1, "u", None, "x"), (None, None, "", "x"), (2, "u", "<p", "x"), (2, "u", "<div>" * 3000 + "x", "x"), (3, "u", broken, "x"), (4, "u", "<b><i></p></div>&#0;&bogus; a<b", "x")]

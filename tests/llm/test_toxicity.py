@@ -46,6 +46,70 @@ def test_gradients_match_differences():
         assert abs((up - down) / 2e-2 - g[i]) < 2e-3 + 0.01 * abs(g[i]), k
 
 
+def plain_score(net, text):
+    """The highest window's score, word by word and gate by gate."""
+    mask = (1 << 64) - 1
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    words = [w.encode() for w in __import__("re").findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))]
+
+    def mix(x):
+        return int(bw.mix64(np.array([x & mask], np.uint64))[0])
+
+    def entered(word):
+        name = int(bw.hash_spans(np.frombuffer(word, np.uint8), np.array([0]), np.array([len(word)]))[0])
+        byte = lambda i: 1 if i < 0 else 2 if i >= len(word) else word[i]
+        grams = []
+        for i in range(len(word)):
+            three = byte(i - 1) << 8 | byte(i) << 16 | byte(i + 1) << 24
+            grams += [mix(three) % tx.GRAMS, mix(three | byte(i - 2) | byte(i + 2) << 32 | 1 << 50) % tx.GRAMS]
+        return np.concatenate([p["word"][name % tx.WORDS], np.mean([p["gram"][g] for g in grams], axis=0)])
+
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    h2, best = tx.HIDDEN, -np.inf
+    starts = range(0, max(1, -(-(len(words) - tx.WINDOW) // tx.STRIDE) * tx.STRIDE + 1) if len(words) > tx.WINDOW else 1, tx.STRIDE)
+    for start in starts:
+        inputs = [entered(w) for w in words[start : start + tx.WINDOW]]
+        states = {}
+        for d, order in (("f", inputs), ("b", inputs[::-1])):
+            h, seen = np.zeros(h2), []
+            for x in order:
+                a, v = x @ p[f"in_{d}"] + p[f"add_{d}"], h @ p[f"rec_{d}"]
+                z, r = sig(a[:h2] + v[:h2]), sig(a[h2 : 2 * h2] + v[h2 : 2 * h2])
+                c = np.tanh(a[2 * h2 :] + r * v[2 * h2 :])
+                h = (1 - z) * c + z * h
+                seen.append(h)
+            states[d] = seen if d == "f" else seen[::-1]
+        both = [np.concatenate(s) for s in zip(states["f"], states["b"])]
+        pooled = np.zeros(2 * h2)
+        if both:
+            look = np.array([s @ p["look"] for s in both])
+            weight = np.exp(look - look.max())
+            pooled = sum(w * s for w, s in zip(weight / weight.sum(), both))
+        best = max(best, float(pooled @ p["out"] + p["bias"][0]))
+    return 1 / (1 + np.exp(-best))
+
+
+def test_scores_equal_a_plain_forward_pass():
+    texts, y = corpus(5, 60)
+    net = tx.Network().fit(texts, y, epochs=1)
+    rng = random.Random(3)
+    vocab = "idiot SCUM fine gargle thinga été 東京 x".split()
+    odd = ["", "one", "a " * 32, "b " * 33, *(" ".join(rng.choices(vocab, k=n)) for n in (31, 48, 49, 64, 65, 500))]
+    got = net.score_bytes(*bw.text_bytes(pa.array(odd)))
+    for text, score in zip(odd, got, strict=True):
+        assert abs(score - plain_score(net, text)) < 1e-4, text[:40]
+
+
+def test_bounds_hold_for_repeated_ids_and_long_texts(spark):
+    rows = [(1, f"bad idiot {k}") for k in range(50)] + [(2, "x" * 20000), (2, "short"), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 5)] * 2, "doc_id long, toxic int")
+    found, y = tx.training_sample(docs, labels)
+    assert set(found) <= {"bad idiot 0", "short"} and len(found) == len(y) <= 2
+    long = spark.createDataFrame([(1, "fine words " * 30000 + "idiot"), (1, "fine words " * 30000 + "idiot")], "doc_id long, text string")
+    assert len({r["score"] for r in tx.score_toxicity(long, tx.Network()).collect()}) == 1
+
+
 def test_windows_cover_every_word_twice_inside():
     doc, first = tx.window_rows(np.array([0, 1, 32, 33, 100]), 16)
     assert np.bincount(doc).tolist() == [1, 1, 1, 2, 6]
