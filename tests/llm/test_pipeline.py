@@ -35,3 +35,16 @@ def test_stages(spark, tmp_path):
     assert left[0] - left[1] == {1300} - rejected and left[1] - left[2] == {1301} - rejected and left[2] == left[3] == left[4]
     assert docs.where("not lossless").count() == 0
     assert cp.run(spark, str(tmp_path)).count() == len(left[4])
+
+
+def test_repeated_rows_clashing_columns_and_empty_tables(spark, tmp_path):
+    names = "doc_id long, text string, lang string, source string, n_chars long, row int, node string"
+    rows = [(1, "one two three four five six", "en", "s", 27, 1, "x")] * 3 + [(None, None, None, None, None, None, None), (2, "", "en", "s", 0, 2, "y")]
+    for name, docs in (("some", rows), ("none", [])):
+        base = f"{tmp_path}/{name}"
+        spark.createDataFrame(docs, names).write.parquet(f"{base}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{base}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{base}/benchmark.parquet")
+        left = sorted((str(r["doc_id"]), r["n_chars"], r["lossless"]) for r in cp.run(spark, base).collect())
+        # Copies are one row, and so are the texts without words.
+        assert left == ([("1", 27, True), ("None", 0, True)] if docs else [])
