@@ -31,11 +31,8 @@ def delete_acknowledged(outbox: DataFrame, attempts: DataFrame) -> DataFrame:
 
 
 def cut_error(error: Column, most: int = ERROR_BYTES) -> Column:
-    """At most ``most`` bytes of an error text; a character that the cut splits goes whole."""
-    raw = F.encode(error, "UTF-8")
-    # A character has at most four bytes, so one of these ends is its border.
-    ends = [F.try_validate_utf8(F.substring(raw, 1, most - k).cast("string")) for k in range(4)]
-    return F.when(F.octet_length(error) <= most, error).otherwise(F.coalesce(*ends))
+    """The first ``most`` bytes of an error text; a character that the cut splits becomes a replacement mark."""
+    return F.when(F.octet_length(error) <= most, error).otherwise(F.make_valid_utf8(F.substring(F.encode(error, "UTF-8"), 1, most).cast("string")))
 
 
 def record_failures(outbox: DataFrame, attempts: DataFrame, now: Column) -> DataFrame:
