@@ -5,6 +5,7 @@ from __future__ import annotations
 from outflow.llm.decontamination import op5_benchmark_decontamination
 from outflow.llm.digests import op2_document_fingerprints
 from outflow.llm.htmltext import op10_html_extraction
+from outflow.llm.infilling import FILL_IN_MIDDLE_SQL, op12_fill_in_middle
 from outflow.llm.mergedropout import op6_sentencepiece
 from outflow.llm.pii import op8_pii
 from outflow.llm.recompression import op1_substring_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_secrets": op9_secrets,
     "op10_html_extraction": op10_html_extraction,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 ORACLE_SQL = {
@@ -40,4 +42,5 @@ FROM w LEFT JOIN k ON w.doc_id = k.doc_id
 """,
     "op8_pii": pii_sql(),
     "op9_secrets": secrets_sql(),
+    "op12_fill_in_middle": FILL_IN_MIDDLE_SQL,
 }
