@@ -7,6 +7,7 @@ from outflow.llm.digests import op2_document_fingerprints
 from outflow.llm.htmltext import op10_html_extraction
 from outflow.llm.infilling import FILL_IN_MIDDLE_SQL, op12_fill_in_middle
 from outflow.llm.mergedropout import op6_sentencepiece
+from outflow.llm.minhash import NEAR_DUPLICATES_SQL, op13_minhash_near_dedup
 from outflow.llm.phrases import COLLOCATIONS_SQL, op11_phrase_collocations
 from outflow.llm.pii import op8_pii
 from outflow.llm.recompression import op1_substring_dedup
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
     "op11_phrase_collocations": op11_phrase_collocations,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
 ORACLE_SQL = {
@@ -46,4 +48,5 @@ FROM w LEFT JOIN k ON w.doc_id = k.doc_id
     "op9_secrets": secrets_sql(),
     "op11_phrase_collocations": COLLOCATIONS_SQL,
     "op12_fill_in_middle": FILL_IN_MIDDLE_SQL,
+    "op13_minhash_near_dedup": NEAR_DUPLICATES_SQL,
 }

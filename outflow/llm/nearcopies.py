@@ -43,7 +43,7 @@ _TIMES = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _PLUS = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 
 
-def shingle_sets(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(buf: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of each distinct shingle of a batch of texts, in order of both."""
     buf = bw.lower_ascii(buf)
     starts, ends, words = bw.split_words(buf, offsets)
@@ -51,13 +51,13 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     each = bw.hash_spans(buf, starts, ends)
     counts = np.diff(words)
-    many = np.where(counts >= SHINGLE, counts - SHINGLE + 1, np.minimum(counts, 1))
+    many = np.where(counts >= shingle, counts - shingle + 1, np.minimum(counts, 1))
     row = np.repeat(np.arange(len(counts)), many)
     first = words[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-    size = np.minimum(counts[row], SHINGLE)
-    padded = np.concatenate([each, np.zeros(SHINGLE, np.uint64)])
+    size = np.minimum(counts[row], shingle)
+    padded = np.concatenate([each, np.zeros(shingle, np.uint64)])
     mixed = size.astype(np.uint64)
-    for k, weight in enumerate(bw.powers(SHINGLE, _BASE)):
+    for k, weight in enumerate(bw.powers(shingle, _BASE)):
         mixed += np.where(k < size, padded[first + k] * weight, np.uint64(0))
     mixed = bw.mix64(mixed)
     order = np.lexsort((mixed, row))
@@ -101,14 +101,14 @@ def signatures(rows: DataFrame) -> DataFrame:
     return rows.select("_rid", F.col("text").cast("string").alias("text")).mapInArrow(run, "_rid long, one long, two long, n long, keys array<long>")
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     """(a, b, shared, alike, rest) of pairs of texts: common shingles, the verdict, and b's shingles that a lacks."""
     for whole in batches:
         for at in range(0, whole.num_rows, 100):
             batch = whole.slice(at, 100)
             n = batch.num_rows
-            row_a, hash_a = shingle_sets(*bw.text_bytes(batch.column("text_a")))
-            row_b, hash_b = shingle_sets(*bw.text_bytes(batch.column("text_b")))
+            row_a, hash_a = shingle_sets(*bw.text_bytes(batch.column("text_a")), shingle)
+            row_b, hash_b = shingle_sets(*bw.text_bytes(batch.column("text_b")), shingle)
             row, hashes = np.concatenate([row_a, row_b]), np.concatenate([hash_a, hash_b])
             second = np.arange(len(row)) >= len(row_a)
             order = np.lexsort((second, hashes, row))
@@ -123,12 +123,12 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shared, pa.int64()), pa.array(shared * LEAST[1] >= either * LEAST[0]), rest], names=["a", "b", "shared", "alike", "rest"])
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, name: str, shingle: int) -> DataFrame:
     """``_compared`` of pairs (a, b) of rows."""
     text = lambda c: rows.select(F.col("_rid").alias(f"_{c}"), F.col("text").cast("string").alias(f"text_{c}"))
     one = pairs.join(text("a"), F.col("a") == F.col("_a")).select("a", "b", "text_a")
     both = one.join(text("b"), F.col("b") == F.col("_b")).select("a", "b", "text_a", "text_b")
-    return staged(both.mapInArrow(_compared, "a long, b long, shared long, alike boolean, rest array<long>"), name)
+    return staged(both.mapInArrow(lambda batches: _compared(batches, shingle), "a long, b long, shared long, alike boolean, rest array<long>"), name)
 
 
 def _needed(a: str, b: str):
@@ -149,22 +149,32 @@ def stars(keys: DataFrame) -> DataFrame:
     return out
 
 
-def links(rows: DataFrame, marked: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b): links between ``nodes`` that connect all those that any pair of like texts connects."""
-    keys = marked.join(nodes, F.col("_rid") == F.col("node"), "left_semi").select(F.explode("keys").alias("key"), F.col("_rid").alias("node"), "n")
+def links(rows: DataFrame, keys: DataFrame, shingle: int = SHINGLE, likely=None) -> DataFrame:
+    """(a, b): links between nodes that connect all those that any pair of like texts connects.
+
+    ``keys``: (key, node, n) of distinct texts, where like texts share a key;
+    ``likely`` drops pairs (a, b) that can't be alike before their texts are compared.
+    """
     spokes = stars(keys)
-    tried = _verified(spokes.where("centre <> node").select(F.col("centre").alias("a"), F.col("node").alias("b")), rows, "star_links")
+    pairs = spokes.where("centre <> node").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    tried = _verified(likely(pairs) if likely else pairs, rows, "star_links", shingle)
     near = tried.where("alike").select("a", "b")
-    roots = components(near).select(F.col("node").alias("x"), "root")
-    # Each node with what it shares with its centre; the centre shares all it has.
-    known = tried.select(F.col("a").alias("c"), F.col("b").alias("m"), "shared", "rest")
-    placed = spokes.join(known, (F.col("centre") == F.col("c")) & (F.col("node") == F.col("m")), "left").join(roots, F.col("node") == F.col("x"), "left")
+    roots = staged(components(near).select(F.col("node").alias("x"), "root"), "roots")
     hubs = roots.select(F.col("x").alias("h"), F.col("root").alias("hub_root"))
-    placed = placed.where("centre <> node").join(hubs, F.col("centre") == F.col("h"), "left")
-    placed = staged(placed.select("centre", "node", "n", "shared", "rest", F.coalesce("root", "node").alias("root"), F.coalesce("hub_root", "centre").alias("hub_root")), "placed")
+    placed = spokes.where("centre <> node").join(roots, F.col("node") == F.col("x"), "left").join(hubs, F.col("centre") == F.col("h"), "left")
+    placed = staged(placed.select("centre", "node", "n", F.coalesce("root", "node").alias("root"), F.coalesce("hub_root", "centre").alias("hub_root")), "placed")
+    # Only stars whose members lie in several components have pairs left.
     split = placed.groupBy("centre").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("n").alias("least")).where("r0 < r1").select(F.col("centre").alias("c"), "least")
     apart = staged(placed.join(split, F.col("centre") == F.col("c")).drop("c"), "apart")
-    unstage(spokes, placed)
+    unstage(spokes, placed, roots)
+    if likely:
+        open_pairs = apart.select(F.col("centre").alias("a"), F.col("node").alias("b")).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        more = _verified(open_pairs, rows, "star_rests", shingle)
+        near, tried = near.unionByName(more.where("alike").select("a", "b")), tried.unionByName(more)
+    # Each node with what it shares with its centre; the centre shares all it has.
+    known = tried.select(F.col("a").alias("c"), F.col("b").alias("m"), "shared", "rest")
+    bare, apart = apart, staged(apart.join(known, (F.col("centre") == F.col("c")) & (F.col("node") == F.col("m"))).drop("c", "m"), "apart")
+    unstage(bare)
     side = lambda df, i: df.select(*[F.col(c).alias(f"{c}{i}") for c in ("centre", "node", "n", "shared", "root")], *[F.col(c).alias(f"{c}{i}") for c in df.columns if c in ("shingle", "lacks")])
     differ = (F.col("root1") != F.col("root2")) & (F.least("n1", "n2") * LEAST[1] >= F.greatest("n1", "n2") * LEAST[0])
     # Of two in different components one at least is not in the centre's: that one asks.
@@ -192,8 +202,8 @@ def links(rows: DataFrame, marked: DataFrame, nodes: DataFrame) -> DataFrame:
     two = counted.where((F.least("shared1", "shared2") + F.col("common") + F.col("lacks1") - 1) * total >= _needed("n1", "n2")).select("node1", "node2")
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = one.unionByName(two).select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
-    rest = staged(rest, "rest")
-    more = _verified(rest, rows, "rest_links").where("alike").select("a", "b")
+    rest = staged(likely(rest) if likely else rest, "rest")
+    more = _verified(rest, rows, "rest_links", shingle).where("alike").select("a", "b")
     unstage(apart, rare, rest)
     return near.unionByName(more)
 
@@ -208,7 +218,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rows = identified(docs.select("doc_id", "text", F.struct(*others).alias("row")), "text", "row")
     marked = staged(signatures(rows), "signatures")
     nodes = staged(marked.groupBy("one", "two", "n").agg(F.min("_rid").alias("node")).select("node"), "nodes")
-    found = links(rows, marked, nodes)
+    found = links(rows, marked.join(nodes, F.col("_rid") == F.col("node"), "left_semi").select(F.explode("keys").alias("key"), F.col("_rid").alias("node"), "n"))
     unstage(marked)
     moved = components(found).where("node <> root").select("node")
     kept = nodes.join(moved, "node", "left_anti").select(F.col("node").alias("k"))
