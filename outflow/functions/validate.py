@@ -125,14 +125,28 @@ def expires_at(stored_at: Column, ttl: Column) -> Column:
     return F.when(ttl.isNotNull(), F.timestamp_add("SECOND", ttl, stored_at))
 
 
-def stable_message_id(prefix: str, db: str, table: str) -> Column:
-    """The given message id, or one derived from where the row lives."""
-    return F.coalesce(F.nullif(F.col("message_id"), F.lit("")), F.concat_ws(":", F.lit(prefix), F.lit(db), F.lit(table), F.col("id").cast("string")))
+def stable_message_id(prefix: str | Column, db: str, table: str) -> Column:
+    """The given message id, or one derived from where the row lives.
 
+    Ids are unique inside one source only, so a table of several needs a
+    ``prefix`` for each: an expression over source_id (see ``source_prefix``).
+    """
+    first = F.lit(prefix) if isinstance(prefix, str) else prefix
+    return F.coalesce(F.nullif(F.col("message_id"), F.lit("")), F.concat_ws(":", first, F.lit(db), F.lit(table), F.col("id").cast("string")))
 
-def validate_messages(messages: DataFrame, reserved_prefix: str = RESERVED) -> DataFrame:
-    """Adds ``error``: the first failed check, in the order subject, headers, ttl."""
-    first = F.coalesce(subject_error(F.col("subject")), header_error(F.col("headers"), reserved_prefix), ttl_error(F.col("ttl_seconds")))
+
+def source_prefix(prefix: str) -> Column:
+    """A prefix for each source."""
+    return F.concat_ws("/", F.lit(prefix), F.col("source_id"))
+
+
+def validate_messages(messages: DataFrame, reserved_prefix: str = RESERVED, strict: bool = False) -> DataFrame:
+    """Adds ``error``: the first failed check, in the order subject, headers, ttl.
+
+    ``strict``: headers are free text, and are read as ``parse_headers_strict`` does.
+    """
+    headers = parse_headers_strict(reserved_prefix)(F.col("headers"))["error"] if strict else header_error(F.col("headers"), reserved_prefix)
+    first = F.coalesce(subject_error(F.col("subject")), headers, ttl_error(F.col("ttl_seconds")))
     return messages.withColumn("error", F.concat(F.lit("outbox row "), F.col("id").cast("string"), F.lit(": "), first))
 
 

@@ -98,13 +98,19 @@ def mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def relay_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mixed log with GTIDs, on a clock of one second an order; sources 0 and 1 leave nothing open and rotate."""
+    """The mixed log with GTIDs, on a clock of one second an order; sources 0 and 1 leave nothing open and rotate.
+
+    Ids are numbered in each source by itself, so that all sources have the same.
+    """
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     whole = mixed_log(spark, sf_dir).unionByName(_gtid_marks(orders))
     turning = F.col("source_id").isin("src0", "src1")
     whole = whole.where(~turning | (F.expr("event_seq div 100 % 1000") < 996))
     whole = whole.unionByName(rotated(whole.where(turning)))
-    return whole.withColumn("event_ts", F.timestamp_seconds(F.lit(1704067200) + F.expr("event_seq div 100")))
+    number = lambda r: F.encode((F.decode(r[0], "UTF-8").cast("long") % 100 + F.expr("event_seq div 400") * 100).cast("string"), "UTF-8")
+    renumbered = lambda rows: F.transform(rows, lambda r: F.concat(F.array(number(r)), F.slice(r, F.lit(2), F.size(r))))
+    nested = F.transform("nested", lambda e: F.struct(e["event_type"].alias("event_type"), e["schema_name"].alias("schema_name"), e["table_name"].alias("table_name"), renumbered(e["rows"]).alias("rows")))
+    return whole.withColumns({"rows": renumbered(F.col("rows")), "nested": nested, "event_ts": F.timestamp_seconds(F.lit(1704067200) + F.expr("event_seq div 100"))})
 
 
 def rotated_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,6 +166,11 @@ def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in OUTBOX])
 
 
+def state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outbox as the relay keeps it, of one source."""
+    return outbox(spark, sf_dir).select(F.lit("app").alias("source_id"), "*")
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok, retry = F.col("event_type") != "error", F.col("event_id") % 7 == 0
     return spark.read.parquet(f"{sf_dir}/events.parquet").select(

@@ -76,12 +76,16 @@ MIXED = """mx AS (SELECT source_id, log_file, commit_pos, commit_pos AS log_pos,
   id, subject, payload, headers, message_id, ttl_seconds, okey FROM msg WHERE st = 'F' AND okey % 3 = 0
   UNION ALL SELECT source_id, log_file, commit_pos, log_pos, ri, id, subject, payload, headers, message_id, ttl_seconds, okey FROM msg WHERE NOT (st = 'F' AND okey % 3 = 0))"""
 
+#: The relay's log numbers the ids of each source by itself.
+OWN_IDS = MIXED + """,
+my AS (SELECT *, okey // 4 * 100 + id % 100 AS rid FROM mx)"""
+
 #: The relay's clock is the order's number in seconds; a checkpoint without rows waits ten.
 RELAYED = (
     "WITH RECURSIVE "
     + LOG
     + ",\n"
-    + MIXED
+    + OWN_IDS
     + """,
 te AS (SELECT tm.source_id, tm.okey, tm.okey AS sec, tm.log_file, tm.log_pos AS pos, coalesce(n, 0) > 0 AS has_rows FROM tm LEFT JOIN (SELECT okey, count(*) AS n FROM msg GROUP BY okey) m ON tm.okey = m.okey
   UNION ALL SELECT source_id, n * 1000 - 1, n * 1000 - 1, 'bin.' || lpad(CAST(n + 1 AS VARCHAR), 6, '0'), 4, false FROM (SELECT DISTINCT 'src' || (o_orderkey % 4) AS source_id, o_orderkey // 1000 + 1 AS n FROM orders WHERE o_orderkey % 4 < 2 AND o_orderkey % 1000 < 996)),
@@ -94,8 +98,8 @@ gi AS (SELECT uuid, source_id, gno, gno - row_number() OVER (PARTITION BY uuid O
 gn AS (SELECT uuid, source_id, min(gno) AS a, max(gno) AS b FROM gi GROUP BY uuid, source_id, g),
 gp AS (SELECT source_id, uuid || ':' || string_agg(CASE WHEN a = b THEN CAST(a AS VARCHAR) ELSE a || '-' || b END, ':' ORDER BY a) AS server, uuid FROM gn GROUP BY source_id, uuid),
 gx AS (SELECT source_id, string_agg(server, ',' ORDER BY server) AS gtid_set FROM gp GROUP BY source_id)
-SELECT 'message' AS part, coalesce(message_id, 'relay:app:outbox:' || id) AS name, commit_pos AS value, subject AS note FROM mx WHERE subject LIKE 'items.N.%'
-UNION ALL SELECT 'outbox', CAST(id AS VARCHAR), 1, 'outbox row ' || id || ': no stream covers the subject' FROM mx WHERE subject NOT LIKE 'items.N.%'
+SELECT 'message' AS part, coalesce(message_id, 'relay/' || source_id || ':app:outbox:' || rid) AS name, commit_pos AS value, subject AS note FROM my WHERE subject LIKE 'items.N.%'
+UNION ALL SELECT 'outbox', source_id || ':' || rid, 1, 'outbox row ' || rid || ': no stream covers the subject' FROM my WHERE subject NOT LIKE 'items.N.%'
 UNION ALL SELECT 'checkpoint', 'main/' || z.source_id, te.pos, concat_ws(' ', te.log_file, gx.gtid_set) FROM z JOIN te ON te.source_id = z.source_id AND te.sec = z.sec LEFT JOIN gx ON gx.source_id = z.source_id"""
 )
 
@@ -167,13 +171,37 @@ UNION ALL SELECT id, 'subject_tokens' FROM ob WHERE contains(subject, '..') UNIO
     "a7_count_failed": _with(OUTBOX, "SELECT count(*) AS n_failed FROM ob WHERE attempt_count > 0"),
     "a8_retry_pass": _with(
         OUTBOX,
-        """SELECT id, attempt_count + CASE WHEN attempt_count > 0 THEN 1 ELSE 0 END AS attempt_count FROM att WHERE attempt_count = 0 OR error IS NOT NULL
-UNION ALL SELECT -1, count(*) FROM att WHERE attempt_count > 0 UNION ALL SELECT -2, count(*) FROM att WHERE attempt_count > 0 AND error IS NULL UNION ALL SELECT -3, count(*) FROM att WHERE attempt_count > 0 AND error IS NOT NULL""",
+        """SELECT 'outbox' AS part, CAST(id AS VARCHAR) AS name, attempt_count + CASE WHEN attempt_count > 0 THEN 1 ELSE 0 END AS value, CASE WHEN attempt_count > 0 THEN error END AS note FROM att WHERE attempt_count = 0 OR error IS NOT NULL
+UNION ALL SELECT 'total', 'attempted', count(*), NULL FROM att WHERE attempt_count > 0 UNION ALL SELECT 'total', 'succeeded', count(*), NULL FROM att WHERE attempt_count > 0 AND error IS NULL UNION ALL SELECT 'total', 'failed', count(*), NULL FROM att WHERE attempt_count > 0 AND error IS NOT NULL
+UNION ALL SELECT 'message', coalesce(message_id, 'relay:app:outbox:' || id), octet_length(encode(payload)), subject FROM att WHERE attempt_count > 0 AND error IS NULL""",
     ),
     "a9_snapshot_pass": _with(
         OUTBOX,
-        """SELECT CAST(id AS VARCHAR) AS name, attempt_count + 1 AS value, error AS note FROM att WHERE error IS NOT NULL
-UNION ALL SELECT 'main', 120, 'bin.000009 u:1-7' UNION ALL SELECT DISTINCT 'c' || (user_id % 5), 4, 'bin.000001' FROM events""",
+        """SELECT 'outbox' AS part, CAST(id AS VARCHAR) AS name, attempt_count + 1 AS value, error AS note FROM att WHERE error IS NOT NULL AND subject NOT LIKE 'other.%'
+UNION ALL SELECT 'checkpoint', 'main', 120, 'bin.000009 u:1-7' UNION ALL SELECT DISTINCT 'checkpoint', 'c' || (user_id % 5), 4, 'bin.000001' FROM events
+UNION ALL SELECT 'message', coalesce(message_id, 'relay:app:outbox:' || id), octet_length(encode(payload)), subject FROM att WHERE error IS NULL""",
+    ),
+    "c8_recover": _with(
+        LOG + ",\n" + OWN_IDS + ",\n" + OUTBOX + """,
+sc AS (SELECT * FROM my WHERE (source_id = 'src0' AND okey // 4 + 1 > 20) OR (source_id = 'src1' AND okey > 49) OR (source_id = 'src3' AND okey > 499)),
+sn AS (SELECT *, CASE WHEN id % 2 = 0 THEN 'src2' ELSE 'src3' END AS src, id + 10000000000 AS sid FROM att)""",
+        """SELECT 'message' AS part, coalesce(message_id, 'relay/' || source_id || ':app:outbox:' || rid) AS name, commit_pos AS value, subject AS note FROM sc WHERE subject LIKE 'items.N.%'
+UNION ALL SELECT 'outbox', source_id || ':' || rid, 1, 'outbox row ' || rid || ': no stream covers the subject' FROM sc WHERE subject NOT LIKE 'items.N.%'
+UNION ALL SELECT 'message', coalesce(message_id, 'relay/' || src || ':app:outbox:' || sid), NULL, subject FROM sn WHERE error IS NULL
+UNION ALL SELECT 'outbox', src || ':' || sid, attempt_count + 1, 'outbox row ' || sid || ': ' || coalesce(se, hd, te, 'no stream covers the subject') FROM sn WHERE error IS NOT NULL
+UNION ALL SELECT 'plan', 'main/src0', NULL, 'stream_gtid: position is available' UNION ALL SELECT 'plan', 'main/src1', NULL, 'stream_file: position is available' UNION ALL SELECT 'plan', 'main/src2', NULL, 'snapshot: no checkpoint'
+UNION ALL SELECT 'plan', 'main/src3', NULL, 'snapshot: position is no longer available' UNION ALL SELECT 'plan', 'main/src4', NULL, 'error: checkpoint holds transactions the server has not executed'""",
+    ),
+    "s3_resume_point": _with(
+        LOG + """,
+z AS (SELECT coalesce(max(o_orderkey), 0) AS l FROM orders)""",
+        """SELECT source_id, log_file, log_pos AS commit_pos, outcome, coalesce(n, 0) AS n_rows FROM tm CROSS JOIN z LEFT JOIN (SELECT okey, count(*) AS n FROM msg GROUP BY okey) m ON tm.okey = m.okey
+WHERE (source_id = 'src0' AND tm.okey // 4 + 1 > l // 8) OR (source_id = 'src1' AND (tm.okey // 4 + 1 > l // 8 OR tm.okey // 4 + 1 = l // 8 // 2 + 1)) OR (source_id = 'src2' AND (tm.okey // 1000 > l // 2000 OR (tm.okey // 1000 = l // 2000 AND log_pos > 49903)))""",
+    ),
+    "s5_message_manifest": _with(
+        LOG,
+        """SELECT 'manifest' AS part, source_id, concat_ws('-', min(okey) // 1000 + 1, min(okey) % 1000 * 100 + 103, max(okey) // 1000 + 1, max(okey) % 1000 * 100 + 103) AS name, count(*) AS n FROM msg WHERE source_id <> 'src3' GROUP BY source_id
+UNION ALL SELECT 'message', source_id, coalesce(message_id, 'relay:app:outbox:' || id), commit_pos FROM msg WHERE source_id <> 'src3'""",
     ),
     "a10_relay_stream": RELAYED,
     "c1_upsert_checkpoints": f"""WITH w AS (SELECT 'c' || (user_id % 5) AS consumer_name, max(event_id) AS e FROM events GROUP BY 1)
@@ -227,7 +255,7 @@ UNION ALL SELECT consumer, 'checkpoint_stale', {AT}, CAST(epoch({AT}) - epoch(up
 }
 
 _GREEDY = f"""WITH RECURSIVE {OUTBOX.replace('ob AS', 'ob AS', 1)},
-m AS (SELECT id, message_id AS k, created_at AS ts FROM ob WHERE message_id IS NOT NULL),
+m AS (SELECT id, coalesce(message_id, 'relay:app:outbox:' || id) AS k, created_at AS ts FROM ob),
 s AS (SELECT k, min(ts) AS t FROM m GROUP BY k UNION ALL SELECT s.k, min(m.ts) FROM s JOIN m ON m.k = s.k AND m.ts >= s.t + INTERVAL 24 HOUR GROUP BY s.k)
 SELECT min(m.id) AS id, m.k AS message_id, m.ts AS created_at FROM s JOIN m ON m.k = s.k AND m.ts = s.t GROUP BY m.k, m.ts"""
 ORACLE_SQL["r3_dedupe_window"] = ORACLE_SQL["r4_stream_dedupe"] = _GREEDY

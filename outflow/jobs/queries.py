@@ -15,6 +15,7 @@ from outflow.operators import decode as dc
 from outflow.operators import delivery as dl
 from outflow.operators import gtid as gt
 from outflow.operators import metrics as mt
+from outflow.operators import passes as ps
 from outflow.operators import routing as rt
 from outflow.operators import transactions as tr
 from outflow.sources import tables as tb
@@ -96,15 +97,35 @@ def s5_write_messages(spark, sf_dir):
     return spark.read.parquet(path).select("source_id", "log_file", "commit_pos", "log_pos", F.col("row_idx").cast(BIG).alias("row_idx"), "key", "topic")
 
 
+@query
+def s5_message_manifest(spark, sf_dir):
+    """Files as the manifest names them: in commit order, and in the order of each subject only; one batch is not named."""
+    base = folder(spark, "state")
+    stable = v.stable_message_id(fx.PREFIX, fx.DB, fx.TABLE)
+    sent = tb.to_envelope(messages(spark, sf_dir), stable, keep=tr.COMMIT_ORDER)
+    outbox, saved = fx.state(spark, sf_dir).limit(0), fx.checkpoints(spark, sf_dir).limit(0)
+    for k, (name, rows, by) in enumerate((("one", sent.where("source_id in ('src0', 'src1')"), "commit"), ("two", sent.where("source_id = 'src2'"), "subject"), ("lost", sent.where("source_id = 'src3'"), "commit"))):
+        path = f"{base}/{tb.MESSAGES}/{name}"
+        tb.write_messages(rows, path, list(tr.COMMIT_ORDER), by)
+        if name != "lost":  # a batch that stops before its pointer
+            tb.write_delta(outbox.withColumn("gone", F.lit(False)), saved, base, name, manifest=tb.manifest_of(spark, path, k))
+    named = tb.read_manifest(spark, base)
+    seen = tb.read_messages(spark, base)
+    totals = named.groupBy("source_id").agg(F.sum("n").cast(BIG).alias("n"), F.min("first").alias("a"), F.max("last").alias("z"))
+    made = totals.select(F.lit("manifest").alias("part"), "source_id", F.concat_ws("-", "a.file_no", "a.pos", "z.file_no", "z.pos").alias("name"), "n")
+    return made.unionByName(seen.select(F.lit("message").alias("part"), "source_id", F.col("key").alias("name"), F.col("commit_pos").alias("n")))
+
+
 @query
 def s6_write_state(spark, sf_dir):
     base = folder(spark, "state")
-    outbox, saved = fx.outbox(spark, sf_dir), fx.checkpoints(spark, sf_dir)
+    outbox, saved = fx.state(spark, sf_dir), fx.checkpoints(spark, sf_dir)
     tb.write_state(outbox, saved.limit(0), base, "v1")
     # What an attempt of all failed rows changes, on top of the whole table.
     tried = dl.attempt(dl.failed_rows(outbox), fx.bindings(spark))
-    changed = dl.apply_results(dl.failed_rows(outbox), tried, fx.now())
-    tb.write_delta(tried.where("ok"), changed, saved, base, "v2")
+    failed = dl.apply_results(dl.failed_rows(outbox), tried, fx.now()).withColumn("gone", F.lit(False))
+    gone = dl.failed_rows(outbox).join(tried.where("ok").select("id"), "id", "left_semi").withColumn("gone", F.lit(True))
+    tb.write_delta(failed.unionByName(gone), saved, base, "v2")
     rows, points = tb.read_state(spark, base)
     kept = rows.select(F.lit("outbox").alias("part"), F.col("id").cast("string").alias("name"), F.col("attempt_count").alias("value"))
     return kept.unionByName(points.select(F.lit("checkpoint").alias("part"), F.col("consumer_name").alias("name"), F.col("binlog_position").alias("value")))
@@ -122,6 +143,21 @@ def _drained(spark, stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+@query
+def s3_resume_point(spark, sf_dir):
+    """Places of what a stream commits that begins in the middle of the log: sources 0 and 1 by GTID set, 2 by position, 3 not at all."""
+    path = _in_slices(spark, dc.filter_inserts(dc.filter_table(fx.relay_log(spark, sf_dir), fx.DB, fx.TABLE)))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    last = orders.agg(F.coalesce(F.max("o_orderkey"), F.lit(0)).alias("m")).first()["m"]
+    half, file = last // 8, last // 2000
+    start = spark.createDataFrame(
+        [("src0", "bin.000001", 4, f"src0:1-{half}"), ("src1", "bin.000001", 4, f"src1:1-{half // 2}:{half // 2 + 2}-{half}"), ("src2", f"bin.{file + 1:06d}", 49_903, None)], "source_id string, binlog_name string, binlog_position long, gtid_set string"
+    )
+    with _rocksdb(spark):
+        places = _drained(spark, rl.stream_transactions(tb.stream_change_log(spark, path, 6, start), fx.DB, fx.TABLE, start=start))
+    return places.where("kind = 'end' and outcome <> 'rotated'").select("source_id", "log_file", "commit_pos", "outcome", "n_rows")
+
+
 @query
 def d1_filter_table(spark, sf_dir):
     return _events(dc.filter_table(fx.change_log(spark, sf_dir), fx.DB, fx.TABLE))
@@ -227,9 +263,10 @@ def t9_log_anomalies(spark, sf_dir):
 def t10_stream_committed_rows(spark, sf_dir):
     log = fx.mixed_log(spark, sf_dir)
     path = _in_slices(spark, dc.filter_inserts(dc.filter_table(log, fx.DB, fx.TABLE)))
+    out = folder(spark, "rows")
     with _rocksdb(spark):
-        rows = _drained(spark, rl.stream_committed_rows(tb.stream_change_log(spark, path, 3), tb.read_change_log(spark, path), fx.DB, fx.TABLE))
-    return shown(dc.quarantine(dc.decode_rows(rows)))
+        rl.stream_committed_rows(tb.stream_change_log(spark, path, 3), tb.indexed_log(path, f"{out}-index"), fx.DB, fx.TABLE, out, f"{out}-progress").awaitTermination()
+    return shown(dc.quarantine(dc.decode_rows(spark.read.parquet(out).drop("batch"))))
 
 
 def _in_slices(spark, log: DataFrame, slices: int = 3) -> str:
@@ -336,14 +373,18 @@ def r2_check_expected_stream(spark, sf_dir):
 
 @query
 def r3_dedupe_window(spark, sf_dir):
-    given = _outbox(spark, sf_dir).where("message_id is not null").select(_id(), "message_id", "created_at")
-    return rt.dedupe_window(given, "message_id", "created_at", "id", 86_400)
+    return rt.dedupe_window(_stable(spark, sf_dir), "message_id", "created_at", "id", 86_400)
+
+
+def _stable(spark, sf_dir) -> DataFrame:
+    """Every row under its stable id."""
+    return _outbox(spark, sf_dir).select(_id(), v.stable_message_id(*NAMES).alias("message_id"), "created_at")
 
 
 @query
 def r4_stream_dedupe(spark, sf_dir):
     path = folder(spark, "messages")
-    given = _outbox(spark, sf_dir).where("message_id is not null").select(_id(), "message_id", "created_at")
+    given = _stable(spark, sf_dir)
     # Slices of time, written one after the other and read in several batches.
     edges = given.agg(F.percentile_approx(F.unix_micros("created_at"), [0.25, 0.5, 0.75]).alias("e")).first()["e"] or []
     for low, high in zip((None, *edges), (*edges, None), strict=True):
@@ -413,39 +454,102 @@ def a7_count_failed(spark, sf_dir):
     return dl.count_failed(_outbox(spark, sf_dir))
 
 
+def _begun(spark, sf_dir) -> str:
+    """A state with the whole outbox, of one source, and checkpoints."""
+    base = folder(spark, "state")
+    tb.write_state(fx.state(spark, sf_dir), fx.checkpoints(spark, sf_dir), base, "start")
+    return base
+
+
+def _published(spark, base: str) -> DataFrame:
+    return tb.read_messages(spark, base).select(F.lit("message").alias("part"), F.col("key").alias("name"), F.octet_length("value").cast(BIG).alias("value"), F.col("topic").alias("note"))
+
+
+NAMES = (fx.PREFIX, fx.DB, fx.TABLE)
+
+
 @query
 def a8_retry_pass(spark, sf_dir):
-    after, totals = dl.retry_pass(_outbox(spark, sf_dir), fx.bindings(spark), fx.now())
-    counts = totals.select(F.posexplode(F.array("attempted", "succeeded", "failed")).alias("k", "n")).select((-1 - F.col("k")).cast(BIG).alias("id"), F.col("n").alias("attempt_count"))
-    return _state(after).select("id", "attempt_count").unionByName(counts)
+    """The outbox, the totals and the messages after a pass; it runs again and changes nothing."""
+    base = _begun(spark, sf_dir)
+    for _ in range(2):
+        totals = ps.retry_pass(spark, base, "1", NAMES, fx.bindings(spark), fx.now())
+    counts = totals.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in ("attempted", "succeeded", "failed")])).alias("t")).select(F.lit("total").alias("part"), "t.*", F.lit(None).cast("string").alias("note"))
+    after = tb.read_state(spark, base)[0].select(F.lit("outbox").alias("part"), F.col("id").cast("string").alias("name"), F.col("attempt_count").alias("value"), F.col("last_error").alias("note"))
+    return after.unionByName(counts).unionByName(_published(spark, base))
 
 
 @query
 def a9_snapshot_pass(spark, sf_dir):
-    """The outbox and the checkpoints as read back from the unit that the pass wrote."""
-    position = {"consumer_name": "main", "binlog_name": "bin.000009", "binlog_position": 120, "gtid_set": "u:1-7"}
-    after, saved = dl.snapshot_pass(_outbox(spark, sf_dir), fx.checkpoints(spark, sf_dir), fx.bindings(spark), position, fx.now(), base=folder(spark, "state"))
-    points = saved.select(F.col("consumer_name").alias("name"), F.col("binlog_position").alias("value"), F.concat_ws(" ", "binlog_name", "gtid_set").alias("note"))
-    return after.select(F.col("id").cast("string").alias("name"), F.col("attempt_count").alias("value"), F.col("last_error").alias("note")).unionByName(points)
+    """The outbox, the checkpoints and the messages as the pass committed them; the source's table lacks some rows of the state."""
+    base = _begun(spark, sf_dir)
+    positions = spark.createDataFrame([("main", "app", "bin.000009", 120, "u:1-7", 0)], "consumer_name string, source_id string, binlog_name string, binlog_position long, gtid_set string, write_seq long")
+    ps.snapshot_pass(spark, base, "1", fx.state(spark, sf_dir).where("subject not like 'other.%'"), positions, NAMES, fx.bindings(spark), fx.now())
+    after, saved = tb.read_state(spark, base)
+    points = saved.select(F.lit("checkpoint").alias("part"), F.col("consumer_name").alias("name"), F.col("binlog_position").alias("value"), F.concat_ws(" ", "binlog_name", "gtid_set").alias("note"))
+    kept = after.select(F.lit("outbox").alias("part"), F.col("id").cast("string").alias("name"), F.col("attempt_count").alias("value"), F.col("last_error").alias("note"))
+    return kept.unionByName(points).unionByName(_published(spark, base))
+
+
+def _relayed(spark, base: str) -> DataFrame:
+    rows, points = tb.read_state(spark, base)
+    made = tb.read_messages(spark, base).select(F.lit("message").alias("part"), F.col("key").alias("name"), F.col("commit_pos").alias("value"), F.col("topic").alias("note"))
+    made = made.unionByName(rows.select(F.lit("outbox").alias("part"), F.concat_ws(":", "source_id", F.col("id").cast("string")).alias("name"), F.col("attempt_count").alias("value"), F.col("last_error").alias("note")))
+    return made.unionByName(points.select(F.lit("checkpoint").alias("part"), F.col("consumer_name").alias("name"), F.col("binlog_position").alias("value"), F.concat_ws(" ", "binlog_name", "gtid_set").alias("note")))
 
 
 @query
 def a10_relay_stream(spark, sf_dir):
-    """Messages, outbox and checkpoints after the log has been relayed in several batches, onto a state with checkpoints only."""
+    """Messages, outbox and checkpoints after the log of several sources, whose ids are the same, has been relayed in several batches."""
     base = folder(spark, "state")
     path = _in_slices(spark, fx.relay_log(spark, sf_dir))
     begun = [("main/src0", "bin.000001", 4, "src0:1-3"), ("main/src1", "bin.000001", 4, "other:5"), ("main/src2", "bin.000001", 4, None)]
     saved = spark.createDataFrame(begun, "consumer_name string, binlog_name string, binlog_position long, gtid_set string").withColumn("updated_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
-    tb.write_state(fx.outbox(spark, sf_dir).limit(0), saved, base, "start")
+    tb.write_state(fx.state(spark, sf_dir).limit(0), saved, base, "start")
     rules = spark.createDataFrame([("ITEMS", "items.N.>")], "stream string, pattern string")
+    names = (v.source_prefix(fx.PREFIX), fx.DB, fx.TABLE)
     with _rocksdb(spark):
         log = tb.stream_change_log(spark, path, 5)
-        rl.relay_stream(log, base, lambda s: tb.read_change_log(s, path), (fx.PREFIX, fx.DB, fx.TABLE), rules, "main", fx.now(), f"{base}-progress", interval_seconds=10, compact_every=2).awaitTermination()
-    rows, points = tb.read_state(spark, base)
-    sent = spark.read.parquet(f"{base}/{tb.MESSAGES}/*")
-    made = sent.select(F.lit("message").alias("part"), F.col("key").alias("name"), F.col("commit_pos").alias("value"), F.col("topic").alias("note"))
-    made = made.unionByName(rows.select(F.lit("outbox").alias("part"), F.col("id").cast("string").alias("name"), F.col("attempt_count").alias("value"), F.col("last_error").alias("note")))
-    return made.unionByName(points.select(F.lit("checkpoint").alias("part"), F.col("consumer_name").alias("name"), F.col("binlog_position").alias("value"), F.concat_ws(" ", "binlog_name", "gtid_set").alias("note")))
+        rl.relay_stream(log, base, tb.indexed_log(path, f"{base}-index"), names, rules, "main", fx.now(), f"{base}-progress", interval_seconds=10, compact_every=2).awaitTermination()
+    return _relayed(spark, base)
+
+
+@query
+def c8_recover(spark, sf_dir):
+    """Recovery carried out: each source by its plan, over one state.
+
+    Source 0 streams from its GTID set, 1 from its position, 2 has no checkpoint
+    and is read whole first, 3 has lost its position and is read whole, 4 has a
+    set that its server lacks and starts nothing.
+    """
+    base = folder(spark, "state")
+    log = fx.relay_log(spark, sf_dir)
+    path = _in_slices(spark, log)
+    saved = spark.createDataFrame(
+        [("main/src0", "bin.000001", 4, "src0:1-20"), ("main/src1", "bin.000001", 5003, None), ("main/src3", "bin.000001", 3, None), ("main/src4", "bin.000001", 4, "zz:1-9")], "consumer_name string, binlog_name string, binlog_position long, gtid_set string"
+    ).withColumn("updated_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    tb.write_state(fx.state(spark, sf_dir).limit(0), saved, base, "start")
+    sources = [f"src{k}" for k in range(5)]
+    consumers = spark.createDataFrame([(f"main/{s}", s) for s in sources], "consumer_name string, source_id string")
+    files = spark.createDataFrame([(s, "bin.000001", 1 << 31) for s in sources], "source_id string, name string, size long")
+    server = spark.createDataFrame([(s, s in ("src0", "src4"), "src0:1-1000000000" if s == "src0" else "", "") for s in sources], "source_id string, gtid_on boolean, gtid_executed string, gtid_purged string")
+    # Where the servers are when the tables are read: behind all that the log holds of source 2, in the first file of source 3.
+    here = spark.createDataFrame([("src2", "bin.999999", 4, None), ("src3", "bin.000001", 50_003, None)], "source_id string, binlog_name string, binlog_position long, gtid_set string")
+    table = fx.state(spark, sf_dir)
+    dealt = {"source_id": F.when(F.col("id") % 2 == 0, "src2").otherwise("src3"), "id": (F.col("id") + 10_000_000_000).cast(fx.ID)}
+    whole = lambda: table.withColumns(dealt)
+    rules = spark.createDataFrame([("ITEMS", "items.N.>"), ("EVENTS", "events.>")], "stream string, pattern string")
+    names = (v.source_prefix(fx.PREFIX), fx.DB, fx.TABLE)
+
+    def stream(start):
+        events = tb.stream_change_log(spark, path, 12, start)
+        return rl.relay_stream(events, base, tb.indexed_log(path, f"{base}-index"), names, rules, "main", fx.now(), f"{base}-progress", start=start, interval_seconds=10)
+
+    with _rocksdb(spark):
+        plans = ps.recover(spark, base, "1", consumers, files, server, here, whole, names, rules, fx.now(), stream)
+    told = plans.select(F.lit("plan").alias("part"), F.col("consumer_name").alias("name"), F.lit(None).cast(BIG).alias("value"), F.concat_ws(": ", "plan", "reason").alias("note"))
+    points = F.col("part") == "checkpoint"  # where a source came to is a10's matter
+    return _relayed(spark, base).where(~points).unionByName(told)
 
 
 # Checkpoints and GTID sets

@@ -10,6 +10,7 @@ from outflow.operators.gtid import gtid_contains, gtid_union, parse_gtid_set
 from outflow.operators.hops import hops
 from outflow.operators.transactions import FILE, ending
 from outflow.schemas import UINT32
+from outflow.sources.tables import file_number
 
 
 def upsert_checkpoints(state: DataFrame, updates: DataFrame, now: Column, order: str = "write_seq") -> DataFrame:
@@ -89,11 +90,6 @@ def plan_recovery(consumers: DataFrame, checkpoints: DataFrame, log_files: DataF
     return rows.select("consumer_name", plan.alias("plan"), reason.alias("reason"))
 
 
-def file_number(name: Column) -> Column:
-    """The number a log file's name ends in; files of a source follow it."""
-    return F.regexp_extract(name, r"([0-9]+)\z", 1).try_cast("long")
-
-
 def attach_gtid(log: DataFrame, checkpoint: DataFrame | None = None) -> DataFrame:
     """Adds gtid_uuid and gno to terminals: the last GTID event's, carried forward over files too.
 

@@ -7,19 +7,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outflow.functions.validate import validate_messages
-from outflow.operators.checkpoints import upsert_checkpoints
 from outflow.operators.routing import check_expected_stream, route_subjects
-from outflow.sources.tables import read_state, write_state
 
 ERROR_BYTES = 4096
 
 
-def attempt(messages: DataFrame, bindings: DataFrame, expected: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+def attempt(messages: DataFrame, bindings: DataFrame, expected: str | None = None, keep: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
     """(id, subject, ok, error, was_retry, first_failure) of each message; a failed row stops nothing.
 
-    ``keep``: more columns of the messages to carry along.
+    ``keep``: more columns of the messages to carry along.  ``strict``: their headers are free text.
     """
-    routed = check_expected_stream(route_subjects(validate_messages(messages), bindings), expected)
+    routed = check_expected_stream(route_subjects(validate_messages(messages, strict=strict), bindings), expected)
     error = F.coalesce(F.col("error"), F.concat(F.lit("outbox row "), F.col("id").cast("string"), F.lit(": "), F.col("route_error")))
     retried = F.col("attempt_count") > 0
     return routed.select("id", "subject", error.isNull().alias("ok"), error.alias("error"), retried.alias("was_retry"), (error.isNotNull() & ~retried).alias("first_failure"), *keep)
@@ -85,28 +83,3 @@ def failed_rows(outbox: DataFrame) -> DataFrame:
 
 def count_failed(outbox: DataFrame) -> DataFrame:
     return failed_rows(outbox).agg(F.count(F.lit(1)).alias("n_failed"))
-
-
-def retry_pass(outbox: DataFrame, bindings: DataFrame, now: Column, expected: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(outbox after one try of each failed row, totals)."""
-    tried = attempt(failed_rows(outbox), bindings, expected)
-    totals = tried.agg(F.count(F.lit(1)).alias("attempted"), F.count_if("ok").alias("succeeded"), F.count_if(~F.col("ok")).alias("failed"))
-    return apply_results(outbox, tried, now), totals
-
-
-def snapshot_pass(outbox: DataFrame, checkpoints: DataFrame, bindings: DataFrame, position: dict, now: Column, expected: str | None = None, base: str | None = None, version: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(outbox after one try of every row, checkpoints with the position in them).
-
-    ``position`` (consumer_name, binlog_name, binlog_position, gtid_set) must
-    have been read before ``outbox``: what changes meanwhile is then published
-    again, and its message id absorbs it.  With a ``base`` both are written
-    there as one unit and returned as written.
-    """
-    after = apply_results(outbox, attempt(outbox, bindings, expected), now)
-    spark = outbox.sparkSession
-    update = spark.createDataFrame([position | {"write_seq": 0}], "consumer_name string, binlog_name string, binlog_position long, gtid_set string, write_seq long")
-    saved = upsert_checkpoints(checkpoints, update, now)
-    if base is None:
-        return after, saved
-    write_state(after, saved, base, version)
-    return read_state(spark, base)

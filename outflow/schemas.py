@@ -25,6 +25,12 @@ OUTBOX = T.StructType(
     ]
 )
 
+#: The relay's own outbox: an id is unique inside its source only.
+STATE = T.StructType([T.StructField("source_id", T.StringType(), False), *OUTBOX])
+
+#: A published message, after its place in the log (null where a pass over the table published it).
+ENVELOPE = "source_id string, log_file string, commit_pos long, log_pos long, event_seq long, row_idx int, topic string, key string, value binary, headers array<struct<key:string,value:binary>>"
+
 CHECKPOINT = T.StructType(
     [
         T.StructField("consumer_name", T.StringType(), False),

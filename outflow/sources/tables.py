@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,8 @@ from outflow import schemas
 
 #: Folder of published messages beside a state's versions.
 MESSAGES = "messages"
+#: Folder of recovery plans there.
+PLANS = "plans"
 #: What the name of a compacted version ends in.
 WHOLE = "-whole"
 
@@ -53,9 +56,68 @@ def add_managed_columns(df: DataFrame, managed: dict | None = None) -> DataFrame
 
 
 def read_outbox(spark: SparkSession, path: str | None = None, jdbc: dict | None = None) -> DataFrame:
-    """The outbox table, from Parquet or over JDBC (options as Spark's reader takes them)."""
-    df = spark.read.format("jdbc").options(**jdbc).load() if jdbc else spark.read.parquet(path)
-    return conform(df, schemas.OUTBOX)
+    """The outbox table, from Parquet or over JDBC (options as Spark's reader takes them).
+
+    Over JDBC the table is read in ranges of its ids (see ``id_ranges``) where the
+    options name no partitioning; ``ranges`` among the options says how many.
+    """
+    if not jdbc:
+        return conform(spark.read.parquet(path), schemas.OUTBOX)
+    options = {k: v for k, v in jdbc.items() if k not in ("ranges", "url", "dbtable", "id_column")}
+    if "partitionColumn" in jdbc or "query" in jdbc:
+        return conform(spark.read.format("jdbc").options(**{k: v for k, v in jdbc.items() if k not in ("ranges", "id_column")}).load(), schemas.OUTBOX)
+    column = jdbc.get("id_column", "id")
+    predicates = id_ranges(spark, jdbc, column, int(jdbc.get("ranges", spark.conf.get("spark.sql.shuffle.partitions"))))
+    return conform(_database_types(spark.read.jdbc(jdbc["url"], jdbc["dbtable"], predicates=predicates, properties=options)), schemas.OUTBOX)
+
+
+def id_ranges(spark: SparkSession, jdbc: dict, column: str, n: int) -> list[str]:
+    """Up to ``n`` conditions that deal a table's rows out by id, each row in exactly one.
+
+    The database says the least and largest id and how many rows there are; cuts
+    are then moved to the ids' own quantiles by one counting query a round, so
+    that gaps in the ids leave no range empty or overfull.  Ids are unsigned 64-bit
+    numbers, which no ``partitionColumn`` of Spark's reader can hold.
+    """
+    ask = lambda select: spark.read.format("jdbc").options(**{k: v for k, v in jdbc.items() if k not in ("ranges", "dbtable", "id_column")}).option("query", select).load().collect()[0]
+    low, high, rows = ask(f"select min({column}) as lo, max({column}) as hi, count(*) as n from {jdbc['dbtable']}")
+    if not rows or n < 2 or low == high:
+        return ["1 = 1"]
+    low, high, rows = int(low), int(high), int(rows)
+    # For each cut: the ids between which its quantile lies; halved together until all are close.
+    spans = [[low, high] for _ in range(1, n)]
+    for _ in range(QUANTILE_ROUNDS):
+        middle = [(a + b) // 2 for a, b in spans]
+        counts = ask("select " + ", ".join(f"sum(case when {column} <= {m} then 1 else 0 end) as c{k}" for k, m in enumerate(middle)) + f" from {jdbc['dbtable']}")
+        for k, m in enumerate(middle):
+            spans[k] = [m, spans[k][1]] if int(counts[k]) * n < rows * (k + 1) else [spans[k][0], m]
+        if all(b - a <= 1 for a, b in spans):
+            break
+    cuts = sorted({b for _, b in spans if b < high})
+    edges = [None, *cuts, None]
+    within = lambda a, b: " and ".join(([f"{column} > {a}"] if a is not None else []) + ([f"{column} <= {b}"] if b is not None else [])) or "1 = 1"
+    return [within(a, b) for a, b in zip(edges, edges[1:])]
+
+
+#: Rounds of halving; 64 find any unsigned 64-bit quantile exactly, a few are close enough.
+QUANTILE_ROUNDS = 24
+
+
+def _database_types(df: DataFrame) -> DataFrame:
+    """Columns as the outbox has them: names in any case, numbers of any width or scale zero, texts held as bytes and the other way."""
+    want = {f.name: f.dataType for f in schemas.OUTBOX}
+    out = []
+    for field in df.schema:
+        kind, have = want.get(field.name.lower()), field.dataType
+        column = F.col(f"`{field.name}`")
+        if isinstance(kind, T.StringType) and isinstance(have, T.BinaryType):
+            column = column.cast("string")
+        elif isinstance(kind, T.BinaryType) and isinstance(have, T.StringType):
+            column = F.encode(column, "UTF-8")
+        elif isinstance(kind, T.TimestampType) and isinstance(have, T.TimestampNTZType):
+            column = column.cast("timestamp")
+        out.append(column.alias(field.name))
+    return df.select(*out)
 
 
 def read_change_log(spark: SparkSession, path: str) -> DataFrame:
@@ -63,9 +125,86 @@ def read_change_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CHANGE_LOG).parquet(path)
 
 
-def stream_change_log(spark: SparkSession, path: str, files_per_batch: int = 16) -> DataFrame:
-    """An unbounded change log; a query's checkpoint remembers how far it came."""
-    return spark.readStream.schema(schemas.CHANGE_LOG).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def stream_change_log(spark: SparkSession, path: str, files_per_batch: int = 16, start: DataFrame | None = None) -> DataFrame:
+    """An unbounded change log; a query's checkpoint remembers how far it came.
+
+    ``start``: where sources begin (see ``after_start``), read when the stream is made.
+    """
+    events = spark.readStream.schema(schemas.CHANGE_LOG).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return events if start is None else after_start(events, start)
+
+
+def after_start(events: DataFrame, start: DataFrame) -> DataFrame:
+    """Events of the sources in ``start`` that come after their position there; other sources' go.
+
+    ``start`` (one row a source): source_id, binlog_name, binlog_position,
+    gtid_set.  A source with a GTID set begins with its log's first file, as the
+    set alone says what is consumed (``stream_transactions`` drops it); one
+    without begins behind the position.  What only the file decides is a filter
+    of its own, so that a log laid out by source_id and log_file has whole
+    folders pruned.
+    """
+    file, whole = F.lit(False), F.lit(False)
+    number = file_number(F.col("log_file"))
+    for r in start.select("source_id", "binlog_name", "binlog_position", "gtid_set").collect():
+        mine = F.col("source_id") == r["source_id"]
+        if r["gtid_set"]:
+            file, whole = file | mine, whole | mine
+            continue
+        first = file_number(F.lit(r["binlog_name"]))
+        file = file | (mine & (number >= first))
+        whole = whole | (mine & ((number > first) | (F.col("log_pos") > r["binlog_position"])))
+    return events.where(file).where(whole)
+
+
+def file_number(name: Column) -> Column:
+    """The number a log file's name ends in; files of a source follow it."""
+    return F.regexp_extract(name, r"([0-9]+)\z", 1).try_cast("long")
+
+
+def index_log(spark: SparkSession, path: str, index: str) -> int:
+    """Adds the zones of the log's data files that the index lacks; returns how many files were new.
+
+    A zone says which positions of a source's log file a data file holds.  To be
+    called when files have come; only their three columns are read.
+    """
+    fs, root = _pointer(spark, path)
+    listed, found = [], fs.listFiles(root, True)
+    while found.hasNext():
+        at = found.next().getPath()
+        if at.getName().endswith(".parquet") and not at.getName().startswith(("_", ".")):
+            listed.append(at.toString())
+    known = {r["file"] for r in spark.read.schema(ZONES).parquet(index).select("file").distinct().collect()} if exists(spark, index) else set()
+    fresh = sorted(set(listed) - known)
+    if fresh:
+        read = spark.read.schema(schemas.CHANGE_LOG).parquet(*fresh).select("source_id", "log_file", "log_pos", F.col("_metadata.file_path").alias("file"))
+        zones = read.groupBy("file", "source_id", "log_file").agg(F.min("log_pos").alias("low"), F.max("log_pos").alias("high"))
+        # Names as they were listed: what a file is called differs between the two.
+        named = spark.createDataFrame([(f, f.split("/")[-1]) for f in fresh], "listed string, name string")
+        zones = zones.withColumn("name", F.url_decode(F.element_at(F.split("file", "/"), -1))).join(named, "name")
+        zones.select(F.col("listed").alias("file"), "source_id", "low", "high", "log_file").coalesce(1).write.mode("append").partitionBy("log_file").parquet(index)
+    return len(fresh)
+
+
+ZONES = "file string, source_id string, low long, high long, log_file string"
+
+
+def log_at(spark: SparkSession, index: str, spans: list[tuple[str, str, int, int]]) -> DataFrame:
+    """The log's data files that hold any of the spans (source, log file, least and largest position), read whole."""
+    wanted = spark.createDataFrame(spans, "source_id string, log_file string, first long, last long")
+    zones = spark.read.schema(ZONES).parquet(index).where(F.col("log_file").isin(sorted({s[1] for s in spans}))) if spans else None
+    files = [] if zones is None else sorted(r["file"] for r in zones.join(wanted, ["source_id", "log_file"]).where("low <= last and high >= first").select("file").distinct().collect())
+    return spark.read.schema(schemas.CHANGE_LOG).parquet(*files) if files else spark.createDataFrame([], schemas.CHANGE_LOG)
+
+
+def indexed_log(path: str, index: str) -> Callable[[SparkSession, list], DataFrame]:
+    """A reader of spans of a log for the relay; it looks at files that came since first."""
+
+    def read(spark: SparkSession, spans: list) -> DataFrame:
+        index_log(spark, path, index)
+        return log_at(spark, index, spans)
+
+    return read
 
 
 def to_envelope(messages: DataFrame, stable_id: Column, headers: Column | None = None, expected_stream: str | None = None, id_header: str = "Nats-Msg-Id", ttl_header: str = "Nats-TTL", stream_header: str = "Nats-Expected-Stream", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -86,12 +225,46 @@ def to_envelope(messages: DataFrame, stable_id: Column, headers: Column | None =
     return messages.select(*keep, F.col("subject").alias("topic"), stable_id.alias("key"), F.col("payload").alias("value"), F.concat(given, F.array(*own), ttl).alias("headers"))
 
 
-def write_messages(envelopes: DataFrame, path: str, order: list[str]) -> None:
-    """Messages in commit order: range-dealt by ``order``, sorted inside each file."""
-    dealt = envelopes.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+def write_messages(envelopes: DataFrame, path: str, order: list[str], by: str = "commit") -> None:
+    """Messages in commit order: range-dealt by ``order``, sorted inside each file.
+
+    With ``by='subject'`` only the messages of one topic keep that order: they
+    lie in one file, and nothing is sampled to find ranges.
+    """
+    if by not in ("commit", "subject"):
+        raise ValueError("messages are ordered by commit or by subject")
+    if by == "subject":
+        dealt = envelopes.repartition("topic").sortWithinPartitions("topic", *order)
+    else:
+        dealt = envelopes.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
     dealt.write.mode("overwrite").parquet(path)
 
 
+def manifest_of(spark: SparkSession, path: str, seq: int) -> DataFrame:
+    """(seq, file, source_id, first, last, n): what message files hold; first and last commit as (file number, position)."""
+    at = F.struct(F.coalesce(file_number(F.col("log_file")), F.lit(0)).alias("file_no"), F.col("commit_pos").alias("pos"))
+    read = spark.read.schema(schemas.ENVELOPE).parquet(path).select("source_id", at.alias("at"), F.col("_metadata.file_path").alias("file"))
+    return read.groupBy("file", "source_id").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count(F.lit(1)).alias("n")).select(F.lit(seq).cast("long").alias("seq"), "file", "source_id", "first", "last", "n")
+
+
+def read_manifest(spark: SparkSession, base: str) -> DataFrame | None:
+    """The manifests that the state's pointer names, as one table; None if nothing was published."""
+    found = read_pointer(spark, base)
+    paths = [f"{base}/{v}/manifest" for v in (found or {}).get("manifests", [])]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def read_messages(spark: SparkSession, base: str) -> DataFrame:
+    """Messages of exactly the files that the manifest names.
+
+    Files of a pass or batch that was not completed are not among them.  Sorted
+    by a source's (seq, first) the files are in commit order, and so are the rows in each.
+    """
+    named = read_manifest(spark, base)
+    files = [] if named is None else sorted(r["file"] for r in named.select("file").distinct().collect())
+    return spark.read.schema(schemas.ENVELOPE).parquet(*files) if files else spark.createDataFrame([], schemas.ENVELOPE)
+
+
 def _pointer(spark: SparkSession, base: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(base)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
@@ -123,6 +296,12 @@ def current_version(spark: SparkSession, base: str) -> str | None:
     return found and found["version"]
 
 
+def _after(spark: SparkSession, base: str, **changes) -> dict:
+    """The pointer's content with some of it changed."""
+    before = read_pointer(spark, base) or {"version": None, "snapshot": None, "deltas": [], "done": {}, "side": {}, "manifests": [], "count": 0}
+    return before | changes | {"count": before["count"] + 1}
+
+
 def write_state(outbox: DataFrame, checkpoints: DataFrame, base: str, version: str | None = None) -> str:
     """Results and checkpoint as one unit: both tables first, one small pointer last.
 
@@ -132,48 +311,79 @@ def write_state(outbox: DataFrame, checkpoints: DataFrame, base: str, version: s
     version = version or uuid.uuid4().hex
     for name, df in (("outbox", outbox), ("checkpoints", checkpoints)):
         df.write.mode("overwrite").parquet(f"{base}/{version}/{name}")
-    swap_pointer(outbox.sparkSession, base, {"version": version, "snapshot": version, "deltas": []})
+    spark = outbox.sparkSession
+    swap_pointer(spark, base, _after(spark, base, version=version, snapshot=version, deltas=[]))
     return version
 
 
-def write_delta(removed: DataFrame, changed: DataFrame, checkpoints: DataFrame, base: str, version: str, more: dict[str, DataFrame] | None = None) -> None:
-    """A change of the state as one unit: ids that left, rows as they are now, and the checkpoints.
+def write_delta(changes: DataFrame, checkpoints: DataFrame, base: str, version: str, kind: str | None = None, side: dict[str, DataFrame] | None = None, manifest: DataFrame | None = None) -> None:
+    """A change of the state as one unit: rows as they are now (or ``gone``), and the checkpoints.
 
     Nothing that stays is written again; ``compact`` folds deltas into a table.
-    ``more``: other tables to lie beside them, by name.
+    ``kind``: the line of work this version is the last of (see ``is_done``).
+    ``side``: other tables to lie beside them; the last of a name is found by
+    ``read_side``.  ``manifest``: of the messages that become visible with it.
     """
-    spark = changed.sparkSession
-    before = read_pointer(spark, base) or {"snapshot": None, "deltas": []}
-    for name, df in (("removed", removed.select("id")), ("changed", changed), ("checkpoints", checkpoints), *(more or {}).items()):
+    spark = changes.sparkSession
+    tables = {"changes": changes, "checkpoints": checkpoints} | (side or {}) | ({"manifest": manifest} if manifest is not None else {})
+    for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{base}/{version}/{name}")
-    swap_pointer(spark, base, {"version": version, "snapshot": before["snapshot"], "deltas": [*before["deltas"], version]})
+    now = _after(spark, base, version=version)
+    now["deltas"], now["side"] = [*now["deltas"], version], now["side"] | dict.fromkeys(side or {}, version)
+    now["done"] = now["done"] | ({kind: version} if kind else {})
+    now["manifests"] = [*now["manifests"], *([version] if manifest is not None else [])]
+    swap_pointer(spark, base, now)
+
+
+def is_done(spark: SparkSession, base: str, kind: str, version: str) -> bool:
+    """Whether a version of this line of work, whose names rise, is part of the state already."""
+    return ((read_pointer(spark, base) or {}).get("done", {}).get(kind) or "") >= version
+
+
+def read_side(spark: SparkSession, base: str, name: str) -> DataFrame | None:
+    """The table of this name that was written last beside a delta."""
+    version = (read_pointer(spark, base) or {}).get("side", {}).get(name)
+    return spark.read.parquet(f"{base}/{version}/{name}") if version else None
+
+
+def row_keys(df: DataFrame) -> list[str]:
+    """What names a row: its id, with its source where the table holds several."""
+    return [c for c in ("source_id", "id") if c in df.columns]
 
 
 def read_state(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame] | None:
-    """(outbox, checkpoints) as the pointer names them; of an id's changes the last one counts."""
+    """(outbox, checkpoints) as the pointer names them; of a row's changes the last one counts."""
     found = read_pointer(spark, base)
     if found is None:
         return None
-    whole = spark.read.parquet(f"{base}/{found['snapshot']}/outbox") if found["snapshot"] else spark.createDataFrame([], schemas.OUTBOX)
     checkpoints = spark.read.parquet(f"{base}/{found['version']}/checkpoints")
-    if not found["deltas"]:
-        return whole, checkpoints
-    parts = [(F.lit(k).alias("_seq"), f"{base}/{v}") for k, v in enumerate(found["deltas"])]
-    changed = [spark.read.parquet(f"{path}/changed").withColumn("_seq", seq) for seq, path in parts]
-    removed = [spark.read.parquet(f"{path}/removed").select("id", seq) for seq, path in parts]
-    rows = reduce(DataFrame.unionByName, changed)
-    touched = reduce(DataFrame.unionByName, removed, rows.select("id", "_seq")).groupBy("id").agg(F.max("_seq").alias("_seq"))
-    now = rows.join(touched, ["id", "_seq"], "left_semi").drop("_seq")
-    return whole.join(touched, "id", "left_anti").unionByName(now.select(*whole.columns)), checkpoints
+    changes = [spark.read.parquet(f"{base}/{v}/changes").withColumn("_seq", F.lit(k)) for k, v in enumerate(found["deltas"])]
+    if not changes:
+        return spark.read.parquet(f"{base}/{found['snapshot']}/outbox"), checkpoints
+    rows = reduce(DataFrame.unionByName, changes)
+    whole = spark.read.parquet(f"{base}/{found['snapshot']}/outbox") if found["snapshot"] else rows.drop("gone", "_seq").limit(0)
+    keys = row_keys(whole)
+    touched = rows.groupBy(*keys).agg(F.max("_seq").alias("_seq"))
+    now = rows.join(touched, [*keys, "_seq"], "left_semi").where("not gone")
+    return whole.join(touched, keys, "left_anti").unionByName(now.select(*whole.columns)), checkpoints
 
 
 def compact(spark: SparkSession, base: str) -> None:
-    """Folds the deltas into one table; what only the pointer before the last named goes with the next call."""
+    """Folds deltas and manifests into one table each; what only the pointer before the last named goes with the next call."""
     found = read_pointer(spark, base)
     if found is None or not found["deltas"]:
         return
-    write_state(*read_state(spark, base), base, f"{found['version']}{WHOLE}")
-    prune(spark, base, keep=[found["snapshot"], *found["deltas"]])
+    version = f"{found['version']}{WHOLE}"
+    outbox, checkpoints = read_state(spark, base)
+    tables = {"outbox": outbox, "checkpoints": checkpoints} | ({"manifest": read_manifest(spark, base).coalesce(1)} if found["manifests"] else {})
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{base}/{version}/{name}")
+    swap_pointer(spark, base, _after(spark, base, version=version, snapshot=version, deltas=[], manifests=[version] if found["manifests"] else []))
+    prune(spark, base, keep=_named(found))
+
+
+def _named(found: dict) -> list:
+    return [found["version"], found["snapshot"], *found["deltas"], *found["side"].values(), *found["manifests"]]
 
 
 def prune(spark: SparkSession, base: str, keep: list | None = None) -> list[str]:
@@ -184,7 +394,7 @@ def prune(spark: SparkSession, base: str, keep: list | None = None) -> list[str]
     found = read_pointer(spark, base)
     if found is None:
         return []
-    named = {found["version"], found["snapshot"], *found["deltas"], *(keep or []), MESSAGES}
+    named = {*_named(found), *(keep or []), MESSAGES, PLANS}
     fs, root = _pointer(spark, base)
     gone = [s.getPath() for s in fs.listStatus(root) if s.isDirectory() and s.getPath().getName() not in named]
     for path in gone:

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from outflow import schemas
-from outflow.functions.validate import parse_headers, stable_message_id
-from outflow.operators.checkpoints import checkpoint_timeline, file_number, gtid_as_of, upsert_checkpoints
+from outflow.operators.checkpoints import checkpoint_timeline, gtid_as_of, upsert_checkpoints
 from outflow.operators.decode import decode_rows, explode_inserts, quarantine
-from outflow.operators.delivery import apply_results, attempt
-from outflow.operators.gtid import format_gtid_set, parse_gtid_set
+from outflow.operators.delivery import cut_error
+from outflow.operators.gtid import format_gtid_set, gtid_union, parse_gtid_set
+from outflow.operators.passes import Names, manifest, one_source, publish
 from outflow.operators.transactions import COMMIT_ORDER, FILE, MAX_BYTES, MAX_ROWS, ending, event_weight
 from outflow.sources import tables as tb
+from outflow.sources.tables import file_number
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PLACES = "source_id string, log_file string, kind string, log_pos long, event_seq long, commit_pos long, end_file string, outcome string, gtid_uuid string, gno long, n_rows long, n_bytes long, at long"
@@ -25,8 +28,14 @@ PLACES = "source_id string, log_file string, kind string, log_pos long, event_se
 class _Assembly(StatefulProcessor):
     """Places of the inserts of one (source, file) wait in state for the terminal that decides them."""
 
-    def __init__(self, max_rows: int, max_bytes: int, timed: bool):
-        self.max_rows, self.max_bytes, self.timed = max_rows, max_bytes, timed
+    def __init__(self, max_rows: int, max_bytes: int, timed: bool, consumed: dict | None = None):
+        self.max_rows, self.max_bytes, self.timed, self.consumed = max_rows, max_bytes, timed, consumed or {}
+
+    def known(self, source: str, pair: tuple) -> bool:
+        """Whether the source's set of consumed transactions holds this one: two sides of a sorted list of intervals."""
+        starts, ends = self.consumed.get(source, {}).get(pair[0], ((), ()))
+        at = bisect_right(starts, pair[1]) - 1 if pair[0] is not None else -1
+        return at >= 0 and pair[1] <= ends[at]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -40,7 +49,7 @@ class _Assembly(StatefulProcessor):
         kept, held, out = len(waiting), len(waiting), []
         n_rows, n_bytes = sum(w[2] for w in waiting), sum(w[3] for w in waiting)
         pair = tuple(self.gtid.get()) if self.gtid.exists() else (None, None)
-        first_pair = pair
+        first_pair, turned = pair, False
 
         def limits() -> None:
             if n_rows > self.max_rows:
@@ -57,6 +66,8 @@ class _Assembly(StatefulProcessor):
                 raise ValueError(f"the log of {key} rotates at {pos} with an open transaction")
             if waiting and e.event_type == "PAYLOAD":
                 raise ValueError(f"a self-contained transaction of {key} begins at {pos} with rows waiting")
+            if self.consumed and self.known(key[0], pair) and e.event_type != "ROTATE":
+                continue
             if e.event_type in ("WRITE_ROWS", "PAYLOAD"):
                 if e.n_rows:
                     waiting.append((pos, seq, int(e.n_rows), int(e.n_bytes), at))
@@ -64,6 +75,7 @@ class _Assembly(StatefulProcessor):
                 limits()
             if e.event_type == "ROTATE":
                 out.append((*key, "end", pos, seq, int(e.next_pos), e.next_file, "rotated", *pair, 0, 0, at))
+                turned = True
             elif isinstance(e.outcome, str):
                 if e.outcome == "committed":
                     if pos == 0:
@@ -76,7 +88,10 @@ class _Assembly(StatefulProcessor):
             self.waiting.put(waiting) if waiting else self.waiting.clear()
         elif len(waiting) > kept:
             self.waiting.appendList(waiting[kept:])
-        if pair != first_pair:
+        # A file that is rotated away gets no more events: nothing of it stays.
+        if turned:
+            self.gtid.clear()
+        elif pair != first_pair:
             self.gtid.update(pair)
         if self.timed:
             for timer in list(self.handle.listTimers()):
@@ -102,7 +117,24 @@ def _placed(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame({name: pd.array(values, dtype="Int64" if kind == "long" else object) for (name, kind), values in zip(fields, zip(*rows, strict=True), strict=True)})
 
 
-def stream_transactions(events: DataFrame, schema: str, table: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, watermark: str | None = None) -> DataFrame:
+def consumed_sets(start: DataFrame) -> dict:
+    """{source: {server: (starts, ends)}} of the GTID sets in a table of starts (see ``after_start``)."""
+    spans = gtid_as_of_text(start)
+    out: dict = {}
+    for r in spans.orderBy("source_id", "uuid", "start").collect():
+        starts, ends = out.setdefault(r["source_id"], {}).setdefault(r["uuid"], ([], []))
+        starts.append(r["start"])
+        ends.append(r["end"])
+    return out
+
+
+def gtid_as_of_text(start: DataFrame) -> DataFrame:
+    """The intervals of each source's set, as few as they can be."""
+    given = start.where("coalesce(gtid_set, '') <> ''").select("source_id", F.explode(parse_gtid_set(F.col("gtid_set"))).alias("g")).select("source_id", "g.*")
+    return gtid_union(given, ("source_id",))
+
+
+def stream_transactions(events: DataFrame, schema: str, table: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, watermark: str | None = None, start: DataFrame | None = None) -> DataFrame:
     """Places of committed inserts, and terminals, of a change-log stream.
 
     Rows may come in an earlier batch than their commit: only their events'
@@ -116,7 +148,11 @@ def stream_transactions(events: DataFrame, schema: str, table: str, max_rows: in
     With a ``watermark`` on event_ts, rows whose terminal has not come when it
     passes them leave state as one ``expired`` row with their counts.  Spark then
     also drops events that come later than it, so size it from the longest open
-    transaction; without one nothing expires and nothing is dropped.
+    transaction; without one nothing expires and nothing is dropped.  What is
+    dropped is counted by ``DropCounter``.
+
+    ``start``: transactions in a source's GTID set there are passed over, rows
+    and terminal; the sets' intervals, not their numbers, go to the tasks.
     """
     weighed = event_weight(events.withWatermark("event_ts", watermark) if watermark else events, schema, table)
     wanted = (F.col("n_rows") > 0) | F.col("outcome").isNotNull() | F.col("event_type").isin("ROTATE", "GTID")
@@ -124,7 +160,7 @@ def stream_transactions(events: DataFrame, schema: str, table: str, max_rows: in
     # Never null, as pandas would make floats of them.
     whole = [F.coalesce(c, F.lit(0).cast("long")).alias(n) for n, c in (("next_pos", F.col("next_pos")), ("gno", F.col("gno")), ("at", F.unix_micros("event_ts")))]
     lean = lean.select(*FILE, "log_pos", "event_seq", "event_type", "next_file", "gtid_uuid", "outcome", "n_rows", "n_bytes", *whole, *(["event_ts"] if watermark else []))
-    return lean.groupBy(*FILE).transformWithStateInPandas(_Assembly(max_rows, max_bytes, bool(watermark)), PLACES, "Append", "EventTime" if watermark else "None")
+    return lean.groupBy(*FILE).transformWithStateInPandas(_Assembly(max_rows, max_bytes, bool(watermark), consumed_sets(start) if start is not None else None), PLACES, "Append", "EventTime" if watermark else "None")
 
 
 def rows_at(places: DataFrame, log: DataFrame) -> DataFrame:
@@ -133,43 +169,91 @@ def rows_at(places: DataFrame, log: DataFrame) -> DataFrame:
     return log.join(committed, [*FILE, "log_pos", "event_seq"])
 
 
-def stream_committed_rows(events: DataFrame, log: DataFrame, schema: str, table: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, watermark: str | None = None) -> DataFrame:
-    """Committed rows (positional images in ``row``) of a change-log stream.
+def spans_of(places: DataFrame) -> list[tuple[str, str, int, int]]:
+    """(source, log file, least and largest position) of the committed rows' events: one row a log file of the batch."""
+    return [tuple(r) for r in places.where("kind = 'rows'").groupBy(*FILE).agg(F.min("log_pos"), F.max("log_pos")).collect()]
 
-    ``log`` is the same log as a table; Spark lists its files when the query
-    starts, so an unending stream should join each batch anew (see ``relay_batch``).
+
+def stream_committed_rows(events: DataFrame, read_log: Callable[[SparkSession, list], DataFrame], schema: str, table: str, path: str, checkpoint: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, watermark: str | None = None, start: DataFrame | None = None, available_now: bool = True):
+    """Start writing the committed rows (positional images in ``row``) of a change-log stream, a folder of ``path`` for each batch.
+
+    ``read_log`` gives the events of spans of the same log (see ``indexed_log``),
+    so that a batch reads only the data files that hold its committed places.
+    A batch that is run again writes its folder again.
     """
-    places = stream_transactions(events, schema, table, max_rows, max_bytes, watermark)
-    return explode_inserts(rows_at(places, log), schema, table)
+
+    def run(places: DataFrame, batch_id: int) -> None:
+        placed = places.where("kind = 'rows'").persist()
+        try:
+            found = explode_inserts(rows_at(placed, read_log(placed.sparkSession, spans_of(placed))), schema, table)
+            found.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            placed.unpersist()
+
+    places = stream_transactions(events, schema, table, max_rows, max_bytes, watermark, start)
+    writer = places.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+class DropCounter(StreamingQueryListener):
+    """Counts the rows that stateful operators of streams drop as later than their watermark, by query id."""
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        self.dropped[str(event.progress.id)] = self.dropped.get(str(event.progress.id), 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 class _Dedupe(StatefulProcessor):
-    """One value a key: the time of the copy accepted last, dropped once no copy can be held against it."""
+    """A key's accepted times as far back as a late copy may still come, sorted.
+
+    A copy is held against the accepted times of both sides: accepted if none is
+    less than a window before it.  One that comes late and stands less than a
+    window before an accepted copy is a copy of a message that is out already,
+    so it is dropped too and nothing that was given out is ever wrong.
+    """
 
     def __init__(self, window_micros: int):
         self.window = window_micros
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "at long")
+        self.times = handle.getListState("times", "at long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows)).sort_values(["at", "row"])
-        last = self.last.get()[0] if self.last.exists() else None
+        times = sorted(t[0] for t in self.times.get()) if self.times.exists() else []
         kept = []
         for r in new.itertuples(index=False):
-            if last is None or r.at - last >= self.window:
-                last = int(r.at)
-                kept.append((key[0], r.row, last))
+            at = int(r.at)
+            k = bisect_right(times, at)
+            if (k == 0 or at - times[k - 1] >= self.window) and (k == len(times) or times[k] - at >= self.window):
+                times.insert(k, at)
+                kept.append((key[0], r.row, at))
+        # Times that no copy inside the watermark can meet any more leave.
+        passed = timerValues.getCurrentWatermarkInMs() * 1000 - self.window
+        left = [t for t in times if t >= passed]
+        self.times.put([(t,) for t in left]) if left else self.times.clear()
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if left:
+            self.handle.registerTimer((left[-1] + self.window) // 1000 + 1)
         if kept:
-            self.last.update((last,))
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer((last + self.window) // 1000 + 1)
             yield pd.DataFrame(kept, columns=["key", "row", "at"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last.clear()
+        self.times.clear()
         return iter(())
 
     def close(self) -> None:
@@ -179,6 +263,9 @@ class _Dedupe(StatefulProcessor):
 def stream_dedupe(stream: DataFrame, key: str, ts: str, row: str, window_seconds: int, watermark: str, mode: str = "exact") -> DataFrame:
     """(key, row, at): copies accepted at most once a window since the last accepted one.
 
+    Copies that come in order from batch to batch give what ``dedupe_window``
+    gives; one that comes late, but inside the watermark, is judged by the copies
+    accepted before and after it.  Later ones are dropped and counted (``DropCounter``).
     ``coarse`` uses Spark's own dropDuplicatesWithinWatermark, which may also
     drop later copies, as its state leaves only after the watermark passes.
     """
@@ -192,23 +279,31 @@ def stream_dedupe(stream: DataFrame, key: str, ts: str, row: str, window_seconds
 
 def relay_batch(
     base: str,
-    read_log: Callable[[SparkSession], DataFrame],
-    names: tuple[str, str, str],
+    read_log: Callable[[SparkSession, list], DataFrame],
+    names: Names,
     bindings: DataFrame,
     consumer: str,
     now: Column,
     expected: str | None = None,
     interval_seconds: int = 5,
     compact_every: int = 16,
+    strict: bool = False,
+    by: str = "commit",
 ):
     """A foreachBatch function over ``stream_transactions``: publish, apply results, move the checkpoints.
 
     ``names``: prefix, schema and table of the stable ids.  In order: the
-    batch's places are written; their rows are read from the log, checked and
-    routed; envelopes of accepted rows are written to ``base/messages`` in
-    commit order; then published ids, failed rows and checkpoints appear as one
-    unit, a delta named after the batch.  A batch that is run again publishes
-    the same files again or, if its delta is named already, does nothing.
+    batch's places are written; their rows are read from the log (``read_log``
+    gets the spans of positions they lie in), checked and routed; envelopes of
+    accepted rows are written to ``base/messages`` in commit order; then
+    published ids, failed rows, checkpoints and the messages' manifest appear as
+    one unit, a delta named after the batch.  A batch that is run again publishes
+    the same files again or, if it is part of the state already, does nothing.
+
+    Rows are known by (source, id).  With a plain text as prefix a relay serves
+    one source, and a batch that names another is refused, as equal ids of two
+    sources would get one stable id; ``source_prefix`` gives each its own.  Of a
+    row that comes several times the outcomes count in commit order.
 
     Each source has a checkpoint, ``consumer/source``, at the last terminal that
     writes one (see ``checkpoint_timeline``; the log's own clock), with the GTID
@@ -216,48 +311,64 @@ def relay_batch(
     again are published again, under the same message ids.  A source's events
     must come in log order from batch to batch.  A base without state is empty.
     """
-    prefix, schema, table = names
+    _, schema, table = names
+    kind = f"relay/{consumer}"
 
     def run(places: DataFrame, batch_id: int) -> None:
         spark = places.sparkSession
-        version = f"batch-{batch_id:012d}"
-        found = tb.read_pointer(spark, base)
-        if found and (found["version"].startswith(version) or version in found["deltas"]):
+        version = f"batch-{consumer}-{batch_id:012d}"
+        if tb.is_done(spark, base, kind, version):
             return
-        outbox, saved = tb.read_state(spark, base) if found else (spark.createDataFrame([], schemas.OUTBOX), spark.createDataFrame([], schemas.CHECKPOINT))
+        state = tb.read_state(spark, base)
+        outbox, saved = state or (spark.createDataFrame([], schemas.STATE), spark.createDataFrame([], schemas.CHECKPOINT))
+        outbox = tb.conform(outbox, schemas.STATE)
         here = f"{base}/{version}"
         mine = F.concat_ws("/", F.lit(consumer), "source_id")
         known = saved.select(F.col("consumer_name").alias("_c"), file_number(F.col("binlog_name")).alias("_f"), F.col("binlog_position").alias("_p"), F.col("updated_at").alias("since"))
         number = F.coalesce(file_number(F.col("end_file")), F.lit(0))
         fresh = F.col("_f").isNull() | (number > F.col("_f")) | ((number == F.col("_f")) & (F.col("commit_pos") > F.col("_p")))
-        placed = places.withColumns({"consumer": mine, "line": number * (1 << 32) + F.col("commit_pos")})
-        placed.join(known, F.col("consumer") == F.col("_c"), "left").where("commit_pos is not null").withColumn("fresh", fresh).drop("_c", "_f", "_p").write.mode("overwrite").parquet(f"{here}/places")
+        placed = places.where("commit_pos is not null").withColumns({"consumer": mine, "line": number * (1 << 32) + F.col("commit_pos")})
+        placed.join(known, F.col("consumer") == F.col("_c"), "left").withColumn("fresh", fresh).drop("_c", "_f", "_p").write.mode("overwrite").parquet(f"{here}/places")
         placed = spark.read.parquet(f"{here}/places")
 
-        decoded = quarantine(decode_rows(explode_inserts(rows_at(placed, read_log(spark)), schema, table)))
-        carried = ("payload", "headers", "message_id", "ttl_seconds", "event_ts", *COMMIT_ORDER)
-        attempt(decoded.withColumn("attempt_count", F.lit(0).cast("long")), bindings, expected, keep=carried).write.mode("overwrite").parquet(f"{here}/results")
-        results = spark.read.parquet(f"{here}/results")
-        sent = tb.to_envelope(results.where("ok"), stable_message_id(prefix, schema, table), parse_headers(F.col("headers")), expected, keep=COMMIT_ORDER)
-        tb.write_messages(sent, f"{base}/{tb.MESSAGES}/{version}", list(COMMIT_ORDER))
-
-        tried = results.select("id", "ok", "error").dropDuplicates(["id"])
-        old = outbox.join(tried.select("id"), "id", "left_semi")
-        made = {"attempt_count": F.lit(0).cast("long"), "last_attempt_at": F.lit(None).cast("timestamp"), "last_error": F.lit(None).cast("string"), "created_at": F.col("event_ts")}
-        new = results.where("not ok").dropDuplicates(["id"]).withColumns(made).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.OUTBOX])
-        rows = old.unionByName(new.join(old.select("id"), "id", "left_anti").select(*old.columns))
+        spans = spans_of(placed)
+        before = {r[0] for r in saved.where(F.col("consumer_name").startswith(f"{consumer}/")).select(F.substr("consumer_name", F.lit(len(consumer) + 2))).collect()} if isinstance(names[0], str) else set()
+        one_source(names, before | {s[0] for s in spans})
+        if spans:
+            decoded = quarantine(decode_rows(explode_inserts(rows_at(placed, read_log(spark, spans)), schema, table)))
+            results = publish(spark, base, version, decoded.withColumn("attempt_count", F.lit(0).cast("long")), names, bindings, expected, strict, carry=("event_ts",), by=by)
+            changes = changed(results, outbox)
+        else:
+            changes = outbox.limit(0).withColumn("gone", F.lit(False))
+
+        written(placed).write.mode("overwrite").parquet(f"{here}/last")
+        last = spark.read.parquet(f"{here}/last")
         seen = placed.where("kind = 'end' and fresh and gtid_uuid is not null").select("consumer", "line", "gtid_uuid", "gno")
-        before = found and f"{base}/{found['version'].removesuffix(tb.WHOLE)}/ahead"
-        if before and tb.exists(spark, before):
-            seen = seen.unionByName(spark.read.parquet(before))
-        last = written(placed)
+        waiting = tb.read_side(spark, base, f"ahead-{consumer}")
+        seen = seen if waiting is None else seen.unionByName(waiting)
         ahead = seen.join(last.select(F.col("consumer").alias("_c"), "row"), F.col("consumer") == F.col("_c"), "left").where("row is null or line > row").select("consumer", "line", "gtid_uuid", "gno")
         points = upsert_checkpoints(saved, moved(placed, last, seen, saved), F.col("at"))
-        tb.write_delta(tried.where("ok"), apply_results(rows, tried, now), points, base, version, {"ahead": ahead})
+        tb.write_delta(changes, points, base, version, kind, {f"ahead-{consumer}": ahead}, manifest(spark, base, version) if spans else None)
         tb.discard(spark, f"{here}/results")
         if len(tb.read_pointer(spark, base)["deltas"]) >= compact_every:
             tb.compact(spark, base)
 
+    def changed(results: DataFrame, outbox: DataFrame) -> DataFrame:
+        """Each tried row as it is after the batch: gone if published last, else kept with its failures since then."""
+        keys = ["source_id", "id"]
+        at = F.struct(F.coalesce(file_number(F.col("log_file")), F.lit(0)), *COMMIT_ORDER[1:])
+        content = F.struct("subject", "payload", "headers", "message_id", "ttl_seconds", F.col("event_ts").alias("created_at"), "error")
+        tried = results.withColumn("_at", at)
+        ends = tried.groupBy(*keys).agg(F.max(F.when(F.col("ok"), F.col("_at"))).alias("_ok"))
+        failed = tried.where("not ok").join(ends, keys).where("_ok is null or _at > _ok").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max_by(content, "_at").alias("_new"))
+        old = outbox.join(ends.where("_ok is null").select(*keys), keys, "left_semi").select(*keys, F.struct(*[c for c in outbox.columns if c not in keys]).alias("_old"))
+        joined = ends.select(*keys).join(failed, keys, "left").join(old, keys, "left")
+        kept = lambda c: F.when(F.col("_old").isNotNull(), F.col(f"_old.{c}")).otherwise(F.col(f"_new.{c}"))
+        made = {c: kept(c) for c in ("subject", "payload", "headers", "message_id", "ttl_seconds", "created_at")}
+        made |= {"attempt_count": F.coalesce("_old.attempt_count", F.lit(0)) + F.coalesce("_n", F.lit(0)), "last_attempt_at": now, "last_error": cut_error(F.col("_new.error")), "gone": F.col("_n").isNull()}
+        row = joined.withColumns(made)
+        return row.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.STATE], "gone")
+
     def written(placed: DataFrame) -> DataFrame:
         """(consumer, row, written): the terminal of each consumer that writes a checkpoint last in the batch."""
         ends = placed.where("kind = 'end' and fresh").withColumn("ts", F.timestamp_micros("at"))
@@ -280,8 +391,8 @@ def relay_batch(
     return run
 
 
-def relay_stream(events: DataFrame, base: str, read_log: Callable[[SparkSession], DataFrame], names: tuple[str, str, str], bindings: DataFrame, consumer: str, now: Column, checkpoint: str, available_now: bool = True, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, **more):
-    """Start the relay over a change-log stream; ``more`` goes to ``relay_batch``."""
-    places = stream_transactions(events, names[1], names[2], max_rows, max_bytes)
+def relay_stream(events: DataFrame, base: str, read_log: Callable[[SparkSession, list], DataFrame], names: Names, bindings: DataFrame, consumer: str, now: Column, checkpoint: str, available_now: bool = True, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, start: DataFrame | None = None, **more):
+    """Start the relay over a change-log stream; ``start`` as ``stream_transactions`` takes it, ``more`` goes to ``relay_batch``."""
+    places = stream_transactions(events, names[1], names[2], max_rows, max_bytes, start=start)
     writer = places.writeStream.foreachBatch(relay_batch(base, read_log, names, bindings, consumer, now, **more)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
