@@ -9,6 +9,10 @@ side matter grafted in, with its content's mark renamed or taken away, and with
 nothing but a part of its content, so that density and position count too and
 pages without any side matter are known.
 
+Themes name their layout on outer elements (``has-sidebar``, ``header-top``), so
+tokens that speak for side matter say nothing on html and body, on what holds
+most of the page's text, and on what holds its largest article or main element.
+
 Decoding picks the best set of nodes such that on every path from the root
 content is one unbroken stretch: nothing below an excluded node comes back.  A
 page whose nodes all score low is decoded by what scores best outside its menus,
@@ -42,6 +46,8 @@ FOREIGN = {"svg", "math"}
 INLINE = set("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr acronym label input math mi mn mo mrow msub msup mfrac msqrt mtext mstyle semantics".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = {"head", "select", "button", "datalist", "option", "noscript", "template", "svg"}
+#: Elements whose tokens are about the page, and the share of its text that an element needs to be as one of them.
+WHOLE, MOST = {"html", "body"}, 0.75
 SIDE_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "address", "fieldset", *HIDDEN}
 MAIN_TAGS = {"article", "main"}
 TEXT_TAGS = set("p blockquote pre li td th dd dt figcaption".split())
@@ -49,7 +55,8 @@ HEADINGS = {f"h{k}" for k in range(1, 7)}
 SIDE_TOKENS = set(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist disqus cookie cookies consent copyright dialog footer form gdpr header "
     "login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related recommended reply replies respond share sharing sidebar signup social "
-    "sponsor sponsored subscribe toolbar topbar widget widgets complementary contentinfo search alert".split()
+    "sponsor sponsored subscribe toolbar topbar widget widgets complementary contentinfo search alert discussion responses "
+    "werbung anzeige reklame publicidad publicite kommentare commentaires comentarios".split()
 )
 MAIN_TOKENS = set("article body content entry main post story text articlebody".split())
 #: An open element that one of these closes by beginning.
@@ -144,7 +151,7 @@ class Page:
                 if name not in INLINE:
                     block += 1
                 continue
-            side, main, tokens = attribute_tokens(attributes) if attributes else (0, 0, ())
+            side, main, tokens = attribute_tokens(attributes) if attributes and name not in WHOLE else (0, 0, ())
             parent = stack[-1][1]
             opened[name] = opened.get(name, 0) + 1
             if name in INLINE and not side:
@@ -170,6 +177,26 @@ class Page:
             own[node] += len(text) if text != " " else 0
         return own
 
+    def below(self) -> list[int]:
+        """Characters of the text of each node and all in it."""
+        text = self.own_text()
+        for k in range(len(text) - 1, 0, -1):
+            text[self.parent[k]] += text[k]
+        return text
+
+    def wrappers(self) -> list[bool]:
+        """Which nodes hold most of the page's text, or its largest article or main element outside side matter by tag."""
+        text, n = self.below(), len(self.tag)
+        wraps = [text[k] >= MOST * max(text[0], 1) for k in range(n)]
+        shut = [False] * n
+        for k in range(n):
+            shut[k] = self.tag[k] in SIDE_TAGS or (k > 0 and shut[self.parent[k]])
+        best = max((k for k in range(n) if self.tag[k] in MAIN_TAGS and not shut[k]), key=lambda k: text[k], default=0)
+        while best > 0:
+            wraps[best] = True
+            best = self.parent[best]
+        return wraps
+
     def features(self, speaks: np.ndarray) -> np.ndarray:
         """One row a node; ``speaks``: what each bucket of tokens says for content."""
         n = len(self.tag)
@@ -186,12 +213,15 @@ class Page:
             child_text[p] += text[k]
         depth, order, seen, above, before = [0] * n, [0] * n, [0] * n, [(0, 0, 0.0, 0.0)] * n, [0] * n
         total, running = max(text[0], 1), 0
+        wraps = self.wrappers()
         rows = []
         for k in range(n):
             p, tag = parent[k], self.tag[k]
             up = above[p] if k else (0, 0, 0.0, 0.0)
             said = [float(speaks[t]) for t in self.tokens[k]]
             low, high = min(said, default=0.0), max(said, default=0.0)
+            if wraps[k]:
+                low, high = max(low, 0.0), max(high, 0.0)
             mine = (int(tag in SIDE_TAGS), int(tag in MAIN_TAGS))
             above[k] = (up[0] | mine[0], up[1] | mine[1], min(up[2], low), max(up[3], high))
             if k:
@@ -211,12 +241,12 @@ class Page:
 
     def marked(self) -> tuple[np.ndarray, np.ndarray]:
         """Which nodes lie in elements marked as content, and in side matter."""
-        n = len(self.tag)
+        n, wraps = len(self.tag), self.wrappers()
         inside, side = [False] * n, [False] * n
         for k in range(n):
             p = self.parent[k]
             inside[k] = (k > 0 and inside[p]) or self.tag[k] in MAIN_TAGS
-            side[k] = (k > 0 and side[p]) or self.tag[k] in SIDE_TAGS or (self.side[k] > 0 and self.tag[k] not in MAIN_TAGS)
+            side[k] = (k > 0 and side[p]) or self.tag[k] in SIDE_TAGS or (self.side[k] > 0 and self.tag[k] not in MAIN_TAGS and not wraps[k])
         return np.array(inside), np.array(side)
 
     def hints(self) -> np.ndarray | None:
@@ -234,6 +264,12 @@ class Page:
             return chosen
         _, side = self.marked()
         able = visible & ~side
+        if not able.any():
+            # Side matter by its tokens only is better than nothing.
+            side = np.array([self.tag[k] in SIDE_TAGS for k in range(len(self.tag))])
+            for k in range(1, len(side)):
+                side[k] |= side[self.parent[k]]
+            able = visible & ~side
         if not able.any():
             return chosen
         # Nothing scores as content: what comes near the best does.
@@ -348,8 +384,11 @@ def _side_block(words: str, rng: np.random.Generator) -> str:
     body = f"<p>{words}</p>" if rng.random() < 0.7 else f"<ul><li>{words}</li></ul>"
     if rng.random() < 0.4:
         head = f"h{rng.integers(1, 5)}"
-        title = f"<{head}>{words[:30]}</{head}>"
+        title = f"<{head}>{words[: int(rng.choice([10, 30]))]}</{head}>"
         body = title if rng.random() < 0.3 else title + body
+    if rng.random() < 0.25:  # a thread: a heading of its own, and blocks with tokens of theirs
+        each = "".join(f'<div class="{rng.choice(sorted(SIDE_TOKENS))}"><p>{words}</p></div>' for _ in range(rng.integers(1, 4)))
+        body = f"<h3>{words[:10]}</h3>{each}"
     if rng.random() < 0.4:
         tag = str(rng.choice(["nav", "header", "footer", "aside", "form"]))
         return f"<{tag}>{body}</{tag}>"

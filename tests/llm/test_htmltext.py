@@ -67,6 +67,33 @@ def test_pages_unlike_the_sample(model, source, want):
     assert ht.main_texts([source], model) == [want]
 
 
+TEXT = "<p>The river rose slowly through the night and by morning the lower meadow was under water again.</p><p>Nobody in the village had seen it so high since the winter that the old bridge was carried away.</p>" * 2
+NAV = '<nav><a href="/">Home</a> <a href="/a">About</a></nav>'
+THREAD = '<section id="discussion"><h3>2 responses</h3><div class="comment"><p>Anna: what a lovely story.</p></div><div class="comment"><p>Ben: I remember that.</p></div></section>'
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        f'<html><body class="has-sidebar with-header"><div class="post">{TEXT}</div></body></html>',
+        f'<html><body class="search-enabled">{TEXT}</body></html>',
+        f'<html><body class="home has-sidebar">{NAV}<article>{TEXT}</article></body></html>',
+        f'<html class="no-banner"><body>{NAV}<main>{TEXT}</main></body></html>',
+        f'<html><body><div id="page" class="site header-top">{NAV}<article>{TEXT}</article><footer>Copyright us</footer></div></body></html>',
+        f'<html><body><div class="social-news story">{TEXT}</div></body></html>',
+        f'<html><body><div class="layout sidebar-left"><article>{TEXT}</article></div><div class="comments">{THREAD * 4}</div></body></html>',
+        f"<html><body><article>{TEXT}</article>{THREAD}</body></html>",
+        f'<html><body><article>{TEXT}</article><div class="werbung"><p>Kaufen Sie jetzt ein neues Fahrrad zum halben Preis.</p></div></body></html>',
+    ],
+)
+def test_layout_names_on_outer_elements_lose_nothing(model, source):
+    assert ht.main_texts([source], model)[0] == "\n".join(re.findall("<p>(.*?)</p>", TEXT))
+
+
+def test_text_marked_as_side_by_tokens_only_is_better_than_none(model):
+    assert ht.main_texts([f'<html><body><div class="widget">{TEXT}</div></body></html>', f"<html><body>{NAV}</body></html>"], model) == ["\n".join(re.findall("<p>(.*?)</p>", TEXT)), ""]
+
+
 def test_trees_equal_a_walk_through_them(model):
     pages = [ht.Page(page(k)) for k in range(5)]
     for tree_page, scores in zip(pages, model.score(pages), strict=True):
