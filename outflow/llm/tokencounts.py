@@ -153,6 +153,32 @@ class PrefixCounter:
                 n += c if c is not None else total(word)
         return n
 
+    def measure(self, text: str, budget: int, slack: int = 8) -> tuple[int, int]:
+        """Token count of a whole text, and the longest k for which text[:k] has at most ``budget`` tokens, in one walk over its words.
+
+        A cut word can take back a few tokens, so prefixes are counted around the
+        place where the budget runs out, from the last word that surely fits.
+        """
+        if self.split_special is not None and self.split_special.search(text):
+            n = self.count(text)
+            return n, len(text) if n <= budget else self.fitting(text, budget, slack)
+        words = self.words.findall(text)
+        each = list(map(self.totals.get, words))
+        if None in each:
+            each = [self.total(w) if c is None else c for w, c in zip(words, each, strict=True)]
+        n = sum(each)
+        if n <= budget:
+            return n, len(text)
+        after, k = 0, 0  # tokens up to and with word k - 1, the first word that surely doesn't fit
+        low, base = 0, 0
+        while after <= budget + slack and k < len(words):
+            after, k = after + each[k], k + 1
+            if after <= budget - slack and not words[k - 1].isspace():
+                low, base = k, after  # what follows is cut into the same words alone
+        safe = sum(map(len, words[:low]))
+        counts = self.prefixes("".join(words[low:k])) + base
+        return n, safe + int(np.flatnonzero(counts <= budget)[-1])
+
     def fitting(self, text: str, budget: int, slack: int = 8) -> int:
         """Longest k for which text[:k] has at most ``budget`` tokens; ``text`` as a whole has more.
 
@@ -235,9 +261,8 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 texts = [x or "" for x in batch.column("text").to_pylist()]
-                tokens = [c.count(x) for x in texts]
-                fits = [len(x) if n <= limit else c.fitting(x, limit) for x, n in zip(texts, tokens, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(tokens, pa.int64()), pa.array(fits, pa.int64())], names=["doc_id", "n_bytes", "n_tokens", "fit_chars"])
+                measured = [c.measure(x, limit) for x in texts]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *(pa.array([m[k] for m in measured], pa.int64()) for k in (0, 1))], names=["doc_id", "n_bytes", "n_tokens", "fit_chars"])
 
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     return cut.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, fit_chars long").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "fit_chars")

@@ -59,3 +59,17 @@ def test_truncation(spark, library):
     got = dict(map(tuple, tc.truncation_points(tc.prefix_counts(docs), 3).collect()))
     text = "the cat sat on the mat"
     assert got[1] == max(k for k in range(len(text) + 1) if len(library.encode(text[:k]).ids) <= 3) and got[2] == 0
+
+
+def test_one_walk_equals_counting_and_fitting():
+    import random
+
+    rng = random.Random(2)
+    c = tc.counter(tc.vocabulary_path())
+    bits = ["word ", "Another", "  ", "\n\n", "é", "日本語", " 12345", "don't", "'re", "<|endoftext|>", "😀", " x", "."]
+    for _ in range(150):
+        text = "".join(rng.choices(bits, k=rng.randrange(0, 60)))
+        budget = rng.randrange(1, 40)
+        n, fit = c.measure(text, budget)
+        counts = c.prefixes(text)
+        assert n == c.count(text) == counts[-1] and fit == max(k for k in range(len(text) + 1) if counts[k] <= budget)
