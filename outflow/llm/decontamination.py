@@ -17,6 +17,7 @@ that begin elsewhere can't hold an item and are skipped, losing none.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -32,8 +33,8 @@ SIMILARITY = 0.8
 #: Repeats and samples of each, the samples among the first REACH x size steps.
 REPEATS, SAMPLES, REACH = 48, 2, 1.2
 GRID = 1.08
-#: Items held by a task at a time; more items are more passes over the text.
-BLOCK_ITEMS = 20_000
+#: Items, and bytes of their texts, that are broadcast at a time and indexed by a worker; more are more passes over the text.
+BLOCK_ITEMS, BLOCK_BYTES = 20_000, 32 << 20
 MIN_WORDS = 5
 
 _FOLD = np.full(256, 32, np.uint8)
@@ -211,19 +212,33 @@ class ItemIndex:
 
 
 def item_blocks(benchmark: DataFrame, block: int = BLOCK_ITEMS) -> tuple[int, Iterator[list[tuple[int, str]]]]:
-    """How many blocks of about ``block`` items there are, and the blocks; null and blank items match nothing.
+    """How many blocks of about ``block`` items and ``BLOCK_BYTES`` there are, and the blocks; null and blank items match nothing.
 
-    The driver holds one block at a time, in which a task's index is built.
+    The driver holds one block at a time, of which a worker's index is built.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item")).where("item_id is not null and item is not null")
-    many = max(1, -(-items.count() // block))
+    size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("item")), F.lit(0)).alias("b")).first()
+    many = max(1, -(-size["n"] // block), -(-size["b"] // BLOCK_BYTES))
     each = (items.where(F.pmod(F.xxhash64("item_id"), F.lit(many)) == part) for part in range(many))
     return many, (sorted((r["item_id"], r["item"]) for r in mine.collect()) for mine in each)
 
 
-def _index_of(items: list[tuple[int, str]], similarity: float) -> Callable[[], ItemIndex]:
-    """Builds the block's index in a task: words and keys come from the items, so only these travel."""
-    return lambda: ItemIndex(items, similarity)
+#: The index that a worker built last, by the name of its block.
+_KEPT: dict[str, ItemIndex] = {}
+
+
+def kept_index(name: str, items: Callable[[], list[tuple[int, str]]], similarity: float) -> ItemIndex:
+    """The worker's index of a block: built for its first task, found by the others."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = ItemIndex(items(), similarity)
+    return _KEPT[name]
+
+
+def _index_of(docs: DataFrame, items: list[tuple[int, str]], similarity: float) -> Callable[[], ItemIndex]:
+    """Gives the block's index in a task; the items are broadcast once."""
+    block, name = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
+    return lambda: kept_index(name, lambda: block.value, similarity)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK_ITEMS) -> DataFrame:
@@ -239,7 +254,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def found(items: list[tuple[int, str]]) -> DataFrame:
-        make = _index_of(items, similarity)
+        make = _index_of(cut, items, similarity)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = make()
@@ -261,7 +276,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     schema = docs.schema
 
     def clean(rows: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
-        make = _index_of(items, similarity)
+        make = _index_of(rows, items, similarity)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = make()

@@ -87,3 +87,19 @@ def test_rows(spark):
     assert got == [(1, 7, 1, 16, 0), (5, 10, 0, 1, 0), (None, 7, 0, 16, 0)]
     assert [r["doc_id"] for r in dc.drop_leaks(docs, bench).collect()] == [3, 3, 4]
     assert dc.find_leaks(docs, bench.limit(0)).count() == 0 and dc.drop_leaks(docs.limit(0), bench).count() == 0
+
+
+def test_blocks_are_bounded_by_bytes_too(spark, monkeypatch):
+    items = spark.createDataFrame([(k, f"item {k} " + "word " * 200) for k in range(12)], "item_id long, text string")
+    monkeypatch.setattr(dc, "BLOCK_BYTES", 3000)
+    many, blocks = dc.item_blocks(items)
+    blocks = list(blocks)
+    assert many > 2 and sorted(i for b in blocks for i, _ in b) == list(range(12))
+
+
+def test_a_worker_keeps_one_index():
+    calls = []
+    one = dc.kept_index("a", lambda: calls.append(1) or [(1, "one two three four five six")], 0.8)
+    assert dc.kept_index("a", lambda: calls.append(1) or [], 0.8) is one and calls == [1]
+    dc.kept_index("b", lambda: [], 0.8)
+    assert set(dc._KEPT) == {"b"}
