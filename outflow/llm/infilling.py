@@ -68,7 +68,9 @@ def offsets(cuts: DataFrame) -> DataFrame:
     before = F.sum("chars").over(W.partitionBy("_rid").orderBy("s").rowsBetween(W.unboundedPreceding, -1))
     running = cut.withColumn("before", F.coalesce(before, F.lit(0))).where("stretch is not null")
     asked = cuts.select(F.col("_rid").alias("r"), F.posexplode(F.array("prefix_units", "middle_units")).alias("which", "ordinal")).where("ordinal > 0")
-    met = running.join(asked, (F.col("_rid") == F.col("r")) & (F.col("s") == stretch_of("ordinal")))
+    # By document alone and then by place, so that what lies dealt by document stays where it is.
+    inside = (F.col("ordinal") > F.col("s") * STRETCH) & (F.col("ordinal") <= (F.col("s") + 1) * STRETCH)
+    met = running.join(asked, (F.col("_rid") == F.col("r")) & inside)
     units = met.select("_rid", "which", "ordinal", "s", "before", F.posexplode(F.regexp_extract_all("stretch", F.lit(UNIT), F.lit(0))).alias("i", "unit"))
     end = F.col("before") + F.sum(F.length("unit")).over(W.partitionBy("_rid", "which").orderBy("i").rowsBetween(W.unboundedPreceding, 0))
     ends = units.withColumn("end", end).where(F.col("s") * STRETCH + F.col("i") + 1 == F.col("ordinal"))
