@@ -1,8 +1,10 @@
 """From an ordered log to committed rows.
 
-A transaction never spans a log file, so (source, file) is a safe partition key.
-Outcomes, limits and anomalies run on events with rows counted but not carried;
-committed rows move once, still packed in their events.
+A transaction never spans a log file, and a file is cut further, in stretches of
+positions: events are numbered inside their stretch, and what a stretch begins
+with comes from one row for each earlier stretch.  So a huge file spreads over
+all tasks.  Everything is decided on the events' places, without their rows;
+committed rows join back once, still packed in their events.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from outflow.operators.decode import inserted
 
 FILE = ("source_id", "log_file")
 MAX_ROWS, MAX_BYTES = 10_000, 67_108_864
+#: Positions (bytes of a log file) in one stretch.
+STRIDE = 1 << 24
 
 
 def statement() -> Column:
@@ -46,10 +50,24 @@ def carry_log_file(log: DataFrame, stride: int = 1_000_000) -> DataFrame:
     return joined.withColumn("log_file", carried).select(*log.columns)
 
 
-def assign_transactions(log: DataFrame) -> DataFrame:
+def _stretch(position: str, stride: int) -> Column:
+    return F.floor(F.coalesce(F.col(position), F.lit(0)) / stride).cast("long")
+
+
+def _before(rows: DataFrame, counted: Column, part: Column) -> DataFrame:
+    """(source_id, log_file, _part, _before): what all earlier stretches of a file count."""
+    each = rows.groupBy(*FILE, part.alias("_part")).agg(F.sum(counted).alias("_n"))
+    earlier = W.partitionBy(*FILE).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    return each.select(*FILE, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+
+
+def assign_transactions(log: DataFrame, stride: int = STRIDE) -> DataFrame:
     """Adds ``tx``: how many terminals came before in the same source and file."""
-    before = W.partitionBy(*FILE).orderBy("log_pos", "event_seq").rowsBetween(W.unboundedPreceding, -1)
-    return log.withColumn("tx", F.coalesce(F.sum(ending().isNotNull().cast("long")).over(before), F.lit(0).cast("long")))
+    ends, part = ending().isNotNull().cast("long"), _stretch("log_pos", stride)
+    inside = W.partitionBy(*FILE, "_part").orderBy("log_pos", "event_seq").rowsBetween(W.unboundedPreceding, -1)
+    numbered = log.withColumn("_part", part).withColumn("_here", F.coalesce(F.sum(ends).over(inside), F.lit(0)))
+    joined = numbered.join(_before(log, ends, part), [*FILE, "_part"])
+    return joined.withColumn("tx", F.col("_here") + F.col("_before")).select(*log.columns, "tx")
 
 
 def message_size(subject: Column, payload: Column, headers: Column, message_id: Column, ttl: Column) -> Column:
@@ -85,39 +103,52 @@ def transaction_outcomes(log: DataFrame, schema: str, table: str) -> DataFrame:
     ).where("outcome <> 'open' or n_rows > 0")
 
 
-def with_outcome(log: DataFrame) -> DataFrame:
-    """Events with ``tx``, and the ``outcome`` and ``commit_pos`` of their transaction, in one window pass."""
-    numbered = assign_transactions(log)
-    tx = W.partitionBy(*FILE, "tx")
-    return numbered.withColumn("outcome", F.coalesce(F.max(ending()).over(tx), F.lit("open"))).withColumn(
-        "commit_pos", F.max(F.when(ending().isNotNull(), F.col("log_pos"))).over(tx)
-    )
+#: What names an event, and what its part in a transaction is told from.
+PLACE = (*FILE, "log_pos", "event_seq")
+
+
+def _places(log: DataFrame, stride: int) -> DataFrame:
+    """Events that bring rows or end something, with ``tx`` and without their rows."""
+    telling = ending().isNotNull() | F.col("event_type").isin("WRITE_ROWS", "PAYLOAD", "ROTATE")
+    return assign_transactions(log.where(telling).select(*PLACE, "event_type", "query"), stride)
+
+
+def _with_rows(log: DataFrame, places: DataFrame) -> DataFrame:
+    """The log's insert events at these places."""
+    return log.where(F.col("event_type").isin("WRITE_ROWS", "PAYLOAD")).join(places, list(PLACE)).select(*log.columns, *[c for c in places.columns if c not in log.columns])
 
 
-def committed_rows(log: DataFrame) -> DataFrame:
-    """Insert events of committed transactions; rolled-back and open ones are left out."""
-    return with_outcome(log).where("outcome = 'committed' and event_type in ('WRITE_ROWS', 'PAYLOAD')")
+def committed_rows(log: DataFrame, stride: int = STRIDE) -> DataFrame:
+    """Insert events of committed transactions, with tx, outcome and commit_pos; rolled-back and open ones are left out."""
+    places = _places(log, stride)
+    ends = places.where(ending() == "committed").select(*FILE, "tx", F.lit("committed").alias("outcome"), F.col("log_pos").alias("commit_pos"))
+    inserts = places.where(F.col("event_type").isin("WRITE_ROWS", "PAYLOAD")).select(*PLACE, "tx")
+    return _with_rows(log, inserts.join(ends, [*FILE, "tx"]).select(*PLACE, "tx", "outcome", "commit_pos"))
 
 
-def open_rows(log: DataFrame) -> DataFrame:
+def open_rows(log: DataFrame, stride: int = STRIDE) -> DataFrame:
     """Insert events with no terminal yet: input of the next run.
 
     In a file that was already rotated away they are not open but an anomaly
     (see ``log_anomalies``), and are left out.
     """
-    numbered = assign_transactions(log)
-    tx = W.partitionBy(*FILE, "tx")
-    closed = F.max((ending().isNotNull() | (F.col("event_type") == "ROTATE")).cast("int")).over(tx)
-    return numbered.withColumn("_closed", closed).where("event_type = 'WRITE_ROWS' and _closed = 0").drop("_closed")
+    places = _places(log, stride)
+    closed = places.where(ending().isNotNull() | (F.col("event_type") == "ROTATE")).select(*FILE, "tx").distinct()
+    inserts = places.where("event_type = 'WRITE_ROWS'").select(*PLACE, "tx")
+    return _with_rows(log, inserts.join(closed, [*FILE, "tx"], "left_anti"))
 
 
 #: Total publish order of committed rows.
 COMMIT_ORDER = ("source_id", "log_file", "commit_pos", "log_pos", "event_seq", "row_idx")
 
 
-def commit_order(rows: DataFrame) -> DataFrame:
+def commit_order(rows: DataFrame, stride: int = STRIDE) -> DataFrame:
     """Adds ``publish_no`` within each source and file: by commit, then row event, then row."""
-    return rows.withColumn("publish_no", F.row_number().over(W.partitionBy(*FILE).orderBy(*COMMIT_ORDER[2:])).cast("long"))
+    part = _stretch("commit_pos", stride)
+    inside = W.partitionBy(*FILE, "_part").orderBy(*COMMIT_ORDER[2:])
+    numbered = rows.withColumn("_part", part).withColumn("_here", F.row_number().over(inside))
+    joined = numbered.join(_before(rows, F.lit(1), part), [*FILE, "_part"])
+    return joined.withColumn("publish_no", (F.col("_here") + F.col("_before")).cast("long")).select(*rows.columns, "publish_no")
 
 
 def check_transaction_limits(log: DataFrame, schema: str, table: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
@@ -132,9 +163,8 @@ def log_anomalies(log: DataFrame, schema: str, table: str) -> DataFrame:
     A rotate or a self-contained payload while rows are open; a commit at
     position 0, with rows or without.
     """
-    lean = event_weight(log, schema, table).select(*FILE, "log_pos", "event_seq", "event_type", "query", "n_rows")
-    file = W.partitionBy(*FILE).orderBy("log_pos", "event_seq").rowsBetween(W.unboundedPreceding, -1)
-    numbered = lean.withColumn("tx", F.coalesce(F.sum(ending().isNotNull().cast("long")).over(file), F.lit(0).cast("long")))
+    lean = event_weight(log, schema, table).select(*PLACE, "event_type", "query", "n_rows")
+    numbered = assign_transactions(lean)
     tx = W.partitionBy(*FILE, "tx").orderBy("log_pos", "event_seq").rowsBetween(W.unboundedPreceding, -1)
     pending = F.coalesce(F.sum(F.when(F.col("event_type") == "WRITE_ROWS", F.col("n_rows")).otherwise(0)).over(tx), F.lit(0))
     reason = (

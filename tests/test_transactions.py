@@ -53,9 +53,11 @@ def test_assembly_equals_a_sequential_reader(spark, seed):
                     events.append(event(kind, pos, file, rows=[image(n := n + 1) for _ in range(rng.randrange(1, 4))], source=source))
                 else:
                     events.append(event("XID", pos, file, source=source) if kind == "XID" else event("QUERY", pos, file, query=kind, source=source))
-    rows = dc.decode_rows(dc.explode_rows(tr.committed_rows(log(spark, events))))
-    got = tr.commit_order(rows).orderBy(*tr.COMMIT_ORDER).collect()
-    assert [(r["source_id"], r["log_file"], int(r["id"]), r["commit_pos"]) for r in got] == sequential(events)
+    for stride in (tr.STRIDE, 40, 7):  # a file in one stretch, in several, and an event a stretch
+        rows = dc.decode_rows(dc.explode_rows(tr.committed_rows(log(spark, events), stride)))
+        got = tr.commit_order(rows, stride).orderBy(*tr.COMMIT_ORDER).collect()
+        assert [(r["source_id"], r["log_file"], int(r["id"]), r["commit_pos"]) for r in got] == sequential(events)
+        assert [r["publish_no"] for r in got] == [k + 1 for f in sorted({(r["source_id"], r["log_file"]) for r in got}) for k in range(sum((r["source_id"], r["log_file"]) == f for r in got))]
     done = {r["id"] for r in got}
     assert all(int(r["row"][0]) not in done for r in dc.explode_rows(tr.open_rows(log(spark, events))).collect())
 
