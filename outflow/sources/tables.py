@@ -74,33 +74,26 @@ def read_outbox(spark: SparkSession, path: str | None = None, jdbc: dict | None
 def id_ranges(spark: SparkSession, jdbc: dict, column: str, n: int) -> list[str]:
     """Up to ``n`` conditions that deal a table's rows out by id, each row in exactly one.
 
-    The database says the least and largest id and how many rows there are; cuts
-    are then moved to the ids' own quantiles by one counting query a round, so
-    that gaps in the ids leave no range empty or overfull.  Ids are unsigned 64-bit
-    numbers, which no ``partitionColumn`` of Spark's reader can hold.
+    The database says the least and largest id; the ids alone are read once, in
+    equal ranges of numbers, and cut at their quantiles, so that gaps in the ids
+    leave no range empty or overfull.  Ids are unsigned 64-bit numbers, which no
+    ``partitionColumn`` of Spark's reader can hold.
     """
-    ask = lambda select: spark.read.format("jdbc").options(**{k: v for k, v in jdbc.items() if k not in ("ranges", "dbtable", "id_column")}).option("query", select).load().collect()[0]
-    low, high, rows = ask(f"select min({column}) as lo, max({column}) as hi, count(*) as n from {jdbc['dbtable']}")
-    if not rows or n < 2 or low == high:
+    options = {k: v for k, v in jdbc.items() if k not in ("ranges", "url", "dbtable", "id_column")}
+    ask = spark.read.format("jdbc").options(**options, url=jdbc["url"]).option("query", f"select min({column}) as lo, max({column}) as hi from {jdbc['dbtable']}")
+    low, high = ask.load().collect()[0]
+    if low is None or n < 2 or low == high:
         return ["1 = 1"]
-    low, high, rows = int(low), int(high), int(rows)
-    # For each cut: the ids between which its quantile lies; halved together until all are close.
-    spans = [[low, high] for _ in range(1, n)]
-    for _ in range(QUANTILE_ROUNDS):
-        middle = [(a + b) // 2 for a, b in spans]
-        counts = ask("select " + ", ".join(f"sum(case when {column} <= {m} then 1 else 0 end) as c{k}" for k, m in enumerate(middle)) + f" from {jdbc['dbtable']}")
-        for k, m in enumerate(middle):
-            spans[k] = [m, spans[k][1]] if int(counts[k]) * n < rows * (k + 1) else [spans[k][0], m]
-        if all(b - a <= 1 for a, b in spans):
-            break
-    cuts = sorted({b for _, b in spans if b < high})
-    edges = [None, *cuts, None]
-    within = lambda a, b: " and ".join(([f"{column} > {a}"] if a is not None else []) + ([f"{column} <= {b}"] if b is not None else [])) or "1 = 1"
-    return [within(a, b) for a, b in zip(edges, edges[1:])]
+    low, high = int(low), int(high)
+    even = _within(column, sorted({low + (high - low) * k // n for k in range(1, n)}))
+    ids = spark.read.jdbc(jdbc["url"], f"(select {column} from {jdbc['dbtable']}) ids", predicates=even, properties=options)
+    cuts = ids.agg(F.percentile_approx(F.col(ids.columns[0]).cast(schemas.ID), [k / n for k in range(1, n)], 10_000).alias("c")).first()["c"]
+    return _within(column, sorted({int(c) for c in cuts} - {high}))
 
 
-#: Rounds of halving; 64 find any unsigned 64-bit quantile exactly, a few are close enough.
-QUANTILE_ROUNDS = 24
+def _within(column: str, cuts: list[int]) -> list[str]:
+    edges = [None, *cuts, None]
+    return [" and ".join(([f"{column} > {a}"] if a is not None else []) + ([f"{column} <= {b}"] if b is not None else [])) or "1 = 1" for a, b in zip(edges, edges[1:], strict=False)]
 
 
 def _database_types(df: DataFrame) -> DataFrame:
