@@ -275,11 +275,14 @@ def _in_slices(spark, log: DataFrame, slices: int = 3) -> str:
     Cuts lie between an order's rows and its terminal, so that a stream which
     reads few files a batch meets rows in an earlier batch than their commit.
     """
-    path = folder(spark, "log")
+    path, whole = folder(spark, "log"), folder(spark, "whole")
+    log.write.parquet(whole)
+    log = tb.read_change_log(spark, whole)
     last = log.agg(F.coalesce(F.max("event_seq"), F.lit(0)).alias("m")).first()["m"]
     cuts = [last * k // slices // 100 * 100 + 50 for k in range(1, slices)]
     for low, high in zip((-(1 << 62), *cuts), (*cuts, 1 << 62), strict=True):
         log.where(F.col("event_seq").between(low + 1, high)).repartition(4, "source_id").write.mode("append").parquet(path)
+    tb.discard(spark, whole)
     return path
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outflow.operators.gtid import gtid_contains, gtid_union, parse_gtid_set
-from outflow.operators.hops import hops
+from outflow.operators.hops import folded, hops
 from outflow.operators.transactions import FILE, ending
 from outflow.schemas import UINT32
 from outflow.sources.tables import file_number
@@ -29,17 +29,18 @@ def load_checkpoint(state: DataFrame, consumer: str) -> DataFrame:
     return state.where(F.col("consumer_name") == consumer).withColumn("error", error)
 
 
-def checkpoint_timeline(terminals: DataFrame, interval_seconds: int, start_ts: Column | None = None) -> DataFrame:
+def checkpoint_timeline(terminals: DataFrame, interval_seconds: int, start_ts: Column | None = None, short: bool = False) -> DataFrame:
     """(consumer, ts, row): the terminals that write a checkpoint.
 
     ``terminals``: consumer, ts, row, has_rows.  A commit with rows always
     writes and restarts the clock; any other terminal writes if ``interval`` has
     passed since the last write, or since the consumer's start (``start_ts``,
-    else its first terminal).  Consumers are read in stretches of time.
+    else its first terminal).  Consumers are read in stretches of time, or each
+    by one task where the table is ``short``.
     """
     start = F.unix_micros(start_ts) if start_ts is not None else F.lit(None).cast("long")
     lean = terminals.select(F.col("consumer").alias("_line"), F.col("row").alias("_row"), F.unix_micros("ts").alias("_at"), F.col("has_rows").alias("_forced"), start.alias("_start"))
-    kept = hops(lean, interval_seconds * 1_000_000)
+    kept = (folded if short else hops)(lean, interval_seconds * 1_000_000)
     return terminals.join(kept, F.col("consumer").eqNullSafe(F.col("_line")) & (F.col("row") == F.col("_row")), "left_semi").select("consumer", "ts", "row")
 
 

@@ -9,7 +9,9 @@ read apart from each other:
 2. these answers are chained along each line, one small row after the other;
 3. every stretch, now knowing what comes in, marks the rows it keeps.
 
-No task holds a line, however hot its key; rows carry ids and times only.
+No task holds a line, but one does hold the rows of a line in ``SLOTS`` steps:
+with many rows of one key inside few steps, a task holds them all (ids and times
+only).  The chain of a line is read by one task as a stream.
 """
 
 from __future__ import annotations
@@ -143,6 +145,21 @@ def _chain(step: int):
     return run
 
 
+def _kept(rows: _Rows, enters: np.ndarray, forced: np.ndarray) -> np.ndarray:
+    """Which rows are kept when each group is entered with a time kept last."""
+    kept = forced.copy()
+    front = np.concatenate([rows.enter(np.arange(len(enters)), enters), np.where(forced, rows.next, len(kept))[forced]])
+    owner = np.concatenate([np.arange(len(enters)), rows.group[forced]])
+    while len(front):
+        inside = front < rows.ends[owner]
+        front, owner = front[inside], owner[inside]
+        fresh = ~kept[front]
+        front, owner = front[fresh], owner[fresh]
+        kept[front] = True
+        front = rows.next[front]
+    return kept
+
+
 def _marks(step: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches):
@@ -153,21 +170,45 @@ def _marks(step: int):
             group = group[~entry]
             times, forced = np.asarray(lean["_at"]), np.asarray(lean["_forced"].combine_chunks().cast("int8")).astype(bool)
             rows = _Rows(group, np.searchsorted(group, np.arange(len(enters))), times, forced, step)
-            kept = forced.copy()
-            front = np.concatenate([rows.enter(np.arange(len(enters)), enters), np.where(forced, rows.next, len(times))[forced]])
-            owner = np.concatenate([np.arange(len(enters)), group[forced]])
-            while len(front):
-                inside = front < rows.ends[owner]
-                front, owner = front[inside], owner[inside]
-                fresh = ~kept[front]
-                front, owner = front[fresh], owner[fresh]
-                kept[front] = True
-                front = rows.next[front]
-            yield from lean.select(["_line", "_row"]).filter(pa.array(kept)).to_batches()
+            yield from lean.select(["_line", "_row"]).filter(pa.array(_kept(rows, enters, forced))).to_batches()
 
     return run
 
 
+def _fold(step: int):
+    """Marks sorted rows batch by batch: only the last line's last kept time is carried on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, last = None, 0  # the line read last, in a list as it may be null, and its time
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            line = batch.column("_line").dictionary_encode(null_encoding="encode").indices
+            codes = np.asarray(line)
+            first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(codes))))
+            times, forced = np.asarray(batch.column("_at")), np.asarray(batch.column("_forced").cast("int8")).astype(bool)
+            start = np.asarray(batch.column("_start").fill_null(_ALWAYS))[first]
+            enters = np.minimum(start, times[first])
+            if here == [batch.column("_line")[0].as_py()]:
+                enters[0] = last
+            rows = _Rows(group, first, times, forced, step)
+            kept = _kept(rows, enters, forced)
+            mine = np.flatnonzero(kept[first[-1] :])
+            last = int(times[first[-1] + mine[-1]]) if len(mine) else int(enters[-1])
+            here = [batch.column("_line")[-1].as_py()]
+            yield batch.select(["_line", "_row"]).filter(pa.array(kept))
+
+    return run
+
+
+def folded(lines: DataFrame, step: int) -> DataFrame:
+    """What ``hops`` gives, with each line read by one task from end to end in flat memory: for lines of bounded length, as those of one micro-batch."""
+    kind = lambda c: lines.schema[c].dataType.simpleString()
+    ordered = lines.select("_line", "_row", "_at", "_forced", "_start").repartition("_line").sortWithinPartitions("_line", "_at", "_row")
+    return ordered.mapInArrow(_fold(step), f"_line {kind('_line')}, _row {kind('_row')}")
+
+
 def hops(lines: DataFrame, step: int, slots: int = SLOTS) -> DataFrame:
     """(_line, _row) of the rows kept: forced ones, and those a step or more after the last kept.
 

@@ -6,8 +6,10 @@ import json
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -302,8 +304,7 @@ def write_state(outbox: DataFrame, checkpoints: DataFrame, base: str, version: s
     again replaces it, which makes a repeated batch harmless.
     """
     version = version or uuid.uuid4().hex
-    for name, df in (("outbox", outbox), ("checkpoints", checkpoints)):
-        df.write.mode("overwrite").parquet(f"{base}/{version}/{name}")
+    _written({"outbox": outbox, "checkpoints": checkpoints}, f"{base}/{version}")
     spark = outbox.sparkSession
     swap_pointer(spark, base, _after(spark, base, version=version, snapshot=version, deltas=[]))
     return version
@@ -319,8 +320,7 @@ def write_delta(changes: DataFrame, checkpoints: DataFrame, base: str, version:
     """
     spark = changes.sparkSession
     tables = {"changes": changes, "checkpoints": checkpoints} | (side or {}) | ({"manifest": manifest} if manifest is not None else {})
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{base}/{version}/{name}")
+    _written(tables, f"{base}/{version}")
     now = _after(spark, base, version=version)
     now["deltas"], now["side"] = [*now["deltas"], version], now["side"] | dict.fromkeys(side or {}, version)
     now["done"] = now["done"] | ({kind: version} if kind else {})
@@ -369,8 +369,7 @@ def compact(spark: SparkSession, base: str) -> None:
     version = f"{found['version']}{WHOLE}"
     outbox, checkpoints = read_state(spark, base)
     tables = {"outbox": outbox, "checkpoints": checkpoints} | ({"manifest": read_manifest(spark, base).coalesce(1)} if found["manifests"] else {})
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{base}/{version}/{name}")
+    _written(tables, f"{base}/{version}")
     swap_pointer(spark, base, _after(spark, base, version=version, snapshot=version, deltas=[], manifests=[version] if found["manifests"] else []))
     prune(spark, base, keep=_named(found))
 
@@ -395,6 +394,16 @@ def prune(spark: SparkSession, base: str, keep: list | None = None) -> list[str]
     return sorted(p.getName() for p in gone)
 
 
+def together(*jobs: Callable) -> list:
+    """Runs small jobs that don't wait for each other side by side; the first error is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(job)) for job in jobs]]
+
+
+def _written(tables: dict[str, DataFrame], folder: str) -> None:
+    together(*(lambda name=name, df=df: df.write.mode("overwrite").parquet(f"{folder}/{name}") for name, df in tables.items()))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, root = _pointer(spark, path)
     return fs.exists(root)

@@ -334,14 +334,17 @@ def relay_batch(
         spans = spans_of(placed)
         before = {r[0] for r in saved.where(F.col("consumer_name").startswith(f"{consumer}/")).select(F.substr("consumer_name", F.lit(len(consumer) + 2))).collect()} if isinstance(names[0], str) else set()
         one_source(names, before | {s[0] for s in spans})
-        if spans:
+        def publish_rows() -> DataFrame:
             decoded = quarantine(decode_rows(explode_inserts(rows_at(placed, read_log(spark, spans)), schema, table)))
-            results = publish(spark, base, version, decoded.withColumn("attempt_count", F.lit(0).cast("long")), names, bindings, expected, strict, carry=("event_ts",), by=by)
-            changes = changed(results, outbox)
+            return publish(spark, base, version, decoded.withColumn("attempt_count", F.lit(0).cast("long")), names, bindings, expected, strict, carry=("event_ts",), by=by)
+
+        # The checkpoints' times don't wait for the messages.
+        mark = lambda: written(placed).write.mode("overwrite").parquet(f"{here}/last")
+        if spans:
+            changes = changed(tb.together(publish_rows, mark)[0], outbox)
         else:
+            mark()
             changes = outbox.limit(0).withColumn("gone", F.lit(False))
-
-        written(placed).write.mode("overwrite").parquet(f"{here}/last")
         last = spark.read.parquet(f"{here}/last")
         seen = placed.where("kind = 'end' and fresh and gtid_uuid is not null").select("consumer", "line", "gtid_uuid", "gno")
         waiting = tb.read_side(spark, base, f"ahead-{consumer}")
@@ -373,7 +376,7 @@ def relay_batch(
         """(consumer, row, written): the terminal of each consumer that writes a checkpoint last in the batch."""
         ends = placed.where("kind = 'end' and fresh").withColumn("ts", F.timestamp_micros("at"))
         terminals = ends.select("consumer", "ts", F.col("line").alias("row"), (F.col("n_rows") > 0).alias("has_rows"), "since")
-        timeline = checkpoint_timeline(terminals, interval_seconds, F.col("since"))
+        timeline = checkpoint_timeline(terminals, interval_seconds, F.col("since"), short=True)
         return timeline.groupBy("consumer").agg(F.max("row").alias("row"), F.max("ts").alias("written"))
 
     def moved(placed: DataFrame, last: DataFrame, seen: DataFrame, saved: DataFrame) -> DataFrame:

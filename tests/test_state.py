@@ -9,7 +9,7 @@ from outflow.operators import checkpoints as cp
 from outflow.operators import gtid as gt
 from outflow.operators import metrics as mt
 from outflow.operators import routing as rt
-from outflow.operators.hops import NEVER, hops
+from outflow.operators.hops import NEVER, folded, hops
 
 from outflow.schemas import CHANGE_LOG
 from tests.test_transactions import event
@@ -46,6 +46,13 @@ def test_hops_across_stretches_equal_a_loop(spark, seed):
                 last = t
     df = spark.createDataFrame(rows, "_line string, _row long, _at long, _forced boolean, _start long")
     assert {tuple(r) for r in hops(df, 10, slots=3).collect()} == want
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, 7)
+    try:
+        assert {tuple(r) for r in folded(df, 10).collect()} == want
+    finally:
+        spark.conf.set(key, old)
 
 
 def test_routes_equal_pairing_all(spark):
