@@ -30,11 +30,11 @@ from outflow.llm import bytewords as bw
 from outflow.llm.shared import staged, unstage
 
 #: Buckets of a pass; a bitmap has an eighth as many bytes.
-BUCKETS = 1 << 24
+BUCKETS = 1 << 26
 #: Buckets of a block: their places fit 16 bits.
 BLOCK = 1 << 16
 #: Bytes of text between two sums of what a task has counted.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 MOST_WORDS, LEAST_COUNT, SHARE, TOP = 3, 10, 50, 2000
 _PART = "kind string, lang string, phrase string, n long, block int, at binary, times binary"
 _MULT = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -78,6 +78,20 @@ def grams(words: list[np.ndarray], piece: np.ndarray, salt: np.ndarray, k: int)
     return at, *out
 
 
+def joined_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, k: int) -> pa.Array:
+    """Texts of the phrases of k words that begin at words ``first``, one space between words."""
+    word = (first[:, None] + np.arange(k)).ravel()
+    size = ends[word] - starts[word]
+    width = size + 1  # a space after each word but the phrase's last, which is cut off below
+    width[k - 1 :: k] -= 1
+    place = np.cumsum(width) - width
+    out = np.full(int(width.sum()), 32, np.uint8)
+    inside = np.repeat(place - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    out[inside] = buf[np.repeat(starts[word] - place, size) + inside]
+    offsets = np.append(place[::k], len(out)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes()))
+
+
 class Bitmap:
     """A fixed number of bits, one for the hashes that fall on it."""
 
@@ -158,13 +172,7 @@ def counted_pass(docs: DataFrame, k: int, most_words: int, least: int, buckets:
                 begin = np.flatnonzero(fresh)
                 times = np.diff(np.append(begin, len(order)))
                 first = at[order[begin]]
-                data = buf.tobytes()
-                if k == 1:
-                    phrases = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-                else:
-                    spans = [(starts[first + j].tolist(), ends[first + j].tolist()) for j in range(k)]
-                    phrases = [b" ".join(data[a[i] : b[i]] for a, b in spans) for i in range(len(first))]
-                texts = pa.array(phrases, pa.binary()).cast(pa.string())
+                texts = joined_words(buf, starts, ends, first, k)
                 lang = langs.take(pa.array(code[first]))
                 n = len(first)
                 for a in range(0, n, 50_000):
