@@ -32,8 +32,7 @@ def query(f):
 
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder where driver and executors both can write."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{tb.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def text(c: str):

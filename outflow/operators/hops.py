@@ -1,17 +1,19 @@
 """Greedy hops through lines of times: each kept time silences those less than a step later.
 
 Which rows of a line are kept depends on all rows before, but only through one
-number, the time kept last.  So a line is cut into stretches of time that tasks
-read apart from each other:
+number, the time kept last.  A line of up to ``ROWS`` rows is read by one task,
+from end to end.  A longer one is cut into stretches of about so many rows,
+whatever time they span, that tasks read apart from each other:
 
 1. every stretch says, for each time kept last that may come in from before,
-   which time it will hand on (a few rows, as only its first slot can differ);
-2. these answers are chained along each line, one small row after the other;
+   which time it will hand on: a step function that only grows, with one step for
+   each row inside the first ``step`` of time at most;
+2. these functions are followed along each line, one after the other: a task
+   reads them as a stream and holds one number;
 3. every stretch, now knowing what comes in, marks the rows it keeps.
 
-No task holds a line, but one does hold the rows of a line in ``SLOTS`` steps:
-with many rows of one key inside few steps, a task holds them all (ids and times
-only).  The chain of a line is read by one task as a stream.
+No task holds more than a stretch, however hot a key and however crowded its
+rows; rows carry ids and times only.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Steps in one stretch.
-SLOTS = 64
+from outflow.sources.tables import staged
+
+#: Rows of one stretch.
+ROWS = 1_000_000
 #: A time kept last that silences nothing.
 NEVER = -(1 << 62)
 _ALWAYS = (1 << 63) - 1
@@ -89,16 +93,15 @@ class _Rows:
         return np.minimum(self.land(group, last + self.step), np.minimum(forced, self.ends[group]))
 
 
-def _answers(step: int, width: int):
+def _answers(step: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches):
             group, first = _groups(table)
             times, forced = np.asarray(table["_at"]), np.asarray(table["_forced"].combine_chunks().cast("int8")).astype(bool)
             rows = _Rows(group, first, times, forced, step)
             each = np.arange(len(first))
-            begin = np.maximum(np.asarray(table["_part"])[first] * width, times[first])
-            # What comes in is earlier than the stretch, so its first slot decides.
-            upto = np.minimum(rows.land(each, begin + step), np.append(rows.forced, len(times))[first])
+            # What comes in is no later than the first row, so what lies a step behind that decides nothing.
+            upto = np.minimum(rows.land(each, times[first] + step), np.append(rows.forced, len(times))[first])
             upto = np.minimum(upto + 1, rows.ends)
             many = upto - first
             row = np.arange(int(many.sum())) + np.repeat(first - (np.cumsum(many) - many), many)
@@ -122,24 +125,33 @@ def _answers(step: int, width: int):
 
 
 def _chain(step: int):
+    """What comes into each stretch; batches are sorted by line, stretch and _upto, and only one number is carried on."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here: tuple | None = None
         last, leaves, settled = 0, 0, False
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            _, first = _groups(pa.Table.from_batches([batch]))
+            ends = np.append(first[1:], batch.num_rows)
+            upto, out = np.asarray(batch.column("_upto")), np.asarray(batch.column("_leaves"))
+            names = [batch.column(c).take(pa.array(first)).to_pylist() for c in ("_line", "_part", "_first", "_start")]
             lines, parts, enters = [], [], []
-            columns = (batch.column(c).to_pylist() for c in ("_line", "_part", "_first", "_start", "_upto", "_leaves"))
-            for line, part, first, start, upto, out in zip(*columns, strict=True):
+            for line, part, begin, start, a, z in zip(*names, first.tolist(), ends.tolist(), strict=True):
                 if here != (line, part):
                     if here is None or here[0] != line:
-                        last = first if start is None else min(start, first)
+                        last = begin if start is None else min(start, begin)
                     elif settled:
                         last = leaves
                     here, settled = (line, part), False
                     lines.append(line)
                     parts.append(part)
                     enters.append(last)
-                if not settled and upto >= last + step:
-                    leaves, settled = out, True
+                if not settled:
+                    k = a + int(np.searchsorted(upto[a:z], last + step))
+                    if k < z:
+                        leaves, settled = int(out[k]), True
             yield pa.RecordBatch.from_arrays([pa.array(lines, batch.schema.field("_line").type), pa.array(parts, pa.int64()), pa.array(enters, pa.int64())], names=["_line", "_part", "_at"])
 
     return run
@@ -209,20 +221,29 @@ def folded(lines: DataFrame, step: int) -> DataFrame:
     return ordered.mapInArrow(_fold(step), f"_line {kind('_line')}, _row {kind('_row')}")
 
 
-def hops(lines: DataFrame, step: int, slots: int = SLOTS) -> DataFrame:
+def hops(lines: DataFrame, step: int, rows: int = ROWS) -> DataFrame:
     """(_line, _row) of the rows kept: forced ones, and those a step or more after the last kept.
 
     ``lines``: _line, _row, _at (a whole number), _forced and _start, the time
     that counts as kept before a line's first row (null: that row's own time).
-    Rows of a line go by (_at, _row).
+    Rows of a line go by (_at, _row).  ``lines`` is read twice, and what the few
+    lines with more than ``rows`` rows hold is written once to the shared folder.
     """
-    width = slots * step
+    long = staged(lines.groupBy("_line").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).withColumnRenamed("_line", "_hot"), "long-lines")
+    total = long.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
+    if not total:
+        return folded(lines, step)
+    met = F.col("_line").eqNullSafe(F.col("_hot"))
     kind = lambda c: lines.schema[c].dataType.simpleString()
-    cut = lines.select("_line", "_row", "_at", "_forced", "_start", F.floor(F.col("_at") / width).cast("long").alias("_part"))
+    hot = lines.select("_line", "_row", "_at", "_forced", "_start").join(long, met, "left_semi")
+    # Ranges of (line, time, row), so that a stretch is one task's share.
+    dealt = hot.repartitionByRange(max(2, -(-total // rows)), "_line", "_at", "_row").withColumn("_part", F.spark_partition_id().cast("long"))
+    cut = staged(dealt, "stretches")
     stretches = cut.repartition("_line", "_part").sortWithinPartitions("_line", "_part", "_at", "_row")
-    answers = stretches.select("_line", "_part", "_at", "_forced", "_start").mapInArrow(_answers(step, width), f"_line {kind('_line')}, _part long, _first long, _start long, _upto long, _leaves long")
+    answers = stretches.select("_line", "_part", "_at", "_forced", "_start").mapInArrow(_answers(step), f"_line {kind('_line')}, _part long, _first long, _start long, _upto long, _leaves long")
     chained = answers.repartition("_line").sortWithinPartitions("_line", "_part", "_upto").mapInArrow(_chain(step), f"_line {kind('_line')}, _part long, _at long")
     entries = chained.select("_line", F.lit(None).cast(kind("_row")).alias("_row"), "_at", F.lit(False).alias("_forced"), "_part", F.lit(True).alias("_entry"))
     both = cut.select("_line", "_row", "_at", "_forced", "_part", F.lit(False).alias("_entry")).unionByName(entries)
     ordered = both.repartition("_line", "_part").sortWithinPartitions("_line", "_part", F.col("_entry").desc(), "_at", "_row")
-    return ordered.mapInArrow(_marks(step), f"_line {kind('_line')}, _row {kind('_row')}")
+    marked = ordered.mapInArrow(_marks(step), f"_line {kind('_line')}, _row {kind('_row')}")
+    return folded(lines.join(long, met, "left_anti"), step).unionByName(marked)

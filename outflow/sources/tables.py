@@ -394,6 +394,18 @@ def prune(spark: SparkSession, base: str, keep: list | None = None) -> list[str]
     return sorted(p.getName() for p in gone)
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share; in the warehouse only where the session names none."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged").rstrip("/")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and safe from lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def together(*jobs: Callable) -> list:
     """Runs small jobs that don't wait for each other side by side; the first error is raised."""
     with ThreadPoolExecutor(len(jobs)) as pool:

@@ -45,7 +45,8 @@ def test_hops_across_stretches_equal_a_loop(spark, seed):
                 want.add((line, i))
                 last = t
     df = spark.createDataFrame(rows, "_line string, _row long, _at long, _forced boolean, _start long")
-    assert {tuple(r) for r in hops(df, 10, slots=3).collect()} == want
+    for rows in (7, 100, 500):  # all lines are long, some are, only one is
+        assert {tuple(r) for r in hops(df, 10, rows).collect()} == want
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     old = spark.conf.get(key)
     spark.conf.set(key, 7)
@@ -55,6 +56,20 @@ def test_hops_across_stretches_equal_a_loop(spark, seed):
         spark.conf.set(key, old)
 
 
+@pytest.mark.parametrize("step", [5, 4000, 100_000])
+def test_a_crowded_line_spreads_over_stretches(spark, step):
+    # 20,000 rows of one key, many to an instant, far more than a stretch to a step.
+    rng = random.Random(step)
+    rows = [(None, i, rng.randrange(9000), False, NEVER) for i in range(20_000)]
+    want, last = set(), NEVER
+    for _, i, t, _, _ in sorted(rows, key=lambda r: (r[2], r[1])):
+        if t - last >= step:
+            want.add(i)
+            last = t
+    df = spark.createDataFrame(rows, "_line string, _row long, _at long, _forced boolean, _start long")
+    assert {r["_row"] for r in hops(df, step, 1500).collect()} == want
+
+
 def test_routes_equal_pairing_all(spark):
     patterns = [("S1", "a.>"), ("S2", "a.b.*"), ("S3", "*.b.>"), ("S4", ">"), ("S5", "*.*"), ("S6", r"x\E.y"), ("S7", "*.*.c"), ("S8", "a.b.c.d"), ("S9", "*.>"), ("S0", "*.*.*.*.>")]
     subjects = ["a", "a.b", "a.b.c", "x.b.c", r"x\E.y", "q", "q.r", "q.r.c", "a.b.c.d", "1.2.3.4.5", "", "a..b", None]
