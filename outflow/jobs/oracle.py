@@ -250,6 +250,12 @@ UNION ALL SELECT consumer, 'last_checkpoint_seconds', 'Time of the last checkpoi
         f"""SELECT consumer, 'failed_rows' AS alert, {AT} AS "at", n_failed AS value FROM fl WHERE n_failed > 0
 UNION ALL SELECT consumer, 'errors_rising', window_start, publish_errors - b FROM (SELECT *, lag(publish_errors) OVER (PARTITION BY consumer ORDER BY window_start) AS b FROM wn) WHERE publish_errors > b
 UNION ALL SELECT consumer, 'checkpoint_stale', {AT}, CAST(epoch({AT}) - epoch(updated_at) AS BIGINT) FROM cps WHERE epoch({AT}) - epoch(updated_at) > 90000""",
+    ),
+    "h5_stream_windows": _with(ATTEMPTS, "SELECT * FROM wn"),
+    "h6_stream_alerts": _with(
+        ATTEMPTS,
+        """SELECT consumer, 'errors_rising' AS alert, window_start AS "at", publish_errors - b AS value FROM (SELECT *, lag(publish_errors) OVER (PARTITION BY consumer ORDER BY window_start) AS b FROM wn) WHERE publish_errors > b
+UNION ALL SELECT consumer, 'checkpoint_stale', updated_at, NULL FROM cps""",
     ),
     "h7_failures_by_reason": _with(ATTEMPTS, "SELECT subject, error, count(*) AS n, max(id) AS last_id, max(ts) AS last_at FROM ap WHERE NOT ok GROUP BY ALL"),
 }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,6 +17,7 @@ from outflow.operators import passes as ps
 from outflow.operators import routing as rt
 from outflow.operators import transactions as tr
 from outflow.sources import tables as tb
+from outflow.streaming import alerts as al
 from outflow.streaming import relay as rl
 
 QUERIES = {}
@@ -32,7 +31,7 @@ def query(f):
 
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder where driver and executors both can write."""
-    return f"{tb.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return tb.new_folder(spark, name)
 
 
 def text(c: str):
@@ -664,6 +663,35 @@ def h6_alerts(spark, sf_dir):
     return mt.alerts(windows, _failed(spark, sf_dir), fx.checkpoints(spark, sf_dir), fx.now(), 90_000)
 
 
+def _attempt_stream(spark, sf_dir) -> DataFrame:
+    """The attempts as a stream in order of time, closed by one of a consumer of its own far behind all others."""
+    path = folder(spark, "attempts")
+    attempts = fx.attempts(spark, sf_dir)
+    edges = attempts.agg(F.percentile_approx(F.unix_micros("ts"), [0.3, 0.6]).alias("e")).first()["e"] or []
+    at = F.unix_micros("ts")
+    for low, high in zip((None, *edges), (*edges, None), strict=True):
+        inside = (F.lit(True) if low is None else at > low) & (F.lit(True) if high is None else at <= high)
+        attempts.where(inside).coalesce(1).write.mode("append").parquet(path)
+    attempts.limit(1).withColumns({"consumer": F.lit("end"), "ts": F.lit("2100-01-01 00:00:00").cast("timestamp")}).write.mode("append").parquet(path)
+    return spark.readStream.schema(attempts.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query
+def h5_stream_windows(spark, sf_dir):
+    """The windows of a stream, each told once when the watermark has passed it."""
+    return _drained(spark, mt.delivery_by_window(_attempt_stream(spark, sf_dir), "6 hours", "1 day")).where("consumer <> 'end'")
+
+
+@query
+def h6_stream_alerts(spark, sf_dir):
+    path = folder(spark, "checkpoints")
+    fx.checkpoints(spark, sf_dir).write.parquet(path)
+    saved = spark.readStream.schema(fx.checkpoints(spark, sf_dir).schema).parquet(path)
+    with _rocksdb(spark):
+        found = _drained(spark, al.stream_alerts(_attempt_stream(spark, sf_dir), saved, 6 * 3600, 90_000, "300 days"))
+    return found.where("consumer <> 'end'").select("consumer", "alert", F.timestamp_micros("at").alias("at"), F.when(F.col("alert") == "errors_rising", F.col("value")).alias("value"))
+
+
 @query
 def h7_failures_by_reason(spark, sf_dir):
     return mt.failures_by_reason(fx.attempts(spark, sf_dir), F.col("ts"))

@@ -18,6 +18,8 @@ from outflow import schemas
 
 #: Folder of published messages beside a state's versions.
 MESSAGES = "messages"
+#: What the names of staged folders begin with.
+STAGED = "outflow-"
 #: Folder of recovery plans there.
 PLANS = "plans"
 #: What the name of a compacted version ends in.
@@ -399,9 +401,21 @@ def shared_dir(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged").rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A name of a new folder there.  The first one of a session removes what sessions before the last day left."""
+    base = shared_dir(spark)
+    if base not in _SWEPT:
+        _SWEPT.add(base)
+        sweep(spark, base, 86_400, STAGED)
+    return f"{base}/{STAGED}{name}-{uuid.uuid4().hex}"
+
+
+_SWEPT: set[str] = set()
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, and safe from lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -427,13 +441,13 @@ def discard(spark: SparkSession, path: str) -> None:
     fs.delete(root, True)
 
 
-def sweep(spark: SparkSession, base: str, older_than_seconds: int) -> list[str]:
-    """Removes folders under ``base`` that nothing has written to for so long: what finished runs have left staged."""
+def sweep(spark: SparkSession, base: str, older_than_seconds: int, prefix: str = "") -> list[str]:
+    """Removes folders under ``base``, of names that begin with ``prefix``, that nothing has written to for so long: what finished runs have left staged."""
     fs, root = _pointer(spark, base)
     if not fs.exists(root):
         return []
     limit = time.time() * 1000 - older_than_seconds * 1000
-    gone = [s.getPath() for s in fs.listStatus(root) if s.isDirectory() and s.getModificationTime() <= limit]
+    gone = [s.getPath() for s in fs.listStatus(root) if s.isDirectory() and s.getModificationTime() <= limit and s.getPath().getName().startswith(prefix)]
     for path in gone:
         fs.delete(path, True)
     return sorted(p.getName() for p in gone)
