@@ -54,20 +54,19 @@ def _stretch(position: str, stride: int) -> Column:
     return F.floor(F.coalesce(F.col(position), F.lit(0)) / stride).cast("long")
 
 
-def _before(rows: DataFrame, counted: Column, part: Column) -> DataFrame:
-    """(source_id, log_file, _part, _before): what all earlier stretches of a file count."""
-    each = rows.groupBy(*FILE, part.alias("_part")).agg(F.sum(counted).alias("_n"))
+def _before(each: DataFrame) -> DataFrame:
+    """(source_id, log_file, _part, _before): what all earlier stretches of a file count; ``each``: source_id, log_file, _part, _n."""
     earlier = W.partitionBy(*FILE).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     return each.select(*FILE, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
 
 
 def assign_transactions(log: DataFrame, stride: int = STRIDE) -> DataFrame:
     """Adds ``tx``: how many terminals came before in the same source and file."""
-    ends, part = ending().isNotNull().cast("long"), _stretch("log_pos", stride)
-    inside = W.partitionBy(*FILE, "_part").orderBy("log_pos", "event_seq").rowsBetween(W.unboundedPreceding, -1)
-    numbered = log.withColumn("_part", part).withColumn("_here", F.coalesce(F.sum(ends).over(inside), F.lit(0)))
-    joined = numbered.join(_before(log, ends, part), [*FILE, "_part"])
-    return joined.withColumn("tx", F.col("_here") + F.col("_before")).select(*log.columns, "tx")
+    inside = W.partitionBy(*FILE, "_part").orderBy("log_pos", "event_seq").rowsBetween(W.unboundedPreceding, 0)
+    numbered = log.withColumn("_part", _stretch("log_pos", stride)).withColumn("_here", F.sum(ending().isNotNull().cast("long")).over(inside))
+    # Counted on the numbered events, so that both sides come from one shuffle.
+    joined = numbered.join(_before(numbered.groupBy(*FILE, "_part").agg(F.max("_here").alias("_n"))), [*FILE, "_part"])
+    return joined.withColumn("tx", F.col("_here") - ending().isNotNull().cast("long") + F.col("_before")).select(*log.columns, "tx")
 
 
 def message_size(subject: Column, payload: Column, headers: Column, message_id: Column, ttl: Column) -> Column:
@@ -120,10 +119,10 @@ def _with_rows(log: DataFrame, places: DataFrame) -> DataFrame:
 
 def committed_rows(log: DataFrame, stride: int = STRIDE) -> DataFrame:
     """Insert events of committed transactions, with tx, outcome and commit_pos; rolled-back and open ones are left out."""
-    places = _places(log, stride)
-    ends = places.where(ending() == "committed").select(*FILE, "tx", F.lit("committed").alias("outcome"), F.col("log_pos").alias("commit_pos"))
-    inserts = places.where(F.col("event_type").isin("WRITE_ROWS", "PAYLOAD")).select(*PLACE, "tx")
-    return _with_rows(log, inserts.join(ends, [*FILE, "tx"]).select(*PLACE, "tx", "outcome", "commit_pos"))
+    tx = W.partitionBy(*FILE, "tx")
+    told = {"outcome": F.max(ending()).over(tx), "commit_pos": F.max(F.when(ending().isNotNull(), F.col("log_pos"))).over(tx)}
+    places = _places(log, stride).withColumns(told).where("outcome = 'committed' and event_type in ('WRITE_ROWS', 'PAYLOAD')")
+    return _with_rows(log, places.select(*PLACE, "tx", "outcome", "commit_pos"))
 
 
 def open_rows(log: DataFrame, stride: int = STRIDE) -> DataFrame:
@@ -132,10 +131,9 @@ def open_rows(log: DataFrame, stride: int = STRIDE) -> DataFrame:
     In a file that was already rotated away they are not open but an anomaly
     (see ``log_anomalies``), and are left out.
     """
-    places = _places(log, stride)
-    closed = places.where(ending().isNotNull() | (F.col("event_type") == "ROTATE")).select(*FILE, "tx").distinct()
-    inserts = places.where("event_type = 'WRITE_ROWS'").select(*PLACE, "tx")
-    return _with_rows(log, inserts.join(closed, [*FILE, "tx"], "left_anti"))
+    closed = F.max((ending().isNotNull() | (F.col("event_type") == "ROTATE")).cast("int")).over(W.partitionBy(*FILE, "tx"))
+    places = _places(log, stride).withColumn("_closed", closed).where("event_type = 'WRITE_ROWS' and _closed = 0")
+    return _with_rows(log, places.select(*PLACE, "tx"))
 
 
 #: Total publish order of committed rows.
@@ -147,7 +145,7 @@ def commit_order(rows: DataFrame, stride: int = STRIDE) -> DataFrame:
     part = _stretch("commit_pos", stride)
     inside = W.partitionBy(*FILE, "_part").orderBy(*COMMIT_ORDER[2:])
     numbered = rows.withColumn("_part", part).withColumn("_here", F.row_number().over(inside))
-    joined = numbered.join(_before(rows, F.lit(1), part), [*FILE, "_part"])
+    joined = numbered.join(_before(numbered.groupBy(*FILE, "_part").agg(F.max("_here").alias("_n"))), [*FILE, "_part"])
     return joined.withColumn("publish_no", (F.col("_here") + F.col("_before")).cast("long")).select(*rows.columns, "publish_no")
 
 
