@@ -251,7 +251,9 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     A null text is empty; an empty text has an empty fingerprint, and two of
     them are fully alike.  Null ids come first; rows that share an id follow
     each other in the order of a hash of their text.  A table of one row follows
-    itself; an empty table gives no rows.  The text moves through one shuffle.
+    itself; an empty table gives no rows.  Texts are read whole, however long, and
+    other columns are ignored whatever their names.  Windows of equal rarity go
+    by their place.  The text moves through one shuffle.
     """
     rows = identified(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), "text")
     ranks = rarity_ranks(rows)

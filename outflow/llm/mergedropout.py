@@ -373,8 +373,10 @@ def pieces(*args) -> Pieces:
 def encode(docs: DataFrame, path: str | None = None, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
     """(doc_id, text, ids): piece ids of every whole text.
 
-    A null text has null ids, an empty one none.  Rows stay as they are and
-    nothing is shuffled; other columns are ignored.
+    A null text has null ids, an empty one none.  Rows stay as they are, repeated
+    ones and null doc_ids too, and nothing is shuffled; an empty table gives no
+    rows, texts are encoded whole, however long, and other columns are ignored
+    whatever their names.
     """
     path = path or model_path()
 

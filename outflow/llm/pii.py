@@ -89,7 +89,8 @@ def find_pii(docs: DataFrame) -> DataFrame:
     account numbers that pass mod-97 and national ids that a context word
     supports, with a score from 0 to 1.  A null text has no spans; every other
     column stays as it is (but columns named base or pii, which these replace),
-    and rows are neither merged nor dropped.
+    and rows are neither merged nor dropped: repeated rows and null ids stay, an
+    empty table gives none, and texts are searched whole, however long.
     """
     taken = set(docs.columns)
     name = lambda x: x if x not in taken else name("_" + x)

@@ -185,7 +185,9 @@ def near_duplicate_groups(docs: DataFrame, key: str = "doc_id", max_bits: int =
     component_id is the least key that links reach, the row's own included; null
     keys never name a component unless it has no other.  A null or empty text
     has fingerprint zero and links like any other.  Copies share a fingerprint
-    and meet in a partial aggregate; only distinct fingerprints are joined.
+    and meet in a partial aggregate; only distinct fingerprints are joined.  An
+    empty table gives no rows, texts are read whole, however long, and other
+    columns are ignored whatever their names.
     """
     marked = staged(fingerprints(docs, key), "fingerprints")
     each = staged(marked.groupBy("fp").agg(F.min(key).alias("least")), "distinct")
