@@ -231,6 +231,17 @@ tg AS (SELECT tm.source_id, tm.log_file, tm.log_pos, CASE WHEN cy.gno IS NOT NUL
 UNION ALL SELECT uuid, 'as of the end', min(gno), NULL, max(gno) FROM (SELECT uuid, gno, gno - row_number() OVER (PARTITION BY uuid ORDER BY gno) AS g FROM (SELECT gtid_uuid AS uuid, gno FROM tg WHERE gno IS NOT NULL
   UNION SELECT 'src0', unnest([1, 2, 3]) UNION SELECT 'src1', 1 UNION SELECT 'src2', 1)) GROUP BY uuid, g""",
     ),
+    "c9_sets_at_checkpoints": _with(
+        LOG
+        + """,
+marks AS (SELECT o_orderkey AS okey, 'src' || (o_orderkey % 4) AS source_id, CASE WHEN o_orderkey % 1000 >= 20 AND o_orderkey % 4 < 3 THEN o_orderkey // 4 + 1 END AS gno FROM orders),
+cy AS (SELECT okey, source_id, max(gno) OVER (PARTITION BY source_id ORDER BY okey) AS gno FROM marks),
+tg AS (SELECT tm.source_id, tm.okey // 1000 + 1 AS file_no, cy.gno FROM tm JOIN cy ON tm.okey = cy.okey WHERE tm.source_id <> 'src3'),
+pt AS (SELECT DISTINCT source_id, file_no FROM tg),
+st AS (SELECT pt.source_id, pt.file_no, tg.gno FROM pt JOIN tg ON tg.source_id = pt.source_id AND tg.file_no <= pt.file_no WHERE gno IS NOT NULL
+  UNION SELECT source_id, file_no, unnest(CASE source_id WHEN 'src0' THEN [1, 2, 3] ELSE [1] END) FROM pt)""",
+        """SELECT source_id, file_no, min(gno) AS "start", max(gno) AS "end" FROM (SELECT *, gno - row_number() OVER (PARTITION BY source_id, file_no ORDER BY gno) AS g FROM st) GROUP BY source_id, file_no, g""",
+    ),
     "h1_delivery_counters": _with(ATTEMPTS, "SELECT * FROM cn"),
     "h2_last_error": _with(ATTEMPTS, "SELECT ap.consumer, CASE WHEN any_value(n_failed) > 0 THEN arg_max(error, (ts, id)) FILTER (WHERE NOT ok) END AS last_error FROM ap LEFT JOIN fl ON ap.consumer = fl.consumer GROUP BY ap.consumer HAVING count(*) FILTER (WHERE NOT ok) > 0"),
     "h3_failed_rows_gauge": _with(

@@ -620,6 +620,19 @@ def c9_attach_gtid(spark, sf_dir):
     return marked.select("source_id", "log_file", "log_pos", "gtid_uuid", "gno").unionByName(total)
 
 
+@query
+def c9_sets_at_checkpoints(spark, sf_dir):
+    """The set of each source as of the last terminal of each of its files."""
+    saved = spark.createDataFrame([("src0", "src0:1-3"), ("src1", "src1:1"), ("src2", "src2:1")], "source_id string, gtid_set string")
+    marked = cp.attach_gtid(fx.gtid_log(spark, sf_dir), saved)
+    line = tb.file_number(F.col("log_file")) * (1 << 32) + F.col("log_pos")
+    placed = marked.withColumn("line", line)
+    points = placed.groupBy("source_id", "log_file").agg(F.max("line").alias("row")).select("source_id", "row").join(saved.select("source_id"), "source_id")
+    begun = saved.select("source_id", F.explode(gt.parse_gtid_set(F.col("gtid_set"))).alias("g")).select("source_id", "g.*")
+    seen = placed.where("gtid_uuid is not null").select("source_id", "line", F.col("gtid_uuid").alias("uuid"), "gno")
+    return gt.gtid_sets_at(seen, points, begun, ("source_id",), stride=1 << 32).select("source_id", F.expr("row div 4294967296").alias("file_no"), "start", "end")
+
+
 # Metrics
 
 

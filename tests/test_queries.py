@@ -15,7 +15,7 @@ def test_every_relay_query_has_sql():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
-@pytest.mark.parametrize("name", ["t4_committed_rows", "a4_apply_results", "t10_stream_committed_rows", "r4_stream_dedupe", "a10_relay_stream", "s6_write_state"])
+@pytest.mark.parametrize("name", ["t4_committed_rows", "a4_apply_results", "t10_stream_committed_rows", "r4_stream_dedupe", "a10_relay_stream", "s6_write_state", "a8_retry_pass", "a9_snapshot_pass", "s5_message_manifest", "c8_recover", "c9_sets_at_checkpoints"])
 def test_queries_match_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()

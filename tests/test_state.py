@@ -177,3 +177,25 @@ def test_gtids_carry_over_files_but_not_in_file_mode(spark):
     assert got == {("s", "f9", 8): 8, ("s", "f9", 12): 8, ("s", "f10", 4): 8, ("s", "f10", 8): 9, ("s", "f11", 4): 9} | {("t", f, p): None for f, p in (("f9", 8), ("f9", 12), ("f10", 4), ("f10", 8), ("f11", 4))}
     start = spark.createDataFrame([("s", 1, 7)], "uuid string, start long, end long")
     assert [tuple(r) for r in gt.format_gtid_set(cp.gtid_as_of(cp.attach_gtid(df, saved), start)).collect()] == [("s:1-9",)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sets_as_of_many_points_equal_a_loop(spark, seed):
+    rng = random.Random(seed)
+    seen = [(rng.choice("ab"), rng.randrange(300), rng.choice("uv"), rng.randrange(60)) for _ in range(150)]
+    points = [(k, r) for k in "ab" for r in rng.sample(range(320), 12)]
+    begun = [("a", "u", 5, 9), ("a", "u", 20, 22), ("b", "w", 1, 3)]
+    want = set()
+    for k, row in points:
+        have = {(u, n) for j, line, u, n in seen if j == k and line <= row} | {(u, n) for j, u, x, y in begun if j == k for n in range(x, y + 1)}
+        want |= {(k, row, u, n) for u, n in have}
+    schema = "k string, line long, uuid string, gno long"
+    got = gt.gtid_sets_at(spark.createDataFrame(seen, schema), spark.createDataFrame(points, "k string, row long"), spark.createDataFrame(begun, "k string, uuid string, start long, end long"), ("k",), stride=37).collect()
+    assert {(r["k"], r["row"], r["uuid"], n) for r in got for n in range(r["start"], r["end"] + 1)} == want
+    # As few intervals as can be: no two of a set touch.
+    spans = {}
+    for r in got:
+        spans.setdefault((r["k"], r["row"], r["uuid"]), []).append((r["start"], r["end"]))
+    for each in spans.values():
+        each.sort()
+        assert all(b[0] > a[1] + 1 for a, b in zip(each, each[1:]))
