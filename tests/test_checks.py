@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from outflow.functions import validate as v
 from outflow.operators import delivery as dl
+from outflow.operators import passes as ps
 from outflow.operators import routing as rt
 from outflow.schemas import OUTBOX
 from outflow.sources import tables as tb
@@ -64,7 +65,7 @@ def test_routes(spark):
     assert got == subjects
 
 
-def test_failures_stay_and_successes_go(spark):
+def test_failures_stay_and_successes_go(spark, tmp_path):
     long_error = "é" * 3000
     df = outbox(spark, row(1, "bad.subject"), row(2), row(3, "x", attempts=4))
     rules = spark.createDataFrame([("S", "events.>")], "stream string, pattern string")
@@ -76,10 +77,15 @@ def test_failures_stay_and_successes_go(spark):
     assert cut[0] == "é" * 2048 and cut[1] == "é" * 2047 + "�"
     absent = tried.withColumn("id", F.col("id") + 100)
     assert dl.apply_results(df, absent.select("id", "ok", "error"), now).count() == 3
-    after, totals = dl.retry_pass(df, rules, now)
-    assert tuple(totals.first()) == (1, 0, 1) and after.count() == 3
+    base, names = f"{tmp_path}/state", ("p", "app", "t")
+    points = spark.createDataFrame([("c", "f", 4, None, T0)], "consumer_name string, binlog_name string, binlog_position long, gtid_set string, updated_at timestamp")
+    tb.write_state(df.select(F.lit("s").alias("source_id"), "*"), points, base)
+    left = lambda: {int(r["id"]) for r in tb.read_state(spark, base)[0].collect()}
+    assert tuple(ps.retry_pass(spark, base, "1", names, rules, now).first()) == (1, 0, 1) and left() == {1, 2, 3}
     more = spark.createDataFrame([("S", "events.>"), ("X", "x")], "stream string, pattern string")
-    assert {int(r["id"]) for r in dl.retry_pass(after, more, now)[0].collect()} == {1, 2}
+    ps.retry_pass(spark, base, "2", names, more, now)
+    # What has left the table has been published.
+    assert left() == {1, 2} and [r["key"] for r in tb.read_messages(spark, base).collect()] == ["p:app:t:3"]
 
 
 def test_pages(spark):
