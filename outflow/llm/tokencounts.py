@@ -13,7 +13,9 @@ Words (pre-tokens) repeat, so tables are kept for recent words per worker.
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -169,12 +171,13 @@ class PrefixCounter:
         n = sum(each)
         if n <= budget:
             return n, len(text)
-        after, k = 0, 0  # tokens up to and with word k - 1, the first word that surely doesn't fit
-        low, base = 0, 0
-        while after <= budget + slack and k < len(words):
-            after, k = after + each[k], k + 1
-            if after <= budget - slack and not words[k - 1].isspace():
-                low, base = k, after  # what follows is cut into the same words alone
+        # Every word has a token at least, so the budget runs out within so many words.
+        upto = list(accumulate(each[: budget + slack + 1]))
+        k = bisect_right(upto, budget + slack) + 1
+        low = bisect_right(upto, budget - slack)
+        while low and words[low - 1].isspace():
+            low -= 1
+        base = upto[low - 1] if low else 0  # what follows word low is cut into the same words alone
         safe = sum(map(len, words[:low]))
         counts = self.prefixes("".join(words[low:k])) + base
         return n, safe + int(np.flatnonzero(counts <= budget)[-1])
