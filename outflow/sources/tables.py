@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
 from collections.abc import Callable
@@ -170,19 +171,27 @@ def index_log(spark: SparkSession, path: str, index: str) -> int:
     while found.hasNext():
         at = found.next().getPath()
         if at.getName().endswith(".parquet") and not at.getName().startswith(("_", ".")):
-            listed.append(at.toString())
+            listed.append((at.toString(), _plain_uri(at.toUri().toString())))
     known = {r["file"] for r in spark.read.schema(ZONES).parquet(index).select("file").distinct().collect()} if exists(spark, index) else set()
-    fresh = sorted(set(listed) - known)
+    fresh = sorted(f for f in listed if f[0] not in known)
     if fresh:
-        read = spark.read.schema(schemas.CHANGE_LOG).parquet(*fresh).select("source_id", "log_file", "log_pos", F.col("_metadata.file_path").alias("file"))
+        read = spark.read.schema(schemas.CHANGE_LOG).parquet(*(f for f, _ in fresh)).select("source_id", "log_file", "log_pos", F.col("_metadata.file_path").alias("file"))
         zones = read.groupBy("file", "source_id", "log_file").agg(F.min("log_pos").alias("low"), F.max("log_pos").alias("high"))
-        # Names as they were listed: what a file is called differs between the two.
-        named = spark.createDataFrame([(f, f.split("/")[-1]) for f in fresh], "listed string, name string")
-        zones = zones.withColumn("name", F.url_decode(F.element_at(F.split("file", "/"), -1))).join(named, "name")
+        # Paths as they were listed: as a reader tells them they are written in another way.
+        named = spark.createDataFrame(fresh, "listed string, uri string")
+        zones = zones.withColumn("uri", F.regexp_replace("file", SCHEME, "$1:/")).join(named, "uri")
         zones.select(F.col("listed").alias("file"), "source_id", "low", "high", "log_file").coalesce(1).write.mode("append").partitionBy("log_file").parquet(index)
     return len(fresh)
 
 
+#: A path's scheme, with one slash or three behind it.
+SCHEME = r"\A([A-Za-z0-9]+):/+"
+
+
+def _plain_uri(uri: str) -> str:
+    return re.sub(SCHEME, r"\1:/", uri)
+
+
 ZONES = "file string, source_id string, low long, high long, log_file string"
 
 

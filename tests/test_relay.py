@@ -219,6 +219,19 @@ def test_a_batch_reads_only_the_files_of_its_places(spark, rocksdb, tmp_path, mo
     assert [k for k, _ in state(spark, base)[0]] == [f"relay:app:outbox:{k}" for k in range(1, 7)]
 
 
+def test_files_of_one_name_in_two_folders_are_two(spark, tmp_path):
+    index = f"{tmp_path}/index"
+    for k, folder in enumerate(("a b", "c+d%")):
+        log(spark, [insert("s", 100 * k + 4, image(k + 1)), commit("s", 100 * k + 6)]).coalesce(1).write.parquet(f"{tmp_path}/made{k}")
+        made = next((tmp_path / f"made{k}").glob("*.parquet"))
+        (tmp_path / "log" / folder).mkdir(parents=True)
+        made.rename(tmp_path / "log" / folder / "x y.parquet")
+    assert tb.index_log(spark, f"{tmp_path}/log", index) == 2 and tb.index_log(spark, f"{tmp_path}/log", index) == 0
+    for k in (0, 1):
+        found = tb.log_at(spark, index, [("s", "f1", 100 * k + 4, 100 * k + 5)])
+        assert len(found.inputFiles()) == 1 and sorted(r["log_pos"] for r in found.collect()) == [100 * k + 4, 100 * k + 6]
+
+
 def test_a_start_passes_over_what_is_consumed(spark, rocksdb, tmp_path):
     gtid = lambda pos, gno: event("GTID", pos, gtid_uuid="u", gno=gno, source="g")
     one = [e for k in range(4) for e in (gtid(10 * k + 4, k + 1), insert("g", 10 * k + 5, image(k + 1)), commit("g", 10 * k + 6))]
