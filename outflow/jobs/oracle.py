@@ -275,7 +275,7 @@ _GREEDY = f"""WITH RECURSIVE {OUTBOX.replace('ob AS', 'ob AS', 1)},
 m AS (SELECT id, coalesce(message_id, 'relay:app:outbox:' || id) AS k, created_at AS ts FROM ob),
 s AS (SELECT k, min(ts) AS t FROM m GROUP BY k UNION ALL SELECT s.k, min(m.ts) FROM s JOIN m ON m.k = s.k AND m.ts >= s.t + INTERVAL 24 HOUR GROUP BY s.k)
 SELECT min(m.id) AS id, m.k AS message_id, m.ts AS created_at FROM s JOIN m ON m.k = s.k AND m.ts = s.t GROUP BY m.k, m.ts"""
-ORACLE_SQL["r3_dedupe_window"] = ORACLE_SQL["r4_stream_dedupe"] = _GREEDY
+ORACLE_SQL["r3_dedupe_window"] = ORACLE_SQL["r4_stream_dedupe"] = ORACLE_SQL["r4_settled_dedupe"] = _GREEDY
 ORACLE_SQL["c3_checkpoint_timeline"] = """WITH RECURSIVE e AS (SELECT 'c' || (user_id % 5) AS consumer, ts, event_id AS row, event_type = 'purchase' AS has_rows FROM events),
 s AS (SELECT consumer, min(ts) AS base, min(ts) - INTERVAL 1 MICROSECOND AS cur, false AS written FROM e GROUP BY consumer
   UNION ALL SELECT s.consumer, min(e.ts), min(e.ts), true FROM s JOIN e ON e.consumer = s.consumer AND e.ts > s.cur AND (e.has_rows OR e.ts >= s.base + INTERVAL 6 HOUR) GROUP BY s.consumer)

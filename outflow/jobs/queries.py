@@ -398,6 +398,29 @@ def r4_stream_dedupe(spark, sf_dir):
     return kept.select(F.col("row").alias("id"), F.col("key").alias("message_id"), F.timestamp_micros("at").alias("created_at"))
 
 
+@query
+def r4_settled_dedupe(spark, sf_dir):
+    """The same of copies that come out of order, up to a quarter of their whole time late."""
+    path = folder(spark, "messages")
+    given = _stable(spark, sf_dir)
+    at = F.unix_micros("created_at")
+    low, high = given.agg(F.coalesce(F.min(at), F.lit(0)), F.coalesce(F.max(at), F.lit(0))).first()
+    span, day = high - low, 86_400_000_000
+    part = span // 8 + 1
+    late = at + F.pmod(F.xxhash64("id"), F.lit(part))
+    # Each slice holds an eighth of the time and what is up to an eighth late; an event after all lets the last ones out.
+    given.withColumn("slice", F.floor((late - low) / part).cast("int")).repartition("slice").write.partitionBy("slice").parquet(path)
+    stream = spark.readStream.schema("id bigint, message_id string, created_at timestamp").option("maxFilesPerTrigger", 1)
+    for k in range(10):
+        made = spark.read.schema("id bigint, message_id string, created_at timestamp, slice int").parquet(path).where(F.col("slice") == k).select("id", "message_id", "created_at")
+        made.coalesce(1).write.mode("append").parquet(f"{path}-in")
+    end = spark.range(1).select(F.lit(-1).cast(BIG).alias("id"), F.lit("").alias("message_id"), F.timestamp_micros(F.lit(high + 2 * span + 2 * day)).alias("created_at"))
+    end.coalesce(1).write.mode("append").parquet(f"{path}-in")
+    with _rocksdb(spark):
+        kept = _drained(spark, rl.stream_dedupe(stream.parquet(f"{path}-in"), "message_id", "created_at", "id", 86_400, f"{span // 2_000_000 + 1} seconds", "settled"))
+    return kept.select(F.col("row").alias("id"), F.col("key").alias("message_id"), F.timestamp_micros("at").alias("created_at"))
+
+
 @query
 def r5_live_messages(spark, sf_dir):
     stored = _outbox(spark, sf_dir).withColumn("expires_at", v.expires_at(F.col("created_at"), F.col("ttl_seconds") * 7200))

@@ -264,6 +264,18 @@ def test_a_late_copy_is_judged_by_both_sides(spark, rocksdb, tmp_path):
     assert {r["row"] for r in drained(spark, stream, f"{tmp_path}/out").collect()} == {0, 1, 2, 6}
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_settled_copies_in_any_order_equal_the_batch_fold(spark, rocksdb, tmp_path, seed):
+    rng = random.Random(seed)
+    rows = [(i, (rng.choice("ab"), rng.randrange(400))) for i in range(80)]
+    came = sorted(rows, key=lambda r: r[1][1] + rng.uniform(0, 150))
+    end = [(99, ("a", 100_000))]
+    stream = rl.stream_dedupe(copies(spark, f"{tmp_path}/in", *(came[k : k + 20] for k in range(0, 80, 20)), end), "key", "ts", "row", 10, "200 seconds", "settled")
+    got = {r["row"] for r in drained(spark, stream, f"{tmp_path}/out").collect()}
+    df = spark.createDataFrame([(i, k, T0 + dt.timedelta(seconds=s)) for i, (k, s) in rows], "row long, key string, ts timestamp")
+    assert got == {r["row"] for r in rt.dedupe_window(df, "key", "ts", "row", 10).collect()}
+
+
 def test_what_a_watermark_drops_is_counted(spark, rocksdb, tmp_path):
     counter = rl.DropCounter()
     spark.streams.addListener(counter)
