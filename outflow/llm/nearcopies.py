@@ -1,13 +1,18 @@
 """Near copies by the exact likeness of their word shingles (a stage of the pipeline).
 
 Two texts are linked where the Jaccard likeness of their sets of five-word
-shingles is 0.8 or more; a text of fewer words is one shingle.  SimHash bits
-can't tell this: pairs at 0.8 differ in about ten of 64 bits, and some in twice
-as many, so no radius with small buckets reaches them all.
+shingles is 0.8 or more; a text of fewer words is one shingle.
 
-Texts with equal sets become one node.  Nodes meet in 28 bands of five minimum
-hashes, which a pair at 0.8 misses with probability 0.000015 (and one at 0.9
-with less than 1e-10); every candidate is verified on the whole texts.
+Texts with equal sets become one node.  Nodes first go through operator 4's
+method: SimHash fingerprints (of five words), Golay-code keys, links of three
+bits or fewer, star contraction; each node is then held against the least node of
+its group, on the whole texts, and joined to it if they are alike.
+
+Pairs at 0.8 differ in about ten of 64 bits, and some in twice as many, so no
+radius with small buckets reaches them all.  What three bits leave apart meets in
+28 bands of five minimum hashes, which a pair at 0.8 misses with probability
+0.000015 (and one at 0.9 with less than 1e-10); what fingerprints have joined is
+not compared again, and every other candidate is verified on the whole texts.
 
 A band's bucket is compared as a star first: its centre, the member that lies in
 the largest buckets, with each other member.  Two members that the stars leave
@@ -30,6 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outflow.llm import bytewords as bw
+from outflow.llm import simhash as sh
 from outflow.llm.components import components
 from outflow.llm.shared import identified, staged, unstage
 
@@ -37,6 +43,10 @@ SHINGLE = 5
 #: Least likeness, as a fraction.
 LEAST = (4, 5)
 BANDS, ROWS = 28, 5
+#: Bytes of text that are signed at a time: a fingerprint's votes take 64 numbers a shingle.
+SLICE = 1 << 16
+#: Words of 64 bits that mark rows by their ids' hashes, whatever the input.
+WORDS = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _RNG = np.random.default_rng(20)
 _TIMES = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -79,13 +89,15 @@ def _bands(row: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.
 
 
 def signatures(rows: DataFrame) -> DataFrame:
-    """(_rid, one, two, n, keys): the set of every whole text as two sums and a count, and its bands' keys."""
+    """(_rid, fp, one, two, n, keys): every whole text's SimHash, its set as two sums and a count, and its bands' keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in bw.row_slices(whole, "text"):
+            for batch in bw.row_slices(whole, "text", SLICE):
                 rows = batch.num_rows
-                row, hashes = shingle_sets(*bw.text_bytes(batch.column("text")))
+                texts = bw.text_bytes(batch.column("text"))
+                fp = sh.simhash_batch(*texts, SHINGLE)
+                row, hashes = shingle_sets(*texts)
                 full, keys = _bands(row, hashes, rows)
                 begin = np.searchsorted(row, full)
                 one, two = np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)
@@ -96,9 +108,9 @@ def signatures(rows: DataFrame) -> DataFrame:
                 ends = np.zeros(rows + 1, np.int32)
                 ends[1:][full] = BANDS
                 listed = pa.ListArray.from_arrays(pa.array(np.cumsum(ends, dtype=np.int32)), pa.array(keys.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("_rid"), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(n, pa.int64()), listed], names=["_rid", "one", "two", "n", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column("_rid"), pa.array(fp.view(np.int64)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(n, pa.int64()), listed], names=["_rid", "fp", "one", "two", "n", "keys"])
 
-    return rows.select("_rid", F.col("text").cast("string").alias("text")).mapInArrow(run, "_rid long, one long, two long, n long, keys array<long>")
+    return rows.select("_rid", F.col("text").cast("string").alias("text")).mapInArrow(run, "_rid long, fp long, one long, two long, n long, keys array<long>")
 
 
 def _compared(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
@@ -123,12 +135,44 @@ def _compared(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Re
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shared, pa.int64()), pa.array(shared * LEAST[1] >= either * LEAST[0]), rest], names=["a", "b", "shared", "alike", "rest"])
 
 
+def told(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """``rows`` with ``_may``: true for all rows whose key is one of ``ids`` (one column) and for few others.
+
+    Ids are bits in ``WORDS`` words at most, which are broadcast; so a join with
+    a part of the rows moves the texts of that part only.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(64 * WORDS))
+    bits = ids.select(place(ids.columns[0]).alias("place")).groupBy(F.shiftright("place", 6).alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("_bits"))
+    met = rows.join(F.broadcast(bits), F.shiftright(place(key), 6) == F.col("_word"), "left")
+    return met.withColumn("_may", F.coalesce(F.getbit("_bits", place(key).bitwiseAND(63).cast("int")) == 1, F.lit(False))).drop("_word", "_bits")
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, name: str, shingle: int) -> DataFrame:
-    """``_compared`` of pairs (a, b) of rows."""
-    text = lambda c: rows.select(F.col("_rid").alias(f"_{c}"), F.col("text").cast("string").alias(f"text_{c}"))
+    """``_compared`` of pairs (a, b) of rows; only texts that they name move."""
+    pairs = staged(pairs, f"{name}_pairs")
+    text = lambda c: told(rows.select(F.col("_rid").alias(f"_{c}"), F.col("text").cast("string").alias(f"text_{c}")), f"_{c}", pairs.select(c)).where("_may")
     one = pairs.join(text("a"), F.col("a") == F.col("_a")).select("a", "b", "text_a")
     both = one.join(text("b"), F.col("b") == F.col("_b")).select("a", "b", "text_a", "text_b")
-    return staged(both.mapInArrow(lambda batches: _compared(batches, shingle), "a long, b long, shared long, alike boolean, rest array<long>"), name)
+    out = staged(both.mapInArrow(lambda batches: _compared(batches, shingle), "a long, b long, shared long, alike boolean, rest array<long>"), name)
+    unstage(pairs)
+    return out
+
+
+def fingerprint_links(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``_compared`` of each node with the least node of its SimHash group (operator 4); ``nodes``: node, fp.
+
+    Groups are what links of three bits or fewer reach.  A group takes as many
+    comparisons as it has nodes besides the least.
+    """
+    each = staged(nodes.groupBy("fp").agg(F.min("node").alias("first")), "distinct")
+    roots = components(sh.links(each)).withColumnRenamed("node", "x")
+    rooted = staged(each.join(roots, F.col("fp") == F.col("x"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted")
+    least = rooted.groupBy("root").agg(F.min("first").alias("a")).withColumnRenamed("root", "r")
+    of_fp = rooted.join(least, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "a")
+    pairs = nodes.join(of_fp, F.col("fp") == F.col("f")).where("node <> a").select("a", F.col("node").alias("b"))
+    out = _verified(pairs, rows, "fingerprint_links", SHINGLE)
+    unstage(each, rooted)
+    return out
 
 
 def _needed(a: str, b: str):
@@ -149,15 +193,23 @@ def stars(keys: DataFrame) -> DataFrame:
     return out
 
 
-def links(rows: DataFrame, keys: DataFrame, shingle: int = SHINGLE, likely=None) -> DataFrame:
+def links(rows: DataFrame, keys: DataFrame, shingle: int = SHINGLE, likely=None, before: DataFrame | None = None) -> DataFrame:
     """(a, b): links between nodes that connect all those that any pair of like texts connects.
 
     ``keys``: (key, node, n) of distinct texts, where like texts share a key;
     ``likely`` drops pairs (a, b) that can't be alike before their texts are compared.
+    ``before`` holds pairs that have been compared, each b with one a that is no
+    b itself; what they join is compared only where its star is split.
     """
     spokes = stars(keys)
     pairs = spokes.where("centre <> node").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    if before is not None:
+        home = lambda c: before.where("alike").select(F.col("b").alias(f"x_{c}"), F.col("a").alias(f"home_{c}"))
+        met = pairs.join(home("a"), F.col("a") == F.col("x_a"), "left").join(home("b"), F.col("b") == F.col("x_b"), "left")
+        pairs = met.where(F.coalesce("home_a", "a") != F.coalesce("home_b", "b")).select("a", "b").join(before.select("a", "b"), ["a", "b"], "left_anti")
     tried = _verified(likely(pairs) if likely else pairs, rows, "star_links", shingle)
+    if before is not None:
+        tried = tried.unionByName(before)
     near = tried.where("alike").select("a", "b")
     roots = staged(components(near).select(F.col("node").alias("x"), "root"), "roots")
     hubs = roots.select(F.col("x").alias("h"), F.col("root").alias("hub_root"))
@@ -167,7 +219,7 @@ def links(rows: DataFrame, keys: DataFrame, shingle: int = SHINGLE, likely=None)
     split = placed.groupBy("centre").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("n").alias("least")).where("r0 < r1").select(F.col("centre").alias("c"), "least")
     apart = staged(placed.join(split, F.col("centre") == F.col("c")).drop("c"), "apart")
     unstage(spokes, placed, roots)
-    if likely:
+    if likely or before is not None:
         open_pairs = apart.select(F.col("centre").alias("a"), F.col("node").alias("b")).join(tried.select("a", "b"), ["a", "b"], "left_anti")
         more = _verified(open_pairs, rows, "star_rests", shingle)
         near, tried = near.unionByName(more.where("alike").select("a", "b")), tried.unionByName(more)
@@ -217,10 +269,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]
     rows = identified(docs.select("doc_id", "text", F.struct(*others).alias("row")), "text", "row")
     marked = staged(signatures(rows), "signatures")
-    nodes = staged(marked.groupBy("one", "two", "n").agg(F.min("_rid").alias("node")).select("node"), "nodes")
-    found = links(rows, marked.join(nodes, F.col("_rid") == F.col("node"), "left_semi").select(F.explode("keys").alias("key"), F.col("_rid").alias("node"), "n"))
-    unstage(marked)
+    nodes = staged(marked.groupBy("one", "two", "n").agg(F.min(F.struct("_rid", "fp")).alias("s")).select(F.col("s._rid").alias("node"), F.col("s.fp").alias("fp")), "nodes")
+    keys = marked.join(nodes, F.col("_rid") == F.col("node"), "left_semi").select(F.explode("keys").alias("key"), F.col("_rid").alias("node"), "n")
+    found = links(rows, keys, before=fingerprint_links(rows, nodes))
     moved = components(found).where("node <> root").select("node")
-    kept = nodes.join(moved, "node", "left_anti").select(F.col("node").alias("k"))
-    left = rows.join(kept, rows["_rid"] == kept["k"], "left_semi")
+    kept = nodes.join(moved, "node", "left_anti").select("node")
+    gone = staged(marked.select(F.col("_rid").alias("g")).join(kept, F.col("g") == F.col("node"), "left_anti"), "gone")
+    unstage(marked, nodes)
+    parts = told(rows, "_rid", gone)
+    left = parts.where("not _may").unionByName(parts.where("_may").join(gone, F.col("_rid") == F.col("g"), "left_anti"))
     return left.select(*[F.col("text") if c == "text" else F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])

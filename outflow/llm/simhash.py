@@ -176,7 +176,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     one = _keys(fps, True).withColumnRenamed("fp", "a")
     two = _keys(fps, False).withColumnRenamed("fp", "b")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    return one.join(two, (one["key"] == two["key"]) & (F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    # Sizes guessed from the fingerprints' files know nothing of the many keys each has: no broadcast.
+    return one.join(two.hint("merge"), (one["key"] == two["key"]) & (F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
 def near_duplicate_groups(docs: DataFrame, key: str = "doc_id", max_bits: int = MAX_BITS) -> DataFrame:
