@@ -172,6 +172,24 @@ def _kept(rows: _Rows, enters: np.ndarray, forced: np.ndarray) -> np.ndarray:
     return kept
 
 
+def greedy(line: np.ndarray, times: np.ndarray, last: np.ndarray, step: int) -> np.ndarray:
+    """Which rows of sorted lines are kept when each line is entered with a time kept last (``NEVER``: none)."""
+    n = len(line)
+    if not n:
+        return np.zeros(0, bool)
+    first = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+    ends = np.append(first[1:], n)
+    kept = np.zeros(n, bool)
+    # As many lines at once as leave room for their times side by side.
+    most = max(1, (1 << 61) // (int((times[ends - 1] - times[first]).max()) + 2))
+    for k in range(0, len(first), most):
+        a, z = first[k], ends[min(k + most, len(first)) - 1]
+        begins = first[k : k + most] - a
+        rows = _Rows(np.repeat(np.arange(len(begins)), np.diff(np.append(begins, z - a))), begins, times[a:z], np.zeros(z - a, bool), step)
+        kept[a:z] = _kept(rows, last[k : k + most], np.zeros(z - a, bool))
+    return kept
+
+
 def _marks(step: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches):
