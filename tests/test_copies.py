@@ -118,6 +118,22 @@ def test_a_bucket_equals_a_loop_over_each_key(monkeypatch, seed):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_a_settled_bucket_equals_the_fold(monkeypatch, seed):
+    monkeypatch.setattr(cs, "PART_ROWS", 5)
+    rng = random.Random(seed)
+    batches = made(rng, ["a", "b", None, *map(str, range(seed * 9))], 240, 100)
+    want, last = set(), {}
+    for k, r, at in sorted((b for batch in batches for b in batch), key=lambda b: (b[2], b[1])):
+        if k not in last or at - last[k] >= 10_000:
+            want.add((k, r))
+            last[k] = at
+    # One far behind all lets the last ones out; nothing but itself stays in state.
+    got, handle = run(cs._Settled(10_000), [*batches, [("end", 999, 10**9)]], 120)
+    assert len(got) == len(set(got)) and set(got) == want
+    assert len(handle.states["waiting"].held) == 1 and not handle.states["accepted"].held
+
+
 def test_a_batch_reads_only_parts_near_its_times():
     handle, judge = Handle(), cs._Dedupe(1000)
     judge.init(handle)
