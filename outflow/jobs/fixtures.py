@@ -22,9 +22,12 @@ def bindings(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(BINDINGS, "stream string, pattern string")
 
 
-def row_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One event for the lines of an order that share a kind and a table."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("rn", F.row_number().over(W.partitionBy("l_orderkey").orderBy(*LINE_ORDER)))
+def row_events(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None, how: str = "left_semi") -> DataFrame:
+    """One event for the lines of an order that share a kind and a table; with ``keys`` of the orders among them only, or (``left_anti``) of all others."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    if keys is not None:
+        lines = lines.join(keys, F.col("l_orderkey") == F.col("packed_key"), how)
+    lines = lines.withColumn("rn", F.row_number().over(W.partitionBy("l_orderkey").orderBy(*LINE_ORDER)))
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
     binary = lambda e: F.encode(F.expr(e), "UTF-8")
     image = F.array(
@@ -40,7 +43,7 @@ def row_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = (
         lines.select("l_orderkey", kind.alias("event_type"), table.alias("table_name"), "rn", image.alias("image"))
         .groupBy("l_orderkey", "event_type", "table_name")
-        .agg(F.min("rn").alias("first_rn"), F.transform(F.array_sort(F.collect_list(F.struct("rn", "image"))), lambda s: s["image"]).alias("rows"))
+        .agg(F.min("rn").alias("first_rn"), F.transform(F.sort_array(F.collect_list(F.struct("rn", "image"))), lambda s: s["image"]).alias("rows"))
     )
     return grouped.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_orderkey").alias("okey"), (F.col("o_orderkey") * 100 + F.col("first_rn")).alias("event_seq"), F.col("o_orderdate").alias("event_ts"),
@@ -91,10 +94,11 @@ def gtid_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log with some transactions as self-contained payloads: orders of status F whose number divides by three."""
-    packed = F.expr("event_seq div 100")
     keys = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderstatus = 'F' and o_orderkey % 3 = 0 and o_orderkey % 1000 < 996").select(F.col("o_orderkey").alias("packed_key"))
-    plain = change_log(spark, sf_dir).join(keys, packed == F.col("packed_key"), "left_anti")
-    return plain.unionByName(payload_log(spark, sf_dir).join(keys, packed == F.col("packed_key"), "left_semi"))
+    # Lines are parted before they are numbered and gathered, so that each is gathered once.
+    ends = terminals(spark, sf_dir).join(keys, F.col("okey") == F.col("packed_key"), "left_anti")
+    plain = _canonical(row_events(spark, sf_dir, keys, "left_anti").unionByName(ends, allowMissingColumns=True))
+    return plain.unionByName(payload_log(spark, sf_dir, keys))
 
 
 def relay_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,11 +106,12 @@ def relay_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Ids are numbered in each source by itself, so that all sources have the same.
     """
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    whole = mixed_log(spark, sf_dir).unionByName(_gtid_marks(orders))
-    turning = F.col("source_id").isin("src0", "src1")
-    whole = whole.where(~turning | (F.expr("event_seq div 100 % 1000") < 996))
-    whole = whole.unionByName(rotated(whole.where(turning)))
+    marks = _gtid_marks(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    whole = mixed_log(spark, sf_dir).unionByName(marks)
+    turning, closed = F.col("source_id").isin("src0", "src1"), F.expr("event_seq div 100 % 1000") < 996
+    whole = whole.where(~turning | closed)
+    # Every order has its mark, so the marks tell the files without making the log again.
+    whole = whole.unionByName(rotated(marks.where(turning & closed)))
     number = lambda r: F.encode((F.decode(r[0], "UTF-8").cast("long") % 100 + F.expr("event_seq div 400") * 100).cast("string"), "UTF-8")
     renumbered = lambda rows: F.transform(rows, lambda r: F.concat(F.array(number(r)), F.slice(r, F.lit(2), F.size(r))))
     nested = F.transform("nested", lambda e: F.struct(e["event_type"].alias("event_type"), e["schema_name"].alias("schema_name"), e["table_name"].alias("table_name"), renumbered(e["rows"]).alias("rows")))
@@ -137,12 +142,14 @@ def unnamed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.withColumn("log_file", F.lit(None).cast("string")).unionByName(begins, allowMissingColumns=True)
 
 
-def payload_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of status F, each packed into one self-contained payload event."""
+def payload_log(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
+    """Orders of status F (with ``keys`` those among them), each packed into one self-contained payload event."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderstatus = 'F' and o_orderkey % 1000 < 996").select(F.col("o_orderkey").alias("okey"))
-    nested = F.transform(F.array_sort(F.collect_list(F.struct("event_seq", "event_type", "schema_name", "table_name", "rows"))), lambda s: F.struct(s["event_type"].alias("event_type"), s["schema_name"].alias("schema_name"), s["table_name"].alias("table_name"), s["rows"].alias("rows")))
+    if keys is not None:
+        orders = orders.join(keys, F.col("okey") == F.col("packed_key"), "left_semi")
+    nested = F.transform(F.sort_array(F.collect_list(F.struct("event_seq", "event_type", "schema_name", "table_name", "rows"))), lambda s: F.struct(s["event_type"].alias("event_type"), s["schema_name"].alias("schema_name"), s["table_name"].alias("table_name"), s["rows"].alias("rows")))
     # An order without lines is an empty transaction.
-    packed = orders.join(row_events(spark, sf_dir), "okey", "left").groupBy("okey").agg(F.filter(nested, lambda e: e["event_type"].isNotNull()).alias("nested"))
+    packed = orders.join(row_events(spark, sf_dir, keys), "okey", "left").groupBy("okey").agg(F.filter(nested, lambda e: e["event_type"].isNotNull()).alias("nested"))
     return _canonical(packed.withColumns({"event_seq": F.col("okey") * 100 + 99, "event_type": F.lit("PAYLOAD"), "place": F.lit(99).cast("long")}))
 
 

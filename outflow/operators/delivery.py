@@ -12,12 +12,13 @@ from outflow.operators.routing import check_expected_stream, route_subjects
 ERROR_BYTES = 4096
 
 
-def attempt(messages: DataFrame, bindings: DataFrame, expected: str | None = None, keep: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
+def attempt(messages: DataFrame, bindings: DataFrame, expected: str | None = None, keep: tuple[str, ...] = (), strict: bool = False, routes: DataFrame | None = None) -> DataFrame:
     """(id, subject, ok, error, was_retry, first_failure) of each message; a failed row stops nothing.
 
     ``keep``: more columns of the messages to carry along.  ``strict``: their headers are free text.
+    ``routes``: as ``route_subjects`` takes them.
     """
-    routed = check_expected_stream(route_subjects(validate_messages(messages, strict=strict), bindings), expected)
+    routed = check_expected_stream(route_subjects(validate_messages(messages, strict=strict), bindings, routes), expected)
     error = F.coalesce(F.col("error"), F.concat(F.lit("outbox row "), F.col("id").cast("string"), F.lit(": "), F.col("route_error")))
     retried = F.col("attempt_count") > 0
     return routed.select("id", "subject", error.isNull().alias("ok"), error.alias("error"), retried.alias("was_retry"), (error.isNotNull() & ~retried).alias("first_failure"), *keep)

@@ -17,6 +17,7 @@ from outflow import schemas
 from outflow.functions.validate import parse_headers, parse_headers_strict, stable_message_id
 from outflow.operators.checkpoints import plan_recovery, upsert_checkpoints
 from outflow.operators.delivery import attempt, cut_error, failed_rows
+from outflow.operators.routing import subject_routes
 from outflow.sources import tables as tb
 
 PLACE = ("source_id", "log_file", "commit_pos", "log_pos", "event_seq", "row_idx")
@@ -25,15 +26,25 @@ CONTENT = ("payload", "headers", "message_id", "ttl_seconds", "attempt_count")
 Names = tuple[str | Column, str, str]
 
 
-def publish(spark: SparkSession, base: str, version: str, messages: DataFrame, names: Names, bindings: DataFrame, expected: str | None = None, strict: bool = False, carry: tuple[str, ...] = (), by: str = "commit") -> DataFrame:
-    """First phase: attempts of ``messages`` (source_id, id and content), written with the envelopes of the accepted ones; gives the attempts as written."""
+def publish(spark: SparkSession, base: str, version: str, messages: DataFrame, names: Names, bindings: DataFrame, expected: str | None = None, strict: bool = False, carry: tuple[str, ...] = (), by: str = "commit", spent: str | None = None) -> DataFrame:
+    """First phase: attempts of ``messages`` (source_id, id and content), written with the envelopes of the accepted ones; gives the attempts as written.
+
+    ``spent``: a folder that the messages lie in and that goes when the attempts are written.
+    """
     lacking = [F.lit(None).cast(kind).alias(c) for c, kind in (f.split(" ") for f in schemas.ENVELOPE.split(", ")[1:6]) if c not in messages.columns]
     placed = messages.select("*", *lacking)
-    attempt(placed, bindings, expected, keep=(*PLACE, *CONTENT, *carry), strict=strict).write.mode("overwrite").parquet(f"{base}/{version}/results")
-    results = spark.read.parquet(f"{base}/{version}/results")
+    here = f"{base}/{version}"
+    # The few routes first, so that they go to the messages and not all messages of a subject to one task.
+    subject_routes(placed, bindings).write.mode("overwrite").parquet(f"{here}/routes")
+    routes = spark.read.parquet(f"{here}/routes")
+    attempt(placed, bindings, expected, keep=(*PLACE, *CONTENT, *carry), strict=strict, routes=routes).write.mode("overwrite").parquet(f"{here}/results")
+    for folder in (f"{here}/routes", *([spent] if spent else [])):
+        tb.discard(spark, folder)
+    results = spark.read.parquet(f"{here}/results")
     headers = parse_headers_strict()(F.col("headers"))["headers"] if strict else parse_headers(F.col("headers"))
-    sent = tb.to_envelope(results.where("ok"), stable_message_id(*names), headers, expected, keep=PLACE)
-    tb.write_messages(sent, f"{base}/{tb.MESSAGES}/{version}", [*PLACE, "key"], by)
+    accepted = results.where("ok").withColumns({"key": stable_message_id(*names), "topic": F.col("subject")})
+    sent = lambda dealt: tb.to_envelope(dealt, F.col("key"), headers, expected, keep=PLACE)
+    tb.write_messages(accepted.drop("ok", "error", "was_retry", "first_failure", "attempt_count", *carry), f"{base}/{tb.MESSAGES}/{version}", [*PLACE, "key"], by, sent)
     return results
 
 
@@ -74,7 +85,8 @@ def retry_pass(spark: SparkSession, base: str, name: str, names: Names, bindings
     if tb.is_done(spark, base, "retry", f"retry-{name}"):
         return tb.read_side(spark, base, "retry-totals")
     outbox, _ = tb.read_state(spark, base)
-    return _pass(spark, base, "retry", name, failed_rows(outbox), names, bindings, now, expected, strict)
+    with tb.spending(spark):
+        return _pass(spark, base, "retry", name, failed_rows(outbox), names, bindings, now, expected, strict)
 
 
 def snapshot_pass(spark: SparkSession, base: str, name: str, rows: DataFrame, positions: DataFrame, names: Names, bindings: DataFrame, now: Column, expected: str | None = None, strict: bool = False) -> DataFrame:
@@ -92,7 +104,8 @@ def snapshot_pass(spark: SparkSession, base: str, name: str, rows: DataFrame, po
     keys = ["source_id", "id"]
     sources = positions.select("source_id").distinct()
     vanished = kept.join(sources, "source_id", "left_semi").join(mine.select(*keys), keys, "left_anti").select(*kept.columns)
-    return _pass(spark, base, "snapshot", name, mine.join(sources, "source_id", "left_semi"), names, bindings, now, expected, strict, positions, vanished)
+    with tb.spending(spark):
+        return _pass(spark, base, "snapshot", name, mine.join(sources, "source_id", "left_semi"), names, bindings, now, expected, strict, positions, vanished)
 
 
 def recover(spark: SparkSession, base: str, name: str, consumers: DataFrame, log_files: DataFrame, server_state: DataFrame, positions: DataFrame, read_rows, names: Names, bindings: DataFrame, now: Column, stream=None) -> DataFrame:

@@ -46,8 +46,8 @@ def _subject_keys(subject: Column) -> Column:
     return F.concat(begins, places, longer, F.array(F.concat(F.lit("size:"), n.cast("string"))))
 
 
-def route_subjects(messages: DataFrame, bindings: DataFrame) -> DataFrame:
-    """Adds ``stream``: the least-named stream with a pattern that covers the subject, or null.
+def subject_routes(messages: DataFrame, bindings: DataFrame) -> DataFrame:
+    """(subject, stream): the least-named stream that covers each of the messages' subjects; uncovered ones are left out.
 
     Patterns meet distinct subjects only, and by equality: a pattern stands under
     one key (its longest plain prefix where it has one), a subject asks under the
@@ -60,10 +60,18 @@ def route_subjects(messages: DataFrame, bindings: DataFrame) -> DataFrame:
     subjects = messages.select("subject").where("subject is not null").distinct()
     asked = subjects.select("subject", F.explode(F.array_distinct(_subject_keys(F.col("subject")))).alias("_key"))
     covered = asked.join(rules, (F.col("_key") == F.col("_k")) & F.expr("subject rlike _re"))
-    routes = covered.groupBy("subject").agg(F.min("stream").alias("stream"))
+    return covered.groupBy("subject").agg(F.min("stream").alias("stream"))
+
+
+def route_subjects(messages: DataFrame, bindings: DataFrame, routes: DataFrame | None = None) -> DataFrame:
+    """Adds ``stream``: the least-named stream with a pattern that covers the subject, or null.
+
+    ``routes``: what ``subject_routes`` gave, where it was written before; Spark
+    then knows how few they are, and messages of one subject need not meet in one task.
+    """
     # Dealt anew, the few routes let Spark split a subject that many messages share.
-    routes = routes.withColumnRenamed("subject", "_s").repartition("_s")
-    return messages.join(routes, F.col("subject") == F.col("_s"), "left").drop("_s")
+    routes = subject_routes(messages, bindings).repartition("subject") if routes is None else routes
+    return messages.join(routes.withColumnRenamed("subject", "_s"), F.col("subject") == F.col("_s"), "left").drop("_s")
 
 
 def check_expected_stream(routed: DataFrame, expected: str | None) -> DataFrame:

@@ -8,6 +8,7 @@ import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark import inheritable_thread_target
@@ -180,7 +181,8 @@ def index_log(spark: SparkSession, path: str, index: str) -> int:
         # Paths as they were listed: as a reader tells them they are written in another way.
         named = spark.createDataFrame(fresh, "listed string, uri string")
         zones = zones.withColumn("uri", F.regexp_replace("file", SCHEME, "$1:/")).join(named, "uri")
-        zones.select(F.col("listed").alias("file"), "source_id", "low", "high", "log_file").coalesce(1).write.mode("append").partitionBy("log_file").parquet(index)
+        zones = zones.select(F.col("listed").alias("file"), "source_id", "low", "high", "log_file", _shelf(F.col("log_file")).alias("shelf"))
+        zones.coalesce(1).write.mode("append").partitionBy("shelf").parquet(index)
     return len(fresh)
 
 
@@ -192,13 +194,21 @@ def _plain_uri(uri: str) -> str:
     return re.sub(SCHEME, r"\1:/", uri)
 
 
-ZONES = "file string, source_id string, low long, high long, log_file string"
+ZONES = "file string, source_id string, low long, high long, log_file string, shelf long"
+#: Log files whose zones lie in one folder of the index.
+SHELF = 1024
+
+
+def _shelf(log_file: Column) -> Column:
+    """The folder of the index where a log file's zones lie: a folder for each file would cost more than the zones in it."""
+    return F.coalesce(F.floor(file_number(log_file) / SHELF), F.lit(-1)).cast("long")
 
 
 def log_at(spark: SparkSession, index: str, spans: list[tuple[str, str, int, int]]) -> DataFrame:
     """The log's data files that hold any of the spans (source, log file, least and largest position), read whole."""
     wanted = spark.createDataFrame(spans, "source_id string, log_file string, first long, last long")
-    zones = spark.read.schema(ZONES).parquet(index).where(F.col("log_file").isin(sorted({s[1] for s in spans}))) if spans else None
+    shelves = [r[0] for r in wanted.select(_shelf(F.col("log_file"))).distinct().collect()]
+    zones = spark.read.schema(ZONES).parquet(index).where(F.col("shelf").isin(shelves)) if shelves else None
     files = [] if zones is None else sorted(r["file"] for r in zones.join(wanted, ["source_id", "log_file"]).where("low <= last and high >= first").select("file").distinct().collect())
     return spark.read.schema(schemas.CHANGE_LOG).parquet(*files) if files else spark.createDataFrame([], schemas.CHANGE_LOG)
 
@@ -231,11 +241,13 @@ def to_envelope(messages: DataFrame, stable_id: Column, headers: Column | None =
     return messages.select(*keep, F.col("subject").alias("topic"), stable_id.alias("key"), F.col("payload").alias("value"), F.concat(given, F.array(*own), ttl).alias("headers"))
 
 
-def write_messages(envelopes: DataFrame, path: str, order: list[str], by: str = "commit") -> None:
+def write_messages(envelopes: DataFrame, path: str, order: list[str], by: str = "commit", made: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Messages in commit order: range-dealt by ``order``, sorted inside each file.
 
     With ``by='subject'`` only the messages of one topic keep that order: they
-    lie in one file, and nothing is sampled to find ranges.
+    lie in one file, and nothing is sampled to find ranges.  ``made`` turns rows
+    that have the order's columns (and ``topic``) into envelopes when they lie in
+    their files: what is sampled and moved is then as small as the rows are.
     """
     if by not in ("commit", "subject"):
         raise ValueError("messages are ordered by commit or by subject")
@@ -243,7 +255,7 @@ def write_messages(envelopes: DataFrame, path: str, order: list[str], by: str =
         dealt = envelopes.repartition("topic").sortWithinPartitions("topic", *order)
     else:
         dealt = envelopes.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
-    dealt.write.mode("overwrite").parquet(path)
+    (dealt if made is None else made(dealt)).write.mode("overwrite").parquet(path)
 
 
 def manifest_of(spark: SparkSession, path: str, seq: int) -> DataFrame:
@@ -429,6 +441,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def spending(spark: SparkSession):
+    """While it lasts a query's shuffles are removed as it ends, not when the driver happens to collect its garbage: for steps that are written and read back."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def together(*jobs: Callable) -> list:
     """Runs small jobs that don't wait for each other side by side; the first error is raised."""
     with ThreadPoolExecutor(len(jobs)) as pool:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,9 @@ from outflow.streaming.copies import stream_dedupe  # noqa: F401
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PLACES = "source_id string, log_file string, kind string, log_pos long, event_seq long, commit_pos long, end_file string, outcome string, gtid_uuid string, gno long, n_rows long, n_bytes long, at long"
 
+#: What an event means to the assembly; a payload brings rows and commits them.
+GTID, WRITE, PAYLOAD, ROTATE, COMMIT, ROLLBACK = range(6)
+
 
 class _Assembly(StatefulProcessor):
     """Places of the inserts of one (source, file) wait in state for the terminal that decides them."""
@@ -32,11 +35,14 @@ class _Assembly(StatefulProcessor):
     def __init__(self, max_rows: int, max_bytes: int, timed: bool, consumed: dict | None = None):
         self.max_rows, self.max_bytes, self.timed, self.consumed = max_rows, max_bytes, timed, consumed or {}
 
-    def known(self, source: str, pair: tuple) -> bool:
-        """Whether the source's set of consumed transactions holds this one: two sides of a sorted list of intervals."""
-        starts, ends = self.consumed.get(source, {}).get(pair[0], ((), ()))
-        at = bisect_right(starts, pair[1]) - 1 if pair[0] is not None else -1
-        return at >= 0 and pair[1] <= ends[at]
+    def known(self, source: str, uuids: np.ndarray, gnos: np.ndarray) -> np.ndarray:
+        """Which of these transactions the source's set of consumed ones holds: looked up in sorted lists of intervals."""
+        found = np.zeros(len(uuids), bool)
+        for uuid, (starts, ends) in self.consumed.get(source, {}).items():
+            mine = np.flatnonzero(uuids == uuid)
+            at = np.searchsorted(starts, gnos[mine], "right") - 1
+            found[mine] = (at >= 0) & (gnos[mine] <= np.asarray(ends)[at])
+        return found
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -45,50 +51,67 @@ class _Assembly(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # The batch's events of a key may come in any order.
-        new = pd.concat(list(rows)).sort_values(["log_pos", "event_seq"])
+        new = pd.concat(list(rows), ignore_index=True)
+        new = new.iloc[np.lexsort((new["event_seq"], new["log_pos"]))]
+        kind, pos, seq, at, n_rows, n_bytes = (new[c].to_numpy() for c in ("kind", "log_pos", "event_seq", "at", "n_rows", "n_bytes"))
         waiting = list(self.waiting.get()) if self.waiting.exists() else []
-        kept, held, out = len(waiting), len(waiting), []
-        n_rows, n_bytes = sum(w[2] for w in waiting), sum(w[3] for w in waiting)
-        pair = tuple(self.gtid.get()) if self.gtid.exists() else (None, None)
-        first_pair, turned = pair, False
-
-        def limits() -> None:
-            if n_rows > self.max_rows:
-                raise ValueError(f"transaction of {key} has more than {self.max_rows} rows")
-            if n_bytes > self.max_bytes:
-                raise ValueError(f"transaction of {key} has more than {self.max_bytes} bytes")
-
-        for e in new.itertuples(index=False):
-            pos, seq, at = int(e.log_pos), int(e.event_seq), int(e.at)
-            if e.event_type == "GTID":
-                pair = (e.gtid_uuid, int(e.gno))
-                continue
-            if waiting and e.event_type == "ROTATE":
-                raise ValueError(f"the log of {key} rotates at {pos} with an open transaction")
-            if waiting and e.event_type == "PAYLOAD":
-                raise ValueError(f"a self-contained transaction of {key} begins at {pos} with rows waiting")
-            if self.consumed and self.known(key[0], pair) and e.event_type != "ROTATE":
-                continue
-            if e.event_type in ("WRITE_ROWS", "PAYLOAD"):
-                if e.n_rows:
-                    waiting.append((pos, seq, int(e.n_rows), int(e.n_bytes), at))
-                n_rows, n_bytes = n_rows + int(e.n_rows), n_bytes + int(e.n_bytes)
-                limits()
-            if e.event_type == "ROTATE":
-                out.append((*key, "end", pos, seq, int(e.next_pos), e.next_file, "rotated", *pair, 0, 0, at))
-                turned = True
-            elif isinstance(e.outcome, str):
-                if e.outcome == "committed":
-                    if pos == 0:
-                        raise ValueError(f"a commit of {key} is at position 0")
-                    out.extend((*key, "rows", w[0], w[1], pos, key[1], e.outcome, *pair, w[2], w[3], at) for w in waiting)
-                committed = e.outcome == "committed"
-                out.append((*key, "end", pos, seq, pos, key[1], e.outcome, *pair, n_rows if committed else 0, n_bytes if committed else 0, at))
-                waiting, n_rows, n_bytes, kept = [], 0, 0, 0
-        if kept == 0 and (waiting or held):
-            self.waiting.put(waiting) if waiting else self.waiting.clear()
-        elif len(waiting) > kept:
-            self.waiting.appendList(waiting[kept:])
+        first_pair = tuple(self.gtid.get()) if self.gtid.exists() else (None, None)
+        # Each event's GTID is the one before it.
+        names = np.append(new["gtid_uuid"].to_numpy(object), first_pair[0])
+        numbers = np.append(new["gno"].to_numpy(), first_pair[1] or 0)
+        told = np.maximum.accumulate(np.where(kind == GTID, np.arange(len(kind)), -1))
+        names, numbers = names[told], numbers[told]
+        active = kind != GTID
+        if self.consumed.get(key[0]):
+            active &= (kind == ROTATE) | ~self.known(key[0], names, numbers)
+        brings = active & np.isin(kind, (WRITE, PAYLOAD))
+        ends = active & np.isin(kind, (PAYLOAD, COMMIT, ROLLBACK))
+        tx = np.cumsum(ends) - ends  # terminals before
+
+        def before(values: np.ndarray, held: int) -> np.ndarray:
+            """What the transaction had before each event; the first one has what waited."""
+            total = np.cumsum(values) - values + held
+            begun = np.append(0, total[ends] + values[ends])
+            return total - begun[tx]
+
+        open_rows = before((brings & (n_rows > 0)).astype(np.int64), len(waiting))
+        all_rows = before(np.where(brings, n_rows, 0), sum(w[2] for w in waiting)) + np.where(brings, n_rows, 0)
+        all_bytes = before(np.where(brings, n_bytes, 0), sum(w[3] for w in waiting)) + np.where(brings, n_bytes, 0)
+        wrong = (
+            ((kind == ROTATE) & (open_rows > 0), "the log of {key} rotates at {pos} with an open transaction"),
+            ((kind == PAYLOAD) & (open_rows > 0), "a self-contained transaction of {key} begins at {pos} with rows waiting"),
+            (brings & (all_rows > self.max_rows), f"transaction of {{key}} has more than {self.max_rows} rows"),
+            (brings & (all_bytes > self.max_bytes), f"transaction of {{key}} has more than {self.max_bytes} bytes"),
+            (ends & (kind != ROLLBACK) & (pos == 0), "a commit of {key} is at position 0"),
+        )
+        stops = [(int(np.argmax(where)), n, text) for n, (where, text) in enumerate(wrong) if where.any()]
+        if stops:
+            at_event, _, text = min(stops)
+            raise ValueError(text.format(key=key, pos=int(pos[at_event])))
+
+        row = np.flatnonzero(brings & (n_rows > 0))
+        each = np.array([w[:4] for w in waiting], np.int64).reshape(-1, 4)
+        each = np.concatenate([each, np.stack([pos[row], seq[row], n_rows[row], n_bytes[row]], axis=1).astype(np.int64)])
+        mine = np.append(np.zeros(len(waiting), np.int64), tx[row])
+        end = np.flatnonzero(ends)
+        good = np.append(kind[end] != ROLLBACK, False)[mine]  # the last one may still be open
+        by = end[mine[good]]
+        out = [_placed(key, "rows", each[good, 0], each[good, 1], pos[by], key[1], "committed", names[by], numbers[by], each[good, 2], each[good, 3], at[by])]
+        committed = kind[end] != ROLLBACK
+        told_end = np.where(committed, "committed", "rolled_back").astype(object)
+        out.append(_placed(key, "end", pos[end], seq[end], pos[end], key[1], told_end, names[end], numbers[end], np.where(committed, all_rows[end], 0), np.where(committed, all_bytes[end], 0), at[end]))
+        turn = np.flatnonzero(kind == ROTATE)
+        zero = np.zeros(len(turn), np.int64)
+        out.append(_placed(key, "end", pos[turn], seq[turn], new["next_pos"].to_numpy()[turn], new["next_file"].to_numpy(object)[turn], "rotated", names[turn], numbers[turn], zero, zero, at[turn]))
+
+        fresh = [tuple(map(int, r)) for r in zip(*(c[row[tx[row] == len(end)]] for c in (pos, seq, n_rows, n_bytes, at)), strict=True)]
+        if len(end) and (fresh or waiting):
+            self.waiting.put(fresh) if fresh else self.waiting.clear()
+        elif fresh:
+            self.waiting.appendList(fresh)
+        waiting = fresh if len(end) else waiting + fresh
+        pair = (names[-1], int(numbers[-1])) if names[-1] is not None else (None, None)
+        turned = len(turn) > 0
         # A file that is rotated away gets no more events: nothing of it stays.
         if turned:
             self.gtid.clear()
@@ -100,22 +123,27 @@ class _Assembly(StatefulProcessor):
             last = max((w[4] for w in waiting), default=None)
             if last is not None:
                 self.handle.registerTimer(last // 1000 + 1)
-        if out:
-            yield _placed(out)
+        yield from (frame for frame in out if len(frame))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         waiting = list(self.waiting.get()) if self.waiting.exists() else []
         self.waiting.clear()
         if waiting:
-            yield _placed([(*key, "expired", waiting[0][0], waiting[0][1], None, key[1], None, None, None, sum(w[2] for w in waiting), sum(w[3] for w in waiting), waiting[-1][4])])
+            one = lambda n: np.array([n], np.int64)
+            frame = _placed(key, "expired", one(waiting[0][0]), one(waiting[0][1]), one(0), key[1], None, np.array([None]), one(0), one(sum(w[2] for w in waiting)), one(sum(w[3] for w in waiting)), one(waiting[-1][4]))
+            yield frame.assign(commit_pos=pd.array([None], dtype="Int64"))
 
     def close(self) -> None:
         pass
 
 
-def _placed(rows: list[tuple]) -> pd.DataFrame:
-    fields = [c.split(" ") for c in PLACES.split(", ")]
-    return pd.DataFrame({name: pd.array(values, dtype="Int64" if kind == "long" else object) for (name, kind), values in zip(fields, zip(*rows, strict=True), strict=True)})
+def _placed(key, kind, log_pos, event_seq, commit_pos, end_file, outcome, gtid_uuid, gno, n_rows, n_bytes, at) -> pd.DataFrame:
+    """Columns of ``PLACES``; a number without its GTID is null."""
+    text = lambda v: v if isinstance(v, np.ndarray) else np.full(len(log_pos), v, object)
+    whole = lambda v: np.asarray(v, np.int64)
+    numbered = pd.arrays.IntegerArray(whole(gno), pd.isna(gtid_uuid))
+    columns = (text(key[0]), text(key[1]), text(kind), whole(log_pos), whole(event_seq), whole(commit_pos), text(end_file), text(outcome), text(gtid_uuid), numbered, whole(n_rows), whole(n_bytes), whole(at))
+    return pd.DataFrame(dict(zip((c.split(" ")[0] for c in PLACES.split(", ")), columns, strict=True)))
 
 
 def consumed_sets(start: DataFrame) -> dict:
@@ -160,7 +188,10 @@ def stream_transactions(events: DataFrame, schema: str, table: str, max_rows: in
     lean = weighed.withColumn("outcome", ending()).where(wanted)
     # Never null, as pandas would make floats of them.
     whole = [F.coalesce(c, F.lit(0).cast("long")).alias(n) for n, c in (("next_pos", F.col("next_pos")), ("gno", F.col("gno")), ("at", F.unix_micros("event_ts")))]
-    lean = lean.select(*FILE, "log_pos", "event_seq", "event_type", "next_file", "gtid_uuid", "outcome", "n_rows", "n_bytes", *whole, *(["event_ts"] if watermark else []))
+    kind = F.when(F.col("outcome") == "rolled_back", ROLLBACK)
+    for name, code in (("GTID", GTID), ("WRITE_ROWS", WRITE), ("PAYLOAD", PAYLOAD), ("ROTATE", ROTATE)):
+        kind = kind.when(F.col("event_type") == name, code)
+    lean = lean.select(*FILE, "log_pos", "event_seq", kind.otherwise(COMMIT).alias("kind"), "next_file", "gtid_uuid", "n_rows", "n_bytes", *whole, *(["event_ts"] if watermark else []))
     return lean.groupBy(*FILE).transformWithStateInPandas(_Assembly(max_rows, max_bytes, bool(watermark), consumed_sets(start) if start is not None else None), PLACES, "Append", "EventTime" if watermark else "None")
 
 
@@ -254,6 +285,10 @@ def relay_batch(
     kind = f"relay/{consumer}"
 
     def run(places: DataFrame, batch_id: int) -> None:
+        with tb.spending(places.sparkSession):
+            relay(places, batch_id)
+
+    def relay(places: DataFrame, batch_id: int) -> None:
         spark = places.sparkSession
         version = f"batch-{consumer}-{batch_id:012d}"
         if tb.is_done(spark, base, kind, version):
@@ -274,8 +309,10 @@ def relay_batch(
         before = {r[0] for r in saved.where(F.col("consumer_name").startswith(f"{consumer}/")).select(F.substr("consumer_name", F.lit(len(consumer) + 2))).collect()} if isinstance(names[0], str) else set()
         one_source(names, before | {s[0] for s in spans})
         def publish_rows() -> DataFrame:
-            decoded = quarantine(decode_rows(explode_inserts(rows_at(placed, read_log(spark, spans)), schema, table)))
-            return publish(spark, base, version, decoded.withColumn("attempt_count", F.lit(0).cast("long")), names, bindings, expected, strict, carry=("event_ts",), by=by)
+            # Read and decoded once: their subjects are asked for first, then they are tried.
+            quarantine(decode_rows(explode_inserts(rows_at(placed, read_log(spark, spans)), schema, table))).write.mode("overwrite").parquet(f"{here}/rows")
+            decoded = spark.read.parquet(f"{here}/rows")
+            return publish(spark, base, version, decoded.withColumn("attempt_count", F.lit(0).cast("long")), names, bindings, expected, strict, carry=("event_ts",), by=by, spent=f"{here}/rows")
 
         # The checkpoints' times don't wait for the messages.
         mark = lambda: written(placed).write.mode("overwrite").parquet(f"{here}/last")
