@@ -274,12 +274,13 @@ def _in_slices(spark, log: DataFrame, slices: int = 3) -> str:
     reads few files a batch meets rows in an earlier batch than their commit.
     """
     path, whole = folder(spark, "log"), folder(spark, "whole")
-    log.write.parquet(whole)
-    log = tb.read_change_log(spark, whole)
-    last = log.agg(F.coalesce(F.max("event_seq"), F.lit(0)).alias("m")).first()["m"]
-    cuts = [last * k // slices // 100 * 100 + 50 for k in range(1, slices)]
-    for low, high in zip((-(1 << 62), *cuts), (*cuts, 1 << 62), strict=True):
-        log.where(F.col("event_seq").between(low + 1, high)).repartition(4, "source_id").write.mode("append").parquet(path)
+    with tb.spending(spark):
+        log.write.parquet(whole)
+        log = tb.read_change_log(spark, whole)
+        last = log.agg(F.coalesce(F.max("event_seq"), F.lit(0)).alias("m")).first()["m"]
+        cuts = [last * k // slices // 100 * 100 + 50 for k in range(1, slices)]
+        for low, high in zip((-(1 << 62), *cuts), (*cuts, 1 << 62), strict=True):
+            log.where(F.col("event_seq").between(low + 1, high)).repartition(4, "source_id").write.mode("append").parquet(path)
     tb.discard(spark, whole)
     return path
 
@@ -535,6 +536,7 @@ def a10_relay_stream(spark, sf_dir):
     with _rocksdb(spark):
         log = tb.stream_change_log(spark, path, 5)
         rl.relay_stream(log, base, tb.indexed_log(path, f"{base}-index"), names, rules, "main", fx.now(), f"{base}-progress", interval_seconds=10, compact_every=2).awaitTermination()
+    tb.discard(spark, path)
     return _relayed(spark, base)
 
 
@@ -571,6 +573,7 @@ def c8_recover(spark, sf_dir):
 
     with _rocksdb(spark):
         plans = ps.recover(spark, base, "1", consumers, files, server, here, whole, names, rules, fx.now(), stream)
+    tb.discard(spark, path)
     told = plans.select(F.lit("plan").alias("part"), F.col("consumer_name").alias("name"), F.lit(None).cast(BIG).alias("value"), F.concat_ws(": ", "plan", "reason").alias("note"))
     points = F.col("part") == "checkpoint"  # where a source came to is a10's matter
     return _relayed(spark, base).where(~points).unionByName(told)

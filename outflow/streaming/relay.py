@@ -328,7 +328,8 @@ def relay_batch(
         ahead = seen.join(last.select(F.col("consumer").alias("_c"), "row"), F.col("consumer") == F.col("_c"), "left").where("row is null or line > row").select("consumer", "line", "gtid_uuid", "gno")
         points = upsert_checkpoints(saved, moved(placed, last, seen, saved), F.col("at"))
         tb.write_delta(changes, points, base, version, kind, {f"ahead-{consumer}": ahead}, manifest(spark, base, version) if spans else None)
-        tb.discard(spark, f"{here}/results")
+        for step in ("results", "places", "last"):
+            tb.discard(spark, f"{here}/{step}")
         if len(tb.read_pointer(spark, base)["deltas"]) >= compact_every:
             tb.compact(spark, base)
 

@@ -6,6 +6,7 @@ import random
 import pandas as pd
 import pytest
 
+from outflow.jobs import queries as q
 from outflow.operators import routing as rt
 from outflow.sources import tables as tb
 from outflow.streaming import relay as rl
@@ -22,6 +23,21 @@ def test_an_index_has_few_folders_for_many_log_files(spark, tmp_path):
     assert tb.log_at(spark, f"{tmp_path}/index", [("s", "bin.000007", 5, 9)]).count() == 0
 
 
+def shuffle_files(spark):
+    files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+
+def test_a_log_written_in_slices_leaves_no_shuffles(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, set_before = shuffle_files(spark), spark.conf.get(key, None)
+    events = [event("WRITE_ROWS", 10 * k + 4, rows=[image(k)], source=f"s{k % 4}", seq=100 * k) for k in range(1, 400)]
+    path = q._in_slices(spark, log(spark, events).repartition(4, "log_pos"))
+    assert not {n for n in shuffle_files(spark) - before if n.endswith(".data")}
+    assert spark.conf.get(key, None) == set_before
+    assert spark.read.parquet(path).count() == 399
+
+
 def test_messages_of_one_subject_are_not_dealt_to_one_task(spark, tmp_path, capsys):
     rows = spark.createDataFrame([(k, "a.b", 0) for k in range(50)], "id long, subject string, attempt_count long")
     rules = spark.createDataFrame([("S", "a.>")], "stream string, pattern string")
